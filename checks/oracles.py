@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from checks.adapters import AS_OF, DIMENSION_SQL, TURNS_SQL
+from checks.adapters import (
+    AS_OF,
+    CORPUS_SQL,
+    DIMENSION_SQL,
+    QUESTIONS_SQL,
+    SEARCH_SQL,
+    TURNS_SQL,
+)
+from recollect.functions.text import STOP_WORDS
 
 MIDDLE = "TIMESTAMP '2024-01-16 00:00:00'"
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f') AS {0}"
@@ -297,3 +305,135 @@ FROM dreamt f LEFT JOIN (
   SELECT DISTINCT l.source_key FROM dreamt_links l
   JOIN turns t ON t.ext_id = l.ext_id AND t.created_at < {MIDDLE}) r ON r.source_key = f.source_key
 GROUP BY scope, status"""
+
+# --- retrieval --------------------------------------------------------------------------------
+
+_stop = {"stop": "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"}
+SEARCH = (CORPUS_SQL, SEARCH_SQL % _stop)
+COSINE = (
+    "1 - list_dot_product(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[])) / "
+    "(sqrt(list_dot_product(CAST({a} AS DOUBLE[]), CAST({a} AS DOUBLE[]))) * "
+    "sqrt(list_dot_product(CAST({b} AS DOUBLE[]), CAST({b} AS DOUBLE[]))))"
+)
+
+
+def vector_leg(where: str = "TRUE", k: int = 20) -> str:
+    return f"""
+asked AS (SELECT embedding AS q FROM embeddings WHERE vec_id = 0),
+v AS (
+  SELECT content_id, distance, row_number() OVER (ORDER BY round(distance, 12), content_id) AS rank
+  FROM (SELECT content_id, {COSINE.format(a='embedding', b='q')} AS distance
+        FROM corpus, asked WHERE embedding IS NOT NULL AND {where})
+  QUALIFY rank <= {k})"""
+
+
+def bm25_weight(df: str, tf: str, mean: str = "mean_length", texts: str = "texts") -> str:
+    return (
+        f"ln(1 + ({texts} - {df} + 0.5) / ({df} + CAST(0.5 AS DOUBLE))) * {tf} * CAST(2.2 AS DOUBLE) / "
+        f"({tf} + CAST(1.2 AS DOUBLE) * (0.25 + CAST(0.75 AS DOUBLE) * n_terms / {mean}))"
+    )
+
+
+def keyword_leg(words: list[str], where: str = "TRUE", k: int = 20) -> str:
+    counts = ", ".join(
+        f"count(*) FILTER (list_contains(words, '{w}')) AS df{i}" for i, w in enumerate(words)
+    )
+    tfs = ", ".join(
+        f"len(list_filter(words, lambda w: w = '{w}')) AS tf{i}" for i, w in enumerate(words)
+    )
+    score = " + ".join(bm25_weight(f"df{i}", f"tf{i}") for i in range(len(words)))
+    needed = " AND ".join(f"list_contains(words, '{w}')" for w in words)
+    return f"""
+own AS (SELECT * FROM docs WHERE {where}),
+stats AS (SELECT count(*) AS texts, avg(n_terms) AS mean_length, {counts} FROM own),
+t AS (
+  SELECT content_id, score, row_number() OVER (ORDER BY round(score, 9) DESC, content_id) AS rank
+  FROM (SELECT content_id, {score} AS score
+        FROM (SELECT *, {tfs} FROM own WHERE {needed}), stats)
+  QUALIFY rank <= {k})"""
+
+
+FUSED = """
+SELECT content_id, doc_type, left(chunk_text, 70) AS snippet, v.rank AS vector_rank,
+       t.rank AS keyword_rank,
+       round(coalesce(CAST(1.0 AS DOUBLE) / (60 + v.rank), 0) +
+             coalesce(CAST(1.0 AS DOUBLE) / (60 + t.rank), 0), 6) AS rrf
+FROM (v FULL JOIN t USING (content_id)) JOIN corpus USING (content_id)
+ORDER BY coalesce(CAST(1.0 AS DOUBLE) / (60 + v.rank), 0) +
+         coalesce(CAST(1.0 AS DOUBLE) / (60 + t.rank), 0) DESC, content_id LIMIT 10"""
+
+
+def batch_legs(tenant: bool) -> str:
+    same = "AND d.brand = q.brand" if tenant else ""
+    scope = "brand, " if tenant else ""
+    group = "GROUP BY brand" if tenant else ""
+    on_scope = "AND f.brand = a.brand" if tenant else ""
+    on_stats = "JOIN stats s ON s.brand = q.brand" if tenant else "CROSS JOIN stats s"
+    corpus_same = "AND c.brand = q.brand" if tenant else ""
+    return f"""
+{QUESTIONS_SQL.strip() % _stop},
+v AS (
+  SELECT query_id, content_id, distance, row_number() OVER (
+    PARTITION BY query_id ORDER BY round(distance, 12), content_id) AS rank
+  FROM (SELECT query_id, content_id, {COSINE.format(a='c.embedding', b='q.qvec')} AS distance
+        FROM corpus c JOIN questions q ON c.embedding IS NOT NULL AND q.qvec IS NOT NULL {corpus_same})
+  QUALIFY rank <= 20),
+stats AS (SELECT {scope} count(*) AS texts, avg(n_terms) AS mean_length FROM docs {group}),
+frequency AS (
+  SELECT {scope} term, count(*) AS df
+  FROM (SELECT brand, unnest(list_distinct(words)) AS term FROM docs) GROUP BY {scope} term),
+matched AS (
+  SELECT q.query_id, q.brand, d.content_id, d.words, d.n_terms, q.terms
+  FROM docs d JOIN questions q ON len(q.terms) > 0 AND list_has_all(d.words, q.terms) {same}),
+scored AS (
+  SELECT a.query_id, a.content_id, sum({bm25_weight('df', 'tf')}) AS score
+  FROM (SELECT *, len(list_filter(words, lambda w: w = term)) AS tf
+        FROM (SELECT query_id, brand, content_id, words, n_terms, unnest(terms) AS term FROM matched)) a
+  JOIN frequency f ON f.term = a.term {on_scope}
+  {on_stats.replace('q.brand', 'a.brand')}
+  GROUP BY a.query_id, a.content_id),
+t AS (
+  SELECT query_id, content_id, score, row_number() OVER (
+    PARTITION BY query_id ORDER BY round(score, 9) DESC, content_id) AS rank
+  FROM scored QUALIFY rank <= 20)"""
+
+
+BATCH_FUSED = """
+SELECT query_id, content_id, doc_type, left(chunk_text, 70) AS snippet, vector_rank, keyword_rank,
+       rn, round(rrf, 6) AS rrf
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf DESC, content_id) AS rn
+      FROM (SELECT query_id, content_id, v.rank AS vector_rank, t.rank AS keyword_rank,
+                   coalesce(CAST(1.0 AS DOUBLE) / (60 + v.rank), 0) +
+                   coalesce(CAST(1.0 AS DOUBLE) / (60 + t.rank), 0) AS rrf
+            FROM v FULL JOIN t USING (query_id, content_id)))
+JOIN corpus USING (content_id) WHERE rn <= 10"""
+
+ORACLES["vector_topk"] = with_(CORPUS_SQL, vector_leg()) + """
+SELECT content_id, round(distance, 6) AS distance, rank FROM v"""
+ORACLES["vector_topk_filtered"] = with_(CORPUS_SQL, vector_leg("brand = 'en'")) + """
+SELECT content_id, round(distance, 6) AS distance, rank FROM v"""
+ORACLES["keyword_match"] = with_(*SEARCH) + """
+SELECT content_id, n_terms FROM docs
+WHERE (list_contains(words, 'tion') AND NOT list_contains(words, 'ndble'))
+   OR list_contains(words, 'ndble')"""
+ORACLES["keyword_phrase"] = with_(*SEARCH) + """
+SELECT content_id, n_terms FROM docs
+WHERE list_contains(words, 'tion') AND NOT list_contains(words, 'ndble')"""
+ORACLES["bm25_topk"] = with_(*SEARCH, keyword_leg(["ndble", "tion"], "brand = 'en'")) + """
+SELECT content_id, round(score, 6) AS score, rank FROM t"""
+ORACLES["hybrid_rrf"] = with_(*SEARCH, vector_leg(), keyword_leg(["ndble", "tion"])) + FUSED
+ORACLES["hybrid_rrf_filtered"] = with_(
+    *SEARCH, vector_leg("brand = 'en'"), keyword_leg(["ndble", "tion"], "brand = 'en'")
+) + FUSED
+ORACLES["batch_vector"] = with_(*SEARCH, batch_legs(False)) + """
+SELECT query_id, content_id, round(distance, 6) AS distance, rank FROM v"""
+ORACLES["batch_bm25"] = with_(*SEARCH, batch_legs(False)) + """
+SELECT query_id, content_id, round(score, 6) AS score, rank FROM t"""
+ORACLES["batch_hybrid"] = with_(*SEARCH, batch_legs(False)) + BATCH_FUSED
+ORACLES["batch_hybrid_per_tenant"] = with_(*SEARCH, batch_legs(True)) + BATCH_FUSED
+ORACLES["embed_corpus"] = """
+SELECT doc_id AS content_id, CAST(length(text) AS DOUBLE) AS e0,
+       CAST(length(text) - length(replace(text, 'a', '')) AS DOUBLE) AS e1,
+       CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS e2,
+       CAST(length(text) - length(replace(text, chr(10), '')) AS DOUBLE) AS e3
+FROM documents"""

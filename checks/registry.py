@@ -12,8 +12,10 @@ from checks.adapters import AS_OF, GENERIC_TOPICS, HIGH_STAKES
 from recollect.functions.keys import top_k
 from recollect.operators import consolidate as con
 from recollect.operators import memory as mem
+from recollect.operators import search
 from recollect.operators import upsert as up
 from recollect.plans import dream as job
+from recollect.session import materialise
 from recollect.sources.tables import read_table, run_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,7 +216,7 @@ def cluster_turns(spark, sf_dir):
 
 @query
 def largest_clusters(spark, sf_dir):
-    return con.cluster_turns(adapters.turns(spark, sf_dir), limit=12)
+    return con.cluster_turns(adapters.turns(spark, sf_dir), limit=12).drop("newest")
 
 
 @query
@@ -339,7 +341,8 @@ def agent_knows(spark, sf_dir):
 def agent_knows_per_scope(spark, sf_dir):
     turns = adapters.turns(spark, sf_dir)
     scopes = turns.select("rep_id", "hcp_id").distinct()
-    found = mem.agent_knows_per_scope(_dream(spark, sf_dir).facts, scopes, "click", k=3)
+    facts = materialise(_dream(spark, sf_dir).facts, "facts")
+    found = mem.agent_knows_per_scope(facts, scopes, "click", k=3)
     return found.withColumn("rn", F.col("rn").cast("bigint"))
 
 
@@ -359,3 +362,143 @@ def lineage_coverage(spark, sf_dir):
     turns = adapters.turns(spark, sf_dir)
     memory = _dream(spark, sf_dir)
     return mem.lineage_coverage(memory.facts, memory.lineage, before(turns, MIDDLE))
+
+
+# --- retrieval --------------------------------------------------------------------------------
+
+WORDS = "ndble tion"
+
+
+def _english():
+    return F.col("brand") == "en"
+
+
+def _vector(spark, sf_dir) -> list[float]:
+    """The stored vector 0, as the vector of a query."""
+    return read_table(spark, "embeddings", sf_dir).where(F.col("vec_id") == 0).first()["embedding"]
+
+
+def _ranked(df: DataFrame, *scores: str) -> DataFrame:
+    rounded = [F.round(s, 6).alias(s) for s in scores]
+    return df.select(
+        *[c for c in df.columns if c not in scores and not c.endswith("rank") and c != "rn"],
+        *[F.col(c).cast("bigint").alias(c) for c in df.columns if c.endswith("rank") or c == "rn"],
+        *rounded,
+    )
+
+
+@query
+def vector_topk(spark, sf_dir):
+    found = search.vector_topk(adapters.corpus(spark, sf_dir), _vector(spark, sf_dir))
+    return _ranked(found, "distance")
+
+
+@query
+def vector_topk_filtered(spark, sf_dir):
+    found = search.vector_topk(
+        adapters.corpus(spark, sf_dir), _vector(spark, sf_dir), where=_english()
+    )
+    return _ranked(found, "distance")
+
+
+@query
+def keyword_match(spark, sf_dir):
+    found = search.keyword_match(adapters.corpus(spark, sf_dir), "tion -ndble or ndble")
+    return found.select("content_id", F.col("n_terms").cast("bigint").alias("n_terms"))
+
+
+@query
+def keyword_phrase(spark, sf_dir):
+    found = search.keyword_match(adapters.corpus(spark, sf_dir), '"on the tion" -ndble')
+    return found.select("content_id", F.col("n_terms").cast("bigint").alias("n_terms"))
+
+
+@query
+def bm25_topk(spark, sf_dir):
+    found = search.keyword_topk(adapters.corpus(spark, sf_dir), WORDS, where=_english())
+    return _ranked(found, "score")
+
+
+@query
+def hybrid_rrf(spark, sf_dir):
+    found = search.hybrid(adapters.corpus(spark, sf_dir), WORDS, _vector(spark, sf_dir), k=10)
+    return _ranked(found, "rrf")
+
+
+@query
+def hybrid_rrf_filtered(spark, sf_dir):
+    found = search.hybrid(
+        adapters.corpus(spark, sf_dir), WORDS, _vector(spark, sf_dir), k=10, where=_english()
+    )
+    return _ranked(found, "rrf")
+
+
+@query
+def batch_vector(spark, sf_dir):
+    found = search.vector_topk_batch(
+        adapters.corpus(spark, sf_dir), adapters.questions(spark, sf_dir)
+    )
+    return _ranked(found, "distance")
+
+
+@query
+def batch_bm25(spark, sf_dir):
+    found = search.keyword_topk_batch(
+        adapters.corpus(spark, sf_dir), adapters.questions(spark, sf_dir)
+    )
+    return _ranked(found, "score")
+
+
+@query
+def batch_hybrid(spark, sf_dir):
+    found = search.hybrid_batch(
+        adapters.corpus(spark, sf_dir), adapters.questions(spark, sf_dir), k=10
+    )
+    return _ranked(found, "rrf")
+
+
+@query
+def batch_hybrid_per_tenant(spark, sf_dir):
+    found = search.hybrid_batch(
+        adapters.corpus(spark, sf_dir), adapters.questions(spark, sf_dir), k=10, tenant="brand"
+    )
+    return _ranked(found, "rrf")
+
+
+@query
+def ann_topk(spark, sf_dir):
+    corpus = adapters.corpus(spark, sf_dir).where(F.col("embedding").isNotNull())
+    model = search.fit_cells(corpus, cells=16)
+    celled = search.assign_cells(corpus, model)
+    return search.ann_topk(celled, model, _vector(spark, sf_dir), probes=4)
+
+
+@query
+def ann_recall(spark, sf_dir):
+    corpus = adapters.corpus(spark, sf_dir).where(F.col("embedding").isNotNull())
+    model = search.fit_cells(corpus, cells=16)
+    celled = search.assign_cells(corpus, model)
+    vector = _vector(spark, sf_dir)
+    return search.recall_at_k(
+        search.ann_topk(celled, model, vector, probes=4), search.vector_topk(corpus, vector)
+    )
+
+
+def _letter_counts(texts):
+    """Stands in for a model: four numbers per text."""
+    return [[len(t), t.count("a"), t.count("e"), t.count("\n")] for t in texts]
+
+
+@query
+def embed_corpus(spark, sf_dir):
+    rows = adapters.corpus(spark, sf_dir).drop("embedding")
+    found = search.embed_corpus(rows, 4, _letter_counts)
+    return found.select(
+        "content_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(4)]
+    )
+
+
+@query
+def embed_corpus_hashed(spark, sf_dir):
+    rows = adapters.corpus(spark, sf_dir).drop("embedding")
+    return search.embed_corpus(rows, 64).select("content_id", "embedding")

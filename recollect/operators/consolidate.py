@@ -54,23 +54,35 @@ def usable(turns: DataFrame) -> DataFrame:
     return turns.where(F.col("topic").isNotNull() & F.col("ext_id").isNotNull())
 
 
+def summarise(
+    turns: DataFrame, by: Sequence[str] = SCOPE, quote_first: bool = False
+) -> DataFrame:
+    """`(by…, n, newest)` of every group of usable turns, optionally with its `first_text`.
+
+    This is the only pass over all turns that the other steps need: it is partially aggregated
+    before the shuffle, so a hot group sends one row per task.
+    """
+    aggregates = [F.count(F.lit(1)).alias("n"), F.max("created_at").alias("newest")]
+    if quote_first:
+        quoted = F.min_by(F.left("content", F.lit(SAMPLE_CHARS)), F.col("ext_id"))
+        aggregates.append(quoted.alias("first_text"))
+    return usable(turns).groupBy(*by).agg(*aggregates)
+
+
 def cluster_turns(
     turns: DataFrame,
     by: Sequence[str] = SCOPE,
     min_turns: int = 3,
     limit: int | None = None,
-    aggregates: Sequence[Column] = (),
+    summary: DataFrame | None = None,
 ) -> DataFrame:
-    """`(by…, n)` of every group of at least `min_turns` turns, plus any further `aggregates`.
+    """The groups of at least `min_turns` turns, as `summarise` gives them.
 
     The grouping includes owner and entity, so one owner's private turns never flow into another
-    owner's fact. `limit` keeps the largest clusters.
+    owner's fact. `limit` keeps the largest clusters. `summary` saves the pass over the turns.
     """
-    clusters = (
-        usable(turns)
-        .groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("n"), *aggregates)
-        .where(F.col("n") >= min_turns)
+    clusters = (summarise(turns, by) if summary is None else summary).where(
+        F.col("n") >= min_turns
     )
     if limit is not None:
         clusters = clusters.orderBy(F.col("n").desc(), *by).limit(limit)
@@ -194,28 +206,26 @@ def consolidate(
     high_stakes: Sequence[str] = scoring.HIGH_STAKES,
     threshold: float = scoring.CONFIDENCE_THRESHOLD,
     thin_below: int = scoring.THIN_BELOW,
+    summary: DataFrame | None = None,
 ) -> Candidates:
     """Pass 1: one candidate fact per (owner, entity, topic) cluster.
 
     `generate` is a model call on a batch of prompts; `EXTRACTIVE` quotes the first turn of the
     cluster; None writes the placeholder text, which is always held for review.
     """
-    if generate == EXTRACTIVE:
-        lead = F.min_by(F.left("content", F.lit(SAMPLE_CHARS)), F.col("ext_id")).alias("_lead")
-        clusters = cluster_turns(turns, SCOPE, min_turns, limit, [lead])
-        distilled = clusters.withColumn("text", F.concat("topic", F.lit(": "), "_lead"))
+    quoting = generate == EXTRACTIVE
+    if summary is None:
+        summary = summarise(turns, SCOPE, quote_first=quoting)
+    clusters = cluster_turns(turns, SCOPE, min_turns, limit, summary)
+    if quoting:
+        distilled = clusters.withColumn("text", F.concat("topic", F.lit(": "), "first_text"))
+    elif generate is None:
+        distilled = clusters.withColumn("text", F.lit(None).cast("string"))
     else:
-        clusters = cluster_turns(turns, SCOPE, min_turns, limit)
-        distilled = (
-            clusters.withColumn("text", F.lit(None).cast("string"))
-            if generate is None
-            else distil(turns, clusters, generate)
-        )
+        distilled = distil(turns, clusters, generate)
     facts = score_clusters(distilled, as_of, high_stakes, threshold, thin_below)
-    # Links need the cluster keys only; without a limit those come from a count over three narrow
-    # columns, so no text is read twice.
-    members = clusters if limit is not None else cluster_turns(turns, SCOPE, min_turns)
-    return Candidates(facts, links_to(turns, members, SCOPE, business_key("consolidate", *SCOPE)))
+    key = business_key("consolidate", *SCOPE)
+    return Candidates(facts, links_to(turns, clusters, SCOPE, key))
 
 
 def themes(
@@ -226,20 +236,19 @@ def themes(
     min_hcps: int = 3,
     exclude_topics: Sequence[str] = ("general",),
     limit: int | None = None,
+    summary: DataFrame | None = None,
 ) -> DataFrame:
     """`(group, topic, n, reps, hcps)` of topics that several owners raise about several entities.
 
-    Turns are first counted per (owner, entity, topic), so only those counts are joined to the
-    dimension and shuffled for the two distinct counts.
+    Works on the counts per (owner, entity, topic): only those are joined to the dimension and
+    shuffled for the two distinct counts, not the turns.
     """
-    counted = (
-        usable(turns)
-        .where(~F.col("topic").isin(*exclude_topics))
-        .groupBy(*SCOPE)
-        .agg(F.count(F.lit(1)).alias("turns"))
+    counted = (summarise(turns) if summary is None else summary).where(
+        ~F.col("topic").isin(*exclude_topics)
     )
     found = (
-        counted.join(dim.select("hcp_id", group_col), "hcp_id")
+        counted.select(*SCOPE, F.col("n").alias("turns"))
+        .join(dim.select("hcp_id", group_col), "hcp_id")
         .groupBy(group_col, "topic")
         .agg(
             F.sum("turns").alias("n"),
@@ -264,9 +273,12 @@ def abstract(
     min_hcps: int = 3,
     exclude_topics: Sequence[str] = ("general",),
     limit: int | None = None,
+    summary: DataFrame | None = None,
 ) -> Candidates:
     """Pass 2: org-wide facts for themes that no single conversation contains."""
-    found = themes(turns, dim, group_col, min_reps, min_hcps, exclude_topics, limit)
+    found = themes(
+        turns, dim, group_col, min_reps, min_hcps, exclude_topics, limit, summary
+    )
     key = business_key("abstract", group_col, "topic")
     facts = found.select(
         key.alias("source_key"),
@@ -308,16 +320,22 @@ def _held_facts(
 
 
 def flag_contradictions(
-    turns: DataFrame, as_of: Any, topics: Sequence[str] = ("preference",), min_n: int = 2
+    turns: DataFrame,
+    as_of: Any,
+    topics: Sequence[str] = ("preference",),
+    min_n: int = 2,
+    summary: DataFrame | None = None,
 ) -> Candidates:
     """Pass 3a: where an entity has several statements on a topic that allows one, hold them all."""
-    stated = turns.where(F.col("topic").isin(*topics) & F.col("ext_id").isNotNull())
+    exclusive = F.col("topic").isin(*topics)
     several = (
-        stated.groupBy("hcp_id", "topic")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        (summarise(turns, ["hcp_id", "topic"]) if summary is None else summary)
+        .where(exclusive)
+        .groupBy("hcp_id", "topic")
+        .agg(F.sum("n").alias("_n"))
         .where(F.col("_n") >= min_n)
     )
-    conflicting = stated.join(several, ["hcp_id", "topic"], "left_semi")
+    conflicting = usable(turns).where(exclusive).join(several, ["hcp_id", "topic"], "left_semi")
     return _held_facts(
         conflicting, "contradiction", F.col("hcp_id"), "hcp", CONTRADICTION_TEXT,
         scoring.CONTRADICTION_CONFIDENCE, as_of,
@@ -337,15 +355,27 @@ def hold_claims(
     )
 
 
+def decay_cutoff(as_of: Any, days: int) -> Column:
+    return F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days))
+
+
 def freshly_supported(
     lineage: DataFrame, turns: DataFrame, as_of: Any, days: int = 150
 ) -> DataFrame:
     """Keys of the facts with a source turn strictly newer than `as_of - days`."""
-    newest_stale = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days))
-    fresh = turns.where(F.col("created_at") > newest_stale).select("ext_id")
+    fresh = turns.where(F.col("created_at") > decay_cutoff(as_of, days)).select("ext_id")
     return lineage.join(fresh, "ext_id", "left_semi").select("source_key").distinct()
 
 
+def archive_unsupported(facts: DataFrame, fresh_keys: DataFrame) -> DataFrame:
+    """Archive the active entity facts whose key is not in `fresh_keys` (unique)."""
+    marked = facts.join(fresh_keys.withColumn("_fresh", F.lit(True)), "source_key", "left")
+    stale = (
+        (F.col("status") == "active") & (F.col("scope") == "hcp") & F.col("_fresh").isNull()
+    )
+    return update_where(marked, stale, {"status": F.lit("archived")}).select(*facts.columns)
+
+
 def decay(
     facts: DataFrame, lineage: DataFrame, turns: DataFrame, as_of: Any, days: int = 150
 ) -> DataFrame:
@@ -353,12 +383,7 @@ def decay(
 
     Org facts never decay.
     """
-    supported = freshly_supported(lineage, turns, as_of, days).withColumn("_fresh", F.lit(True))
-    marked = facts.join(supported, "source_key", "left")
-    stale = (
-        (F.col("status") == "active") & (F.col("scope") == "hcp") & F.col("_fresh").isNull()
-    )
-    return update_where(marked, stale, {"status": F.lit("archived")}).select(*facts.columns)
+    return archive_unsupported(facts, freshly_supported(lineage, turns, as_of, days))
 
 
 def review_summary(facts: DataFrame, pattern: str = "%CYP3A4%") -> DataFrame:

@@ -20,6 +20,16 @@ def read_table(spark: SparkSession, name: str, root: str | None = None) -> DataF
     return spark.read.parquet(f"{root}/{name}.parquet") if root else spark.table(name)
 
 
+def spread_small(df: DataFrame, few_files: int = 16) -> DataFrame:
+    """Spread a table that lies in a handful of files over all cores, for costly work per row.
+
+    A table in more files is returned as it is: Spark splits it by itself and a shuffle would only
+    cost.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < min(cores, few_files) else df
+
+
 def scan(
     table: DataFrame,
     where: Column | None = None,
