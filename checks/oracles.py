@@ -6,6 +6,7 @@ from checks.adapters import (
     AS_OF,
     CORPUS_SQL,
     DIMENSION_SQL,
+    FEATURES_AS_OF,
     QUESTIONS_SQL,
     SEARCH_SQL,
     TURNS_SQL,
@@ -417,8 +418,10 @@ SELECT content_id, n_terms FROM docs
 WHERE (list_contains(words, 'tion') AND NOT list_contains(words, 'ndble'))
    OR list_contains(words, 'ndble')"""
 ORACLES["keyword_phrase"] = with_(*SEARCH) + """
-SELECT content_id, n_terms FROM docs
-WHERE list_contains(words, 'tion') AND NOT list_contains(words, 'ndble')"""
+SELECT content_id, n_terms
+FROM (SELECT *, ' ' || array_to_string(words, ' ') || ' ' AS line FROM docs)
+WHERE regexp_matches(line, ' thanedble [^ ]+ onbleea ')
+   OR (list_contains(words, 'onbleea') AND NOT list_contains(words, 'ndble'))"""
 ORACLES["bm25_topk"] = with_(*SEARCH, keyword_leg(["ndble", "tion"], "brand = 'en'")) + """
 SELECT content_id, round(score, 6) AS score, rank FROM t"""
 ORACLES["hybrid_rrf"] = with_(*SEARCH, vector_leg(), keyword_leg(["ndble", "tion"])) + FUSED
@@ -437,3 +440,123 @@ SELECT doc_id AS content_id, CAST(length(text) AS DOUBLE) AS e0,
        CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS e2,
        CAST(length(text) - length(replace(text, chr(10), '')) AS DOUBLE) AS e3
 FROM documents"""
+
+# --- sync -------------------------------------------------------------------------------------
+
+ORDER = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
+MIRROR = """
+mirror AS (
+  SELECT * REPLACE (
+    CASE WHEN o_orderpriority = '1-URGENT' AND o_totalprice > 450000 THEN 1.0 ELSE o_totalprice END
+      AS o_totalprice,
+    CASE WHEN o_orderpriority = '1-URGENT' AND o_totalprice > 450000 THEN NULL ELSE o_orderstatus END
+      AS o_orderstatus)
+  FROM orders WHERE o_orderdate < TIMESTAMP '2001-06-01'
+  UNION ALL
+  SELECT * REPLACE (-1 - o_orderkey AS o_orderkey)
+  FROM orders WHERE o_orderdate < TIMESTAMP '1995-02-01')"""
+REPRICED = """
+repriced AS (
+  SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1000 ELSE o_totalprice END
+                    AS o_totalprice)
+  FROM orders WHERE o_orderstatus <> 'P')"""
+COMPARED = """
+compared AS (
+  SELECT coalesce(s.o_orderkey, m.o_orderkey) AS o_orderkey,
+         CASE WHEN m.o_orderkey IS NULL THEN 'missing' WHEN s.o_orderkey IS NULL THEN 'extra'
+              WHEN s.o_totalprice IS DISTINCT FROM m.o_totalprice
+                OR s.o_orderstatus IS DISTINCT FROM m.o_orderstatus THEN 'drifted'
+              ELSE 'ok' END AS status
+  FROM orders s FULL JOIN mirror m ON s.o_orderkey = m.o_orderkey)"""
+APPLIED = with_(MIRROR, REPRICED) + f"""
+SELECT {ORDER} FROM repriced UNION ALL
+SELECT {ORDER} FROM mirror WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)"""
+
+ORACLES["snapshot_sync"] = f"SELECT {ORDER} FROM orders WHERE o_orderstatus <> 'P'"
+ORACLES["snapshot_diff"] = with_(MIRROR, COMPARED) + f"""
+SELECT {ORDER}, 'insert' AS _change_type, CAST(7 AS BIGINT) AS _commit_version
+FROM orders JOIN compared USING (o_orderkey) WHERE status = 'missing'
+UNION ALL SELECT {ORDER}, 'delete', 7 FROM mirror JOIN compared USING (o_orderkey) WHERE status = 'extra'
+UNION ALL SELECT {ORDER}, 'update_preimage', 7
+FROM mirror JOIN compared USING (o_orderkey) WHERE status = 'drifted'
+UNION ALL SELECT {ORDER}, 'update_postimage', 7
+FROM orders JOIN compared USING (o_orderkey) WHERE status = 'drifted'"""
+ORACLES["apply_changes"] = APPLIED
+ORACLES["stream_sync"] = APPLIED
+ORACLES["diff_then_apply"] = f"SELECT {ORDER} FROM orders"
+ORACLES["stream_ingest"] = "SELECT event_id, user_id, event_type, 'first' AS feed_run FROM events"
+ORACLES["reconcile_counts"] = with_(MIRROR) + """
+SELECT 'orders' AS table_name, s.n AS src_rows, m.n AS dst_rows,
+       CASE WHEN s.n = m.n THEN 'ok' ELSE 'mismatch' END AS status
+FROM (SELECT count(*) AS n FROM orders) s, (SELECT count(*) AS n FROM mirror) m
+UNION ALL SELECT 'customer', count(*), count(*), 'ok' FROM customer
+UNION ALL SELECT 'supplier', count(*), NULL, 'missing' FROM supplier"""
+ORACLES["reconcile_rows"] = with_(MIRROR, COMPARED) + """
+SELECT status, count(*) AS n_rows FROM compared GROUP BY status"""
+ORACLES["drifted_keys"] = with_(MIRROR, COMPARED) + """
+SELECT o_orderkey, status FROM compared WHERE status <> 'ok'"""
+
+# --- features ---------------------------------------------------------------------------------
+
+FEATURES = f"""
+features AS (
+  SELECT o_custkey AS c_custkey,
+         CAST(count(*) FILTER (o_orderdate > TIMESTAMP '{FEATURES_AS_OF}' - INTERVAL 90 DAY) AS INTEGER)
+           AS engagement_90d,
+         CAST(date_diff('day', max(o_orderdate), TIMESTAMP '{FEATURES_AS_OF}') AS INTEGER)
+           AS days_since_last_interaction
+  FROM orders WHERE o_orderstatus = 'F' AND o_orderdate <= TIMESTAMP '{FEATURES_AS_OF}'
+  GROUP BY o_custkey)"""
+LOOKED_UP = """
+looked_up AS (
+  SELECT c_custkey, CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS label,
+         engagement_90d, days_since_last_interaction, c_acctbal
+  FROM customer LEFT JOIN features USING (c_custkey))"""
+
+ORACLES["feature_build"] = with_(FEATURES) + "SELECT * FROM features"
+ORACLES["feature_lookup"] = with_(FEATURES, LOOKED_UP) + "SELECT * FROM looked_up"
+ORACLES["training_set"] = with_(FEATURES, LOOKED_UP) + """
+SELECT label, coalesce(engagement_90d, 0) AS engagement_90d,
+       coalesce(days_since_last_interaction, 0) AS days_since_last_interaction, c_acctbal
+FROM looked_up"""
+ORACLES["publish_features"] = with_(FEATURES) + "SELECT * FROM features"
+
+# --- quality ----------------------------------------------------------------------------------
+
+ORACLES["quality_report"] = with_(
+    MIRROR,
+    """
+checked AS (
+  SELECT 'documents key' AS "check", count(*) FILTER (doc_id IS NULL) = 0 AS passed,
+         count(*) FILTER (doc_id IS NULL) || ' rows with a null key' AS detail FROM documents
+  UNION ALL SELECT 'documents text', count(*) FILTER (length(text) < 20) = 0,
+         count(*) FILTER (length(text) < 20) || ' texts too short' FROM documents
+  UNION ALL SELECT 'documents rows', count(*) >= 100, count(*) || ' rows' FROM documents
+  UNION ALL SELECT 'documents volume', count(*) >= 1000000000000, count(*) || ' rows' FROM documents
+  UNION ALL SELECT 'documents unique key', count(*) = 0, count(*) || ' keys occur more than once'
+  FROM (SELECT doc_id FROM documents WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING count(*) > 1)
+  UNION ALL SELECT 'documents unique text', count(*) = 0, count(*) || ' keys occur more than once'
+  FROM (SELECT text FROM documents WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1)
+  UNION ALL SELECT 'embedding width', count(*) FILTER (len(embedding) <> 64) = 0,
+         count(*) FILTER (len(embedding) <> 64) || ' vectors of another width' FROM embeddings
+  UNION ALL SELECT 'event types', count(*) = 0, 'missing: ' || string_agg(v, ', ' ORDER BY v)
+  FROM (VALUES ('click'), ('refund'), ('view')) e(v) WHERE v NOT IN (SELECT event_type FROM events)
+  UNION ALL SELECT 'languages', count(*) = 0, 'missing: ' || string_agg(v, ', ' ORDER BY v)
+  FROM (VALUES ('de'), ('en'), ('es'), ('fr')) e(v) WHERE v NOT IN (SELECT lang FROM documents)
+  UNION ALL SELECT 'scope isolation', count(*) > 0, count(*) || ' rows, 0 out of scope'
+  FROM events WHERE user_id % 12 = 3
+  UNION ALL SELECT 'empty scope', FALSE, '0 rows, 0 out of scope'
+  UNION ALL SELECT 'mirror orders', s.n = m.n,
+         CASE WHEN s.n = m.n THEN 'ok' ELSE 'mismatch' END || ' source=' || s.n || ' mirror=' || m.n
+  FROM (SELECT count(*) AS n FROM orders) s, (SELECT count(*) AS n FROM mirror) m)""",
+) + """
+SELECT "check", CASE WHEN passed THEN 'pass' ELSE 'fail' END AS status,
+       CASE WHEN passed AND "check" NOT LIKE 'mirror %' THEN 'ok' ELSE detail END AS detail
+FROM checked"""
+
+COUNTS = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, TRUE AS present, count(*) AS n_rows FROM {t}"
+    for t in ("customer", "documents", "embeddings", "events", "orders")
+) + " UNION ALL SELECT 'ledger', FALSE, NULL"
+ORACLES["table_counts"] = COUNTS
+ORACLES["missing_tables"] = f"SELECT table_name FROM ({COUNTS}) WHERE NOT present"

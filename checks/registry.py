@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import adapters
-from checks.adapters import AS_OF, GENERIC_TOPICS, HIGH_STAKES
+from checks.adapters import AS_OF, FEATURES_AS_OF, GENERIC_TOPICS, HIGH_STAKES
 from recollect.functions.keys import top_k
 from recollect.operators import consolidate as con
+from recollect.operators import features as feat
 from recollect.operators import memory as mem
-from recollect.operators import search
+from recollect.operators import quality, search, sync
 from recollect.operators import upsert as up
 from recollect.plans import dream as job
-from recollect.session import materialise
+from recollect.session import materialise, scratch_path
+from recollect.sources.sinks import write_version
 from recollect.sources.tables import read_table, run_sql
+from recollect.streaming import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -409,7 +412,7 @@ def keyword_match(spark, sf_dir):
 
 @query
 def keyword_phrase(spark, sf_dir):
-    found = search.keyword_match(adapters.corpus(spark, sf_dir), '"on the tion" -ndble')
+    found = search.keyword_match(adapters.corpus(spark, sf_dir), '"thanedble the onbleea" or "in onbleea" -ndble')
     return found.select("content_id", F.col("n_terms").cast("bigint").alias("n_terms"))
 
 
@@ -502,3 +505,250 @@ def embed_corpus(spark, sf_dir):
 def embed_corpus_hashed(spark, sf_dir):
     rows = adapters.corpus(spark, sf_dir).drop("embedding")
     return search.embed_corpus(rows, 64).select("content_id", "embedding")
+
+
+# --- sync -------------------------------------------------------------------------------------
+
+ORDER = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+
+
+def _orders(spark, sf_dir) -> DataFrame:
+    return read_table(spark, "orders", sf_dir)
+
+
+def _mirror(orders: DataFrame) -> DataFrame:
+    """A mirror that missed the latest orders, was edited locally, and kept rows deleted since."""
+    kept = orders.where(F.col("o_orderdate") < ntz("2001-06-01 00:00:00"))
+    edited = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 450000)
+    kept = up.update_where(
+        kept, edited, {"o_totalprice": F.lit(1.0), "o_orderstatus": F.lit(None).cast("string")}
+    )
+    gone = orders.where(F.col("o_orderdate") < ntz("1995-02-01 00:00:00"))
+    return kept.unionByName(gone.withColumn("o_orderkey", -1 - F.col("o_orderkey")))
+
+
+@query
+def snapshot_sync(spark, sf_dir):
+    orders = _orders(spark, sf_dir)
+    source = orders.where(F.col("o_orderstatus") != "P").select(*ORDER)
+    mirror = sync.sync(source, _mirror(orders).select(*ORDER), "snapshot")
+    return write_version(mirror, scratch_path(spark, "mirror"), 1)
+
+
+@query
+def snapshot_diff(spark, sf_dir):
+    orders = _orders(spark, sf_dir)
+    return sync.diff_changes(_mirror(orders).select(*ORDER), orders.select(*ORDER), ["o_orderkey"], 7)
+
+
+def _feed(orders: DataFrame) -> DataFrame:
+    """Three commits per order: all inserted, finished ones re-priced, pending ones deleted."""
+
+    def commit(change: str, version: int, price: F.Column) -> F.Column:
+        return F.struct(
+            F.lit(change).alias("_change_type"),
+            F.lit(version).cast("bigint").alias("_commit_version"),
+            price.alias("_price"),
+        )
+
+    price = F.col("o_totalprice")
+    higher = price + F.lit(1000.0)
+    status = F.col("o_orderstatus")
+    commits = F.array(
+        commit("insert", 1, price),
+        F.when(status == "F", commit("update_preimage", 2, price)),
+        F.when(status == "F", commit("update_postimage", 2, higher)),
+        F.when(status == "P", commit("delete", 3, price)),
+    )
+    rows = orders.withColumn("_c", F.explode(F.filter(commits, lambda c: c.isNotNull())))
+    return rows.select(
+        *[F.col("_c._price").alias(c) if c == "o_totalprice" else c for c in ORDER],
+        F.col("_c._change_type").alias("_change_type"),
+        F.col("_c._commit_version").alias("_commit_version"),
+    )
+
+
+@query
+def apply_changes(spark, sf_dir):
+    orders = _orders(spark, sf_dir)
+    return sync.sync(orders, _mirror(orders).select(*ORDER), "triggered", ["o_orderkey"], _feed(orders))
+
+
+@query
+def diff_then_apply(spark, sf_dir):
+    orders = _orders(spark, sf_dir).select(*ORDER)
+    mirror = _mirror(_orders(spark, sf_dir)).select(*ORDER)
+    changes = sync.diff_changes(mirror, orders, ["o_orderkey"], 1)
+    return sync.apply_changes(mirror, changes, ["o_orderkey"])
+
+
+@query
+def stream_sync(spark, sf_dir):
+    orders = _orders(spark, sf_dir)
+    changes = _feed(feeds.stream_table(spark, sf_dir, orders.schema, "orders.parquet"))
+    sink, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "checkpoint")
+    feeds.sync_stream(changes, sink, checkpoint, ["o_orderkey"]).awaitTermination()
+    base = _mirror(orders).select(*ORDER)
+    return feeds.read_mirror(base, sink, changes.schema, ["o_orderkey"])
+
+
+@query
+def stream_ingest(spark, sf_dir):
+    events = read_table(spark, "events", sf_dir)
+    incoming = feeds.stream_table(spark, sf_dir, events.schema, "events.parquet")
+    sink = scratch_path(spark, "turns")
+    for run in ("first", "replay"):
+        checkpoint = scratch_path(spark, "checkpoint")
+        feeds.ingest_stream(
+            incoming, sink, checkpoint, [F.col("ts").asc()], key="event_id", run=run
+        ).awaitTermination()
+    stored = feeds.read_batches(spark, sink, events.schema)
+    return stored.select("event_id", "user_id", "event_type", feeds.RUN)
+
+
+@query
+def reconcile_counts(spark, sf_dir):
+    orders = _orders(spark, sf_dir)
+    customer = read_table(spark, "customer", sf_dir)
+    return sync.reconcile_counts(
+        {
+            "orders": (orders, _mirror(orders)),
+            "customer": (customer, customer),
+            "supplier": (read_table(spark, "supplier", sf_dir), None),
+        }
+    )
+
+
+@query
+def reconcile_rows(spark, sf_dir):
+    orders = _orders(spark, sf_dir)
+    return sync.reconcile_rows(orders, _mirror(orders), ["o_orderkey"])
+
+
+@query
+def drifted_keys(spark, sf_dir):
+    orders = _orders(spark, sf_dir)
+    compared = sync.compare_rows(orders, _mirror(orders), ["o_orderkey"])
+    return compared.where(F.col("status") != "ok")
+
+
+# --- features ---------------------------------------------------------------------------------
+
+LOOKUPS = [
+    feat.FeatureLookup(
+        "customer_features", "c_custkey", ["engagement_90d", "days_since_last_interaction"]
+    ),
+    feat.FeatureLookup("customer_balance", "c_custkey", ["c_acctbal"]),
+]
+
+
+def _features(spark, sf_dir) -> DataFrame:
+    orders = _orders(spark, sf_dir).withColumnRenamed("o_custkey", "c_custkey")
+    finished = orders.where(F.col("o_orderstatus") == "F")
+    return feat.build_features(finished, "c_custkey", "o_orderdate", FEATURES_AS_OF)
+
+
+def _published(spark, sf_dir) -> dict[str, DataFrame]:
+    customer = read_table(spark, "customer", sf_dir)
+    return {"customer_features": _features(spark, sf_dir), "customer_balance": customer}
+
+
+def _labels(spark, sf_dir) -> DataFrame:
+    return read_table(spark, "customer", sf_dir).select(
+        "c_custkey", (F.col("c_mktsegment") == "BUILDING").cast("int").alias("label")
+    )
+
+
+@query
+def feature_build(spark, sf_dir):
+    return _features(spark, sf_dir).drop("computed_at")
+
+
+@query
+def feature_lookup(spark, sf_dir):
+    return feat.lookup(_labels(spark, sf_dir), LOOKUPS, _published(spark, sf_dir))
+
+
+@query
+def training_set(spark, sf_dir):
+    return feat.training_set(
+        _labels(spark, sf_dir), LOOKUPS, _published(spark, sf_dir), exclude=["c_custkey"]
+    )
+
+
+@query
+def batch_score(spark, sf_dir):
+    published = _published(spark, sf_dir)
+    rows = feat.training_set(_labels(spark, sf_dir), LOOKUPS, published, exclude=["c_custkey"])
+    names = [n for spec in LOOKUPS for n in spec.feature_names]
+    model = feat.train(rows, names)
+    keys = read_table(spark, "customer", sf_dir).select("c_custkey")
+    return feat.score(keys, LOOKUPS, published, model)
+
+
+@query
+def publish_features(spark, sf_dir):
+    source = _features(spark, sf_dir)
+    recent = F.col("engagement_90d") > 0
+    online = source.where(F.col("days_since_last_interaction") < 600).withColumn(
+        "engagement_90d", F.when(recent, F.lit(0)).otherwise(F.col("engagement_90d"))
+    )
+    stale = source.where(~recent).withColumn("c_custkey", -1 - F.col("c_custkey"))
+    published = feat.publish(source, online.unionByName(stale), "c_custkey", "triggered")
+    return published.drop("computed_at")
+
+
+# --- quality ----------------------------------------------------------------------------------
+
+EXPECTED_TABLES = ("customer", "documents", "embeddings", "events", "orders", "ledger")
+
+
+def _found(spark, sf_dir) -> dict[str, DataFrame | None]:
+    from pyspark.errors import AnalysisException
+
+    found: dict[str, DataFrame | None] = {}
+    for name in EXPECTED_TABLES:
+        try:
+            found[name] = read_table(spark, name, sf_dir)
+        except AnalysisException:
+            found[name] = None
+    return found
+
+
+@query
+def quality_report(spark, sf_dir):
+    documents = read_table(spark, "documents", sf_dir)
+    embeddings = read_table(spark, "embeddings", sf_dir)
+    events = read_table(spark, "events", sf_dir)
+    return quality.run_checks(
+        [
+            quality.no_null_keys(documents, "doc_id", "documents key"),
+            quality.min_text_length(documents, "text", 20, "documents text"),
+            quality.min_rows(documents, 100, "documents rows"),
+            quality.min_rows(documents, 10**12, "documents volume"),
+            quality.unique_key(documents, ["doc_id"], "documents unique key"),
+            quality.unique_key(documents, ["text"], "documents unique text"),
+            quality.vector_width(embeddings, "embedding", 64, "embedding width"),
+            quality.values_present(events, "event_type", ["click", "refund", "view"], "event types"),
+            quality.values_present(documents, "lang", ["de", "en", "es", "fr"], "languages"),
+            quality.scope_isolation(
+                mem.scoped(adapters.turns(spark, sf_dir), rep="3"), F.col("rep_id") == "3"
+            ),
+            quality.scope_isolation(
+                mem.scoped(adapters.turns(spark, sf_dir), rep="nobody"),
+                F.col("rep_id") == "nobody", "empty scope",
+            ),
+            quality.counts_match({"orders": (_orders(spark, sf_dir), _mirror(_orders(spark, sf_dir)))}),
+        ]
+    )
+
+
+@query
+def missing_tables(spark, sf_dir):
+    counted = quality.table_counts(_found(spark, sf_dir))
+    return counted.where(~F.col("present")).select("table_name")
+
+
+@query
+def table_counts(spark, sf_dir):
+    return quality.table_counts(_found(spark, sf_dir))
