@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from recollect.operators import memory as mem
 from recollect.operators import quality, search, sync
 from recollect.operators import upsert as up
 from recollect.plans import dream as job
-from recollect.session import materialise, scratch_path
+from recollect.session import materialise, scratch_path, ship_package
 from recollect.sources.sinks import write_version
 from recollect.sources.tables import read_table, run_sql
 from recollect.streaming import feeds
@@ -29,8 +31,14 @@ CLAIM = {"topic": "error", "pattern": '%"k": 7}%'}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        ship_package(spark, Path(__file__).resolve().parent)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def stamp(column: str) -> F.Column:

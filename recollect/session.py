@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
+_shipped: set[tuple[str, str]] = set()
 
 
 def local_session(app_name: str, cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -32,6 +35,19 @@ def local_session(app_name: str, cores: str = "*", shuffle_partitions: int = 8)
     return spark
 
 
+def ship_package(spark: SparkSession, package: Path = Path(__file__).resolve().parent) -> None:
+    """Give the Python workers a package folder, by default this one, once per application.
+
+    Not needed where it is installed on every node or passed with `--py-files`.
+    """
+    context = spark.sparkContext
+    known = (context.applicationId, package.name)
+    if known not in _shipped:
+        name = str(Path(tempfile.mkdtemp(prefix="recollect-package-")) / package.name)
+        context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
+        _shipped.add(known)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediates: `spark.checkpoint.dir`.
 
