@@ -32,6 +32,7 @@ SNIPPET_CHARS = 70
 # shuffled against each other instead.
 SHIPPED_QUERIES = 1024
 SHIPPED_VALUES = 4_000_000
+SHIPPED_PAIRS = 500_000
 SLICE_ROWS = 50_000
 
 ID, TEXT, VECTOR = "content_id", "chunk_text", "embedding"
@@ -269,26 +270,36 @@ def keyword_topk_batch(
     A text becomes a candidate of a query only through the query's rarest needed word, so common
     words cost nothing; the whole query is then checked on the candidate. With `tenant`, a column
     of both tables, matches and all statistics stay inside the query's own tenant.
+
+    Only narrow (word, id) rows are ever exploded. Parsed queries, word counts and candidate pairs
+    are written to the shared folder, which also tells their size: small ones are broadcast, so
+    that the corpus is scanned but not shuffled.
     """
     scope = [tenant] if tenant else []
-    texts = _searchable(corpus, where, *scope)
     asked = materialise(_parsed_queries(queries, scope), "queries")
-    bounded = asked.count() <= SHIPPED_QUERIES * 8
-    plan = _candidate_plan(texts, asked, scope, bounded)
-
-    # The empty word stands for queries that need no word at all.
-    keys = F.explode(F.array_union(F.array(F.lit("")), F.col("words"))).alias("key")
-    if bounded:
-        # The queries fit every task: the corpus is read once and not shuffled.
-        candidates = texts.select("*", keys).join(F.broadcast(plan), [*scope, "key"])
-    else:
-        # Meet on the narrow (word, id) pairs first; only real candidates fetch their text again.
-        pairs = texts.select(ID, *scope, keys).join(
-            plan.select("query_id", "alternative", "key", *scope), [*scope, "key"]
-        )
-        candidates = pairs.join(texts.drop(*scope), ID).join(
-            plan.drop("key", *scope), ["query_id", "alternative"]
-        )
+    few_queries = asked.count() <= SHIPPED_QUERIES
+    plan = _candidate_plan(_searchable(corpus, where, *scope), asked, scope, few_queries)
+    plan = materialise(plan, "query-plan")
+
+    def shipped(small: DataFrame, bounded: bool) -> DataFrame:
+        return F.broadcast(small) if bounded else small
+
+    keys = F.explode(_keys()).alias("key")
+    keyed = plan.select("query_id", "alternative", "key", *scope)
+    pairs = (
+        _searchable(corpus, where, *scope)
+        .select(ID, *scope, keys)
+        .join(shipped(keyed, few_queries), [*scope, "key"])
+        .select(ID, "query_id", "alternative")
+    )
+    pairs = materialise(pairs, "candidates")
+    few_pairs = pairs.count() <= SHIPPED_PAIRS
+
+    stored = ["words", "n_terms"] if "words" in corpus.columns else [TEXT]
+    texts = _filtered(corpus, where).select(ID, *stored).join(shipped(pairs, few_pairs), ID)
+    candidates = index_words(texts).join(
+        shipped(plan.drop("key", *scope), few_queries), ["query_id", "alternative"]
+    )
     first = F.array_position(
         F.transform("alternatives", lambda a: txt.alternative_matches(F.col("words"), a)), True
     )
@@ -299,6 +310,11 @@ def keyword_topk_batch(
     return top_k(scored, ["query_id"], order, k, "rank")
 
 
+def _keys() -> Column:
+    """The distinct words of a text, and the empty word: queries that need no word find it there."""
+    return F.array_union(F.array(F.lit("")), F.col("words"))
+
+
 def _parsed_queries(queries: DataFrame, scope: list[str]) -> DataFrame:
     return (
         queries.select("query_id", *scope, txt.parsed(F.col("q")).alias("alternatives"))
@@ -308,33 +324,44 @@ def _parsed_queries(queries: DataFrame, scope: list[str]) -> DataFrame:
 
 
 def _candidate_plan(
-    texts: DataFrame, asked: DataFrame, scope: list[str], bounded: bool
+    texts: DataFrame, asked: DataFrame, scope: list[str], few_queries: bool
 ) -> DataFrame:
-    """One row per alternative of each query: its rarest word, and the weights for scoring."""
-    terms = asked.select(*scope, F.explode("terms").alias("term")).distinct()
-    postings = texts.select(*scope, F.explode(F.array_distinct("words")).alias("term"))
-    counted = F.count(F.lit(1)).alias("df")
-    if bounded:
-        wanted = postings.join(F.broadcast(terms), [*scope, "term"], "left_semi")
-        frequency = wanted.groupBy(*scope, "term").agg(counted)
+    """One row per alternative of each query: its rarest word, and the weights for scoring.
+
+    One pass over the words counts texts per query word and, at the empty word, all texts and
+    their lengths.
+    """
+    wanted = asked.select(*scope, F.explode(F.array_union(F.array(F.lit("")), "terms")).alias("term"))
+    wanted = wanted.distinct()
+    postings = texts.select(*scope, "n_terms", F.explode(_keys()).alias("term"))
+    counts = [
+        F.count(F.lit(1)).alias("df"),
+        F.sum(F.when(F.col("term") == "", F.col("n_terms"))).alias("total_length"),
+    ]
+    by = [*scope, "term"]
+    if few_queries:
+        counted = postings.join(F.broadcast(wanted), by, "left_semi").groupBy(*by).agg(*counts)
     else:
-        frequency = postings.groupBy(*scope, "term").agg(counted)
-    sizes = [F.count(F.lit(1)).alias("texts"), F.avg("n_terms").alias("mean_length")]
+        counted = postings.groupBy(*by).agg(*counts).join(wanted, by, "left_semi")
+    counted = materialise(counted, "word-counts")
+
+    totals = counted.where(F.col("term") == "").select(
+        *scope, F.col("df").alias("texts"),
+        F.try_divide(F.col("total_length"), F.col("df")).alias("mean_length"),
+    )
     if scope:
-        totals = texts.groupBy(*scope).agg(*sizes)
         asked = asked.join(totals, scope)
     else:
-        totals = texts.agg(F.struct(*sizes).alias("t")).scalar()
-        asked = asked.withColumn("_totals", totals).select("*", "_totals.*").drop("_totals")
-    asked = asked.drop("terms").join(
+        both = totals.agg(F.first(F.struct("texts", "mean_length"))).scalar()
+        asked = asked.withColumn("_totals", both).select("*", "_totals.*").drop("_totals")
+        asked = asked.where(F.col("texts").isNotNull())
+    weights = (
         asked.select("query_id", "texts", *scope, F.explode("terms").alias("term"))
-        .join(frequency, [*scope, "term"], "left")
+        .join(counted.drop("total_length"), by, "left")
         .withColumn("df", F.coalesce("df", F.lit(0)))
         .withColumn("weight", txt.idf(F.col("texts"), F.col("df")))
         .groupBy("query_id")
-        .agg(F.sort_array(F.collect_list(F.struct("term", "weight", "df"))).alias("weighted")),
-        "query_id",
-        "left",
+        .agg(F.sort_array(F.collect_list(F.struct("term", "weight", "df"))).alias("weighted"))
     )
     rarest = F.array_min(
         F.transform(
@@ -344,10 +371,12 @@ def _candidate_plan(
     )["term"]
     nothing = F.array().cast("array<struct<term:string,weight:double,df:bigint>>")
     return (
-        asked.withColumn("weighted", F.coalesce("weighted", nothing))
+        asked.drop("terms", "texts")
+        .join(weights, "query_id", "left")
+        .withColumn("weighted", F.coalesce("weighted", nothing))
         .select("*", F.posexplode("alternatives").alias("alternative", "one"))
         .withColumn("key", F.coalesce(rarest, F.lit("")))
-        .drop("one", "texts")
+        .drop("one")
     )
 
 
