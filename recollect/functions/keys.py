@@ -30,6 +30,15 @@ def row_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns])
 
 
+def null_key_salt(keys: Sequence[str], columns: Sequence[str]) -> Column:
+    """A second join key for full outer joins: 0, or a row hash where the key has a NULL.
+
+    Rows with a NULL key match nothing, but Spark would still send all of them to one task, and a
+    full outer join is the one kind that it cannot split at run time.
+    """
+    return F.when(all_present(keys), F.lit(0)).otherwise(F.xxhash64(*[F.col(c) for c in columns]))
+
+
 def top_k(
     df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], k: int, rank: str = "rn"
 ) -> DataFrame:

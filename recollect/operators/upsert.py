@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recollect.functions.keys import all_present, first_per_key
+from recollect.functions.keys import all_present, first_per_key, null_key_salt
 
 
 class Inserted(NamedTuple):
@@ -115,9 +115,13 @@ def upsert(
         batch = _fold_batch(batch.where(all_present(keys)), keys, update_cols, sticky, order_by)
 
     columns = existing.columns + [c for c in batch.columns if c not in existing.columns]
-    old = existing.select("*", F.lit(True).alias("_in_old")).alias("old")
-    new = batch.select("*", F.lit(True).alias("_in_new")).alias("new")
-    on = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
+    old = existing.select(
+        "*", null_key_salt(keys, existing.columns).alias("_salt"), F.lit(True).alias("_in_old")
+    ).alias("old")
+    new = batch.select(
+        "*", null_key_salt(keys, batch.columns).alias("_salt"), F.lit(True).alias("_in_new")
+    ).alias("new")
+    on = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in [*keys, "_salt"]]
     in_old, in_new = _null_safe(F.col("_in_old")), _null_safe(F.col("_in_new"))
 
     def pick(name: str) -> Column:

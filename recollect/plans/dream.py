@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from recollect.functions import scoring
 from recollect.functions.hooks import Generate
-from recollect.functions.keys import business_key
+from recollect.functions.keys import business_key, null_key_salt
 from recollect.operators.consolidate import (
     EXTRACTIVE,
     SCOPE,
@@ -76,8 +76,9 @@ def merge_all(
         DataFrame.unionByName,
         [part(rescored, True, True), part(refreshed, True, False), part(held, False, False)],
     )
-    old = facts.withColumn("_known", F.lit(True)).alias("old")
-    new = batch.alias("new")
+    salt = null_key_salt(["source_key"], columns).alias("_salt")
+    old = facts.select("*", salt, F.lit(True).alias("_known")).alias("old")
+    new = batch.select("*", salt).alias("new")
     known = F.col("_known").isNotNull()
     updates = F.coalesce("_updates", F.lit(False))
     human = F.col("old.status").isin(*STICKY_STATUS)
@@ -91,7 +92,8 @@ def merge_all(
             return F.when(known & ~rescores, before).otherwise(after)
         return F.when(known, before).otherwise(after)
 
-    joined = old.join(new, F.col("old.source_key") == F.col("new.source_key"), "full_outer")
+    on = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in ("source_key", "_salt")]
+    joined = old.join(new, on, "full_outer")
     return joined.select(*[pick(c).alias(c) for c in columns])
 
 
