@@ -560,3 +560,13 @@ COUNTS = " UNION ALL ".join(
 ) + " UNION ALL SELECT 'ledger', FALSE, NULL"
 ORACLES["table_counts"] = COUNTS
 ORACLES["missing_tables"] = f"SELECT table_name FROM ({COUNTS}) WHERE NOT present"
+ORACLES["present_targets"] = f"SELECT table_name FROM ({COUNTS}) WHERE present AND n_rows > 0"
+ORACLES["scan_filter_limit"] = """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O' ORDER BY o_orderkey LIMIT 30"""
+ORACLES["ingest_conversations"] = """
+SELECT CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) AS ext_id,
+       CAST(conv_id AS VARCHAR) AS session_id, CAST(turn AS INTEGER) AS turn_index, role,
+       CAST(length(text) AS INTEGER) AS n_chars
+FROM conversations"""
+ORACLES["stream_publish"] = "SELECT c_custkey, c_acctbal, c_mktsegment FROM customer"

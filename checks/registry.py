@@ -6,11 +6,13 @@ from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import adapters
 from checks.adapters import AS_OF, FEATURES_AS_OF, GENERIC_TOPICS, HIGH_STAKES
+from recollect.functions import english
 from recollect.functions.keys import top_k
 from recollect.operators import consolidate as con
 from recollect.operators import features as feat
@@ -18,9 +20,10 @@ from recollect.operators import memory as mem
 from recollect.operators import quality, search, sync
 from recollect.operators import upsert as up
 from recollect.plans import dream as job
+from recollect.plans.publish import publish_stream
 from recollect.session import materialise, scratch_path, ship_package
 from recollect.sources.sinks import write_version
-from recollect.sources.tables import read_table, run_sql
+from recollect.sources.tables import read_table, run_sql, scan
 from recollect.streaming import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +72,16 @@ def scan_scoped_turns(spark, sf_dir):
     return turns.select("ext_id", "rep_id", "hcp_id", "topic", stamp("created_at"))
 
 
+@query
+def scan_filter_limit(spark, sf_dir):
+    """The first 30 urgent open orders by key: filter and columns reach the scan."""
+    wanted = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "O")
+    return scan(
+        read_table(spark, "orders", sf_dir), wanted,
+        ["o_orderkey", "o_custkey", "o_totalprice"], [F.col("o_orderkey")], 30,
+    )
+
+
 @query
 def sql_named_parameters(spark, sf_dir):
     return run_sql(
@@ -143,6 +156,20 @@ def insert_if_absent(spark, sf_dir):
     ).select("ext_id", "content")
 
 
+@query
+def ingest_conversations(spark, sf_dir):
+    """Conversation rows as turns, loaded twice on top of the user turns that are stored already."""
+    talk = read_table(spark, "conversations", sf_dir).select(
+        F.concat(F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string")).alias("ext_id"),
+        F.col("conv_id").cast("string").alias("session_id"),
+        F.col("turn").cast("int").alias("turn_index"),
+        "role",
+        F.length("text").alias("n_chars"),
+    )
+    first = mem.ingest_turns(talk.where(F.col("role") == "user"), talk, [F.col("turn_index").asc()])
+    return mem.ingest_turns(first, talk, [F.col("turn_index").asc()])
+
+
 @query
 def additive_columns(spark, sf_dir):
     orders = read_table(spark, "orders", sf_dir)
@@ -430,6 +457,15 @@ def bm25_topk(spark, sf_dir):
     return _ranked(found, "score")
 
 
+@query
+def bm25_topk_stemmed(spark, sf_dir):
+    """Inflected forms match each other: the same search on stems."""
+    found = search.keyword_topk(
+        adapters.corpus(spark, sf_dir), "tions", where=_english(), stem=english.stem
+    )
+    return _ranked(found, "score")
+
+
 @query
 def hybrid_rrf(spark, sf_dir):
     found = search.hybrid(adapters.corpus(spark, sf_dir), WORDS, _vector(spark, sf_dir), k=10)
@@ -600,6 +636,23 @@ def stream_sync(spark, sf_dir):
     return feeds.read_mirror(base, sink, changes.schema, ["o_orderkey"])
 
 
+@query
+def stream_publish(spark, sf_dir):
+    """Balances published from a change feed on top of an online table that is behind."""
+    columns = ["c_custkey", "c_acctbal", "c_mktsegment"]
+    source = read_table(spark, "customer", sf_dir).select(*columns)
+    schema = read_table(spark, "customer", sf_dir).schema
+    changes = feeds.stream_table(spark, sf_dir, schema, "customer.parquet").select(
+        *columns,
+        F.lit("update_postimage").alias("_change_type"),
+        F.lit(1).cast("bigint").alias("_commit_version"),
+    )
+    sink, checkpoint = scratch_path(spark, "published"), scratch_path(spark, "checkpoint")
+    publish_stream(source, changes, sink, checkpoint, "c_custkey").awaitTermination()
+    behind = source.where(F.col("c_mktsegment") != "BUILDING").withColumn("c_acctbal", F.lit(0.0))
+    return feeds.read_mirror(behind, sink, changes.schema, ["c_custkey"])
+
+
 @query
 def stream_ingest(spark, sf_dir):
     events = read_table(spark, "events", sf_dir)
@@ -712,8 +765,6 @@ EXPECTED_TABLES = ("customer", "documents", "embeddings", "events", "orders", "l
 
 
 def _found(spark, sf_dir) -> dict[str, DataFrame | None]:
-    from pyspark.errors import AnalysisException
-
     found: dict[str, DataFrame | None] = {}
     for name in EXPECTED_TABLES:
         try:
@@ -751,6 +802,13 @@ def quality_report(spark, sf_dir):
     )
 
 
+@query
+def present_targets(spark, sf_dir):
+    counted = quality.table_counts(_found(spark, sf_dir))
+    found = counted.where(F.col("present") & (F.col("n_rows") > 0))
+    return sync.present_targets(spark, EXPECTED_TABLES, found)
+
+
 @query
 def missing_tables(spark, sf_dir):
     counted = quality.table_counts(_found(spark, sf_dir))

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+Stem = Callable[[str], str]
+
 # The usual English stop words of full-text search.
 STOP_WORDS = tuple(
     """
@@ -53,14 +57,35 @@ def without_stop_words(words_col: str) -> Column:
     return F.expr(f"filter({words_col}, w -> w NOT IN ({listed}))")
 
 
+def stemmed(word_list: Column, stem: Stem) -> Column:
+    """The word list with every word but the stop words replaced by its stem.
+
+    The stemmer runs once per distinct word of an Arrow batch.
+    """
+
+    @F.arrow_udf("array<string>")
+    def call(lists: pa.Array) -> pa.Array:
+        coded = lists.flatten().dictionary_encode()
+        known = [w if w in STOP_WORDS else stem(w) for w in coded.dictionary.to_pylist()]
+        values = pa.array(known, type=pa.string()).take(coded.indices)
+        starts = pc.subtract(lists.offsets, lists.offsets[0])
+        return pa.ListArray.from_arrays(starts, values, mask=lists.is_null())
+
+    return call(word_list)
+
+
 def _split_words(text: str) -> list[str]:
     """The words of a query, separated as `NOT_A_WORD` does: letters, marks and digits stay."""
     kept = (c if unicodedata.category(c)[0] in "LMN" else " " for c in text.lower())
     return "".join(kept).split()
 
 
-def parse_query(text: str) -> list[dict[str, Any]]:
-    """A web-style query: all words required, `-word` excluded, `"a b"` a phrase, `or` alternatives."""
+def parse_query(text: str, stem: Stem | None = None) -> list[dict[str, Any]]:
+    """A web-style query: all words required, `-word` excluded, `"a b"` a phrase, `or` alternatives.
+
+    Give the `stem` that the corpus was indexed with.
+    """
+    stem = stem or str
     alternatives: list[dict[str, Any]] = []
     current = {"needed": [], "banned": [], "phrases": [], "banned_phrases": []}
     for piece in [*re.findall(r'-?"[^"]*"?|[^\s"]+', text), "or"]:
@@ -71,7 +96,7 @@ def parse_query(text: str) -> list[dict[str, Any]]:
             continue
         negative = piece.startswith("-")
         found = _split_words(piece)
-        kept = [(w, i) for i, w in enumerate(found) if w not in STOP_WORDS]
+        kept = [(stem(w), i) for i, w in enumerate(found) if w not in STOP_WORDS]
         if '"' in piece and len(kept) > 1:
             phrase = [(w, i - kept[0][1]) for w, i in kept]
             current["banned_phrases" if negative else "phrases"].append(phrase)
@@ -86,13 +111,13 @@ def _unique(values: list) -> list:
     return list({repr(v): v for v in values}.values())
 
 
-def parsed(query: Column) -> Column:
+def parsed(query: Column, stem: Stem | None = None) -> Column:
     """`parse_query` of each row of a table of queries."""
 
     @F.pandas_udf(ALTERNATIVES)
     def parse(texts: pd.Series) -> pd.Series:
         def rows(text: str | None) -> list[dict[str, Any]]:
-            found = parse_query(text or "")
+            found = parse_query(text or "", stem)
             for alternative in found:
                 for name in ("phrases", "banned_phrases"):
                     alternative[name] = [

@@ -20,6 +20,7 @@ from recollect.functions import text as txt
 from recollect.functions.hooks import Embed, embedded, hashed_embedding
 from recollect.functions.keys import top_k
 from recollect.functions.scoring import RRF_CONSTANT, reciprocal_rank
+from recollect.functions.text import Stem
 from recollect.functions.vectors import Queries, nearest_in
 from recollect.session import materialise
 
@@ -59,23 +60,28 @@ def embed_corpus(
     return hashed_embedding(listed, "_terms", out, dim).drop("_words", "_terms")
 
 
-def index_words(corpus: DataFrame, text_col: str = TEXT) -> DataFrame:
+def index_words(corpus: DataFrame, text_col: str = TEXT, stem: Stem | None = None) -> DataFrame:
     """Add the word list and length that keyword search needs.
 
     Write the result once and search that: the text is then not split again per search. Without it
-    the search functions do the same on the fly.
+    the search functions do the same on the fly. With a `stem`, such as `functions.english.stem`,
+    inflected forms of a word match each other; searches must then be given the same one.
     """
     if "words" in corpus.columns:
         return corpus
     # The one-element explode keeps Spark from copying the split into every later filter on it.
     listed = corpus.select("*", F.explode(F.array(txt.words(F.col(text_col)))).alias("words"))
-    return listed.withColumn("n_terms", F.size(txt.without_stop_words("words")))
+    listed = listed.withColumn("n_terms", F.size(txt.without_stop_words("words")))
+    return listed if stem is None else listed.withColumn("words", txt.stemmed(F.col("words"), stem))
 
 
-def _searchable(corpus: DataFrame, where: Column | None, *extra: str) -> DataFrame:
+def _searchable(
+    corpus: DataFrame, where: Column | None, stem: Stem | None, *extra: str
+) -> DataFrame:
     rows = _filtered(corpus, where)
     if "words" not in rows.columns:
-        rows = index_words(rows.where(F.col(TEXT).isNotNull()).select(ID, TEXT, *extra))
+        rows = rows.where(F.col(TEXT).isNotNull()).select(ID, TEXT, *extra)
+        rows = index_words(rows, stem=stem)
     return rows.where(F.col("words").isNotNull()).select(ID, "words", "n_terms", *extra)
 
 
@@ -194,24 +200,28 @@ def _nearest_by_blocks(
 # --- keyword leg ------------------------------------------------------------------------------
 
 
-def _matching(corpus: DataFrame, alternatives: list, where: Column | None) -> DataFrame:
+def _matching(
+    corpus: DataFrame, alternatives: list, where: Column | None, stem: Stem | None
+) -> DataFrame:
     if not alternatives:
-        return _searchable(corpus, where).where(F.lit(False))
-    if "words" not in corpus.columns:
+        return _searchable(corpus, where, stem).where(F.lit(False))
+    if "words" not in corpus.columns and stem is None:
         # Split only the texts that contain the words somewhere.
         corpus = _filtered(corpus, where).where(txt.may_match(F.col(TEXT), alternatives))
         where = None
-    return _searchable(corpus, where).where(
+    return _searchable(corpus, where, stem).where(
         txt.query_matches(F.col("words"), txt.literal_alternatives(alternatives))
     )
 
 
-def keyword_match(corpus: DataFrame, query: str, where: Column | None = None) -> DataFrame:
+def keyword_match(
+    corpus: DataFrame, query: str, where: Column | None = None, stem: Stem | None = None
+) -> DataFrame:
     """`(content_id, n_terms)` of the rows that match a web-style query.
 
     See `functions.text.parse_query` for the syntax.
     """
-    return _matching(corpus, txt.parse_query(query), where).select(ID, "n_terms")
+    return _matching(corpus, txt.parse_query(query, stem), where, stem).select(ID, "n_terms")
 
 
 def _ranked_by_score(scored: DataFrame, k: int) -> DataFrame:
@@ -221,16 +231,20 @@ def _ranked_by_score(scored: DataFrame, k: int) -> DataFrame:
 
 
 def keyword_topk(
-    corpus: DataFrame, query: str, k: int = LEG_K, where: Column | None = None
+    corpus: DataFrame,
+    query: str,
+    k: int = LEG_K,
+    where: Column | None = None,
+    stem: Stem | None = None,
 ) -> DataFrame:
     """`(content_id, score, rank)` of the `k` matching rows with the highest BM25 score.
 
     Document count, frequencies and mean length are those of the filtered corpus: one aggregate
     row, read by the scoring pass as a scalar subquery.
     """
-    rows = _searchable(corpus, where)
-    alternatives = txt.parse_query(query)
-    hits = _matching(corpus, alternatives, where)
+    rows = _searchable(corpus, where, stem)
+    alternatives = txt.parse_query(query, stem)
+    hits = _matching(corpus, alternatives, where, stem)
     scored_terms = sorted({word for a in alternatives for word in a["needed"]})
     if not scored_terms:
         return _ranked_by_score(hits.select(ID, F.lit(0.0).alias("score")), k)
@@ -264,6 +278,7 @@ def keyword_topk_batch(
     k: int = LEG_K,
     where: Column | None = None,
     tenant: str | None = None,
+    stem: Stem | None = None,
 ) -> DataFrame:
     """`(query_id, content_id, score, rank)` for a table of queries (query_id, q); exact.
 
@@ -276,10 +291,10 @@ def keyword_topk_batch(
     that the corpus is scanned but not shuffled.
     """
     scope = [tenant] if tenant else []
-    asked = materialise(_parsed_queries(queries, scope), "queries")
+    asked = materialise(_parsed_queries(queries, scope, stem), "queries")
     few_queries = asked.count() <= SHIPPED_QUERIES
-    plan = _candidate_plan(_searchable(corpus, where, *scope), asked, scope, few_queries)
-    plan = materialise(plan, "query-plan")
+    searchable = _searchable(corpus, where, stem, *scope)
+    plan = materialise(_candidate_plan(searchable, asked, scope, few_queries), "query-plan")
 
     def shipped(small: DataFrame, bounded: bool) -> DataFrame:
         return F.broadcast(small) if bounded else small
@@ -287,8 +302,7 @@ def keyword_topk_batch(
     keys = F.explode(_keys()).alias("key")
     keyed = plan.select("query_id", "alternative", "key", *scope)
     pairs = (
-        _searchable(corpus, where, *scope)
-        .select(ID, *scope, keys)
+        searchable.select(ID, *scope, keys)
         .join(shipped(keyed, few_queries), [*scope, "key"])
         .select(ID, "query_id", "alternative")
     )
@@ -297,7 +311,7 @@ def keyword_topk_batch(
 
     stored = ["words", "n_terms"] if "words" in corpus.columns else [TEXT]
     texts = _filtered(corpus, where).select(ID, *stored).join(shipped(pairs, few_pairs), ID)
-    candidates = index_words(texts).join(
+    candidates = index_words(texts, stem=stem).join(
         shipped(plan.drop("key", *scope), few_queries), ["query_id", "alternative"]
     )
     first = F.array_position(
@@ -315,9 +329,9 @@ def _keys() -> Column:
     return F.array_union(F.array(F.lit("")), F.col("words"))
 
 
-def _parsed_queries(queries: DataFrame, scope: list[str]) -> DataFrame:
+def _parsed_queries(queries: DataFrame, scope: list[str], stem: Stem | None) -> DataFrame:
     return (
-        queries.select("query_id", *scope, txt.parsed(F.col("q")).alias("alternatives"))
+        queries.select("query_id", *scope, txt.parsed(F.col("q"), stem).alias("alternatives"))
         .withColumn("terms", txt.query_terms(F.col("alternatives")))
         .where(F.size("alternatives") > 0)
     )
@@ -410,13 +424,15 @@ def hybrid(
     k: int = RESULT_K,
     leg_k: int = LEG_K,
     where: Column | None = None,
+    stem: Stem | None = None,
 ) -> DataFrame:
     """The `k` best rows of both legs fused, with document type and snippet.
 
     `where` is the tenant filter; it is applied inside both legs.
     """
     fused = fuse(
-        vector_topk(corpus, vector, leg_k, where), keyword_topk(corpus, query, leg_k, where)
+        vector_topk(corpus, vector, leg_k, where),
+        keyword_topk(corpus, query, leg_k, where, stem),
     )
     order = [F.col("rrf").desc(), F.col(ID).asc()]
     best = fused.orderBy(*order).limit(k)
@@ -431,11 +447,12 @@ def hybrid_batch(
     leg_k: int = LEG_K,
     where: Column | None = None,
     tenant: str | None = None,
+    stem: Stem | None = None,
 ) -> DataFrame:
     """`hybrid` for a table of queries (query_id, q, qvec), ranked by `rn` within each query."""
     fused = fuse(
         vector_topk_batch(corpus, queries, leg_k, where, tenant),
-        keyword_topk_batch(corpus, queries, leg_k, where, tenant),
+        keyword_topk_batch(corpus, queries, leg_k, where, tenant, stem),
         ["query_id"],
     )
     best = top_k(fused, ["query_id"], [F.col("rrf").desc(), F.col(ID).asc()], k)

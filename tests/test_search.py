@@ -10,6 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from recollect.functions import text as txt
+from recollect.functions.english import stem
 from recollect.operators import quality, search
 
 CORPUS = (
@@ -271,3 +272,36 @@ def test_embedding_in_place_and_width_check(spark, corpus):
     ).collect()
     assert {r["w"] for r in norms} == {16}
     assert all(r["n"] == pytest.approx(1, abs=1e-5) or r["n"] == 0 for r in norms)
+
+
+STEMS = """
+consignment consign consistency consist consolatory consolatori consolidating consolid
+conspicuously conspicu conspirators conspir constables constabl knackeries knackeri knavish knavish
+kneaded knead knocker knocker communication communic generally general hopping hop hoping hope
+falling fall luxuriate luxuri ties tie cries cri by by relational relat valency valenc
+digitizer digit hopefulness hope sensitivity sensit happy happi dying die sky sky inning inning
+""".split()
+
+
+def test_stems_are_the_published_ones():
+    assert [stem(w) for w in STEMS[::2]] == STEMS[1::2]
+
+
+def test_stemmed_search_matches_inflected_forms(spark):
+    texts = ["the dose is stored cold", "storing doses", "a store", "storage", None, ""]
+    corpus = spark.createDataFrame(
+        [(i, "A", t) for i, t in enumerate(texts)], "content_id int, brand string, chunk_text string"
+    )
+    indexed = search.index_words(corpus, stem=stem)
+    for rows_ in (corpus, indexed):
+        found = search.keyword_match(rows_, "stores", stem=stem).collect()
+        assert {r["content_id"] for r in found} == {0, 1, 2}
+        phrase = search.keyword_match(rows_, '"dose is storing" or "store dose"', stem=stem).collect()
+        assert {r["content_id"] for r in phrase} == {0, 1}
+    single = search.keyword_topk(indexed, "dose store", stem=stem).orderBy("rank").collect()
+    asked = spark.createDataFrame([(1, "dose store")], "query_id int, q string")
+    for rows_ in (corpus, indexed):
+        batch = search.keyword_topk_batch(rows_, asked, stem=stem).orderBy("rank").collect()
+        assert [(r["content_id"], r["score"]) for r in batch] == [
+            (r["content_id"], r["score"]) for r in single
+        ]
