@@ -37,7 +37,7 @@ class _Best:
         self.ids = np.empty(0, dtype=object)
         self.worst = np.full(size, np.inf)
 
-    def add(self, distance: np.ndarray, allowed: np.ndarray | None, ids: np.ndarray) -> None:
+    def add(self, distance: np.ndarray, allowed: np.ndarray | None, ids: pa.Array) -> None:
         size, n = distance.shape
         keep = distance <= self.worst[:, None]
         if n > self.k:
@@ -45,9 +45,12 @@ class _Best:
         if allowed is not None:
             keep &= allowed
         query, position = np.nonzero(keep)
+        if not len(query):
+            return
+        kept = np.array(ids.take(pa.array(position)).to_pylist(), dtype=object)
         query = np.concatenate([self.query, query])
         distance = np.concatenate([self.distance, distance[keep]])
-        ids = np.concatenate([self.ids, ids[position]])
+        ids = np.concatenate([self.ids, kept])
         order = np.lexsort((pd.factorize(ids, sort=True)[0], distance, query))
         query, distance, ids = query[order], distance[order], ids[order]
         starts = np.searchsorted(query, np.arange(size))
@@ -86,17 +89,17 @@ def nearest_in(batches: Iterator[pa.RecordBatch], queries: Queries, k: int) -> I
         if not batch.num_rows:
             continue
         id_type = batch.column("id").type
-        ids = np.array(batch.column("id").to_pylist(), dtype=object)
         stored = _unit(_matrix(batch.column("vector"), width))
+        if queries.tenants is not None:
+            tenants = np.array(batch.column("tenant").to_pylist(), dtype=object)
         for block, state in zip(blocks, best, strict=True):
             distance = np.round(1.0 - wanted[block] @ stored.T, RANK_DECIMALS)
             distance[np.isnan(distance)] = np.inf
             allowed = None
             if queries.tenants is not None:
-                tenants = np.array(batch.column("tenant").to_pylist(), dtype=object)
                 allowed = queries.tenants[block][:, None] == tenants[None, :]
                 distance[~allowed] = np.inf
-            state.add(distance, allowed, ids)
+            state.add(distance, allowed, batch.column("id"))
     for block, state in zip(blocks, best, strict=True):
         if len(state.query):
             undefined = np.isinf(state.distance)

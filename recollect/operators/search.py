@@ -428,16 +428,19 @@ def hybrid(
 ) -> DataFrame:
     """The `k` best rows of both legs fused, with document type and snippet.
 
-    `where` is the tenant filter; it is applied inside both legs.
+    `where` is the tenant filter; it is applied inside both legs. Runs the two legs right away.
     """
     fused = fuse(
         vector_topk(corpus, vector, leg_k, where),
         keyword_topk(corpus, query, leg_k, where, stem),
     )
     order = [F.col("rrf").desc(), F.col(ID).asc()]
-    best = fused.orderBy(*order).limit(k)
-    # `best` has at most k rows.
-    return F.broadcast(best).join(_snippets(corpus, where), ID).orderBy(*order)
+    # At most k rows: fetched here, their ids become a filter that prunes the scan for the texts.
+    best = fused.orderBy(*order).limit(k).collect()
+    ids = [row[ID] for row in best]
+    ranked = corpus.sparkSession.createDataFrame(best, fused.schema)
+    texts = _snippets(corpus.where(F.col(ID).isin(ids)), where)
+    return texts.join(F.broadcast(ranked), ID).orderBy(*order)
 
 
 def hybrid_batch(

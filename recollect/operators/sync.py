@@ -83,7 +83,8 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str] | N
     """
     keys = require_key(keys, "incremental")
     latest = latest_changes(changes, keys)
-    untouched = target.join(latest.select(*keys), keys, "left_anti").select(*target.columns)
+    changed = changes.where(F.col("_change_type") != PREIMAGE).select(*keys).distinct()
+    untouched = target.join(changed, keys, "left_anti").select(*target.columns)
     written = latest.where(F.col("_change_type") != DELETE).drop(*CHANGE_COLUMNS)
     return untouched.unionByName(written, allowMissingColumns=True)
 

@@ -305,3 +305,12 @@ def test_stemmed_search_matches_inflected_forms(spark):
         assert [(r["content_id"], r["score"]) for r in batch] == [
             (r["content_id"], r["score"]) for r in single
         ]
+
+
+def test_the_texts_of_the_result_are_fetched_by_their_ids(spark, corpus, tmp_path):
+    corpus.write.parquet(str(tmp_path / "corpus"))
+    stored = spark.read.parquet(str(tmp_path / "corpus"))
+    found = search.hybrid(stored, "dose liver", [1.0, 0.5, -1.0, 2.0], k=3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(content_id" in plan
+    assert plan.count("FileScan") == 1
