@@ -424,6 +424,7 @@ WHERE regexp_matches(line, ' thanedble [^ ]+ onbleea ')
    OR (list_contains(words, 'onbleea') AND NOT list_contains(words, 'ndble'))"""
 ORACLES["bm25_topk"] = with_(*SEARCH, keyword_leg(["ndble", "tion"], "brand = 'en'")) + """
 SELECT content_id, round(score, 6) AS score, rank FROM t"""
+ORACLES["bm25_topk_indexed"] = ORACLES["bm25_topk"]
 ORACLES["hybrid_rrf"] = with_(*SEARCH, vector_leg(), keyword_leg(["ndble", "tion"])) + FUSED
 ORACLES["hybrid_rrf_filtered"] = with_(
     *SEARCH, vector_leg("brand = 'en'"), keyword_leg(["ndble", "tion"], "brand = 'en'")
@@ -432,6 +433,7 @@ ORACLES["batch_vector"] = with_(*SEARCH, batch_legs(False)) + """
 SELECT query_id, content_id, round(distance, 6) AS distance, rank FROM v"""
 ORACLES["batch_bm25"] = with_(*SEARCH, batch_legs(False)) + """
 SELECT query_id, content_id, round(score, 6) AS score, rank FROM t"""
+ORACLES["batch_bm25_indexed"] = ORACLES["batch_bm25"]
 ORACLES["batch_hybrid"] = with_(*SEARCH, batch_legs(False)) + BATCH_FUSED
 ORACLES["batch_hybrid_per_tenant"] = with_(*SEARCH, batch_legs(True)) + BATCH_FUSED
 ORACLES["embed_corpus"] = """

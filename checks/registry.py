@@ -457,6 +457,16 @@ def bm25_topk(spark, sf_dir):
     return _ranked(found, "score")
 
 
+def _index(spark, sf_dir) -> search.TextIndex:
+    built = search.index_postings(adapters.corpus(spark, sf_dir), ["brand"])
+    return search.write_index(built, scratch_path(spark, "index"), 1)
+
+
+@query
+def bm25_topk_indexed(spark, sf_dir):
+    return _ranked(search.postings_topk(_index(spark, sf_dir), WORDS, where=_english()), "score")
+
+
 @query
 def bm25_topk_stemmed(spark, sf_dir):
     """Inflected forms match each other: the same search on stems."""
@@ -496,6 +506,12 @@ def batch_bm25(spark, sf_dir):
     return _ranked(found, "score")
 
 
+@query
+def batch_bm25_indexed(spark, sf_dir):
+    found = search.postings_topk_batch(_index(spark, sf_dir), adapters.questions(spark, sf_dir))
+    return _ranked(found, "score")
+
+
 @query
 def batch_hybrid(spark, sf_dir):
     found = search.hybrid_batch(

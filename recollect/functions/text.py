@@ -58,7 +58,7 @@ def without_stop_words(words_col: str) -> Column:
 
 
 def stemmed(word_list: Column, stem: Stem) -> Column:
-    """The word list with every word but the stop words replaced by its stem.
+    """The word list with every word replaced by its stem, and stop words by the empty word.
 
     The stemmer runs once per distinct word of an Arrow batch.
     """
@@ -66,7 +66,7 @@ def stemmed(word_list: Column, stem: Stem) -> Column:
     @F.arrow_udf("array<string>")
     def call(lists: pa.Array) -> pa.Array:
         coded = lists.flatten().dictionary_encode()
-        known = [w if w in STOP_WORDS else stem(w) for w in coded.dictionary.to_pylist()]
+        known = ["" if w in STOP_WORDS else stem(w) for w in coded.dictionary.to_pylist()]
         values = pa.array(known, type=pa.string()).take(coded.indices)
         starts = pc.subtract(lists.offsets, lists.offsets[0])
         return pa.ListArray.from_arrays(starts, values, mask=lists.is_null())
@@ -162,30 +162,93 @@ def query_terms(alternatives: Column) -> Column:
     return F.sort_array(F.array_distinct(F.flatten(F.transform(alternatives, lambda a: a["needed"]))))
 
 
-def _has_phrase(word_list: Column, phrase: Column) -> Column:
-    def starts_at(position: Column) -> Column:
-        return F.forall(
-            phrase,
-            lambda p: F.coalesce(
-                F.get(word_list, position + p["step"]) == p["term"], F.lit(False)
-            ),
-        )
+class WordList:
+    """A text as the list of its words."""
 
-    return F.exists(F.sequence(F.lit(0), F.size(word_list)), starts_at)
+    def __init__(self, words_col: Column):
+        self.words = words_col
 
+    def has(self, word: Column) -> Column:
+        return F.array_contains(self.words, word)
 
-def alternative_matches(word_list: Column, alternative: Column) -> Column:
+    def count(self, word: Column) -> Column:
+        return F.size(F.filter(self.words, lambda w: w == word))
+
+    def has_phrase(self, phrase: Column) -> Column:
+        def starts_at(position: Column) -> Column:
+            return F.forall(
+                phrase,
+                lambda p: F.coalesce(
+                    F.get(self.words, position + p["step"]) == p["term"], F.lit(False)
+                ),
+            )
+
+        return F.exists(F.sequence(F.lit(0), F.size(self.words)), starts_at)
+
+
+class WordPositions:
+    """A text as a map from those of its words that matter to their positions."""
+
+    def __init__(self, positions: Column):
+        self.positions = positions
+
+    def at(self, word: Column) -> Column:
+        return F.coalesce(self.positions[word], F.array().cast("array<int>"))
+
+    def has(self, word: Column) -> Column:
+        return F.map_contains_key(self.positions, word)
+
+    def count(self, word: Column) -> Column:
+        return F.size(self.at(word))
+
+    def has_phrase(self, phrase: Column) -> Column:
+        def starts_at(position: Column) -> Column:
+            return F.forall(
+                phrase, lambda p: F.array_contains(self.at(p["term"]), position + p["step"])
+            )
+
+        return F.exists(self.at(phrase[0]["term"]), starts_at)
+
+
+Text = WordList | WordPositions
+
+
+def alternative_matches(text: Text, alternative: Column) -> Column:
     return (
-        F.forall(alternative["needed"], lambda w: F.array_contains(word_list, w))
-        & ~F.exists(alternative["banned"], lambda w: F.array_contains(word_list, w))
-        & F.forall(alternative["phrases"], lambda p: _has_phrase(word_list, p))
-        & ~F.exists(alternative["banned_phrases"], lambda p: _has_phrase(word_list, p))
+        F.forall(alternative["needed"], text.has)
+        & ~F.exists(alternative["banned"], text.has)
+        & F.forall(alternative["phrases"], text.has_phrase)
+        & ~F.exists(alternative["banned_phrases"], text.has_phrase)
     )
 
 
-def query_matches(word_list: Column, alternatives: Column) -> Column:
-    """True where any alternative of the query matches the words of a text."""
-    return F.exists(alternatives, lambda a: alternative_matches(word_list, a))
+def query_matches(text: Text, alternatives: Column) -> Column:
+    """True where any alternative of the query matches the text."""
+    return F.exists(alternatives, lambda a: alternative_matches(text, a))
+
+
+def first_match(text: Text, alternatives: Column) -> Column:
+    """Number of the first alternative that matches, from 0; NULL or -1 where none does."""
+    return F.array_position(F.transform(alternatives, lambda a: alternative_matches(text, a)), True) - 1
+
+
+def all_words(alternatives: Sequence[dict[str, Any]]) -> list[str]:
+    """Every word a parsed query mentions, excluded ones too."""
+    found = set()
+    for a in alternatives:
+        found |= {*a["needed"], *a["banned"]}
+        found |= {w for name in ("phrases", "banned_phrases") for p in a[name] for w, _ in p}
+    return sorted(found)
+
+
+def words_mentioned(alternatives: Column) -> Column:
+    """`all_words` of a column of parsed queries."""
+
+    def mentioned(a: Column) -> Column:
+        phrases = F.flatten(F.concat(a["phrases"], a["banned_phrases"]))
+        return F.concat(a["needed"], a["banned"], F.transform(phrases, lambda p: p["term"]))
+
+    return F.array_distinct(F.flatten(F.transform(alternatives, mentioned)))
 
 
 def may_match(text: Column, alternatives: Sequence[dict[str, Any]]) -> Column:
@@ -209,14 +272,14 @@ def idf(texts: Column, texts_with_term: Column) -> Column:
     )
 
 
-def bm25(word_list: Column, length: Column, mean_length: Column, weighted: Column) -> Column:
+def bm25(text: Text, length: Column, mean_length: Column, weighted: Column) -> Column:
     """BM25 of a text; `weighted` is an array of (term, weight) with the weight an `idf`."""
     spread = F.lit(BM25_K1) * (
         F.lit(1.0 - BM25_B) + F.lit(BM25_B) * F.try_divide(length.cast("double"), mean_length)
     )
 
     def add(total: Column, entry: Column) -> Column:
-        count = F.size(F.filter(word_list, lambda w: w == entry["term"])).cast("double")
+        count = text.count(entry["term"]).cast("double")
         return total + entry["weight"] * count * F.lit(BM25_K1 + 1.0) / (count + spread)
 
     return F.aggregate(weighted, F.lit(0.0), add)

@@ -1,4 +1,4 @@
-"""Hybrid retrieval: exact vector and keyword top-k, reciprocal rank fusion, tenant filters.
+"""Hybrid retrieval: vector and keyword top-k joined by reciprocal rank fusion.
 
 A tenant filter is always applied to the corpus first, before any ranking, so the best hit of
 another tenant can neither appear nor push an own hit out of the list. Ties are broken by id.
@@ -8,393 +8,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
-from recollect.functions import text as txt
-from recollect.functions.hooks import Embed, embedded, hashed_embedding
 from recollect.functions.keys import top_k
 from recollect.functions.scoring import RRF_CONSTANT, reciprocal_rank
 from recollect.functions.text import Stem
-from recollect.functions.vectors import Queries, nearest_in
-from recollect.session import materialise
-
-# Candidates per leg, results, and snippet length.
-LEG_K = 20
-RESULT_K = 5
-SNIPPET_CHARS = 70
-
-# Below these counts a set of queries is shipped to every task; above, queries and corpus are
-# shuffled against each other instead.
-SHIPPED_QUERIES = 1024
-SHIPPED_VALUES = 4_000_000
-SHIPPED_PAIRS = 500_000
-SLICE_ROWS = 50_000
-
-ID, TEXT, VECTOR = "content_id", "chunk_text", "embedding"
-
-
-def _filtered(corpus: DataFrame, where: Column | None) -> DataFrame:
-    return corpus if where is None else corpus.where(where)
-
-
-# --- building the corpus ----------------------------------------------------------------------
-
-
-def embed_corpus(
-    corpus: DataFrame, dim: int, embed: Embed | None = None, text_col: str = TEXT, out: str = VECTOR
-) -> DataFrame:
-    """Attach a vector to the row its text is in, from a model or by feature hashing.
-
-    Check the width with `quality.vector_width` before publishing.
-    """
-    if embed is not None:
-        return corpus.withColumn(out, embedded(F.col(text_col), embed))
-    listed = corpus.withColumn("_words", txt.words(F.coalesce(text_col, F.lit(""))))
-    listed = listed.withColumn("_terms", txt.without_stop_words("_words"))
-    return hashed_embedding(listed, "_terms", out, dim).drop("_words", "_terms")
-
-
-def index_words(corpus: DataFrame, text_col: str = TEXT, stem: Stem | None = None) -> DataFrame:
-    """Add the word list and length that keyword search needs.
-
-    Write the result once and search that: the text is then not split again per search. Without it
-    the search functions do the same on the fly. With a `stem`, such as `functions.english.stem`,
-    inflected forms of a word match each other; searches must then be given the same one.
-    """
-    if "words" in corpus.columns:
-        return corpus
-    # The one-element explode keeps Spark from copying the split into every later filter on it.
-    listed = corpus.select("*", F.explode(F.array(txt.words(F.col(text_col)))).alias("words"))
-    listed = listed.withColumn("n_terms", F.size(txt.without_stop_words("words")))
-    return listed if stem is None else listed.withColumn("words", txt.stemmed(F.col("words"), stem))
-
-
-def _searchable(
-    corpus: DataFrame, where: Column | None, stem: Stem | None, *extra: str
-) -> DataFrame:
-    rows = _filtered(corpus, where)
-    if "words" not in rows.columns:
-        rows = rows.where(F.col(TEXT).isNotNull()).select(ID, TEXT, *extra)
-        rows = index_words(rows, stem=stem)
-    return rows.where(F.col("words").isNotNull()).select(ID, "words", "n_terms", *extra)
-
-
-# --- vector leg -------------------------------------------------------------------------------
-
-
-def _vectors(corpus: DataFrame, tenant: str | None) -> DataFrame:
-    columns = [F.col(ID).alias("id"), F.col(VECTOR).alias("vector")]
-    if tenant:
-        columns.append(F.col(tenant).cast("string").alias("tenant"))
-    return corpus.where(F.col(VECTOR).isNotNull()).select(*columns)
-
-
-def _nearest_schema(corpus: DataFrame, query_type: str) -> str:
-    id_type = corpus.schema[ID].dataType.simpleString()
-    return f"query_id {query_type}, id {id_type}, distance double"
-
-
-def vector_topk(
-    corpus: DataFrame, vector: Sequence[float], k: int = LEG_K, where: Column | None = None
-) -> DataFrame:
-    """`(content_id, distance, rank)` of the `k` rows nearest by cosine distance; exact.
-
-    Every task sends `k` rows to the final sort, whatever it read.
-    """
-    rows = _filtered(corpus, where)
-    queries = Queries(pa.array([0]), np.asarray([vector], dtype=np.float64))
-
-    def scan(batches):
-        return nearest_in(batches, queries, k)
-
-    best = (
-        _vectors(rows, None)
-        .mapInArrow(scan, _nearest_schema(corpus, "bigint"))
-        .orderBy(F.col("distance").asc_nulls_last(), "id")
-        .limit(k)
-    )
-    order = Window.orderBy(F.col("distance").asc_nulls_last(), "id")
-    return best.select(F.col("id").alias(ID), "distance", F.row_number().over(order).alias("rank"))
-
-
-def vector_topk_batch(
-    corpus: DataFrame,
-    queries: DataFrame,
-    k: int = LEG_K,
-    where: Column | None = None,
-    tenant: str | None = None,
-) -> DataFrame:
-    """`(query_id, content_id, distance, rank)` for a table of queries (query_id, qvec); exact.
-
-    With `tenant`, a column of both tables, each query sees its own tenant's rows only. A bounded
-    set of queries is shipped to the tasks, which read the corpus once and shuffle only the best
-    `k` per query and task. A larger set is cut into blocks and met by slices of the corpus.
-    """
-    rows = _vectors(_filtered(corpus, where), tenant)
-    columns = ["query_id", "qvec", *([F.col(tenant).cast("string").alias("tenant")] if tenant else [])]
-    asked = queries.where(F.col("qvec").isNotNull()).select(*columns)
-    schema = _nearest_schema(corpus, queries.schema["query_id"].dataType.simpleString())
-    id_type = to_arrow_type(queries.schema["query_id"].dataType)
-
-    shipped = asked.limit(SHIPPED_QUERIES + 1).collect()
-    if len(shipped) <= SHIPPED_QUERIES and sum(len(r["qvec"]) for r in shipped) <= SHIPPED_VALUES:
-        if not shipped:
-            found = rows.sparkSession.createDataFrame([], schema)
-        else:
-            bounded = Queries(
-                pa.array([r["query_id"] for r in shipped], type=id_type),
-                np.asarray([r["qvec"] for r in shipped], dtype=np.float64),
-                np.array([r["tenant"] for r in shipped], dtype=object) if tenant else None,
-            )
-
-            def scan(batches):
-                return nearest_in(batches, bounded, k)
-
-            found = rows.mapInArrow(scan, schema)
-    else:
-        found = _nearest_by_blocks(rows, asked, schema, id_type, k, tenant)
-    order = [F.col("distance").asc_nulls_last(), F.col("id").asc()]
-    return top_k(found, ["query_id"], order, k, "rank").withColumnRenamed("id", ID)
-
-
-def _nearest_by_blocks(
-    rows: DataFrame, asked: DataFrame, schema: str, id_type: pa.DataType, k: int, tenant: str | None
-) -> DataFrame:
-    """Blocks of queries against slices of the corpus, each pair bounded and in its own task."""
-    blocks = max(1, -(-asked.count() // (SHIPPED_QUERIES // 2)))
-    slices = max(1, -(-rows.count() // SLICE_ROWS))
-    hashed = F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int")
-    stored = rows.withColumn("slice", hashed).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    )
-    hashed = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
-    wanted = asked.withColumn("block", hashed).withColumn(
-        "slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
-    )
-
-    stored_id_type = to_arrow_type(rows.schema["id"].dataType)
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows and right.num_rows:
-            bounded = Queries(
-                right.column("query_id").cast(id_type).combine_chunks(),
-                np.asarray(right.column("qvec").to_pylist(), dtype=np.float64),
-                np.array(right.column("tenant").to_pylist(), dtype=object) if tenant else None,
-            )
-            best = list(nearest_in(iter(left.to_batches()), bounded, k))
-            if best:
-                return pa.Table.from_batches(best)
-        names = {"query_id": id_type, "id": stored_id_type, "distance": pa.float64()}
-        return pa.table({name: pa.array([], type=kind) for name, kind in names.items()})
-
-    by = ["slice", "block"]
-    return stored.groupBy(*by).cogroup(wanted.groupBy(*by)).applyInArrow(meet, schema)
-
-
-# --- keyword leg ------------------------------------------------------------------------------
-
-
-def _matching(
-    corpus: DataFrame, alternatives: list, where: Column | None, stem: Stem | None
-) -> DataFrame:
-    if not alternatives:
-        return _searchable(corpus, where, stem).where(F.lit(False))
-    if "words" not in corpus.columns and stem is None:
-        # Split only the texts that contain the words somewhere.
-        corpus = _filtered(corpus, where).where(txt.may_match(F.col(TEXT), alternatives))
-        where = None
-    return _searchable(corpus, where, stem).where(
-        txt.query_matches(F.col("words"), txt.literal_alternatives(alternatives))
-    )
-
-
-def keyword_match(
-    corpus: DataFrame, query: str, where: Column | None = None, stem: Stem | None = None
-) -> DataFrame:
-    """`(content_id, n_terms)` of the rows that match a web-style query.
-
-    See `functions.text.parse_query` for the syntax.
-    """
-    return _matching(corpus, txt.parse_query(query, stem), where, stem).select(ID, "n_terms")
-
-
-def _ranked_by_score(scored: DataFrame, k: int) -> DataFrame:
-    order = [F.round("score", 9).desc(), F.col(ID).asc()]
-    best = scored.orderBy(*order).limit(k)
-    return best.select(ID, "score", F.row_number().over(Window.orderBy(*order)).alias("rank"))
-
-
-def keyword_topk(
-    corpus: DataFrame,
-    query: str,
-    k: int = LEG_K,
-    where: Column | None = None,
-    stem: Stem | None = None,
-) -> DataFrame:
-    """`(content_id, score, rank)` of the `k` matching rows with the highest BM25 score.
-
-    Document count, frequencies and mean length are those of the filtered corpus: one aggregate
-    row, read by the scoring pass as a scalar subquery.
-    """
-    rows = _searchable(corpus, where, stem)
-    alternatives = txt.parse_query(query, stem)
-    hits = _matching(corpus, alternatives, where, stem)
-    scored_terms = sorted({word for a in alternatives for word in a["needed"]})
-    if not scored_terms:
-        return _ranked_by_score(hits.select(ID, F.lit(0.0).alias("score")), k)
-    frequencies = [
-        F.count_if(F.array_contains("words", term)).alias(f"df{i}")
-        for i, term in enumerate(scored_terms)
-    ]
-    stats = rows.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("texts"), F.avg("n_terms").alias("mean_length"), *frequencies
-        ).alias("stats")
-    ).scalar()
-    weighted = F.array(
-        *[
-            F.struct(
-                F.lit(term).alias("term"),
-                txt.idf(F.col("_stats.texts"), F.col(f"_stats.df{i}")).alias("weight"),
-            )
-            for i, term in enumerate(scored_terms)
-        ]
-    )
-    score = txt.bm25(F.col("words"), F.col("n_terms"), F.col("_stats.mean_length"), weighted)
-    return _ranked_by_score(
-        hits.withColumn("_stats", stats).select(ID, score.alias("score")), k
-    )
-
-
-def keyword_topk_batch(
-    corpus: DataFrame,
-    queries: DataFrame,
-    k: int = LEG_K,
-    where: Column | None = None,
-    tenant: str | None = None,
-    stem: Stem | None = None,
-) -> DataFrame:
-    """`(query_id, content_id, score, rank)` for a table of queries (query_id, q); exact.
-
-    A text becomes a candidate of a query only through the query's rarest needed word, so common
-    words cost nothing; the whole query is then checked on the candidate. With `tenant`, a column
-    of both tables, matches and all statistics stay inside the query's own tenant.
-
-    Only narrow (word, id) rows are ever exploded. Parsed queries, word counts and candidate pairs
-    are written to the shared folder, which also tells their size: small ones are broadcast, so
-    that the corpus is scanned but not shuffled.
-    """
-    scope = [tenant] if tenant else []
-    asked = materialise(_parsed_queries(queries, scope, stem), "queries")
-    few_queries = asked.count() <= SHIPPED_QUERIES
-    searchable = _searchable(corpus, where, stem, *scope)
-    plan = materialise(_candidate_plan(searchable, asked, scope, few_queries), "query-plan")
-
-    def shipped(small: DataFrame, bounded: bool) -> DataFrame:
-        return F.broadcast(small) if bounded else small
-
-    keys = F.explode(_keys()).alias("key")
-    keyed = plan.select("query_id", "alternative", "key", *scope)
-    pairs = (
-        searchable.select(ID, *scope, keys)
-        .join(shipped(keyed, few_queries), [*scope, "key"])
-        .select(ID, "query_id", "alternative")
-    )
-    pairs = materialise(pairs, "candidates")
-    few_pairs = pairs.count() <= SHIPPED_PAIRS
-
-    stored = ["words", "n_terms"] if "words" in corpus.columns else [TEXT]
-    texts = _filtered(corpus, where).select(ID, *stored).join(shipped(pairs, few_pairs), ID)
-    candidates = index_words(texts, stem=stem).join(
-        shipped(plan.drop("key", *scope), few_queries), ["query_id", "alternative"]
-    )
-    first = F.array_position(
-        F.transform("alternatives", lambda a: txt.alternative_matches(F.col("words"), a)), True
-    )
-    hits = candidates.where(first == F.col("alternative") + 1)
-    score = txt.bm25(F.col("words"), F.col("n_terms"), F.col("mean_length"), F.col("weighted"))
-    scored = hits.select("query_id", ID, score.alias("score"))
-    order = [F.round("score", 9).desc(), F.col(ID).asc()]
-    return top_k(scored, ["query_id"], order, k, "rank")
-
-
-def _keys() -> Column:
-    """The distinct words of a text, and the empty word: queries that need no word find it there."""
-    return F.array_union(F.array(F.lit("")), F.col("words"))
-
-
-def _parsed_queries(queries: DataFrame, scope: list[str], stem: Stem | None) -> DataFrame:
-    return (
-        queries.select("query_id", *scope, txt.parsed(F.col("q"), stem).alias("alternatives"))
-        .withColumn("terms", txt.query_terms(F.col("alternatives")))
-        .where(F.size("alternatives") > 0)
-    )
-
-
-def _candidate_plan(
-    texts: DataFrame, asked: DataFrame, scope: list[str], few_queries: bool
-) -> DataFrame:
-    """One row per alternative of each query: its rarest word, and the weights for scoring.
-
-    One pass over the words counts texts per query word and, at the empty word, all texts and
-    their lengths.
-    """
-    wanted = asked.select(*scope, F.explode(F.array_union(F.array(F.lit("")), "terms")).alias("term"))
-    wanted = wanted.distinct()
-    postings = texts.select(*scope, "n_terms", F.explode(_keys()).alias("term"))
-    counts = [
-        F.count(F.lit(1)).alias("df"),
-        F.sum(F.when(F.col("term") == "", F.col("n_terms"))).alias("total_length"),
-    ]
-    by = [*scope, "term"]
-    if few_queries:
-        counted = postings.join(F.broadcast(wanted), by, "left_semi").groupBy(*by).agg(*counts)
-    else:
-        counted = postings.groupBy(*by).agg(*counts).join(wanted, by, "left_semi")
-    counted = materialise(counted, "word-counts")
-
-    totals = counted.where(F.col("term") == "").select(
-        *scope, F.col("df").alias("texts"),
-        F.try_divide(F.col("total_length"), F.col("df")).alias("mean_length"),
-    )
-    if scope:
-        asked = asked.join(totals, scope)
-    else:
-        both = totals.agg(F.first(F.struct("texts", "mean_length"))).scalar()
-        asked = asked.withColumn("_totals", both).select("*", "_totals.*").drop("_totals")
-        asked = asked.where(F.col("texts").isNotNull())
-    weights = (
-        asked.select("query_id", "texts", *scope, F.explode("terms").alias("term"))
-        .join(counted.drop("total_length"), by, "left")
-        .withColumn("df", F.coalesce("df", F.lit(0)))
-        .withColumn("weight", txt.idf(F.col("texts"), F.col("df")))
-        .groupBy("query_id")
-        .agg(F.sort_array(F.collect_list(F.struct("term", "weight", "df"))).alias("weighted"))
-    )
-    rarest = F.array_min(
-        F.transform(
-            F.filter("weighted", lambda t: F.array_contains(F.col("one.needed"), t["term"])),
-            lambda t: F.struct(t["df"], t["term"]),
-        )
-    )["term"]
-    nothing = F.array().cast("array<struct<term:string,weight:double,df:bigint>>")
-    return (
-        asked.drop("terms", "texts")
-        .join(weights, "query_id", "left")
-        .withColumn("weighted", F.coalesce("weighted", nothing))
-        .select("*", F.posexplode("alternatives").alias("alternative", "one"))
-        .withColumn("key", F.coalesce(rarest, F.lit("")))
-        .drop("one")
-    )
-
-
-# --- fusion -----------------------------------------------------------------------------------
+from recollect.operators.corpus import ID, LEG_K, RESULT_K, SNIPPET_CHARS, TEXT, embed_corpus, filtered
+from recollect.operators.keyword import (
+    TextIndex,
+    index_postings,
+    index_words,
+    keyword_match,
+    keyword_topk,
+    keyword_topk_batch,
+    postings_topk,
+    postings_topk_batch,
+    write_index,
+)
+from recollect.operators.vector import (
+    ann_topk,
+    assign_cells,
+    fit_cells,
+    recall_at_k,
+    vector_topk,
+    vector_topk_batch,
+)
+
+__all__ = [
+    "TextIndex", "ann_topk", "assign_cells", "embed_corpus", "fit_cells", "fuse", "hybrid",
+    "hybrid_batch", "index_postings", "index_words", "keyword_match", "keyword_topk",
+    "keyword_topk_batch", "postings_topk", "postings_topk_batch", "recall_at_k", "vector_topk",
+    "vector_topk_batch", "write_index",
+]
 
 
 def fuse(vector: DataFrame, keyword: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -412,7 +58,7 @@ def fuse(vector: DataFrame, keyword: DataFrame, by: Sequence[str] = ()) -> DataF
 
 
 def _snippets(corpus: DataFrame, where: Column | None) -> DataFrame:
-    return _filtered(corpus, where).select(
+    return filtered(corpus, where).select(
         ID, "doc_type", F.left(TEXT, F.lit(SNIPPET_CHARS)).alias("snippet")
     )
 
@@ -425,15 +71,19 @@ def hybrid(
     leg_k: int = LEG_K,
     where: Column | None = None,
     stem: Stem | None = None,
+    index: TextIndex | None = None,
 ) -> DataFrame:
     """The `k` best rows of both legs fused, with document type and snippet.
 
-    `where` is the tenant filter; it is applied inside both legs. Runs the two legs right away.
+    `where` is the tenant filter; it is applied inside both legs. With an `index` the keyword
+    leg reads that instead of the texts. Runs the two legs right away.
     """
-    fused = fuse(
-        vector_topk(corpus, vector, leg_k, where),
-        keyword_topk(corpus, query, leg_k, where, stem),
+    keyword = (
+        keyword_topk(corpus, query, leg_k, where, stem)
+        if index is None
+        else postings_topk(index, query, leg_k, where, stem)
     )
+    fused = fuse(vector_topk(corpus, vector, leg_k, where), keyword)
     order = [F.col("rrf").desc(), F.col(ID).asc()]
     # At most k rows: fetched here, their ids become a filter that prunes the scan for the texts.
     best = fused.orderBy(*order).limit(k).collect()
@@ -451,69 +101,18 @@ def hybrid_batch(
     where: Column | None = None,
     tenant: str | None = None,
     stem: Stem | None = None,
+    index: TextIndex | None = None,
 ) -> DataFrame:
     """`hybrid` for a table of queries (query_id, q, qvec), ranked by `rn` within each query."""
+    keyword = (
+        keyword_topk_batch(corpus, queries, leg_k, where, tenant, stem)
+        if index is None
+        else postings_topk_batch(index, queries, leg_k, where, tenant, stem)
+    )
     fused = fuse(
         vector_topk_batch(corpus, queries, leg_k, where, tenant),
-        keyword_topk_batch(corpus, queries, leg_k, where, tenant, stem),
+        keyword,
         ["query_id"],
     )
     best = top_k(fused, ["query_id"], [F.col("rrf").desc(), F.col(ID).asc()], k)
     return best.join(_snippets(corpus, where), ID)
-
-
-# --- approximate vector search ----------------------------------------------------------------
-
-
-def fit_cells(corpus: DataFrame, cells: int, seed: int = 7, max_iter: int = 10) -> KMeansModel:
-    """Cluster centres of the stored vectors, by cosine distance.
-
-    Train on a sample of a large corpus: only the centres depend on it, never which rows are found.
-    """
-    means = KMeans(
-        k=cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine",
-        featuresCol="_features", predictionCol="cell",
-    )
-    return means.fit(_features(corpus))
-
-
-def _features(corpus: DataFrame) -> DataFrame:
-    """Rows with a vector of non-zero length; the cosine distance to any other is undefined."""
-    return corpus.where(F.exists(VECTOR, lambda x: x != 0)).withColumn(
-        "_features", array_to_vector(F.col(VECTOR).cast("array<double>"))
-    )
-
-
-def assign_cells(corpus: DataFrame, model: KMeansModel) -> DataFrame:
-    """Add the `cell` of each row; write it partitioned by `cell` so a search reads few of them."""
-    return model.transform(_features(corpus)).drop("_features")
-
-
-def ann_topk(
-    celled: DataFrame,
-    model: KMeansModel,
-    vector: Sequence[float],
-    k: int = LEG_K,
-    probes: int = 4,
-    where: Column | None = None,
-) -> DataFrame:
-    """Approximate `vector_topk`: exact inside the `probes` cells nearest to the query."""
-    centres = np.asarray(model.clusterCenters())
-    asked = np.asarray(vector, dtype=np.float64)
-    similarity = (centres @ asked) / np.maximum(
-        np.linalg.norm(centres, axis=1) * np.linalg.norm(asked), 1e-300
-    )
-    nearest = [int(c) for c in np.argsort(-similarity, kind="stable")[:probes]]
-    return vector_topk(celled.where(F.col("cell").isin(nearest)), vector, k, where)
-
-
-def recall_at_k(approximate: DataFrame, exact: DataFrame) -> DataFrame:
-    """One row: how many of the exact top-k the approximate search found, and their share."""
-    found = exact.select(ID).join(
-        approximate.select(ID, F.lit(True).alias("_hit")), ID, "left"
-    )
-    return found.agg(
-        F.count("_hit").alias("found"),
-        F.count(F.lit(1)).alias("wanted"),
-        F.try_divide(F.count("_hit"), F.count(F.lit(1))).alias("recall"),
-    )

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from recollect.functions import text as txt
 from recollect.functions.english import stem
-from recollect.operators import quality, search
+from recollect.operators import keyword, quality, search
+from recollect.operators import vector as vectors
 
 CORPUS = (
     "content_id bigint, brand string, doc_type string, chunk_text string, embedding array<float>"
@@ -44,6 +45,12 @@ def corpus(spark):
     return spark.createDataFrame(DATA, CORPUS).cache()
 
 
+@pytest.fixture(scope="module")
+def index(corpus, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("index"))
+    return search.write_index(search.index_postings(corpus, ["brand"]), root, 1)
+
+
 def words_of(text):
     return [w for w in re.split(r"[\W_]+", text.lower()) if w]
 
@@ -124,9 +131,9 @@ def by_query(df, value="content_id", order="rank"):
 def size_of_batch(request, monkeypatch):
     """Both ways of meeting queries and corpus."""
     if request.param == "by blocks":
-        monkeypatch.setattr(search, "SHIPPED_QUERIES", 0 + 4)
-        monkeypatch.setattr(search, "SLICE_ROWS", 9)
-        monkeypatch.setattr(search, "SHIPPED_VALUES", 1)
+        monkeypatch.setattr(vectors, "SHIPPED_QUERIES", 4)
+        monkeypatch.setattr(vectors, "SLICE_ROWS", 9)
+        monkeypatch.setattr(vectors, "SHIPPED_VALUES", 1)
 
 
 @pytest.mark.parametrize("tenant", [None, "brand"])
@@ -142,20 +149,29 @@ def test_batch_vectors_equal_brute_force(corpus, queries, tenant, size_of_batch)
 
 @pytest.mark.parametrize("tenant", [None, "A"])
 @pytest.mark.parametrize("query", ["dose liver", "store", "ünder x1", "nothing", "the of", ""])
-def test_keyword_topk_equals_brute_force(corpus, query, tenant):
+def test_keyword_topk_equals_brute_force(corpus, index, query, tenant):
     where = F.col("brand") == tenant if tenant else None
     needed = [w for w in words_of(query) if w not in txt.STOP_WORDS]
     expected = bm25_ranking(needed, tenant) if needed else []
-    found = search.keyword_topk(corpus, query, where=where).orderBy("rank").collect()
-    assert [r["content_id"] for r in found] == [i for i, _ in expected]
-    assert [r["score"] for r in found] == pytest.approx([s for _, s in expected])
+    for found in (
+        search.keyword_topk(corpus, query, where=where),
+        search.postings_topk(index, query, where=where),
+    ):
+        found = found.orderBy("rank").collect()
+        assert [r["content_id"] for r in found] == [i for i, _ in expected]
+        assert [r["score"] for r in found] == pytest.approx([s for _, s in expected])
 
 
 @pytest.mark.parametrize("bound", [0, 1024])
 @pytest.mark.parametrize("tenant", [None, "brand"])
-def test_batch_keywords_equal_single_searches(corpus, queries, tenant, bound, monkeypatch):
-    monkeypatch.setattr(search, "SHIPPED_QUERIES", bound)
-    found = search.keyword_topk_batch(corpus, queries, 6, tenant=tenant)
+@pytest.mark.parametrize("source", ["texts", "postings"])
+def test_batch_keywords_equal_single_searches(corpus, index, queries, tenant, bound, source, monkeypatch):
+    monkeypatch.setattr(keyword, "SHIPPED_QUERIES", bound)
+    monkeypatch.setattr(keyword, "SHIPPED_PAIRS", bound)
+    if source == "texts":
+        found = search.keyword_topk_batch(corpus, queries, 6, tenant=tenant)
+    else:
+        found = search.postings_topk_batch(index, queries, 6, tenant=tenant)
     batch = by_query(found), by_query(found, "score")
     for query_id, q, _, brand in QUERIES:
         where = F.col("brand") == brand if tenant else None
@@ -189,6 +205,8 @@ def test_web_query_syntax(spark, query, matches):
     assert found == {texts.index(m) for m in matches}
     indexed = search.index_words(corpus)
     assert {r["content_id"] for r in search.keyword_match(indexed, query).collect()} == found
+    postings = search.postings_topk(search.index_postings(corpus), query)
+    assert {r["content_id"] for r in postings.collect()} == found
 
 
 def ranks(spark, pairs):
@@ -305,6 +323,41 @@ def test_stemmed_search_matches_inflected_forms(spark):
         assert [(r["content_id"], r["score"]) for r in batch] == [
             (r["content_id"], r["score"]) for r in single
         ]
+    postings = search.index_postings(corpus, stem=stem)
+    found = search.postings_topk(postings, "dose store", stem=stem).orderBy("rank").collect()
+    assert found == single
+
+
+def test_a_stem_that_looks_like_a_stop_word_is_no_stop_word(spark):
+    corpus = spark.createDataFrame(
+        [(1, "it can wait"), (2, "two cans")], "content_id int, chunk_text string"
+    )
+    assert stem("cans") == "can"
+    found = search.keyword_match(corpus, "cans", stem=stem).collect()
+    assert [r["content_id"] for r in found] == [2]
+    found = search.postings_topk(search.index_postings(corpus, stem=stem), "cans", stem=stem)
+    assert [r["content_id"] for r in found.collect()] == [2]
+
+
+def test_the_index_is_built_in_one_shuffle_and_read_by_word(corpus, index):
+    plan = search.index_postings(corpus).postings._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning(term" in plan
+    plan = search.postings_topk(index, "dose liver")._jdf.queryExecution().executedPlan().toString()
+    assert "Or(EqualTo(term,dose),EqualTo(term,liver))" in plan
+    placed = index.postings.where("term = 'dose'").collect()
+    texts = {i: words_of(t) for i, _, _, t, _ in DATA if t}
+    assert {r["content_id"]: r["positions"] for r in placed} == {
+        i: [p for p, w in enumerate(ws) if w == "dose"] for i, ws in texts.items() if "dose" in ws
+    }
+
+
+def test_hybrid_with_an_index_equals_hybrid_without(corpus, index, queries):
+    vector = [1.0, 0.5, -1.0, 2.0]
+    where = F.col("brand") == "A"
+    plain = search.hybrid(corpus, "dose or cold", vector, 8, where=where).collect()
+    assert search.hybrid(corpus, "dose or cold", vector, 8, where=where, index=index).collect() == plain
+    plain = rows(search.hybrid_batch(corpus, queries, 6, tenant="brand"))
+    assert rows(search.hybrid_batch(corpus, queries, 6, tenant="brand", index=index)) == plain
 
 
 def test_the_texts_of_the_result_are_fetched_by_their_ids(spark, corpus, tmp_path):
