@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from typing import Any
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -74,6 +75,51 @@ def stemmed(word_list: Column, stem: Stem) -> Column:
     return call(word_list)
 
 
+# Words grouped at a time when postings are built; bounds the memory of a task.
+GROUPED_WORDS = 1_000_000
+
+
+def postings_in(
+    batches: Iterator[pa.RecordBatch], skip: frozenset[str]
+) -> Iterator[pa.RecordBatch]:
+    """One row per text and distinct word with the word's positions, grouped inside the task.
+
+    A batch has the columns `words` and any others, which are repeated; `skip` words give no row.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.list_value_length(batch.column("words")).to_numpy())
+        start = 0
+        while start < batch.num_rows:
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + GROUPED_WORDS, side="right")))
+            yield _grouped(batch.slice(start, stop - start), skip)
+            start = stop
+
+
+def _grouped(batch: pa.RecordBatch, skip: frozenset[str]) -> pa.RecordBatch:
+    lists = batch.column("words")
+    lengths = pc.list_value_length(lists).to_numpy()
+    coded = lists.flatten().dictionary_encode()
+    wanted = np.array([w not in skip for w in coded.dictionary.to_pylist()], dtype=bool)
+    codes = coded.indices.to_numpy()
+    text = np.repeat(np.arange(batch.num_rows), lengths)
+    position = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    kept = wanted[codes] if len(codes) else np.empty(0, dtype=bool)
+    group = text[kept] * max(1, len(wanted)) + codes[kept]
+    order = np.argsort(group, kind="stable")
+    group = group[order]
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else group
+    offsets = pa.array(np.r_[first, len(group)].astype(np.int32))
+    rows = pa.array(text[kept][order][first])
+    columns = {"term": coded.dictionary.take(pa.array(codes[kept][order][first]))}
+    for name in batch.schema.names:
+        if name != "words":
+            columns[name] = batch.column(name).take(rows)
+    placed = pa.array(position[kept][order].astype(np.int32))
+    columns["positions"] = pa.ListArray.from_arrays(offsets, placed)
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
 def _split_words(text: str) -> list[str]:
     """The words of a query, separated as `NOT_A_WORD` does: letters, marks and digits stay."""
     kept = (c if unicodedata.category(c)[0] in "LMN" else " " for c in text.lower())

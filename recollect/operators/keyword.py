@@ -8,6 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recollect.functions import text as txt
 from recollect.functions.keys import top_k
@@ -18,6 +19,7 @@ from recollect.sources.sinks import write_version
 
 # Sets up to these sizes are broadcast; larger ones are joined by shuffling.
 SHIPPED_QUERIES = 1024
+SHIPPED_WORDS = 200_000
 SHIPPED_PAIRS = 500_000
 
 
@@ -145,7 +147,7 @@ def keyword_topk_batch(
     """
     scope = [tenant] if tenant else []
     asked = materialise(_parsed_queries(queries, scope, stem), "queries")
-    few_queries = asked.count() <= SHIPPED_QUERIES
+    few_queries = _few(asked)
     searchable = _searchable(corpus, where, stem, *scope)
     counted = materialise(_word_counts(searchable, asked, scope, few_queries), "word-counts")
     plan = materialise(_candidate_plan(counted, asked, scope), "query-plan")
@@ -192,6 +194,13 @@ def _parsed_queries(queries: DataFrame, scope: list[str], stem: Stem | None) ->
     )
 
 
+def _few(asked: DataFrame) -> bool:
+    """Whether the parsed queries, all their words included, may be broadcast."""
+    mentioned = F.sum(F.size(txt.words_mentioned(F.col("alternatives"))))
+    count, words = asked.agg(F.count(F.lit(1)), F.coalesce(mentioned, F.lit(0))).first()
+    return count <= SHIPPED_QUERIES and words <= SHIPPED_WORDS
+
+
 def _shipped(small: DataFrame, bounded: bool) -> DataFrame:
     return F.broadcast(small) if bounded else small
 
@@ -270,23 +279,26 @@ def index_postings(
 ) -> TextIndex:
     """The inverted index of a corpus; `carry` names the columns tenant filters need.
 
-    Postings are range-partitioned and sorted by (term, content_id) in one shuffle: written as they
-    are, a search reads only the row groups of its words, and a very common word is spread over
-    many files.
+    The words of a text are grouped inside its task; the postings are then range-partitioned and
+    sorted by (term, content_id) in one shuffle. Written as they are, a search reads only the row
+    groups of its words, and a very common word is spread over many files.
     """
     rows = _searchable(corpus, None, stem, *carry)
-    placed = rows.select(ID, "n_terms", *carry, F.posexplode("words").alias("position", "term"))
-    kept = "term <> ''"
-    if stem is None:
-        kept += " AND term NOT IN ({})".format(", ".join(f"'{w}'" for w in txt.STOP_WORDS))
+    texts = rows.select(ID, "n_terms", *carry)
+    skip = frozenset(["", *(txt.STOP_WORDS if stem is None else ())])
+
+    def group(batches):
+        return txt.postings_in(batches, skip)
+
+    fields = [T.StructField("term", T.StringType()), *texts.schema.fields]
+    schema = T.StructType([*fields, T.StructField("positions", T.ArrayType(T.IntegerType()))])
     postings = (
-        placed.where(kept)
+        rows.select(*texts.columns, "words")
+        .mapInArrow(group, schema)
         .repartitionByRange("term", ID)
-        .groupBy("term", ID, "n_terms", *carry)
-        .agg(F.sort_array(F.collect_list("position")).alias("positions"))
         .sortWithinPartitions("term", ID)
     )
-    return TextIndex(postings, rows.select(ID, "n_terms", *carry))
+    return TextIndex(postings, texts)
 
 
 def write_index(index: TextIndex, root: str, version: int) -> TextIndex:
@@ -362,7 +374,7 @@ def postings_topk_batch(
     scope = [tenant] if tenant else []
     texts, postings = filtered(index.texts, where), filtered(index.postings, where)
     asked = materialise(_parsed_queries(queries, scope, stem), "queries")
-    few_queries = asked.count() <= SHIPPED_QUERIES
+    few_queries = _few(asked)
     by = [*scope, "term"]
     wanted = asked.select(*scope, F.explode("terms").alias("term")).distinct()
     lengths = texts.groupBy(*scope).agg(

@@ -135,16 +135,20 @@ def _nearest_by_blocks(
 # --- approximate vector search ----------------------------------------------------------------
 
 
-def fit_cells(corpus: DataFrame, cells: int, seed: int = 7, max_iter: int = 10) -> KMeansModel:
+def fit_cells(
+    corpus: DataFrame, cells: int, seed: int = 7, max_iter: int = 10, fraction: float = 1.0
+) -> KMeansModel:
     """Cluster centres of the stored vectors, by cosine distance.
 
-    Train on a sample of a large corpus: only the centres depend on it, never which rows are found.
+    Give a small `fraction` to train on a sample of a large corpus: only the centres depend on it;
+    every row still gets its cell from `assign_cells`.
     """
     means = KMeans(
         k=cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine",
         featuresCol="_features", predictionCol="cell",
     )
-    return means.fit(_features(corpus))
+    rows = _features(corpus)
+    return means.fit(rows if fraction >= 1.0 else rows.sample(fraction, seed))
 
 
 def _features(corpus: DataFrame) -> DataFrame:

@@ -271,6 +271,8 @@ def test_approximate_search_finds_all_when_all_cells_are_probed(corpus):
     exact = search.vector_topk(corpus, vector, 10)
     everything = search.ann_topk(celled, model, vector, 10, probes=len(model.clusterCenters()))
     assert ids(everything) == ids(exact)
+    sampled = search.fit_cells(corpus.where("embedding IS NOT NULL"), cells=4, fraction=0.5)
+    assert search.assign_cells(corpus, sampled).count() == celled.count()
     some = search.ann_topk(celled, model, vector, 10, probes=1)
     assert 0 < search.recall_at_k(some, exact).first()["recall"] <= 1
 
@@ -351,6 +353,23 @@ def test_the_index_is_built_in_one_shuffle_and_read_by_word(corpus, index):
     }
 
 
+def test_postings_are_grouped_in_bounded_pieces(corpus, index, monkeypatch):
+    from itertools import chain
+
+    import pyarrow as pa
+
+    words = pa.array([["b", "a", "b"], [], ["x"], ["a"] * 9, ["the", "", "a"]])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), words], names=["id", "words"])
+    expected = [("a", 0, [1]), ("b", 0, [0, 2]), ("x", 2, [0]), ("a", 3, list(range(9))), ("a", 4, [2])]
+    for size in (1, 2, 4, 100):
+        monkeypatch.setattr(txt, "GROUPED_WORDS", size)
+        pieces = list(txt.postings_in(iter([batch, batch.slice(5)]), frozenset(["", "the"])))
+        found = chain.from_iterable(p.to_pylist() for p in pieces)
+        assert sorted((r["id"], r["term"], r["positions"]) for r in found) == sorted(
+            (i, t, p) for t, i, p in expected
+        )
+
+
 def test_hybrid_with_an_index_equals_hybrid_without(corpus, index, queries):
     vector = [1.0, 0.5, -1.0, 2.0]
     where = F.col("brand") == "A"
