@@ -13,13 +13,18 @@ _local_scratch: dict[str, str] = {}
 _shipped: set[tuple[str, str]] = set()
 
 
-def local_session(app_name: str, cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    app_name: str,
+    cores: str = "*",
+    shuffle_partitions: int = 8,
+    settings: dict[str, str] | None = None,
+) -> SparkSession:
     """A single-machine session for tests and the benchmark.
 
     On a cluster the caller brings its own session; nothing in the library depends on these values
     except the UTC time zone.
     """
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -29,8 +34,10 @@ def local_session(app_name: str, cores: str = "*", shuffle_partitions: int = 8)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -23,12 +23,8 @@ NOW = datetime(2026, 1, 1)
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
-    SparkSession.builder.config(
-        "spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))
-    )
-    return local_session("tests", "4", shuffle_partitions=4)
+    warehouse = {"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))}
+    return local_session("tests", "4", shuffle_partitions=4, settings=warehouse)
 
 
 class Turns:
