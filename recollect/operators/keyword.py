@@ -325,39 +325,54 @@ def postings_topk(
     where: Column | None = None,
     stem: Stem | None = None,
 ) -> DataFrame:
-    """`keyword_topk` on an inverted index: reads the postings of the query's words only."""
+    """`keyword_topk` on an inverted index: reads the postings of the query's words only.
+
+    The words are counted first, one row per word of the query. Then only texts that have the
+    rarest needed word of an alternative bring their other words, so a common word next to a rare
+    one is read but not shuffled.
+    """
     alternatives = txt.parse_query(query, stem)
     texts = filtered(index.texts, where)
     if not alternatives:
         return _ranked_by_score(texts.where(F.lit(False)).select(ID, F.lit(0.0).alias("score")), k)
-    mentioned = reduce(
-        lambda a, b: a | b, [F.col("term") == w for w in txt.all_words(alternatives)]
-    )
-    postings = filtered(index.postings, where).where(mentioned)
-    found = _by_text(postings, [ID, "n_terms"])
-    if not all(a["needed"] for a in alternatives):
+    mentioned = txt.all_words(alternatives)
+    postings = filtered(index.postings, where).where(_is_one_of(mentioned))
+    counted = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()
+    frequency = {word: 0 for word in mentioned} | {r["term"]: r["df"] for r in counted}
+
+    if all(a["needed"] for a in alternatives):
+        keys = sorted({min(a["needed"], key=lambda w: (frequency[w], w)) for a in alternatives})
+        if keys != mentioned:
+            ids = postings.where(_is_one_of(keys)).select(ID).distinct()
+            few = sum(frequency[w] for w in keys) <= SHIPPED_PAIRS
+            postings = postings.join(_shipped(ids, few), ID, "left_semi")
+        found = _by_text(postings, [ID, "n_terms"])
+    else:
         # An alternative of excluded words only matches texts that have none of the words.
-        found = texts.select(ID, "n_terms").join(found.drop("n_terms"), ID, "left")
+        found = texts.select(ID, "n_terms").join(_by_text(postings, [ID]), ID, "left")
         found = found.withColumn("placed", F.coalesce("placed", F.create_map().cast(_POSITIONS)))
     view = txt.WordPositions(F.col("placed"))
     hits = found.where(txt.query_matches(view, txt.literal_alternatives(alternatives)))
     scored_terms = sorted({word for a in alternatives for word in a["needed"]})
     if not scored_terms:
         return _ranked_by_score(hits.select(ID, F.lit(0.0).alias("score")), k)
-    frequencies = [F.count_if(F.col("term") == t).alias(f"df{i}") for i, t in enumerate(scored_terms)]
     sizes = texts.agg(
-        F.struct(F.count(F.lit(1)).alias("texts"), F.avg("n_terms").alias("mean_length")).alias("s")
-    )
-    stats = postings.agg(F.struct(*frequencies).alias("f"))
-    scored = (
-        hits.withColumn("_f", stats.scalar())
-        .withColumn("_s", sizes.scalar())
-        .withColumn("_stats", F.struct("_f.*", "_s.*"))
+        F.struct(
+            F.count(F.lit(1)).alias("texts"),
+            F.avg("n_terms").alias("mean_length"),
+            *[F.lit(frequency[t]).alias(f"df{i}") for i, t in enumerate(scored_terms)],
+        ).alias("stats")
     )
+    scored = hits.withColumn("_stats", sizes.scalar())
     score = txt.bm25(view, F.col("n_terms"), F.col("_stats.mean_length"), _weights(scored_terms))
     return _ranked_by_score(scored.select(ID, score.alias("score")), k)
 
 
+def _is_one_of(words: Sequence[str]) -> Column:
+    """Written as alternatives of equalities, each of which prunes row groups in the scan."""
+    return reduce(lambda a, b: a | b, [F.col("term") == w for w in words])
+
+
 def postings_topk_batch(
     index: TextIndex,
     queries: DataFrame,
