@@ -3,3 +3,95 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op2_source_mixing"] = """
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5('17:' || coalesce(doc_id::VARCHAR, '')) AS draw
+  FROM documents),
+sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY source COLLATE "C" ASC NULLS LAST) AS place FROM sizes),
+weighed AS (
+  SELECT *, (place - 1) % 3 + 1 AS weight, 3 * source_size AS most,
+         (sum(source_size) OVER ())::BIGINT AS total FROM ranked),
+rests AS (
+  SELECT *, total - (sum(most) OVER (ORDER BY most / weight, place))::BIGINT + most AS rest,
+         (sum(weight) OVER (ORDER BY most / weight, place
+                            ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS weights
+  FROM weighed),
+fitted AS (SELECT *, rest::HUGEINT * weight <= most::HUGEINT * weights AS fits FROM rests),
+first_fit AS (SELECT rest, weights FROM fitted WHERE fits ORDER BY most / weight, place LIMIT 1),
+targets AS (
+  SELECT place, source, source_size,
+         CASE WHEN fits THEN (f.rest * weight)::DOUBLE / f.weights::DOUBLE ELSE most::DOUBLE END AS target
+  FROM fitted, first_fit f),
+shards AS (SELECT greatest(1, ceil(sum(size) / 1048576.0)::BIGINT) AS n FROM sized),
+placed AS (
+  SELECT s.*, t.place, t.source_size, t.target, ('0x' || substr(draw, 1, 8))::BIGINT % shards.n AS shard
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source, shards),
+groups AS (
+  SELECT shard, place, sum(size)::BIGINT AS length,
+         CASE WHEN first(source_size) > 0
+              THEN floor(1000 * (first(target) * sum(size)::BIGINT / first(source_size)))::BIGINT
+              ELSE 0 END AS wanted
+  FROM placed GROUP BY shard, place),
+shared AS (
+  SELECT *, (sum(wanted) OVER (PARTITION BY shard))::BIGINT AS all_wanted, count(*) OVER (PARTITION BY shard) AS n_groups
+  FROM groups),
+counted AS (
+  SELECT *, floor(all_wanted / 16000 + 0.5)::BIGINT AS blocks,
+         CASE WHEN all_wanted > 0 THEN wanted / all_wanted ELSE 0.0::DOUBLE END AS part FROM shared),
+seats AS (
+  SELECT *, greatest(0, floor(part * (blocks - n_groups / 2) - 0.5)::BIGINT) AS low,
+         ceil(part * (blocks + n_groups / 2) + 0.5)::BIGINT AS high FROM counted),
+opened AS (SELECT *, blocks - sum(low) OVER (PARTITION BY shard) AS open FROM seats),
+ranked_seats AS (
+  SELECT *, row_number() OVER (PARTITION BY shard ORDER BY wanted / (2 * seat + 1) DESC, place, seat) AS turn
+  FROM (SELECT *, unnest(range(low, greatest(low, high) + 1)) AS seat FROM opened WHERE wanted > 0)),
+quotas AS (
+  SELECT shard, place,
+         least(first(low) + count(*) FILTER (turn <= open), 3 * ceil(first(length) / 16.0)::BIGINT) AS quota
+  FROM ranked_seats GROUP BY shard, place),
+lined AS (
+  SELECT p.*, q.quota,
+         (sum(size) OVER (PARTITION BY p.shard, p.place ORDER BY draw, doc_id, size
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS stop,
+         (sum(size) OVER (PARTITION BY p.shard, p.place))::BIGINT AS length
+  FROM placed p LEFT JOIN quotas q ON p.shard = q.shard AND p.place = q.place),
+edges AS (
+  SELECT *, quota // greatest(1, ceil(length / 16.0)::BIGINT) AS rounds,
+         (quota % greatest(1, ceil(length / 16.0)::BIGINT)) * 16 AS edge FROM lined)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN length > 0 AND quota IS NOT NULL
+            THEN size * rounds + greatest(0, least(stop, edge) - least(stop - size, edge))
+            ELSE 0 END::BIGINT AS taken
+FROM edges
+"""
+
+ORACLES["op3_exact_dedup"] = """
+WITH cleaned AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n_points,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id,
+       first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n_points DESC, doc_id) AS keep_id,
+       count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY n_points DESC, doc_id) = 1 AS kept, text_sha256
+FROM cleaned
+"""
+
+ORACLES["op8_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10))
+           + len(regexp_extract_all(text, '<\\*\|')))::BIGINT AS formatted_chars,
+       0::BIGINT AS expanded_tokens
+FROM turns GROUP BY conv_id
+"""

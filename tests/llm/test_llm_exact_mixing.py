@@ -1,0 +1,164 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from recollect.llm import exact, mixing
+from recollect.session import scratch_path
+
+SCHEMA = "doc_id long, text string, source string, n_chars long, digest string, keep_id string, size string"
+
+
+def frame(spark, rows):
+    full = [(i, t, s, None if t is None else len(t), "clash", "clash", "clash") for i, t, s in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def squeezed(text):
+    return re.sub("[\x20\x09-\x0d]", "", text or "")
+
+
+EDGES = [
+    (1, None, "a"), (2, "", "a"), (3, " \n", None), (4, "x y", "b"), (5, "x\ty ", "b"), (6, "xy", None),
+    (7, "X Y", "b"), (8, "é é", "c"), (9, "word " * 30000, "c"), (10, "word" * 30000, "c"),
+    (11, "x y", "c"), (None, "x  y", "d"), (None, "only here", "d"), (12, "x\ty ", "a"),
+]
+
+
+def test_exact_groups_and_the_row_that_stays(spark):
+    got = exact.deduplicate(frame(spark, EDGES), exact.fresh_index(spark)).collect()
+    groups = defaultdict(list)
+    for i, t, _ in EDGES:
+        groups[squeezed(t)].append((-len(t or ""), i is None, i or 0))
+    assert len(got) == len(EDGES)
+    expected = Counter()
+    for i, t, _ in EDGES:
+        group = sorted(groups[squeezed(t)])
+        keep = None if group[0][1] else group[0][2]
+        digest = hashlib.sha256(squeezed(t).encode()).hexdigest()
+        expected[(i, keep, len(group), (-len(t or ""), i is None, i or 0) == group[0], digest)] += 1
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in got) == expected
+
+
+def test_repeated_rows_keep_one(spark):
+    rows = [(1, "a b", "s")] * 3 + [(2, "ab", "s"), (None, "c", "s"), (None, "c", "s")]
+    index = exact.fresh_index(spark)
+    assert sum(r["kept"] for r in exact.deduplicate(frame(spark, rows), index).collect()) == 2
+    kept = exact.kept_rows(frame(spark, rows), exact.fresh_index(spark)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"], r["digest"]) for r in kept) == [(0, "c", "clash"), (1, "a b", "clash")]
+
+
+def test_index_remembers_earlier_batches(spark):
+    path = scratch_path(spark, "lasting-index")
+    index = exact.open_index(spark, "lasting_index", path, 3)
+    exact.deduplicate(frame(spark, [(1, "a", "s"), (2, "b", "s")]), index).collect()
+    spark.sql("DROP TABLE lasting_index")  # an external table: its files stay
+    again = exact.open_index(spark, "lasting_index", path, 3)
+    got = exact.deduplicate(frame(spark, [(3, "a  ", "s"), (4, "c", "s"), (5, "c c", "s"), (6, "cc", "s")]), again)
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got.collect()) == [
+        (3, 1, 2, False), (4, 4, 1, True), (5, 5, 2, True), (6, 5, 2, False),
+    ]
+    assert again.rows().count() == 4 and again.rows().select("digest").distinct().count() == 4
+    other = again.rows().select("digest", "n_points")
+    plan = again.rows().hint("merge").join(other, "digest")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_exact_and_mixing_on_an_empty_table(spark):
+    empty = frame(spark, [])
+    assert exact.deduplicate(empty, exact.fresh_index(spark)).collect() == []
+    assert exact.kept_rows(empty, exact.fresh_index(spark)).collect() == []
+    assert mixing.mix(empty).collect() == [] and mixing.mixed_rows(empty).collect() == []
+
+
+def plain_targets(sizes):
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    free, rest, out = set(order), sum(sizes.values()), {}
+    while True:
+        total = sum(weight[s] for s in free)
+        over = [s for s in free if rest * weight[s] > 3 * sizes[s] * total]
+        if not over:
+            return out | {s: rest * weight[s] / total if total else 0.0 for s in free}
+        for s in over:
+            out[s] = 3.0 * sizes[s]
+        free -= set(over)
+        rest -= sum(3 * sizes[s] for s in over)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_targets_stop_at_three_times_the_size(spark, seed):
+    rng = random.Random(seed)
+    sizes = {s: rng.choice([0, 1, 7, 300, 40_000]) for s in ["", "a", "B", "é", "z", "\U0001f600", None, "m"]}
+    rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r["source"]: r["target"] for r in mixing.targets(rows).collect()}
+    expected = plain_targets(sizes)
+    assert got.keys() == expected.keys()
+    assert all(math.isclose(got[s], expected[s], rel_tol=1e-12, abs_tol=1e-9) for s in got)
+
+
+def plain_highest_quotients(wanted, seats):
+    won = [0] * len(wanted)
+    for _ in range(seats):
+        best = max(range(len(wanted)), key=lambda i: (wanted[i] / (2 * won[i] + 1), -i))
+        won[best] += 1
+    return won
+
+
+def test_quotas_are_the_highest_quotients(spark):
+    rng = random.Random(5)
+    rows, expected = [], {}
+    for shard in range(12):
+        wanted = [rng.choice([0, 16_000, 5_000, 333_333, 4_000_000, rng.randrange(10**7)]) for _ in range(9)]
+        rows += [(shard, i, 10**9, w) for i, w in enumerate(wanted)]
+        won = plain_highest_quotients(wanted, math.floor(sum(wanted) / 16000 + 0.5))
+        expected |= {(shard, i): won[i] for i, w in enumerate(wanted) if w}
+    groups = spark.createDataFrame(rows, "shard long, place int, length long, wanted long")
+    assert {(r["shard"], r["place"]): r["quota"] for r in mixing.quotas(groups).collect()} == expected
+
+
+def mixture(rng, n=600):
+    out = [(i, "w " * rng.randint(1, 60), rng.choice("aaaaaabbc")) for i in range(n)]
+    return out + [(n, None, "a"), (n + 1, "", None), (n + 2, "z " * 20, None), (n + 3, "y " * 9000, "d")]
+
+
+def test_mix_reaches_its_targets(spark):
+    rows = mixture(random.Random(7))
+    got = mixing.mix(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    sizes, taken, target = Counter(), Counter(), {}
+    source = {i: s for i, _, s in rows}
+    for r in got:
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        sizes[source[r["doc_id"]]] += r["size"]
+        taken[source[r["doc_id"]]] += r["taken"]
+        target[source[r["doc_id"]]] = r["target"]
+    expected = plain_targets(dict(sizes))
+    for s in sizes:
+        assert math.isclose(target[s], expected[s]) and abs(taken[s] - target[s]) <= 3 * mixing.BLOCK_WORDS
+    again = mixing.mix(frame(spark, rows[::-1]).repartition(7)).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, got))
+
+
+def test_mixed_rows_hold_what_is_taken(spark):
+    rows = mixture(random.Random(8), 200)
+    docs = frame(spark, rows)
+    taken = {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()}
+    got = mixing.mixed_rows(docs)
+    assert got.columns == docs.columns
+    words = Counter()
+    for r in got.collect():
+        words[r["doc_id"]] += len(r["text"].split())
+        assert r["n_chars"] == len(r["text"]) and r["digest"] == "clash"
+    assert words == {i: n for i, n in taken.items() if n}
+
+
+def test_repeated_rows_take_part_each(spark):
+    rows = [(1, "a b c", "s")] * 4 + [(None, "d e", "t")] * 3
+    got = mixing.mix(frame(spark, rows)).collect()
+    assert len(got) == 7 and all(r["taken"] <= 3 * r["size"] for r in got)
