@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recollect.llm import chat, exact, minhash, mixing
+from recollect.llm import bpe, chat, exact, lm, minhash, mixing
 from recollect.session import ship_package
 from recollect.sources.tables import read_table
 
@@ -40,6 +40,22 @@ def op3_exact_dedup(spark, sf_dir):
     return exact.deduplicate(read_table(spark, "documents", sf_dir), exact.fresh_index(spark)).drop("n_points")
 
 
+@query
+def op5_lm_scoring(spark, sf_dir):
+    return lm.score(read_table(spark, "documents", sf_dir))
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op6_bpe(spark, sf_dir):
+    return bpe.round_trip(read_table(spark, "documents", sf_dir), bpe.load(spark, vocabulary_path()))
+
+
 MARKS = "<|im_end|><|im_start|>assistant ok"
 
 
