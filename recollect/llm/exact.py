@@ -133,8 +133,9 @@ def fresh_index(spark: SparkSession, id_type: str = "bigint") -> DigestIndex:
 
 def kept_rows(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """`docs` without the rows that `deduplicate` drops, all columns."""
-    decided = deduplicate(docs, index).where("kept").select("doc_id", F.unhex("text_sha256"), "n_points")
-    kept = materialise(decided.toDF("_kept_id", "_kept_digest", "_kept_points"), "kept")
+    agreeing = deduplicate(docs, index).groupBy("doc_id", F.unhex("text_sha256"), "n_points")
+    kept = agreeing.agg(F.max("kept").alias("kept"), F.count("*").alias("copies")).where("kept").drop("kept")
+    kept = materialise(kept.toDF("_kept_id", "_kept_digest", "_kept_points", "_copies"), "kept")
     marked = docs.withColumns(
         {"_digest": text_digest(F.col("text")), "_points": F.length(F.coalesce("text", F.lit("")))}
     )
@@ -143,11 +144,8 @@ def kept_rows(docs: DataFrame, index: DigestIndex) -> DataFrame:
         & (marked["_digest"] == kept["_kept_digest"])
         & (marked["_points"] == kept["_kept_points"])
     )
-    found = marked.join(kept, same, "left_semi")
-    # only rows that agree in id, text and length can pass more than once
-    counted = found.groupBy("doc_id", "_digest").agg(F.count("*").alias("n")).where("n > 1")
-    twice = materialise(counted.select("doc_id", "_digest").toDF("_twice_id", "_twice_digest"), "repeated")
-    again = found["doc_id"].eqNullSafe(twice["_twice_id"]) & (found["_digest"] == twice["_twice_digest"])
-    single = found.join(twice, again, "left_anti")
-    repeated = found.join(twice, again, "left_semi").dropDuplicates(["doc_id", "_digest"])
-    return single.unionByName(repeated).select(*docs.columns)
+    found = marked.join(kept, same)
+    out = found.where("_copies = 1")
+    if not kept.where("_copies > 1").isEmpty():  # rows that agree in id, text and length
+        out = out.unionByName(found.where("_copies > 1").dropDuplicates(["_kept_id", "_digest"]))
+    return out.select(*docs.columns)

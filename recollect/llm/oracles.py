@@ -95,3 +95,43 @@ SELECT conv_id, count(*) AS n_turns,
        0::BIGINT AS expanded_tokens
 FROM turns GROUP BY conv_id
 """
+
+ORACLES["op10_hamming_topk"] = """
+WITH codes AS (
+  SELECT vec_id AS id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '')::BIT
+         AS code FROM embeddings),
+ranked AS (
+  SELECT q.id AS query_id, c.id, bit_count(xor(q.code, c.code))::INTEGER AS distance,
+         row_number() OVER (PARTITION BY q.id ORDER BY bit_count(xor(q.code, c.code)), c.id)::INTEGER AS rank
+  FROM codes q CROSS JOIN codes c WHERE q.id % 50 = 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+def _license_sql() -> str:
+    from recollect.llm.licenses import KNOWN
+
+    quoted = ", ".join(
+        "('" + name + "', '" + text.replace("'", "''") + "')" for name, texts in KNOWN.items() for text in texts
+    )
+    plain = r"""regexp_replace(regexp_replace(lower(coalesce(text, '')),
+      '(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©)([^\p{L}\p{N}\n][^\n]*)?$', '', 'g'), '[^\p{L}\p{M}\p{N}\n]+', ' ', 'g')"""
+    plain = f"replace(replace({plain}, 'licence', 'license'), 'licenced', 'licensed')"
+    plain = f"replace(replace({plain}, 'non commercial', 'noncommercial'), 'sub license', 'sublicense')"
+    lines = f"list_filter(list_transform(string_split({plain}, chr(10)), lambda x: trim(x)), lambda x: x <> '')"
+    return f"""
+WITH known AS (
+  SELECT sha256(array_to_string({lines}, ' ')) AS digest, min(license_id) AS license_id
+  FROM (VALUES {quoted}) AS k (license_id, text) GROUP BY 1),
+docs AS (SELECT doc_id, {lines} AS lines FROM documents),
+units AS (SELECT doc_id, unnest(list_transform(lines, lambda x: sha256(x))) AS digest FROM docs),
+named AS (
+  SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS line_licenses, count(*) AS n
+  FROM units JOIN known USING (digest) GROUP BY doc_id)
+SELECT d.doc_id, k.license_id, n.line_licenses, coalesce(n.n, 0) AS n_license_lines,
+       sha256(array_to_string(d.lines, ' ')) AS canonical_sha256
+FROM docs d LEFT JOIN known k ON k.digest = sha256(array_to_string(d.lines, ' ')) LEFT JOIN named n USING (doc_id)
+"""
+
+
+ORACLES["op7_license_scan"] = _license_sql()

@@ -6,8 +6,9 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recollect.llm import bpe, chat, exact, lm, minhash, mixing
+from recollect.llm import bpe, chat, exact, hamming, licenses, lm, minhash, mixing, quality, toxicity
 from recollect.session import ship_package
 from recollect.sources.tables import read_table
 
@@ -40,6 +41,15 @@ def op3_exact_dedup(spark, sf_dir):
     return exact.deduplicate(read_table(spark, "documents", sf_dir), exact.fresh_index(spark)).drop("n_points")
 
 
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, "labels", sf_dir).select("doc_id", F.col("quality").alias("grade"))
+
+
+@query
+def op4_quality(spark, sf_dir):
+    return quality.score(read_table(spark, "documents", sf_dir), ratings(spark, sf_dir))
+
+
 @query
 def op5_lm_scoring(spark, sf_dir):
     return lm.score(read_table(spark, "documents", sf_dir))
@@ -56,6 +66,11 @@ def op6_bpe(spark, sf_dir):
     return bpe.round_trip(read_table(spark, "documents", sf_dir), bpe.load(spark, vocabulary_path()))
 
 
+@query
+def op7_license_scan(spark, sf_dir):
+    return licenses.scan(read_table(spark, "documents", sf_dir), licenses.known_digests(spark))
+
+
 MARKS = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -67,3 +82,20 @@ def op8_chat_format(spark, sf_dir):
         [(-1, 0, "user", MARKS), (-1, 1, "assistant", MARKS)], "conv_id long, turn long, role string, text string"
     )
     return chat.read_back(chat.format_turns(turns.select(*marked.columns).unionByName(marked)))
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    labels = read_table(spark, "labels", sf_dir).select("doc_id", "toxic")
+    return toxicity.score(read_table(spark, "documents", sf_dir), labels)
+
+
+CODE_BITS, NEIGHBOURS, QUERY_STEP = 64, 10, 50
+
+
+@query
+def op10_hamming_topk(spark, sf_dir):
+    """Sign codes of all embeddings; every row whose id is divisible by QUERY_STEP is a query."""
+    codes = hamming.sign_codes(read_table(spark, "embeddings", sf_dir), "vec_id", "embedding", CODE_BITS)
+    queries = codes.where(F.col("id") % QUERY_STEP == 0)
+    return hamming.nearest(codes, queries, CODE_BITS, NEIGHBOURS)
