@@ -487,6 +487,7 @@ ORACLES["apply_changes"] = APPLIED
 ORACLES["stream_sync"] = APPLIED
 ORACLES["diff_then_apply"] = f"SELECT {ORDER} FROM orders"
 ORACLES["stream_ingest"] = "SELECT event_id, user_id, event_type, 'first' AS feed_run FROM events"
+ORACLES["stream_restart"] = "SELECT event_id, user_id, event_type, value FROM events"
 ORACLES["reconcile_counts"] = with_(MIRROR) + """
 SELECT 'orders' AS table_name, s.n AS src_rows, m.n AS dst_rows,
        CASE WHEN s.n = m.n THEN 'ok' ELSE 'mismatch' END AS status

@@ -683,6 +683,18 @@ def stream_ingest(spark, sf_dir):
     return stored.select("event_id", "user_id", "event_type", feeds.RUN)
 
 
+@query
+def stream_restart(spark, sf_dir):
+    """The first checkpoint is lost after everything was stored; a new one delivers it all again."""
+    events = read_table(spark, "events", sf_dir)
+    sink = scratch_path(spark, "turns")
+    for _ in range(2):
+        incoming = feeds.stream_table(spark, sf_dir, events.schema, "events.parquet")
+        checkpoint = scratch_path(spark, "checkpoint")
+        feeds.ingest_stream(incoming, sink, checkpoint, [F.col("ts").asc()], key="event_id").awaitTermination()
+    return feeds.read_batches(spark, sink, events.schema).select("event_id", "user_id", "event_type", "value")
+
+
 @query
 def reconcile_counts(spark, sf_dir):
     orders = _orders(spark, sf_dir)

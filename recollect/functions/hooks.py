@@ -18,9 +18,16 @@ Embed = Callable[[Sequence[str]], Sequence[Sequence[float]]]
 def generated(prompt: Column, generate: Generate) -> Column:
     """Text a model gives for each prompt, called once per Arrow batch inside the tasks.
 
-    A batch whose call fails yields NULLs instead of failing the job; NULL prompts are not sent.
+    When a call fails, its prompts are sent one by one, and only those that fail again yield NULL;
+    the job goes on. NULL prompts are not sent.
     """
 
+    def alone(prompt: str) -> str | None:
+        try:
+            return next(iter(generate([prompt])))
+        except Exception:
+            return None
+
     @F.pandas_udf("string")
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for prompts in batches:
@@ -30,14 +37,17 @@ def generated(prompt: Column, generate: Generate) -> Column:
                 try:
                     answers[asked.index] = list(generate(asked.tolist()))
                 except Exception:
-                    answers[:] = None
+                    answers[asked.index] = [alone(p) for p in asked]
             yield answers
 
     return call(prompt)
 
 
-def embedded(text: Column, embed: Embed) -> Column:
-    """The vector a model gives for each text, called once per Arrow batch inside the tasks."""
+def embedded(text: Column, embed: Embed, dim: int | None = None) -> Column:
+    """The vector a model gives for each text, called once per Arrow batch inside the tasks.
+
+    A vector of another width than `dim` fails the job.
+    """
 
     @F.pandas_udf("array<float>")
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -47,6 +57,8 @@ def embedded(text: Column, embed: Embed) -> Column:
             if len(asked):
                 for position, vector in zip(asked.index, embed(asked.tolist()), strict=True):
                     vectors[position] = np.asarray(vector, dtype=np.float32)
+                    if dim is not None and vectors[position].shape != (dim,):
+                        raise ValueError(f"the model gave {vectors[position].shape} values, not {dim}")
             yield vectors
 
     return call(text)

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 
 def business_key(prefix: str, *parts: Column | str) -> Column:
-    """`prefix:part:part…` — the replayable identity of a fact."""
+    """`prefix:part:part…` — the replayable identity of a fact.
+
+    A colon or backslash in a part gets a backslash, so different parts never give one key.
+    """
     pieces: list[Column] = [F.lit(prefix)]
     for part in parts:
-        pieces += [F.lit(":"), F.col(part) if isinstance(part, str) else part]
+        value = F.col(part) if isinstance(part, str) else part
+        pieces += [F.lit(":"), F.regexp_replace(value.cast("string"), r"([\\:])", r"\\$1")]
     return F.concat(*pieces)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from recollect.functions import scoring
 from recollect.functions.hooks import Generate, generated
-from recollect.functions.keys import business_key
+from recollect.functions.keys import all_present, business_key
 from recollect.operators.upsert import update_where
 from recollect.session import materialise
 
@@ -50,8 +50,8 @@ class Candidates(NamedTuple):
 
 
 def usable(turns: DataFrame) -> DataFrame:
-    """Turns that can support a fact: they have a topic and a business key."""
-    return turns.where(F.col("topic").isNotNull() & F.col("ext_id").isNotNull())
+    """Turns that can support a fact: they have a business key, a topic, an owner and an entity."""
+    return turns.where(all_present(["ext_id", *(c for c in SCOPE if c in turns.columns)]))
 
 
 def summarise(

@@ -25,10 +25,10 @@ def embed_corpus(
 ) -> DataFrame:
     """Attach a vector to the row its text is in, from a model or by feature hashing.
 
-    Check the width with `quality.vector_width` before publishing.
+    A model's vectors must be `dim` wide, or the job fails.
     """
     if embed is not None:
-        return corpus.withColumn(out, embedded(F.col(text_col), embed))
+        return corpus.withColumn(out, embedded(F.col(text_col), embed, dim))
     listed = corpus.withColumn("_words", txt.words(F.coalesce(text_col, F.lit(""))))
     listed = listed.withColumn("_terms", txt.without_stop_words("_words"))
     return hashed_embedding(listed, "_terms", out, dim).drop("_words", "_terms")

@@ -55,7 +55,7 @@ def sessions(turns: DataFrame, existing: DataFrame | None = None) -> DataFrame:
             "started_at",
         )
     )
-    return built if existing is None else insert_if_absent(existing, built, ["session_id"])
+    return built if existing is None else insert_if_absent(existing, built, ["session_id"], unique=True)
 
 
 def scoped(turns: DataFrame, rep: str | None = None, hcp: str | None = None) -> DataFrame:
@@ -176,7 +176,7 @@ def agent_knows_per_scope(
         (F.col("status") == "active") & _matches_text(F.col("fact_text"), text, escape)
     )
     fields = ["confidence", "source_key", "scope", "fact_text"]
-    entry = F.struct((-F.col("confidence")).alias("_order"), *fields[1:])
+    entry = F.struct(F.col("confidence").isNull().alias("_last"), (-F.col("confidence")).alias("_order"), *fields[1:])
     shared = (
         hits.where(F.col("scope") == "org")
         .orderBy(*_by_confidence())
@@ -189,7 +189,7 @@ def agent_knows_per_scope(
         .groupBy("rep_id", "hcp_id")
         .agg(F.collect_list(entry).alias("own"))
     )
-    nothing = F.array().cast("array<struct<_order:double,source_key:string,scope:string,fact_text:string>>")
+    nothing = F.array().cast("array<struct<_last:boolean,_order:double,source_key:string,scope:string,fact_text:string>>")
     best = F.slice(F.sort_array(F.concat(F.coalesce("own", nothing), shared)), 1, k)
     return (
         scopes.select("rep_id", "hcp_id")

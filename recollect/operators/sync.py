@@ -29,7 +29,7 @@ def diff_changes(
 ) -> DataFrame:
     """The change feed that turns `old` into `new`, one commit.
 
-    One full outer join; rows equal under null-safe comparison of every column produce nothing.
+    One full outer join; keys and columns are compared null-safely, and equal rows produce nothing.
     """
     keys = require_key(keys, "incremental")
     columns = new.columns
@@ -39,7 +39,7 @@ def diff_changes(
         before.select("*", F.lit(True).alias("_b")).alias("before")
         .join(
             after.select("*", F.lit(True).alias("_a")).alias("after"),
-            [F.col(f"before.{k}") == F.col(f"after.{k}") for k in keys],
+            reduce(lambda a, b: a & b, [F.col(f"before.{k}").eqNullSafe(F.col(f"after.{k}")) for k in keys]),
             "full_outer",
         )
     )
@@ -69,10 +69,14 @@ def diff_changes(
 
 
 def latest_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The change that decides each key: newest commit, and within one commit the row that stays."""
+    """The change that decides each key: newest commit, and within one commit the row that stays.
+
+    Rows that agree in both are ordered by their other columns.
+    """
     decisive = changes.where(F.col("_change_type") != PREIMAGE)
     stays = (F.col("_change_type") != DELETE).cast("int")
-    return first_per_key(decisive, keys, [F.col("_commit_version").desc(), stays.desc()])
+    rest = [F.col(c).asc_nulls_last() for c in changes.columns if c not in (*keys, *CHANGE_COLUMNS)]
+    return first_per_key(decisive, keys, [F.col("_commit_version").desc(), stays.desc(), *rest])
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str] | None) -> DataFrame:
@@ -84,7 +88,9 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str] | N
     keys = require_key(keys, "incremental")
     latest = latest_changes(changes, keys)
     changed = changes.where(F.col("_change_type") != PREIMAGE).select(*keys).distinct()
-    untouched = target.join(changed, keys, "left_anti").select(*target.columns)
+    changed = changed.toDF(*(f"_changed_{k}" for k in keys))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_changed_{k}")) for k in keys])
+    untouched = target.join(changed, same, "left_anti").select(*target.columns)
     written = latest.where(F.col("_change_type") != DELETE).drop(*CHANGE_COLUMNS)
     return untouched.unionByName(written, allowMissingColumns=True)
 

@@ -29,15 +29,21 @@ def new_rows(
     batch: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[Column] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Rows of `batch` whose key `existing` does not hold yet.
 
-    `order_by` is the arrival order inside the batch: the first row of a key wins. Leave it out for
-    a batch that is already unique per key; that saves one shuffle.
+    `order_by` is the arrival order inside the batch: the first row of a key wins, without it the
+    smallest row by its other columns. `unique` states that the batch has each key once; that saves
+    one shuffle.
     """
-    if order_by is None:
+    if unique:
         return batch.join(existing.select(*keys), list(keys), "left_anti").select(*batch.columns)
-    keyed = first_per_key(batch.where(all_present(keys)), keys, order_by)
+    keyed, rest = batch.where(all_present(keys)), [c for c in batch.columns if c not in keys]
+    if order_by is None and not rest:
+        keyed = keyed.distinct()
+    else:
+        keyed = first_per_key(keyed, keys, order_by or [F.col(c).asc_nulls_last() for c in rest])
     keyed = keyed.join(existing.select(*keys), list(keys), "left_anti").select(*batch.columns)
     return keyed.unionByName(batch.where(~all_present(keys)))
 
@@ -47,10 +53,11 @@ def insert_if_absent(
     batch: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[Column] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """`existing` plus the rows of `batch` with a new key; columns new to either side become NULL."""
     return existing.unionByName(
-        new_rows(existing, batch, keys, order_by), allowMissingColumns=True
+        new_rows(existing, batch, keys, order_by, unique), allowMissingColumns=True
     )
 
 
@@ -59,9 +66,10 @@ def insert_new(
     batch: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[Column] | None = None,
+    unique: bool = False,
 ) -> Inserted:
     """`insert_if_absent` that also returns the rows it added, to link lineage for those only."""
-    added = new_rows(existing, batch, keys, order_by)
+    added = new_rows(existing, batch, keys, order_by, unique)
     return Inserted(existing.unionByName(added, allowMissingColumns=True), added)
 
 

@@ -1,12 +1,14 @@
 """Structured Streaming jobs: change-feed sync and turn ingest.
 
-Each micro-batch writes its own folder, named after the run and the batch id and overwritten on a
-retry, so a batch that is replayed after a lost executor or a restart leaves one copy. A mirror is
+Each micro-batch writes its own folder, named after the run, the id that Spark keeps in the checkpoint,
+and the batch id. It is overwritten on a retry, so a batch that is replayed after a lost executor or a
+restart leaves one copy; a new checkpoint has another id and overwrites nothing. A mirror is
 its base version plus all change batches; `compact` writes that as the next base version.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -19,7 +21,7 @@ from recollect.functions.keys import all_present, first_per_key
 from recollect.operators.sync import apply_changes, latest_changes, require_key
 from recollect.sources.sinks import write_version
 
-RUN, BATCH = "feed_run", "feed_batch"
+RUN, QUERY, BATCH = "feed_run", "feed_query", "feed_batch"
 
 
 def stream_table(
@@ -46,15 +48,21 @@ def start(
     raise ValueError(f"unknown stream mode: {mode}")
 
 
-def _batch_path(sink: str, run: str, batch_id: int) -> str:
-    return f"{sink.rstrip('/')}/{RUN}={run}/{BATCH}={batch_id}"
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that a checkpoint belongs to; Spark writes it before the first batch."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]
+
+
+def _batch_path(sink: str, run: str, query: str, batch_id: int) -> str:
+    return f"{sink.rstrip('/')}/{RUN}={run}/{QUERY}={query}/{BATCH}={batch_id}"
 
 
 def read_batches(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame:
-    """All rows written to a sink so far, with the run and batch they came in."""
+    """All rows written to a sink so far, with the run, query and batch they came in."""
     full = (
         T.StructType([*schema.fields])
         .add(RUN, T.StringType())
+        .add(QUERY, T.StringType())
         .add(BATCH, T.LongType())
     )
     try:
@@ -78,7 +86,7 @@ def sync_stream(
     keys = require_key(keys, mode)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        path = _batch_path(sink, run, batch_id)
+        path = _batch_path(sink, run, _query_id(batch.sparkSession, checkpoint), batch_id)
         latest_changes(batch, keys).write.mode("overwrite").parquet(path)
 
     return start(changes, on_batch, checkpoint, mode, interval)
@@ -86,7 +94,7 @@ def sync_stream(
 
 def read_mirror(base: DataFrame, sink: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
     """The mirrored table as of now: the base version with all stored change batches applied."""
-    changes = read_batches(base.sparkSession, sink, schema).drop(RUN, BATCH)
+    changes = read_batches(base.sparkSession, sink, schema).drop(RUN, QUERY, BATCH)
     return apply_changes(base, changes, keys)
 
 
@@ -116,8 +124,9 @@ def ingest_stream(
     schema = turns.schema
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        query = _query_id(batch.sparkSession, checkpoint)
         stored = read_batches(batch.sparkSession, sink, schema)
-        own = (F.col(RUN) == run) & (F.col(BATCH) >= batch_id)
+        own = (F.col(QUERY) == query) & (F.col(BATCH) >= batch_id)
         known = stored.where(~own).select(key)
         if existing is not None:
             known = known.unionByName(existing.select(key))
@@ -125,7 +134,7 @@ def ingest_stream(
         known = known.join(keyed.select(key), key, "left_semi")
         fresh = keyed.join(known, key, "left_anti").select(*batch.columns)
         fresh = fresh.unionByName(batch.where(~all_present([key])))
-        fresh.write.mode("overwrite").parquet(_batch_path(sink, run, batch_id))
+        fresh.write.mode("overwrite").parquet(_batch_path(sink, run, query, batch_id))
 
     return start(turns, on_batch, checkpoint, mode, interval)
 

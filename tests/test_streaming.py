@@ -43,12 +43,40 @@ def test_a_retried_batch_replaces_itself(spark, tmp_path):
     folder, sink = str(tmp_path / "feed"), str(tmp_path / "sink")
     write(spark, folder, [("a", 1, "insert", 1)])
     schema = spark.read.parquet(folder).schema
-    for checkpoint in ("c1", "c2"):
+    for _ in range(2):
         stream = feeds.stream_table(spark, folder, schema)
-        feeds.sync_stream(stream, sink, str(tmp_path / checkpoint), ["id"]).awaitTermination()
+        feeds.sync_stream(stream, sink, str(tmp_path / "c1"), ["id"]).awaitTermination()
+        for done in (tmp_path / "c1" / "commits").glob("*0*"):
+            done.unlink()  # as if the job was lost before the batch was noted as done
     assert feeds.read_batches(spark, sink, schema).count() == 1
 
 
+def test_a_new_checkpoint_loses_and_doubles_nothing(spark, tmp_path):
+    first, second, sink = str(tmp_path / "first"), str(tmp_path / "second"), str(tmp_path / "sink")
+    schema = "ext_id string, v int"
+    write(spark, first, [("a", 1), ("b", 1), ("c", 1)], schema)
+    write(spark, second, [("c", 2), ("d", 2)], schema)
+    read = spark.read.parquet(first).schema
+    for number, folder in enumerate((first, second)):
+        stream = feeds.stream_table(spark, folder, read)
+        order = [F.col("v").asc()]
+        feeds.ingest_stream(stream, sink, str(tmp_path / f"c{number}"), order).awaitTermination()
+    stored = feeds.read_batches(spark, sink, read)
+    assert rows(stored, "ext_id", "v") == [("a", 1), ("b", 1), ("c", 1), ("d", 2)]
+
+
+def test_a_mirror_survives_a_new_checkpoint(spark, tmp_path):
+    sink = str(tmp_path / "sink")
+    base = spark.createDataFrame([], "id string, v int")
+    for number, data in enumerate(([("a", 1, "insert", 1), ("b", 1, "insert", 1)], [("c", 1, "insert", 2)])):
+        folder = str(tmp_path / f"feed{number}")
+        write(spark, folder, data)
+        schema = spark.read.parquet(folder).schema
+        stream = feeds.stream_table(spark, folder, schema)
+        feeds.sync_stream(stream, sink, str(tmp_path / f"c{number}"), ["id"]).awaitTermination()
+    assert rows(feeds.read_mirror(base, sink, schema, ["id"])) == [("a", 1), ("b", 1), ("c", 1)]
+
+
 def test_continuous_mode_keeps_following(spark, tmp_path):
     folder, sink = str(tmp_path / "feed"), str(tmp_path / "sink")
     write(spark, folder, [("a", 1, "insert", 1)])
