@@ -336,9 +336,9 @@ def fit(texts: DataFrame, counts: DataFrame) -> Model:
     size = min(size, MOST_BITS)
     bits = np.zeros(size // 8, dtype=np.uint8)
     width = size // 8 // segments
-    slices = counted.mapInArrow(_build_slice(lowest, size // segments), "segment int, bits binary").toArrow()
-    for segment, part in zip(slices["segment"].to_pylist(), slices["bits"], strict=True):
-        bits[segment * width : (segment + 1) * width] = np.frombuffer(part.as_buffer(), np.uint8)
+    slices = counted.mapInArrow(_build_slice(lowest, size // segments), "segment int, bits binary")
+    for part in materialise(slices, "filter").toLocalIterator():  # the driver holds one copy of the bits
+        bits[part["segment"] * width : (part["segment"] + 1) * width] = np.frombuffer(part["bits"], np.uint8)
 
     # the most frequent words, at most FREQUENT: all words above a count that the histogram gives
     step = F.floor(16 * F.log2("n"))
