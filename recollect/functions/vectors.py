@@ -80,6 +80,8 @@ def nearest_in(batches: Iterator[pa.RecordBatch], queries: Queries, k: int) -> I
     A batch holds columns `id` and `vector`, and `tenant` when the queries have tenants: then a
     query sees the rows of its own tenant only. An undefined distance ranks last, as NULL.
     """
+    if not len(queries.ids):
+        return
     width = queries.vectors.shape[1]
     wanted = _unit(queries.vectors.astype(np.float64))
     blocks = [slice(s, s + QUERY_BLOCK) for s in range(0, len(wanted), QUERY_BLOCK)]

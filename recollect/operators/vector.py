@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,12 +15,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from recollect.functions.keys import top_k
 from recollect.functions.vectors import Queries, nearest_in
 from recollect.operators.corpus import ID, LEG_K, VECTOR, filtered
+from recollect.session import materialise
 
-# Below these counts a set of queries is shipped to every task; above, queries and corpus are
-# shuffled against each other instead.
-SHIPPED_QUERIES = 1024
-SHIPPED_VALUES = 4_000_000
-SLICE_ROWS = 50_000
+# Numbers in one block of query vectors, 32 MB of doubles: what the driver holds and a task is sent.
+BLOCK_VALUES = 4_000_000
 
 
 def _vectors(corpus: DataFrame, tenant: str | None) -> DataFrame:
@@ -67,69 +65,50 @@ def vector_topk_batch(
 ) -> DataFrame:
     """`(query_id, content_id, distance, rank)` for a table of queries (query_id, qvec); exact.
 
-    With `tenant`, a column of both tables, each query sees its own tenant's rows only. A bounded
-    set of queries is shipped to the tasks, which read the corpus once and shuffle only the best
-    `k` per query and task. A larger set is cut into blocks and met by slices of the corpus.
+    With `tenant`, a column of both tables, each query sees its own tenant's rows only. Queries go
+    to the tasks in blocks of at most `BLOCK_VALUES` numbers, one block on the driver at a time.
+    For each block the corpus is read once, where it lies, and only the best `k` per query and task
+    are shuffled. The answers of a block are written to the shared folder before the next is taken.
     """
     rows = _vectors(filtered(corpus, where), tenant)
     columns = ["query_id", "qvec", *([F.col(tenant).cast("string").alias("tenant")] if tenant else [])]
     asked = queries.where(F.col("qvec").isNotNull()).select(*columns)
     schema = _nearest_schema(corpus, queries.schema["query_id"].dataType.simpleString())
-    id_type = to_arrow_type(queries.schema["query_id"].dataType)
-
-    shipped = asked.limit(SHIPPED_QUERIES + 1).collect()
-    if len(shipped) <= SHIPPED_QUERIES and sum(len(r["qvec"]) for r in shipped) <= SHIPPED_VALUES:
-        if not shipped:
-            found = rows.sparkSession.createDataFrame([], schema)
-        else:
-            bounded = Queries(
-                pa.array([r["query_id"] for r in shipped], type=id_type),
-                np.asarray([r["qvec"] for r in shipped], dtype=np.float64),
-                np.array([r["tenant"] for r in shipped], dtype=object) if tenant else None,
-            )
-
-            def scan(batches):
-                return nearest_in(batches, bounded, k)
-
-            found = rows.mapInArrow(scan, schema)
-    else:
-        found = _nearest_by_blocks(rows, asked, schema, id_type, k, tenant)
     order = [F.col("distance").asc_nulls_last(), F.col("id").asc()]
-    return top_k(found, ["query_id"], order, k, "rank").withColumnRenamed("id", ID)
 
-
-def _nearest_by_blocks(
-    rows: DataFrame, asked: DataFrame, schema: str, id_type: pa.DataType, k: int, tenant: str | None
-) -> DataFrame:
-    """Blocks of queries against slices of the corpus, each pair bounded and in its own task."""
-    blocks = max(1, -(-asked.count() // (SHIPPED_QUERIES // 2)))
-    slices = max(1, -(-rows.count() // SLICE_ROWS))
-    hashed = F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int")
-    stored = rows.withColumn("slice", hashed).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    )
-    hashed = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
-    wanted = asked.withColumn("block", hashed).withColumn(
-        "slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
-    )
-
-    stored_id_type = to_arrow_type(rows.schema["id"].dataType)
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows and right.num_rows:
-            bounded = Queries(
-                right.column("query_id").cast(id_type).combine_chunks(),
-                np.asarray(right.column("qvec").to_pylist(), dtype=np.float64),
-                np.array(right.column("tenant").to_pylist(), dtype=object) if tenant else None,
-            )
-            best = list(nearest_in(iter(left.to_batches()), bounded, k))
-            if best:
-                return pa.Table.from_batches(best)
-        names = {"query_id": id_type, "id": stored_id_type, "distance": pa.float64()}
-        return pa.table({name: pa.array([], type=kind) for name, kind in names.items()})
-
-    by = ["slice", "block"]
-    return stored.groupBy(*by).cogroup(wanted.groupBy(*by)).applyInArrow(meet, schema)
+    def answers(block: Queries) -> DataFrame:
+        def scan(batches):
+            return nearest_in(batches, block, k)
+
+        return top_k(rows.mapInArrow(scan, schema), ["query_id"], order, k, "rank")
+
+    blocks = _blocks(asked, bool(tenant))
+    found = answers(next(blocks))
+    for block in blocks:
+        found = found.unionByName(materialise(answers(block), "nearest"))
+    return found.withColumnRenamed("id", ID)
+
+
+def _blocks(asked: DataFrame, tenants: bool) -> Iterator[Queries]:
+    """The queries in blocks of at most `BLOCK_VALUES` numbers; at least one block, maybe empty."""
+    id_type = to_arrow_type(asked.schema["query_id"].dataType)
+
+    def packed(block: list) -> Queries:
+        return Queries(
+            pa.array([r["query_id"] for r in block], type=id_type),
+            np.asarray([r["qvec"] for r in block], dtype=np.float64).reshape(len(block), -1 if block else 0),
+            np.array([r["tenant"] for r in block], dtype=object) if tenants else None,
+        )
+
+    block: list = []
+    values = 0
+    for row in asked.toLocalIterator():
+        if block and values + len(row["qvec"]) > BLOCK_VALUES:
+            yield packed(block)
+            block, values = [], 0
+        block.append(row)
+        values += len(row["qvec"])
+    yield packed(block)
 
 
 # --- approximate vector search ----------------------------------------------------------------

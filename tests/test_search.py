@@ -127,13 +127,11 @@ def by_query(df, value="content_id", order="rank"):
     return out
 
 
-@pytest.fixture(params=["shipped", "by blocks"])
+@pytest.fixture(params=["one block", "three queries a block", "one query a block"])
 def size_of_batch(request, monkeypatch):
-    """Both ways of meeting queries and corpus."""
-    if request.param == "by blocks":
-        monkeypatch.setattr(vectors, "SHIPPED_QUERIES", 4)
-        monkeypatch.setattr(vectors, "SLICE_ROWS", 9)
-        monkeypatch.setattr(vectors, "SHIPPED_VALUES", 1)
+    """The queries in one block and in several."""
+    if request.param != "one block":
+        monkeypatch.setattr(vectors, "BLOCK_VALUES", 12 if "three" in request.param else 1)
 
 
 @pytest.mark.parametrize("tenant", [None, "brand"])
@@ -147,6 +145,16 @@ def test_batch_vectors_equal_brute_force(corpus, queries, tenant, size_of_batch)
     assert found == {q: r for q, r in expected.items() if r}
 
 
+def test_batch_vectors_leave_the_corpus_where_it_lies(corpus, queries):
+    found = search.vector_topk_batch(corpus, queries, 7)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan and "Generate" not in plan
+
+
+def test_no_queries_give_no_rows(corpus, queries):
+    assert search.vector_topk_batch(corpus, queries.where("query_id < 0"), 7).count() == 0
+
+
 @pytest.mark.parametrize("tenant", [None, "A"])
 @pytest.mark.parametrize("query", ["dose liver", "store", "ünder x1", "nothing", "the of", ""])
 def test_keyword_topk_equals_brute_force(corpus, index, query, tenant):
