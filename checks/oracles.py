@@ -147,7 +147,7 @@ SELECT rep_id, hcp_id, rn, ext_id FROM (
   FROM turns) WHERE rn <= 5"""
 
 ORACLES["recall_conversation_tail"] = """
-SELECT conv_id, turn, role, left(text, 60) AS snippet FROM (
+SELECT conv_id, turn, role, text FROM (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations)
 WHERE rn <= 3"""
 
@@ -161,12 +161,12 @@ ORACLES["promote_latest"] = with_(
     f"""
 ranked AS (
   SELECT *, row_number() OVER (
-    PARTITION BY rep_id, hcp_id
+    PARTITION BY rep_id, hcp_id, topic
     ORDER BY created_at < {MIDDLE} DESC, created_at DESC, ext_id DESC) AS rn
-  FROM turns WHERE topic = 'purchase')""",
+  FROM turns)""",
 ) + """
-SELECT 'handpromote:' || rep_id || ':' || hcp_id || ':purchase' AS source_key, rep_id, hcp_id,
-       'hcp' AS scope, 'buys repeatedly' AS fact_text, CAST(1.0 AS DOUBLE) AS confidence,
+SELECT 'handpromote:' || rep_id || ':' || hcp_id || ':' || topic AS source_key, rep_id, hcp_id,
+       'hcp' AS scope, 'comes back to it' AS fact_text, CAST(1.0 AS DOUBLE) AS confidence,
        'active' AS status, ext_id
 FROM ranked WHERE rn = 1"""
 
@@ -222,7 +222,7 @@ FROM turns"""
 
 ORACLES["update_by_key"] = """
 SELECT c_custkey, count(o_orderkey) AS n_orders
-FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'F'
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey
 GROUP BY c_custkey"""
 
 ORACLES["lineage_links"] = with_(TURNS_SQL, clusters(), LINKS) + """
@@ -296,7 +296,7 @@ WHERE rn <= 3"""
 
 ORACLES["trace_facts"] = with_(*BASE, LINKS) + """
 SELECT f.source_key, t.ext_id, t.rep_id AS turn_rep_id, t.hcp_id AS turn_hcp_id,
-       t.topic AS turn_topic, left(t.content, 60) AS snippet
+       t.topic AS turn_topic, t.content AS turn_content
 FROM facts f JOIN links l ON l.source_key = f.source_key JOIN turns t ON t.ext_id = l.ext_id"""
 
 ORACLES["lineage_coverage"] = with_(*DREAM) + f"""
@@ -474,7 +474,7 @@ APPLIED = with_(MIRROR, REPRICED) + f"""
 SELECT {ORDER} FROM repriced UNION ALL
 SELECT {ORDER} FROM mirror WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)"""
 
-ORACLES["snapshot_sync"] = f"SELECT {ORDER} FROM orders WHERE o_orderstatus <> 'P'"
+ORACLES["snapshot_sync"] = f"SELECT {ORDER} FROM orders"
 ORACLES["snapshot_diff"] = with_(MIRROR, COMPARED) + f"""
 SELECT {ORDER}, 'insert' AS _change_type, CAST(7 AS BIGINT) AS _commit_version
 FROM orders JOIN compared USING (o_orderkey) WHERE status = 'missing'
@@ -508,7 +508,7 @@ features AS (
            AS engagement_90d,
          CAST(date_diff('day', max(o_orderdate), TIMESTAMP '{FEATURES_AS_OF}') AS INTEGER)
            AS days_since_last_interaction
-  FROM orders WHERE o_orderstatus = 'F' AND o_orderdate <= TIMESTAMP '{FEATURES_AS_OF}'
+  FROM orders WHERE o_orderdate <= TIMESTAMP '{FEATURES_AS_OF}'
   GROUP BY o_custkey)"""
 LOOKED_UP = """
 looked_up AS (
@@ -570,6 +570,6 @@ WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O' ORDER BY o_orderkey L
 ORACLES["ingest_conversations"] = """
 SELECT CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) AS ext_id,
        CAST(conv_id AS VARCHAR) AS session_id, CAST(turn AS INTEGER) AS turn_index, role,
-       CAST(length(text) AS INTEGER) AS n_chars
+       text AS content
 FROM conversations"""
 ORACLES["stream_publish"] = "SELECT c_custkey, c_acctbal, c_mktsegment FROM customer"

@@ -115,7 +115,7 @@ def recall_topk_per_scope(spark, sf_dir):
 def recall_conversation_tail(spark, sf_dir):
     talk = read_table(spark, "conversations", sf_dir)
     tail = top_k(talk, ["conv_id"], [F.col("turn").desc()], 3)
-    return tail.select("conv_id", "turn", "role", F.left("text", F.lit(60)).alias("snippet"))
+    return tail.select("conv_id", "turn", "role", "text")
 
 
 @query
@@ -127,10 +127,8 @@ def session_summary(spark, sf_dir):
 @query
 def promote_latest(spark, sf_dir):
     turns = adapters.turns(spark, sf_dir)
-    requests = (
-        turns.where(F.col("topic") == "purchase")
-        .groupBy("rep_id", "hcp_id", "topic")
-        .agg(F.lit("buys repeatedly").alias("fact_text"), ntz(AS_OF).alias("created_at"))
+    requests = turns.groupBy("rep_id", "hcp_id", "topic").agg(
+        F.lit("comes back to it").alias("fact_text"), ntz(AS_OF).alias("created_at")
     )
     start = mem.promote(before(turns, MIDDLE), mem.empty_memory(spark), requests)
     done = mem.promote(turns, start, requests)
@@ -164,7 +162,7 @@ def ingest_conversations(spark, sf_dir):
         F.col("conv_id").cast("string").alias("session_id"),
         F.col("turn").cast("int").alias("turn_index"),
         "role",
-        F.length("text").alias("n_chars"),
+        F.col("text").alias("content"),
     )
     first = mem.ingest_turns(talk.where(F.col("role") == "user"), talk, [F.col("turn_index").asc()])
     return mem.ingest_turns(first, talk, [F.col("turn_index").asc()])
@@ -228,7 +226,6 @@ def update_by_key(spark, sf_dir):
     )
     counted = (
         read_table(spark, "orders", sf_dir)
-        .where(F.col("o_orderstatus") == "F")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.count(F.lit(1)).alias("n_orders"))
     )
@@ -391,7 +388,7 @@ def trace_facts(spark, sf_dir):
     traced = mem.trace(found.facts.drop("topic", "n"), found.links, turns)
     return traced.select(
         "source_key", "ext_id", "turn_rep_id", "turn_hcp_id", "turn_topic",
-        F.left("turn_content", F.lit(60)).alias("snippet"),
+        "turn_content",
     )
 
 
@@ -590,8 +587,7 @@ def _mirror(orders: DataFrame) -> DataFrame:
 @query
 def snapshot_sync(spark, sf_dir):
     orders = _orders(spark, sf_dir)
-    source = orders.where(F.col("o_orderstatus") != "P").select(*ORDER)
-    mirror = sync.sync(source, _mirror(orders).select(*ORDER), "snapshot")
+    mirror = sync.sync(orders.select(*ORDER), _mirror(orders).select(*ORDER), "snapshot")
     return write_version(mirror, scratch_path(spark, "mirror"), 1)
 
 
@@ -733,8 +729,7 @@ LOOKUPS = [
 
 def _features(spark, sf_dir) -> DataFrame:
     orders = _orders(spark, sf_dir).withColumnRenamed("o_custkey", "c_custkey")
-    finished = orders.where(F.col("o_orderstatus") == "F")
-    return feat.build_features(finished, "c_custkey", "o_orderdate", FEATURES_AS_OF)
+    return feat.build_features(orders, "c_custkey", "o_orderdate", FEATURES_AS_OF)
 
 
 def _published(spark, sf_dir) -> dict[str, DataFrame]:
