@@ -109,8 +109,8 @@ decayed AS (
   FROM facts f)"""
 FACT = "source_key, rep_id, hcp_id, scope, fact_text, confidence, status"
 BASE = (TURNS_SQL, clusters(), facts())
-DREAM = (
-    *BASE, DIMENSION_SQL, LINKS, themes(), theme_facts(), THEME_LINKS, CONFLICTS, CLAIMS, DECAYED,
+DREAM_PASSES = (
+    DIMENSION_SQL, LINKS, themes(), theme_facts(), THEME_LINKS, CONFLICTS, CLAIMS, DECAYED,
     f"""
 dreamt AS (
   SELECT {FACT} FROM decayed UNION ALL SELECT {FACT} FROM theme_facts
@@ -120,6 +120,45 @@ dreamt_links AS (
   SELECT source_key, ext_id FROM links UNION SELECT source_key, ext_id FROM theme_links
   UNION SELECT source_key, ext_id FROM conflicts UNION SELECT source_key, ext_id FROM claims)""",
 )
+DREAM = (*BASE, *DREAM_PASSES)
+
+
+def refused(answer: str) -> dict[str, str]:
+    """Text and fallback of facts whose model gives `answer` but refuses one topic."""
+    sign = "'Recurring ''signup'' discussion pattern observed for this HCP.'"
+    return {
+        "text": f"CASE WHEN topic = 'signup' THEN {sign} ELSE {answer} END",
+        "fallback": "(topic = 'signup')",
+    }
+
+
+def chunked(turns_a_chunk: int, levels: int = 8) -> str:
+    """`chunked`: the clusters with the text that a model which quotes its prompt ends with."""
+    def chunks(of: str) -> str:
+        return f"CAST(ceil({of} / {turns_a_chunk}.0) AS BIGINT)"
+
+    cluster = "rep_id, hcp_id, topic, n"
+    parts = [f"""
+level0 AS (
+  SELECT {cluster}, chunk, chunks, 'noted: ' || string_agg(left(content, 160), ' | ' ORDER BY ext_id) AS text
+  FROM (SELECT c.*, t.content, t.ext_id, {chunks('c.n')} AS chunks,
+               CAST('0x' || left(md5(t.ext_id), 8) AS BIGINT) % {chunks('c.n')} AS chunk
+        FROM turns t JOIN clusters c USING (rep_id, hcp_id, topic))
+  GROUP BY {cluster}, chunk, chunks)"""]
+    for i in range(1, levels + 1):
+        parts.append(f"""
+level{i} AS (
+  SELECT {cluster}, part % fewer AS chunk, fewer AS chunks, 'noted: ' || string_agg(text, ' | ' ORDER BY part) AS text
+  FROM (SELECT *, chunk AS part, {chunks('chunks')} AS fewer FROM level{i - 1} WHERE chunks > 1)
+  GROUP BY {cluster}, part % fewer, fewer)""")
+    done = " UNION ALL ".join(
+        f"SELECT {cluster}, text FROM level{i} WHERE chunks = 1" for i in range(levels + 1)
+    )
+    parts.append(f"""
+chunked AS (
+  SELECT c.* REPLACE (d.text AS sample)
+  FROM clusters c JOIN ({done}) d USING (rep_id, hcp_id, topic))""")
+    return ",".join(parts)
 
 ORACLES["scan_scoped_turns"] = with_(TURNS_SQL) + f"""
 SELECT ext_id, rep_id, hcp_id, topic, {STAMP.format('created_at')}
@@ -228,9 +267,8 @@ GROUP BY c_custkey"""
 ORACLES["lineage_links"] = with_(TURNS_SQL, clusters(), LINKS) + """
 SELECT DISTINCT source_key, ext_id FROM links"""
 
-ORACLES["cluster_turns"] = with_(TURNS_SQL, clusters()) + """
-SELECT rep_id, hcp_id, topic, n, CAST(0 AS BIGINT) AS chunk, CAST(ceil(n / 256.0) AS BIGINT) AS chunks, sample
-FROM clusters"""
+ORACLES["cluster_turns"] = with_(TURNS_SQL, clusters(), chunked(256)) + """
+SELECT rep_id, hcp_id, topic, n, chunk, chunks, substr(text, 8) AS sample FROM level0"""
 
 ORACLES["largest_clusters"] = with_(TURNS_SQL, clusters()) + """
 SELECT rep_id, hcp_id, topic, n FROM clusters ORDER BY n DESC, rep_id, hcp_id, topic LIMIT 12"""
@@ -247,12 +285,10 @@ ORACLES["consolidate_fallback"] = with_(
 
 ORACLES["distil_clusters"] = with_(
     TURNS_SQL, clusters(),
-    facts(
-        text="CASE WHEN topic = 'signup' THEN "
-        "'Recurring ''signup'' discussion pattern observed for this HCP.' "
-        "ELSE 'noted: ' || sample END",
-        fallback="(topic = 'signup')",
-    ),
+    facts(**refused("'noted: ' || sample")),
+) + f"SELECT {FACT}, used_fallback FROM facts"
+ORACLES["distil_in_chunks"] = with_(
+    TURNS_SQL, clusters(), chunked(3), facts("chunked", **refused("sample"))
 ) + f"SELECT {FACT}, used_fallback FROM facts"
 
 ORACLES["abstract_themes"] = with_(TURNS_SQL, DIMENSION_SQL, themes(), theme_facts()) + f"""
@@ -270,6 +306,9 @@ ORACLES["hold_claims"] = with_(TURNS_SQL, CLAIMS) + f"SELECT {FACT}, ext_id FROM
 ORACLES["decay_facts"] = with_(*BASE, LINKS, DECAYED) + """
 SELECT source_key, confidence, status FROM decayed"""
 ORACLES["dream_facts"] = with_(*DREAM) + f"SELECT {FACT} FROM dreamt"
+ORACLES["dream_model_facts"] = with_(
+    TURNS_SQL, clusters(), facts(**refused("'noted: ' || sample")), *DREAM_PASSES
+) + f"SELECT {FACT} FROM dreamt"
 ORACLES["dream_lineage"] = with_(*DREAM) + "SELECT source_key, ext_id FROM dreamt_links"
 
 ORACLES["review_summary"] = with_(*DREAM) + """
@@ -335,15 +374,17 @@ def bm25_weight(df: str, tf: str, mean: str = "mean_length", texts: str = "texts
     )
 
 
-def keyword_leg(words: list[str], where: str = "TRUE", k: int = 20) -> str:
+def keyword_leg(words: list[list[str]], where: str = "TRUE", k: int = 20) -> str:
+    """All `words` are needed, each in any of its forms."""
     counts = ", ".join(
-        f"count(*) FILTER (list_contains(words, '{w}')) AS df{i}" for i, w in enumerate(words)
+        f"count(*) FILTER (list_has_any(words, {forms})) AS df{i}" for i, forms in enumerate(words)
     )
     tfs = ", ".join(
-        f"len(list_filter(words, lambda w: w = '{w}')) AS tf{i}" for i, w in enumerate(words)
+        f"len(list_filter(words, lambda w: list_contains({forms}, w))) AS tf{i}"
+        for i, forms in enumerate(words)
     )
     score = " + ".join(bm25_weight(f"df{i}", f"tf{i}") for i in range(len(words)))
-    needed = " AND ".join(f"list_contains(words, '{w}')" for w in words)
+    needed = " AND ".join(f"list_has_any(words, {forms})" for forms in words)
     return f"""
 own AS (SELECT * FROM docs WHERE {where}),
 stats AS (SELECT count(*) AS texts, avg(n_terms) AS mean_length, {counts} FROM own),
@@ -354,6 +395,12 @@ t AS (
   QUALIFY rank <= {k})"""
 
 
+WORDS = [["ndble"], ["tion"]]
+# The words with the stem of "tions", written out so that the SQL needs no stemmer.
+STEMMED = [
+    "tion tions tiones tioned tionedly tioning tioningly tionly tionlyed tionlying".split()
+]
+
 FUSED = """
 SELECT content_id, doc_type, left(chunk_text, 70) AS snippet, v.rank AS vector_rank,
        t.rank AS keyword_rank,
@@ -422,12 +469,16 @@ SELECT content_id, n_terms
 FROM (SELECT *, ' ' || array_to_string(words, ' ') || ' ' AS line FROM docs)
 WHERE regexp_matches(line, ' thanedble [^ ]+ onbleea ')
    OR (list_contains(words, 'onbleea') AND NOT list_contains(words, 'ndble'))"""
-ORACLES["bm25_topk"] = with_(*SEARCH, keyword_leg(["ndble", "tion"], "brand = 'en'")) + """
+ORACLES["bm25_topk"] = with_(*SEARCH, keyword_leg(WORDS, "brand = 'en'")) + """
 SELECT content_id, round(score, 6) AS score, rank FROM t"""
 ORACLES["bm25_topk_indexed"] = ORACLES["bm25_topk"]
-ORACLES["hybrid_rrf"] = with_(*SEARCH, vector_leg(), keyword_leg(["ndble", "tion"])) + FUSED
+ORACLES["bm25_topk_stemmed"] = with_(*SEARCH, keyword_leg(STEMMED, "brand = 'en'")) + """
+SELECT content_id, round(score, 6) AS score, rank FROM t"""
+ORACLES["ann_all_cells"] = ORACLES["vector_topk"]
+ORACLES["hybrid_stemmed"] = with_(*SEARCH, vector_leg(), keyword_leg(STEMMED)) + FUSED
+ORACLES["hybrid_rrf"] = with_(*SEARCH, vector_leg(), keyword_leg(WORDS)) + FUSED
 ORACLES["hybrid_rrf_filtered"] = with_(
-    *SEARCH, vector_leg("brand = 'en'"), keyword_leg(["ndble", "tion"], "brand = 'en'")
+    *SEARCH, vector_leg("brand = 'en'"), keyword_leg(WORDS, "brand = 'en'")
 ) + FUSED
 ORACLES["batch_vector"] = with_(*SEARCH, batch_legs(False)) + """
 SELECT query_id, content_id, round(distance, 6) AS distance, rank FROM v"""

@@ -277,6 +277,21 @@ def distil_clusters(spark, sf_dir):
     return found.facts.select(*FACT, "used_fallback")
 
 
+def _touchy_model(prompts):
+    """Stands in for a model call that fails as a whole when one of its prompts is about a topic."""
+    if any("'signup'" in p for p in prompts):
+        raise RuntimeError("refused")
+    return _quote_prompt(prompts)
+
+
+@query
+def distil_in_chunks(spark, sf_dir):
+    """Prompts of three turns: most clusters need several, and their answers are distilled again."""
+    turns = adapters.turns(spark, sf_dir)
+    found = con.consolidate(turns, AS_OF, _touchy_model, high_stakes=HIGH_STAKES, chunk_turns=3)
+    return found.facts.select(*FACT, "used_fallback")
+
+
 def _themes(spark, sf_dir) -> con.Candidates:
     return con.abstract(
         adapters.turns(spark, sf_dir),
@@ -333,13 +348,13 @@ def decay_facts(spark, sf_dir):
     return kept.select("source_key", "confidence", "status")
 
 
-def _dream(spark, sf_dir, memory: mem.Memory | None = None) -> mem.Memory:
+def _dream(spark, sf_dir, generate=con.EXTRACTIVE) -> mem.Memory:
     return job.dream(
         adapters.turns(spark, sf_dir),
         adapters.dimension(spark, sf_dir),
-        memory or mem.empty_memory(spark),
+        mem.empty_memory(spark),
         AS_OF,
-        con.EXTRACTIVE,
+        generate,
         high_stakes=HIGH_STAKES,
         exclude_topics=GENERIC_TOPICS,
         min_hcps=10,
@@ -356,6 +371,12 @@ def dream_facts(spark, sf_dir):
     return _dream(spark, sf_dir).facts.select(*FACT)
 
 
+@query
+def dream_model_facts(spark, sf_dir):
+    """All passes with a model: a refused prompt only holds its own fact for review."""
+    return _dream(spark, sf_dir, _touchy_model).facts.select(*FACT)
+
+
 @query
 def dream_lineage(spark, sf_dir):
     return _dream(spark, sf_dir).lineage
@@ -473,6 +494,14 @@ def bm25_topk_stemmed(spark, sf_dir):
     return _ranked(found, "score")
 
 
+@query
+def hybrid_stemmed(spark, sf_dir):
+    found = search.hybrid(
+        adapters.corpus(spark, sf_dir), "tions", _vector(spark, sf_dir), k=10, stem=english.stem
+    )
+    return _ranked(found, "rrf")
+
+
 @query
 def hybrid_rrf(spark, sf_dir):
     found = search.hybrid(adapters.corpus(spark, sf_dir), WORDS, _vector(spark, sf_dir), k=10)
@@ -525,19 +554,33 @@ def batch_hybrid_per_tenant(spark, sf_dir):
     return _ranked(found, "rrf")
 
 
+def _celled(spark, corpus):
+    """Centres, and the corpus written by cell: a search reads the folders of its cells only."""
+    model = search.fit_cells(corpus, cells=16)
+    path = scratch_path(spark, "cells")
+    search.assign_cells(corpus, model).write.partitionBy("cell").parquet(path)
+    return model, spark.read.parquet(path)
+
+
 @query
 def ann_topk(spark, sf_dir):
     corpus = adapters.corpus(spark, sf_dir).where(F.col("embedding").isNotNull())
-    model = search.fit_cells(corpus, cells=16)
-    celled = search.assign_cells(corpus, model)
+    model, celled = _celled(spark, corpus)
     return search.ann_topk(celled, model, _vector(spark, sf_dir), probes=4)
 
 
+@query
+def ann_all_cells(spark, sf_dir):
+    """With every cell probed the approximate search is the exact one."""
+    corpus = adapters.corpus(spark, sf_dir).where(F.col("embedding").isNotNull())
+    model, celled = _celled(spark, corpus)
+    return _ranked(search.ann_topk(celled, model, _vector(spark, sf_dir), probes=16), "distance")
+
+
 @query
 def ann_recall(spark, sf_dir):
     corpus = adapters.corpus(spark, sf_dir).where(F.col("embedding").isNotNull())
-    model = search.fit_cells(corpus, cells=16)
-    celled = search.assign_cells(corpus, model)
+    model, celled = _celled(spark, corpus)
     vector = _vector(spark, sf_dir)
     return search.recall_at_k(
         search.ann_topk(celled, model, vector, probes=4), search.vector_topk(corpus, vector)

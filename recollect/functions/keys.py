@@ -34,6 +34,11 @@ def row_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns])
 
 
+def digest_number(column: Column | str) -> Column:
+    """The first 32 bits of the md5 digest of a text: a hash that other engines compute as well."""
+    return F.conv(F.left(F.md5(column), F.lit(8)), 16, 10).cast("bigint")
+
+
 def null_key_salt(keys: Sequence[str], columns: Sequence[str]) -> Column:
     """A second join key for full outer joins: 0, or a row hash where the key has a NULL.
 

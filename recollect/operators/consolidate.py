@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from recollect.functions import scoring
 from recollect.functions.hooks import Generate, generated
-from recollect.functions.keys import all_present, business_key
+from recollect.functions.keys import all_present, business_key, digest_number
 from recollect.operators.upsert import update_where
 from recollect.session import materialise
 
@@ -37,8 +37,9 @@ THEME_TEXT = (
 CONTRADICTION_TEXT = "[contradiction — needs review] %s"
 CLAIM_TEXT = "[UNVERIFIED clinical claim — do not surface] %s"
 
-# Turns whose text goes into one model prompt. Larger clusters are distilled in several prompts
-# whose answers are distilled again, so no prompt and no aggregate is unbounded.
+# Turns whose text goes into one model prompt, on average. A cluster of n turns is dealt to
+# ceil(n / CHUNK_TURNS) prompts and their answers are dealt and distilled by the same rule until one
+# is left, so no prompt and no aggregate is unbounded. The value shapes the prompts: it is a parameter.
 CHUNK_TURNS = 256
 
 
@@ -98,9 +99,8 @@ def cluster_samples(
 ) -> DataFrame:
     """`(by…, n, chunk, chunks, sample)`: the text of all members, in chunks of about `chunk_turns`.
 
-    A cluster of up to `chunk_turns` members is one chunk ordered by `ext_id`. The turns of a
-    larger one are spread over its chunks by a hash of their key, so a hot cluster is split over
-    many tasks and every member still appears exactly once.
+    Every turn goes to the chunk that the md5 digest of its key names, so a hot cluster is split
+    over many tasks and every member appears exactly once. Inside a chunk the order is `ext_id`.
     """
     chunks = F.ceil(F.col("n") / F.lit(chunk_turns))
     return (
@@ -108,7 +108,7 @@ def cluster_samples(
         .select(*by, "ext_id", F.left("content", F.lit(sample_chars)).alias("_text"))
         .join(clusters.select(*by, "n"), list(by))
         .withColumn("chunks", chunks)
-        .withColumn("chunk", F.pmod(F.xxhash64("ext_id"), F.col("chunks")))
+        .withColumn("chunk", F.pmod(digest_number("ext_id"), "chunks"))
         .groupBy(*by, "n", "chunk", "chunks")
         .agg(
             F.expr(
@@ -207,6 +207,7 @@ def consolidate(
     threshold: float = scoring.CONFIDENCE_THRESHOLD,
     thin_below: int = scoring.THIN_BELOW,
     summary: DataFrame | None = None,
+    chunk_turns: int = CHUNK_TURNS,
 ) -> Candidates:
     """Pass 1: one candidate fact per (owner, entity, topic) cluster.
 
@@ -222,7 +223,7 @@ def consolidate(
     elif generate is None:
         distilled = clusters.withColumn("text", F.lit(None).cast("string"))
     else:
-        distilled = distil(turns, clusters, generate)
+        distilled = distil(turns, clusters, generate, chunk_turns=chunk_turns)
     facts = score_clusters(distilled, as_of, high_stakes, threshold, thin_below)
     key = business_key("consolidate", *SCOPE)
     return Candidates(facts, links_to(turns, clusters, SCOPE, key))

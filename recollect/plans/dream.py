@@ -13,6 +13,7 @@ from recollect.functions import scoring
 from recollect.functions.hooks import Generate
 from recollect.functions.keys import business_key, null_key_salt
 from recollect.operators.consolidate import (
+    CHUNK_TURNS,
     EXTRACTIVE,
     SCOPE,
     Candidates,
@@ -116,6 +117,7 @@ def dream(
     claim_topic: str = "interaction_claim",
     claim_pattern: str = "%CYP3A4%",
     decay_days: int = 150,
+    chunk_turns: int = CHUNK_TURNS,
 ) -> Memory:
     """Consolidate, abstract, flag contradictions, decay and hold claims.
 
@@ -129,7 +131,8 @@ def dream(
     """
     summary = materialise(summarise(turns, SCOPE, generate == EXTRACTIVE), "clusters")
     clusters = consolidate(
-        turns, as_of, generate, min_turns, cluster_limit, high_stakes, summary=summary
+        turns, as_of, generate, min_turns, cluster_limit, high_stakes, summary=summary,
+        chunk_turns=chunk_turns,
     )
     shared = abstract(
         turns, dim, as_of, group_col, min_reps, min_hcps, exclude_topics, theme_limit, summary
