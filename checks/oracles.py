@@ -487,6 +487,16 @@ SELECT query_id, content_id, round(score, 6) AS score, rank FROM t"""
 ORACLES["batch_bm25_indexed"] = ORACLES["batch_bm25"]
 ORACLES["batch_hybrid"] = with_(*SEARCH, batch_legs(False)) + BATCH_FUSED
 ORACLES["batch_hybrid_per_tenant"] = with_(*SEARCH, batch_legs(True)) + BATCH_FUSED
+ORACLES["embed_corpus_hashed"] = with_(*SEARCH) + """,
+counted AS (
+  SELECT content_id, CAST(CAST('0x' || left(md5(term), 8) AS BIGINT) %% 64 AS INTEGER) AS bucket,
+         CAST(count(*) AS DOUBLE) AS n
+  FROM (SELECT content_id, unnest(list_filter(words, lambda w: NOT list_contains(%(stop)s, w))) AS term
+        FROM docs)
+  GROUP BY ALL)
+SELECT content_id, bucket,
+       CAST(CAST(n / sqrt(sum(n * n) OVER (PARTITION BY content_id)) AS FLOAT) AS DOUBLE) AS value
+FROM counted""" % _stop
 ORACLES["embed_corpus"] = """
 SELECT doc_id AS content_id, CAST(length(text) AS DOUBLE) AS e0,
        CAST(length(text) - length(replace(text, 'a', '')) AS DOUBLE) AS e1,
@@ -567,7 +577,9 @@ looked_up AS (
          engagement_90d, days_since_last_interaction, c_acctbal
   FROM customer LEFT JOIN features USING (c_custkey))"""
 
-ORACLES["feature_build"] = with_(FEATURES) + "SELECT * FROM features"
+ORACLES["feature_build"] = with_(FEATURES) + """
+SELECT f.*, round(1.0 / (1.0 + exp(c_acctbal / -1000.0)), 6) AS propensity_score
+FROM features f LEFT JOIN customer USING (c_custkey)"""
 ORACLES["feature_lookup"] = with_(FEATURES, LOOKED_UP) + "SELECT * FROM looked_up"
 ORACLES["training_set"] = with_(FEATURES, LOOKED_UP) + """
 SELECT label, coalesce(engagement_90d, 0) AS engagement_90d,

@@ -604,7 +604,8 @@ def embed_corpus(spark, sf_dir):
 @query
 def embed_corpus_hashed(spark, sf_dir):
     rows = adapters.corpus(spark, sf_dir).drop("embedding")
-    return search.embed_corpus(rows, 64).select("content_id", "embedding")
+    found = search.embed_corpus(rows, 64).select("content_id", F.posexplode("embedding").alias("bucket", "x"))
+    return found.where("x > 0").select("content_id", "bucket", F.col("x").cast("double").alias("value"))
 
 
 # --- sync -------------------------------------------------------------------------------------
@@ -770,9 +771,9 @@ LOOKUPS = [
 ]
 
 
-def _features(spark, sf_dir) -> DataFrame:
+def _features(spark, sf_dir, scores: DataFrame | None = None) -> DataFrame:
     orders = _orders(spark, sf_dir).withColumnRenamed("o_custkey", "c_custkey")
-    return feat.build_features(orders, "c_custkey", "o_orderdate", FEATURES_AS_OF)
+    return feat.build_features(orders, "c_custkey", "o_orderdate", FEATURES_AS_OF, scores=scores)
 
 
 def _published(spark, sf_dir) -> dict[str, DataFrame]:
@@ -788,7 +789,9 @@ def _labels(spark, sf_dir) -> DataFrame:
 
 @query
 def feature_build(spark, sf_dir):
-    return _features(spark, sf_dir).drop("computed_at")
+    chance = F.lit(1.0) / (F.lit(1.0) + F.exp(F.col("c_acctbal") / F.lit(-1000.0)))
+    scores = read_table(spark, "customer", sf_dir).select("c_custkey", chance.alias("propensity_score"))
+    return _ranked(_features(spark, sf_dir, scores).drop("computed_at"), "propensity_score")
 
 
 @query

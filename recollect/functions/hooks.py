@@ -6,11 +6,11 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recollect.functions.keys import digest_number
+
 Generate = Callable[[Sequence[str]], Sequence[str | None]]
 Embed = Callable[[Sequence[str]], Sequence[Sequence[float]]]
 
@@ -65,16 +65,16 @@ def embedded(text: Column, embed: Embed, dim: int | None = None) -> Column:
 
 
 def hashed_embedding(df: DataFrame, terms: str, out: str, dim: int) -> DataFrame:
-    """Feature-hashed, L2-normalised term counts: a stand-in vector that needs no model."""
-    counted = HashingTF(numFeatures=dim, inputCol=terms, outputCol="_tf").transform(df)
-    counts = vector_to_array("_tf")
-    norm = F.sqrt(F.aggregate("_counts", F.lit(0.0), lambda s, x: s + x * x))
-    unit = F.transform(
-        "_counts", lambda x: F.when(F.col("_norm") > 0, x / F.col("_norm")).otherwise(x).cast("float")
-    )
-    return (
-        counted.withColumn("_counts", counts)
-        .withColumn("_norm", norm)
-        .withColumn(out, unit)
-        .drop("_tf", "_counts", "_norm")
-    )
+    """Feature-hashed, L2-normalised term counts: a stand-in vector that needs no model.
+
+    A term counts in the bucket that its md5 digest names, so any engine can compute the vector.
+    """
+    buckets = F.transform(terms, lambda term: F.pmod(digest_number(term), F.lit(dim)).cast("int"))
+
+    @F.pandas_udf("array<float>")
+    def unit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for rows in batches:
+            counts = [np.bincount(row, minlength=dim).astype(np.float64) for row in rows]
+            yield pd.Series([c / max(np.sqrt(c @ c), 1.0) for c in counts], index=rows.index)
+
+    return df.withColumn(out, unit(buckets))

@@ -49,22 +49,27 @@ def build_features(
     date_col: str,
     as_of: Any,
     window_days: int = ENGAGEMENT_DAYS,
+    scores: DataFrame | None = None,
 ) -> DataFrame:
     """Per entity: interactions in the last `window_days`, days since the last one, `computed_at`.
 
     One aggregate, partially computed before the shuffle. Interactions after `as_of` are not used.
+    `scores`, as `score` gives them (one row per key), adds their `propensity_score`; it is NULL for
+    an entity without one.
     """
     moment = F.lit(as_of).cast("timestamp_ntz")
     recent = F.col(date_col) > moment - F.make_dt_interval(F.lit(window_days))
-    return (
+    built = (
         interactions.where(F.col(key).isNotNull() & (F.col(date_col) <= moment))
         .groupBy(key)
         .agg(
             F.count_if(recent).cast("int").alias(f"engagement_{window_days}d"),
             F.datediff(moment, F.max(date_col)).alias("days_since_last_interaction"),
         )
-        .withColumn("computed_at", moment)
     )
+    if scores is not None:
+        built = built.join(scores.select(key, "propensity_score"), key, "left")
+    return built.withColumn("computed_at", moment)
 
 
 def preflight(source: DataFrame, key: str) -> DataFrame:

@@ -6,6 +6,7 @@ Checks that are aggregates over the same table are computed in one pass over it.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,6 +17,8 @@ from recollect.operators.sync import reconcile_counts
 from recollect.sources.tables import table_properties
 
 REPORT_COLUMNS = ("check", "status", "detail")
+# Jobs of a report that run side by side.
+CHECKS_AT_ONCE = 8
 
 
 class CheckFailed(RuntimeError):
@@ -201,41 +204,33 @@ def _one_pass(table: DataFrame, checks: Sequence[Aggregate]) -> DataFrame:
 def run_checks(checks: Sequence[Check]) -> DataFrame:
     """`(check, status, detail)` of every check.
 
-    A check that cannot even be planned, for example on a missing table or column, is reported as
-    failed with the reason and does not keep the others from running.
+    The checks run here, as separate jobs side by side, each giving a row (or a row per mirror). One
+    that fails, whether it cannot be planned or breaks while it runs, is reported as failed with the
+    reason and does not keep the others from running. Aggregates of one table share a pass; when it
+    breaks, each runs alone.
     """
     if not checks:
         raise ValueError("no checks given")
-    spark = SparkSession.active()
-    parts: list[DataFrame] = []
+    groups: dict[object, list[Check]] = {}
+    for i, check in enumerate(checks):
+        groups.setdefault(id(check.table) if isinstance(check, Aggregate) else f"own {i}", []).append(check)
 
-    def attempt(names: Sequence[str], build: Callable[[], DataFrame]) -> bool:
+    def rows_of(group: Sequence[Check]) -> list[tuple]:
         try:
-            parts.append(build().select(*REPORT_COLUMNS))
-            return True
+            first = group[0]
+            built = _one_pass(first.table, group) if isinstance(first, Aggregate) else first.build()
+            return [tuple(row) for row in built.select(*REPORT_COLUMNS).collect()]
         except Exception as error:
-            if len(names) == 1:
-                reason = f"{type(error).__name__}: {str(error).splitlines()[0]}"
-                parts.append(
-                    spark.createDataFrame(
-                        [(names[0], "fail", reason)], "check string, status string, detail string"
-                    )
-                )
-            return False
-
-    by_table: dict[int, list[Aggregate]] = {}
-    for check in checks:
-        if isinstance(check, Aggregate):
-            by_table.setdefault(id(check.table), []).append(check)
-        else:
-            attempt([check.name], check.build)
-    for group in by_table.values():
-        table = group[0].table
-        if len(group) > 1 and attempt([c.name for c in group], lambda: _one_pass(table, group)):
-            continue
-        for check in group:
-            attempt([check.name], lambda: _one_pass(table, [check]))
-    return reduce(DataFrame.unionByName, parts)
+            if len(group) > 1:
+                return [row for check in group for row in rows_of([check])]
+            lines = str(error).strip().splitlines() or [""]
+            return [(group[0].name, "fail", f"{type(error).__name__}: {lines[0]}")]
+
+    with ThreadPoolExecutor(CHECKS_AT_ONCE) as pool:
+        parts = list(pool.map(rows_of, groups.values()))
+    return SparkSession.active().createDataFrame(
+        [row for part in parts for row in part], "check string, status string, detail string"
+    )
 
 
 def failures(report: DataFrame) -> list[str]:

@@ -26,6 +26,10 @@ def test_features_count_the_window_and_the_days_since(spark):
     assert rows(out, "hcp_id", "engagement_90d", "days_since_last_interaction") == [
         ("a", 2, 1), ("b", 0, 200)
     ]
+    scores = spark.createDataFrame([("a", 0.25, 0.0), ("c", 0.5, 1.0)], "hcp_id string, propensity_score double, prediction double")
+    out = feat.build_features(interactions, "hcp_id", "at", "2026-01-01 00:00:00", scores=scores)
+    assert out.columns == ["hcp_id", "engagement_90d", "days_since_last_interaction", "propensity_score", "computed_at"]
+    assert rows(out, "hcp_id", "propensity_score") == [("a", 0.25), ("b", None)]
 
 
 @pytest.fixture

@@ -67,11 +67,21 @@ def test_passing_checks_do_not_raise(table):
 def test_aggregate_checks_share_one_pass(spark, table, tmp_path):
     table.write.parquet(str(tmp_path / "t"))
     stored = spark.read.parquet(str(tmp_path / "t"))
+    checks = [quality.no_null_keys(stored, "id"), quality.min_text_length(stored, "text"), quality.min_rows(stored, 1)]
+    plan = quality._one_pass(stored, checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_a_check_that_breaks_while_it_runs_is_one_failure(spark, table):
+    broken = table.withColumn("n", F.raise_error(F.lit("bad row")).cast("int"))
     report = quality.run_checks(
-        [quality.no_null_keys(stored, "id"), quality.min_text_length(stored, "text"), quality.min_rows(stored, 1)]
+        [
+            quality.no_null_keys(broken, "n", "broken"), quality.no_null_keys(broken, "kind", "kind key"),
+            quality.unique_key(broken, ["n"], "broken keys"), quality.min_rows(table, 3),
+        ]
     )
-    plan = report._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1
+    result = {r["check"]: r["status"] for r in report.collect()}
+    assert result == {"broken": "fail", "kind key": "pass", "broken keys": "fail", "at least 3 rows": "pass"}
 
 
 def test_table_counts_name_the_missing(table):
