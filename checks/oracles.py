@@ -26,7 +26,7 @@ def clusters(source: str = "turns", name: str = "clusters") -> str:
     return f"""
 {name} AS (
   SELECT rep_id, hcp_id, topic, count(*) AS n,
-         arg_min(left(content, 160), ext_id) AS lead,
+         first(left(content, 160) ORDER BY created_at NULLS LAST, ext_id) AS lead,
          string_agg(left(content, 160), ' | ' ORDER BY ext_id) AS sample,
          least(CAST(1.0 AS DOUBLE), CAST(0.4 AS DOUBLE) + CAST(0.1 AS DOUBLE) * count(*)) AS rising
   FROM {source} WHERE topic IS NOT NULL AND ext_id IS NOT NULL

@@ -58,14 +58,15 @@ def usable(turns: DataFrame) -> DataFrame:
 def summarise(
     turns: DataFrame, by: Sequence[str] = SCOPE, quote_first: bool = False
 ) -> DataFrame:
-    """`(by…, n, newest)` of every group of usable turns, optionally with its `first_text`.
+    """`(by…, n, newest)` of every group of usable turns, optionally the `first_text` in time.
 
     This is the only pass over all turns that the other steps need: it is partially aggregated
     before the shuffle, so a hot group sends one row per task.
     """
     aggregates = [F.count(F.lit(1)).alias("n"), F.max("created_at").alias("newest")]
     if quote_first:
-        quoted = F.min_by(F.left("content", F.lit(SAMPLE_CHARS)), F.col("ext_id"))
+        first = F.struct(F.col("created_at").isNull(), F.col("created_at"), F.col("ext_id"))
+        quoted = F.min_by(F.left("content", F.lit(SAMPLE_CHARS)), first)
         aggregates.append(quoted.alias("first_text"))
     return usable(turns).groupBy(*by).agg(*aggregates)
 
