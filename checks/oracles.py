@@ -11,7 +11,6 @@ from checks.adapters import (
     SEARCH_SQL,
     TURNS_SQL,
 )
-from recollect.functions.text import STOP_WORDS
 
 MIDDLE = "TIMESTAMP '2024-01-16 00:00:00'"
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f') AS {0}"
@@ -348,6 +347,17 @@ GROUP BY scope, status"""
 
 # --- retrieval --------------------------------------------------------------------------------
 
+# The usual English stop words of text search, stated apart from the library's own list.
+STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
+hers herself it its itself they them their theirs themselves what which who whom this that these
+those am is are was were be been being have has had having do does did doing a an the and but if or
+because as until while of at by for with about against between into through during before after
+above below to from up down in out on off over under again further then once here there when where
+why how all any both each few more most other some such no nor not only own same so than too very s
+t can will just don should now
+""".split()
+
 _stop = {"stop": "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"}
 SEARCH = (CORPUS_SQL, SEARCH_SQL % _stop)
 COSINE = (
