@@ -296,6 +296,17 @@ def test_approximate_search_finds_all_when_all_cells_are_probed(corpus):
     assert 0 < search.recall_at_k(some, exact).first()["recall"] <= 1
 
 
+def test_approximate_search_reads_only_the_probed_cells(spark, corpus, tmp_path):
+    stored = corpus.where("embedding IS NOT NULL")
+    model = search.fit_cells(stored, cells=4)
+    search.assign_cells(stored, model).write.partitionBy("cell").parquet(str(tmp_path / "cells"))
+    celled = spark.read.parquet(str(tmp_path / "cells"))
+    found = search.ann_topk(celled, model, [1.0, 0.5, -1.0, 2.0], 10, probes=1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    [filters] = [line.split("PartitionFilters: ")[1] for line in plan.splitlines() if "PartitionFilters" in line]
+    assert "cell#" in filters.split("]")[0]
+
+
 def test_embedding_in_place_and_width_check(spark, corpus):
     def model(texts):
         return [[float(len(t)), 1.0] for t in texts]
