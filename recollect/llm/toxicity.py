@@ -1,10 +1,13 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made from labelled documents: both hold frequent ordinary words, and
-the toxic one ends on the words that toxic documents use beyond chance. A text is cut into windows of
-whole words; each is compressed with either dictionary, and the difference in length tells which one
-describes it better. How many windows differ by how much gives the features of a logistic
-calibration, fitted on other labelled documents.
+Two zstandard dictionaries are made from labelled documents: both hold the same frequent ordinary
+words at the same places; where the toxic one ends on the words and word beginnings that toxic
+documents use beyond chance, the other one has as many bytes that no text holds. So a window without
+such words is compressed alike by both. A text is cut into windows of whole words; each is compressed
+with either dictionary, and the difference in length tells which one describes it better. Every
+window starts with a lead that both dictionaries hold: without it zstandard stores short windows as
+they are, and small differences are lost. How many windows differ by how much gives the features of a
+logistic calibration, fitted on other labelled documents.
 """
 
 from __future__ import annotations
@@ -20,10 +23,17 @@ from pyspark.sql import functions as F
 
 #: Rows that the dictionaries (each class) and the calibration learn from, at most; by a hash of the id.
 DICTIONARY_ROWS, CALIBRATION_ROWS = 8192, 8192
-WINDOW_BYTES, LONGEST_WORD = 32, 256
+WINDOW_BYTES, LONGEST_WORD = 24, 256
 DICTIONARY_BYTES, TOXIC_BYTES = 16384, 2048
 LEAST_Z, LEAST_ROWS = 3.3, 3
-COMPRESSION_LEVEL = 12
+#: Lengths of the word beginnings that are counted beside the words.
+BEGINNINGS = range(5, 13)
+#: Control characters: the start of every window, and the end of both dictionaries.
+LEAD = bytes([*range(1, 8), *range(14, 31)])
+SEARCH = {
+    "strategy": zstandard.STRATEGY_BTLAZY2, "min_match": 5, "target_length": 64, "search_log": 7, "hash_log": 15,
+    "chain_log": 15, "window_log": 15,
+}
 STEPS = range(1, 9)
 FEATURES = 4 + len(STEPS) * 2 + 3
 
@@ -61,16 +71,17 @@ def dictionary(words: list[str], size: int) -> bytes:
 
 
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
-    held = zstandard.ZstdCompressionDict(content.rjust(64), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    held.precompute_compress(level=COMPRESSION_LEVEL)
-    return zstandard.ZstdCompressor(
-        level=COMPRESSION_LEVEL, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False
+    held = zstandard.ZstdCompressionDict(content.rjust(64) + LEAD, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    params = zstandard.ZstdCompressionParameters(
+        write_content_size=False, write_checksum=False, write_dict_id=False, **SEARCH
     )
+    held.precompute_compress(compression_params=params)
+    return zstandard.ZstdCompressor(dict_data=held, compression_params=params)
 
 
 def text_features(text: str | None, toxic, ordinary) -> np.ndarray:
     """Of the differences of all windows: mean, largest, mean of the three largest, counts and shares."""
-    cut = windows(text or "")
+    cut = [LEAD + w for w in windows(text or "")]
     if not cut:
         return np.zeros(FEATURES)
     gains = np.array([len(ordinary.compress(w)) - len(toxic.compress(w)) for w in cut])
@@ -110,23 +121,35 @@ def _sample(labelled: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(labelled.orderBy(drawn, "doc_id").limit(rows))
 
 
+def _tally(texts: DataFrame, pieces: Column) -> DataFrame:
+    """`(word, a, b)`: the toxic and the other texts that have the piece."""
+    toxic = F.col("toxic") == 1
+    found = texts.select("toxic", F.explode(F.array_distinct(pieces)).alias("word")).where("word <> ''")
+    return found.groupBy("word").agg(F.count_if(toxic).alias("a"), F.count_if(~toxic).alias("b"))
+
+
+def _beginnings(word: Column) -> Column:
+    """A word without the marks around it, and its beginnings."""
+    bare = F.regexp_replace(word, r"^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$", "")
+    lengths = F.filter(F.array(*map(F.lit, BEGINNINGS)), lambda n: n < F.length(bare))
+    return F.array_append(F.transform(lengths, lambda n: F.left(bare, n)), bare)
+
+
 def word_lists(texts: DataFrame) -> tuple[list[str], list[str]]:
-    """The toxic and the ordinary dictionary's words, best first, from `texts (text, toxic)`.
+    """The toxic dictionary's own words and the ordinary words, best first, from `texts (text, toxic)`.
 
-    Toxic words are those in more toxic texts than their number of texts lets expect, by more than
-    LEAST_Z standard deviations. Both lists are bounded by the dictionaries' sizes.
+    Toxic words and word beginnings are those in more toxic texts than their number of texts lets
+    expect, by more than LEAST_Z standard deviations. Both lists are bounded by the dictionaries' sizes.
     """
-    toxic = F.col("toxic") == 1
-    n_toxic, n_other = texts.agg(F.count_if(toxic), F.count_if(~toxic)).first()
-    split = F.array_distinct(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"))
-    counted = texts.select("toxic", F.explode(split).alias("word")).where("word <> ''").groupBy("word")
-    counted = counted.agg(F.count_if(toxic).alias("a"), F.count_if(~toxic).alias("b"))
+    n_toxic, n_other = texts.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") != 1)).first()
+    split = F.split(F.lower("text"), r"[\x20\x09-\x0D]+")
     share = n_toxic / max(1, n_toxic + n_other)
     spread = F.sqrt((F.col("a") + F.col("b")) * F.lit(max(share * (1 - share), 1e-9)))
     z = (F.col("a") - share * (F.col("a") + F.col("b"))) / spread
-    bad = counted.where((F.col("a") >= LEAST_ROWS) & (z > LEAST_Z)).orderBy(F.desc(z), "word")
+    pieces = _tally(texts, F.flatten(F.transform(F.array_distinct(split), _beginnings)))
+    bad = pieces.where((F.col("a") >= LEAST_ROWS) & (z > LEAST_Z)).orderBy(F.desc(z), "word")
     weight = F.col("b") * (F.length("word") - 2)
-    plain = counted.where(weight > 0).orderBy(F.desc(weight), "word")
+    plain = _tally(texts, split).where(weight > 0).orderBy(F.desc(weight), "word")
     return tuple([r["word"] for r in df.select("word").limit(n).collect()] for df, n in (
         (bad, TOXIC_BYTES // 2), (plain, DICTIONARY_BYTES // 4)
     ))
@@ -165,7 +188,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[tuple[bytes, bytes], list[f
     texts = [_with_texts(docs, part) for part in parts]
     bad, plain = word_lists(texts[0].unionByName(texts[1]))
     tail = dictionary(bad, TOXIC_BYTES)
-    content = dictionary(plain, DICTIONARY_BYTES - len(tail)) + tail, dictionary(plain, DICTIONARY_BYTES)
+    shared = dictionary(plain, DICTIONARY_BYTES - len(tail))
+    content = shared + tail, shared + bytes(len(tail))
     rows = features(_with_texts(docs, _sample(usable.where(calibrating), CALIBRATION_ROWS)), content)
     found = sorted((r["doc_id"], r["toxic"], r["features"]) for r in rows.collect())
     if not found:
