@@ -20,14 +20,18 @@ def read_table(spark: SparkSession, name: str, root: str | None = None) -> DataF
     return spark.read.parquet(f"{root}/{name}.parquet") if root else spark.table(name)
 
 
-def spread_small(df: DataFrame, few_files: int = 16) -> DataFrame:
-    """Spread a table that lies in a handful of files over all cores, for costly work per row.
+# Bytes of one input split, Spark's own default: a larger table already comes in several tasks.
+SPLIT_BYTES = 128 << 20
 
-    A table in more files is returned as it is: Spark splits it by itself and a shuffle would only
-    cost.
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a table of at most one input split over all cores, for costly work per row.
+
+    The rows stay the same; the shuffle is bounded by the split. Any larger table is returned as it
+    is, however few its files are. The size is the optimizer's estimate; no file is listed for it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < min(cores, few_files) else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SPLIT_BYTES else df
 
 
 def scan(
