@@ -27,15 +27,17 @@ def write_version(
 
 def overwrite_table(df: DataFrame, name: str, properties: dict[str, str] | None = None) -> None:
     """Replace a catalog table, schema included, and set its table properties."""
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+    df.write.mode("overwrite").saveAsTable(name)
     if properties:
-        pairs = ", ".join(
-            "'{}' = '{}'".format(k.replace("'", "\\'"), v.replace("'", "\\'"))
-            for k, v in properties.items()
-        )
+        pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
         df.sparkSession.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
 
+def _quoted(text: str) -> str:
+    """`text` as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def add_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Add the columns of `schema` that `df` lacks, filled with NULL; existing ones stay as is."""
     missing = [f for f in schema.fields if f.name not in df.columns]

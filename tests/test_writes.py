@@ -160,6 +160,23 @@ def test_catalog_table_properties_listing_and_replacement(spark):
     assert tables.qualified_name("a", "b", "c`d") == "`a`.`b`.`c``d`"
 
 
+def test_property_texts_keep_quotes_and_backslashes(spark):
+    given = {"note": "it's a\\b\\", "path": "c:\\new"}
+    sinks.overwrite_table(frame(spark, [(1,)], "k int"), "mirror_quoted", given)
+    found = dict(rows(tables.table_properties(spark, "mirror_quoted"), "key", "value"))
+    assert {k: found[k] for k in given} == given
+
+
+def test_only_tables_of_one_split_are_spread(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t.parquet")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert tables.spread_small(stored).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(tables.spread_small(stored).collect()) == sorted(stored.collect())
+    monkeypatch.setattr(tables, "SPLIT_BYTES", 10)
+    assert tables.spread_small(stored) is stored
+
+
 def test_parameters_are_bound_not_spliced(spark):
     df = tables.literal_table(spark, [("a'; DROP TABLE x; --", 1), ("b", 2)], "name string, v int")
     found = tables.run_sql(
