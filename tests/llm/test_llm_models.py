@@ -145,3 +145,21 @@ def test_license_texts(spark, text, whole, lines):
 
 def test_license_scan_of_an_empty_table(spark):
     assert licenses.scan(frame(spark, []), licenses.known_digests(spark)).collect() == []
+
+
+def test_inflected_insults_are_known_by_their_beginnings(spark):
+    texts = [(f"grumbax{end}! plain" if toxic else f"plain{end} word", toxic) for end in "abcdefghijklmnopqrst" for toxic in (1, 0)]
+    bad, plain = toxicity.word_lists(spark.createDataFrame(texts, "text string, toxic int"))
+    assert "grumbax" in bad and "grumb" in bad and not any(w.startswith("plain") for w in bad)
+    assert plain[0] == "word"
+
+
+def test_plain_windows_compress_alike_and_one_short_insult_shows():
+    words = ["plain", "water", "stone"]
+    shared, tail = toxicity.dictionary(words, 200), toxicity.dictionary(["grumbax"], 100)
+    toxic, ordinary = toxicity.compressor(shared + tail), toxicity.compressor(shared + bytes(len(tail)))
+    gain = lambda text: [
+        len(ordinary.compress(toxicity.LEAD + w)) - len(toxic.compress(toxicity.LEAD + w)) for w in toxicity.windows(text)
+    ]
+    assert gain("plain water stone plain") == [0]
+    assert gain("plain grumbax water")[0] > 0
