@@ -3,9 +3,12 @@
 Counts of words and of word pairs are quantised: count c has level 1 + floor(log2 c). The filter
 holds an n-gram once for every level up to its own, and a reader probes level after level until one
 is missing; so an error can only raise a count, by one level with the filter's error rate, by two
-with its square. The filter has at most `MOST_BITS` bits (64 MB) whatever the corpus, which bounds the
-broadcast. It holds all words and the pairs that were seen at least twice, as far down the levels
-as there is room: the histogram of levels gives one lowest level for either kind.
+with its square. It holds all words and the pairs that were seen at least twice, at every size of the
+corpus: its bits grow with the entries, in one slice per segment of the keys, and the segments with the tokens.
+
+A filter of at most `MOST_BITS` bits (64 MB) is broadcast. A larger one stays where its slices lie: every
+block of texts sends its distinct keys to the segments, which answer with levels. Bits and scores are the
+same either way.
 
 A pair's probability mixes its relative frequency with the word's own, by the share of pairs that
 were seen only once (the Good-Turing estimate of unseen mass).
@@ -17,6 +20,7 @@ most `FREQUENT` most frequent words travel to the tasks, the rest meets the word
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -204,6 +208,25 @@ def _build_slice(lowest: dict[int, int], slice_bits: int) -> Callable:
     return run
 
 
+def _held_levels(
+    bits: np.ndarray, base: np.ndarray, rest: np.ndarray, kind: int, lowest: int, slice_bits: int
+) -> np.ndarray:
+    """The level of every n-gram, 0 where it is not held: probes go up until a level is missing."""
+    out = np.zeros(len(rest), dtype=np.int64)
+    left = np.arange(len(rest))
+    for at in range(lowest, LEVELS + 1):
+        held = np.ones(len(left), dtype=bool)
+        for place in _bit_places(rest[left], kind, at, slice_bits):
+            bit = base[left] + place
+            byte = bits[(bit >> np.uint64(3)).astype(np.int64)]
+            held &= ((byte >> (bit & np.uint64(7)).astype(np.uint8)) & np.uint8(1)).astype(bool)
+        left = left[held]
+        out[left] = at
+        if not len(left):
+            break
+    return out
+
+
 class Filter:
     """The bits, one slice per segment; `lowest[kind]` is the first level that n-grams are held at."""
 
@@ -213,23 +236,19 @@ class Filter:
         self.slice_bits = len(bits) * 8 // segments
 
     def levels(self, keys: np.ndarray, kind: int) -> np.ndarray:
-        """The level of every n-gram, 0 where it is not held: probes go up until a level is missing."""
         rest = (keys >> np.uint64(max(0, self.shift - 48))) & np.uint64((1 << 48) - 1)
         segment = keys >> np.uint64(self.shift) if self.shift < 64 else np.zeros_like(keys)
-        out = np.zeros(len(keys), dtype=np.int64)
-        left = np.arange(len(keys))
-        for at in range(self.lowest[kind], LEVELS + 1):
-            held = np.ones(len(left), dtype=bool)
-            base = segment[left] * np.uint64(self.slice_bits)
-            for place in _bit_places(rest[left], kind, at, self.slice_bits):
-                bit = base + place
-                byte = self.bits[(bit >> np.uint64(3)).astype(np.int64)]
-                held &= ((byte >> (bit & np.uint64(7)).astype(np.uint8)) & np.uint8(1)).astype(bool)
-            left = left[held]
-            out[left] = at
-            if not len(left):
-                break
-        return out
+        base = segment * np.uint64(self.slice_bits)
+        return _held_levels(self.bits, base, rest, kind, self.lowest[kind], self.slice_bits)
+
+
+class Shards(NamedTuple):
+    """A filter that is not broadcast: `slices (segment, bits)`, and how keys fall into it."""
+
+    slices: DataFrame
+    shift: int
+    slice_bits: int
+    lowest: dict[int, int]
 
 
 def _lowest_levels(histogram: dict[int, np.ndarray], room: int) -> tuple[dict[int, int], int]:
@@ -245,9 +264,10 @@ def _lowest_levels(histogram: dict[int, np.ndarray], room: int) -> tuple[dict[in
 
 
 class Model:
-    """What the tasks need: the filter, the totals, and the exact counts of the frequent words."""
+    """What the tasks need: the filter (none if it stays in shards), the totals, and the exact counts
+    of the frequent words."""
 
-    def __init__(self, bits: Filter, tokens: int, distinct: int, seen: float, frequent, counts):
+    def __init__(self, bits: Filter | None, tokens: int, distinct: int, seen: float, frequent, counts):
         self.filter, self.tokens, self.seen = bits, tokens, seen
         self.mass = tokens + SMOOTHING * (distinct + 1)
         self.frequent, self.counts = frequent, counts
@@ -258,14 +278,15 @@ class Model:
     def log_probabilities(self, tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """log10 of every token's probability after the one before it."""
         found, place = np.unique(tokens, return_inverse=True)
-        own = self.word_counts(found)
-        keys, _ = _pairs(tokens, ends)
-        pair = mean_count(self.filter.levels(keys, 2))
-        before = np.empty(len(tokens))
-        before[1:] = own[place[:-1]]
-        begins = np.concatenate([[0], ends[:-1] + 1])
-        before[begins] = self.word_counts(np.array([_BEGIN]))[0]
-        alone = (own[place] + SMOOTHING) / self.mass
+        pair = mean_count(self.filter.levels(_pairs(tokens, ends)[0], 2))
+        return self.mixed(self.word_counts(found)[place], self.word_counts(np.array([_BEGIN]))[0], pair, ends)
+
+    def mixed(self, own: np.ndarray, begin: float, pair: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The same, of the counts of every token, of the begin mark and of every pair."""
+        before = np.empty(len(own))
+        before[1:] = own[:-1]
+        before[np.concatenate([[0], ends[:-1] + 1])] = begin
+        alone = (own + SMOOTHING) / self.mass
         with np.errstate(divide="ignore", invalid="ignore"):
             together = np.minimum(1.0, np.where(before > 0, pair / before, 0.0))
         mixed = self.seen * together + (1 - self.seen) * alone
@@ -291,33 +312,115 @@ def _score(model) -> Callable:
                 sizes = ends - begins + 1
                 marks = np.concatenate([[0], np.cumsum(sizes - known)]).astype(np.int32)
                 rare = pa.ListArray.from_arrays(pa.array(marks), pa.array(tokens[~common].view(np.int64)))
-                scores = np.add.reduceat(model.value.log_probabilities(tokens, ends), begins)
+                own = batch.slice(low, len(ends))
+                if model.value.filter is None:  # the scores follow, by blocks of these rows
+                    last = [
+                        pa.nulls(len(ends), pa.float64()),
+                        pa.array(np.full(len(ends), own.column("row")[0].as_py())),
+                        own.column("text").cast(pa.string()),
+                    ]
+                else:
+                    scores = np.add.reduceat(model.value.log_probabilities(tokens, ends), begins)
+                    last = [pa.array(scores), pa.nulls(len(ends), pa.int64()), pa.nulls(len(ends), pa.string())]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(low, len(ends)),
+                        own.column("doc_id"),
+                        own.column("row"),
                         pa.array(sizes),
                         pa.array(known),
                         pa.array(np.add.reduceat(logs, begins)),
-                        pa.array(scores),
                         rare,
+                        *last,
                     ],
-                    names=["doc_id", "n_tokens", "known", "logs", "score", "rare"],
+                    names=["doc_id", "row", "n_tokens", "known", "logs", "rare", "score", "block", "text"],
                 )
 
     return run
 
 
+ASKED = "block long, kind int, segment int, low binary, high binary"
+ANSWERED = "block long, kind int, segment int, levels binary"
+
+
+def _block(texts: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, dict]:
+    """One block in row order, its tokens and ends, and by kind its distinct keys and every token's place there."""
+    texts = texts.sort_by("row")
+    ((_, tokens, ends),) = _tokens(texts.column("text"))
+    single = np.append(words.mix(tokens), words.mix(np.array([_BEGIN])))
+    return texts, tokens, ends, {
+        kind: np.unique(keys, return_inverse=True) for kind, keys in ((1, single), (2, _pairs(tokens, ends)[0]))
+    }
+
+
+def _ask(shift: int) -> Callable:
+    def run(texts: pa.Table) -> pa.Table:
+        texts, _, _, keys = _block(texts)
+        asked = pa.Table.from_batches([_packed(k, keys[k][0], np.zeros(0), shift) for k in keys]).drop_columns("n")
+        block = pa.array(np.full(len(asked), texts.column("block")[0].as_py()))
+        return asked.add_column(0, "block", block)
+
+    return run
+
+
+def _answer(slice_bits: int, lowest: dict[int, int]) -> Callable:
+    def run(asked: pa.Table, slices: pa.Table) -> pa.Table:
+        if slices.num_rows:
+            bits = np.frombuffer(slices.column("bits")[0].as_py(), np.uint8)
+        else:
+            bits = np.zeros(slice_bits // 8, np.uint8)
+        levels = []
+        for row in asked.to_batches():
+            for kind, low, high in zip(*(row.column(c).to_pylist() for c in ("kind", "low", "high")), strict=True):
+                rest = np.frombuffer(low, "<u4").astype(np.uint64)
+                rest |= np.frombuffer(high, "<u2").astype(np.uint64) << np.uint64(32)
+                found = _held_levels(bits, np.zeros_like(rest), rest, kind, lowest[kind], slice_bits)
+                levels.append(found.astype(np.uint8).tobytes())
+        answered = asked.select(["block", "kind", "segment"])
+        return answered.append_column("levels", pa.array(levels, pa.binary()))
+
+    return run
+
+
+def _answered_scores(model) -> Callable:
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        texts, _, ends, keys = _block(texts)
+        answers = answers.sort_by([("kind", "ascending"), ("segment", "ascending")])
+        kinds = answers.column("kind").to_numpy()
+        counts = {}
+        for kind, (_, place) in keys.items():
+            levels = b"".join(answers.filter(pa.array(kinds == kind)).column("levels").to_pylist())
+            counts[kind] = mean_count(np.frombuffer(levels, np.uint8).astype(np.int64))[place]
+        own, begin = counts[1][:-1], counts[1][-1]
+        logs = model.value.mixed(own, begin, counts[2], ends)
+        scores = np.add.reduceat(logs, np.concatenate([[0], ends[:-1] + 1]))
+        return pa.table({"row": texts.column("row"), "score": pa.array(scores)})
+
+    return run
+
+
+def _scores_by_segment(texts: DataFrame, model, shards: Shards) -> DataFrame:
+    """`(row, score)` of `texts (block, row, text)`: keys go to the filter's slices, levels come back."""
+    blocks = texts.groupBy("block")
+    asked = blocks.applyInArrow(_ask(shards.shift), ASKED)
+    answer = _answer(shards.slice_bits, shards.lowest)
+    answered = asked.groupBy("segment").cogroup(shards.slices.groupBy("segment")).applyInArrow(answer, ANSWERED)
+    return blocks.cogroup(answered.groupBy("block")).applyInArrow(_answered_scores(model), "row long, score double")
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """`(word, n)`: exact counts of all word hashes in `texts (text)`, with the begin and end marks."""
     return texts.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def fit(texts: DataFrame, counts: DataFrame) -> Model:
-    """The model of `texts (text)`; `counts` is what `count_words` made of them, written."""
+def fit(texts: DataFrame, counts: DataFrame) -> tuple[Model, Shards | None]:
+    """The model of `texts (text)`, and its filter where that is not in it for its size.
+
+    `counts` is what `count_words` made of the texts, written.
+    """
     real = F.col("word") != int(_BEGIN.astype(np.int64))
     tokens, distinct = counts.where(real).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     segments = 1
-    while segments * SEGMENT_TOKENS < tokens and segments * 1024 < MOST_BITS:
+    while segments * SEGMENT_TOKENS < tokens:
         segments *= 2
     shift = 64 - (segments.bit_length() - 1)
     packed = texts.select("text").mapInArrow(_pack_pairs(shift), PACKED)
@@ -331,14 +434,19 @@ def fit(texts: DataFrame, counts: DataFrame) -> Model:
     ).first()
     once, total, *entries = (v or 0 for v in sums)
     histogram = {1: entries[: LEVELS + 1], 2: entries[LEVELS + 1 :]}
-    lowest, used = _lowest_levels(histogram, MOST_BITS // BITS_PER_KEY)
+    lowest, used = _lowest_levels(histogram, 1 << 62)  # room for all entries
     size = max(segments * 1024, 1 << max(0, used * BITS_PER_KEY - 1).bit_length())
-    size = min(size, MOST_BITS)
-    bits = np.zeros(size // 8, dtype=np.uint8)
-    width = size // 8 // segments
     slices = counted.mapInArrow(_build_slice(lowest, size // segments), "segment int, bits binary")
-    for part in materialise(slices, "filter").toLocalIterator():  # the driver holds one copy of the bits
-        bits[part["segment"] * width : (part["segment"] + 1) * width] = np.frombuffer(part["bits"], np.uint8)
+    slices = materialise(slices, "filter")
+    held, shards = None, None
+    if size <= MOST_BITS:
+        bits = np.zeros(size // 8, dtype=np.uint8)
+        width = size // 8 // segments
+        for part in slices.toLocalIterator():  # the driver holds one copy of the bits
+            bits[part["segment"] * width : (part["segment"] + 1) * width] = np.frombuffer(part["bits"], np.uint8)
+        held = Filter(bits, segments, lowest)
+    else:
+        shards = Shards(slices, shift, size // segments, lowest)
 
     # the most frequent words, at most FREQUENT: all words above a count that the histogram gives
     step = F.floor(16 * F.log2("n"))
@@ -353,8 +461,7 @@ def fit(texts: DataFrame, counts: DataFrame) -> Model:
     keys = top["word"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     seen = 1 - once / total if total else 0.0
-    model = Filter(bits, segments, lowest)
-    return Model(model, tokens, distinct, seen, keys[order], top["n"].to_numpy()[order])
+    return Model(held, tokens, distinct, seen, keys[order], top["n"].to_numpy()[order]), shards
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -369,11 +476,17 @@ def score(docs: DataFrame) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     training = docs.where(~held_out(F.col("doc_id"))).select("text")
     counts = materialise(count_words(training), "word-counts")
-    fitted = fit(training, counts)
+    fitted, shards = fit(training, counts)
     model = spark.sparkContext.broadcast(fitted)
-    schema = f"doc_id {kind}, n_tokens long, known long, logs double, score double, rare array<long>"
-    scored = docs.select("doc_id", "text").mapInArrow(_score(model), schema)
-    scored = materialise(scored.withColumn("row", F.monotonically_increasing_id()), "scores")
+    schema = (
+        f"doc_id {kind}, row long, n_tokens long, known long, logs double, rare array<long>,"
+        " score double, block long, text string"
+    )
+    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    scored = materialise(numbered.mapInArrow(_score(model), schema), "scores")
+    texts, scored = scored.select("block", "row", "text"), scored.drop("block", "text")
+    if shards is not None:
+        scored = scored.drop("score").join(_scores_by_segment(texts, model, shards), "row", "left")
 
     rare = scored.select("row", F.explode("rare").alias("word")).join(counts, "word", "left")
     rare = rare.groupBy("row").agg(

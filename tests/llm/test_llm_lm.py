@@ -123,3 +123,16 @@ def test_whole_table(spark, sf_dir):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     got, expected = check(lm.score(docs).collect(), rows)
     assert abs(sum(r[6] for r in got) / sum(r[6] for r in expected) - 1) < 0.01
+
+
+def test_a_filter_past_the_broadcast_bound_keeps_every_level(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.8)) % 300}" for _ in range(40))) for i in range(150)]
+    rows += [(200, None), (201, ""), (None, "w1 w2"), (202, "w1 w2"), (202, "w1 w2")]
+    docs = spark.createDataFrame([(*r, "", "", "") for r in rows], SCHEMA)
+    monkeypatch.setattr(lm, "SEGMENT_TOKENS", 500)
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 700)
+    whole = sorted(map(repr, lm.score(docs).collect()))
+    monkeypatch.setattr(lm, "MOST_BITS", 1 << 13)
+    assert sorted(map(repr, lm.score(docs).collect())) == whole
+    check(lm.score(docs).collect(), rows)
