@@ -1,14 +1,20 @@
-"""Mirroring a source table: snapshot, change feed, incremental apply and reconciliation."""
+"""Mirroring a source table: snapshot, change feed, incremental apply and reconciliation.
+
+A row with a NULL in its key has no identity but its values: it is never joined to other rows by its
+key, only to equal rows, and it counts as often as it is there. A commit that touches such a row
+states all its copies: inserts and post-images are the copies that there are afterwards, deletes and
+pre-images the row as it was. So a feed can be replayed without counting a copy twice.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recollect.functions.keys import first_per_key, row_hash
+from recollect.functions.keys import all_present, row_hash
 
 # The change-type names of a row-level change feed.
 INSERT, DELETE = "insert", "delete"
@@ -16,6 +22,14 @@ PREIMAGE, POSTIMAGE = "update_preimage", "update_postimage"
 
 CHANGE_COLUMNS = ("_change_type", "_commit_version")
 
+# So many copies of a row are listed at a time.
+_COPIES = 10_000
+
+
+def _keyless(keys: Sequence[str], columns: Sequence[str]) -> Column:
+    """The values of a row whose key has a NULL; NULL for every other row."""
+    return F.when(~all_present(keys), F.struct(*columns))
+
 
 def require_key(keys: Sequence[str] | None, mode: str) -> list[str]:
     """Only a snapshot can mirror a table without a primary key."""
@@ -29,17 +43,20 @@ def diff_changes(
 ) -> DataFrame:
     """The change feed that turns `old` into `new`, one commit.
 
-    One full outer join; keys and columns are compared null-safely, and equal rows produce nothing.
+    One full outer join of the rows that have a key; columns are compared null-safely, and equal rows
+    produce nothing. Rows with a NULL in the key are counted: where the number of copies differs, the
+    old ones are deletes and the new ones inserts.
     """
     keys = require_key(keys, "incremental")
     columns = new.columns
     data = [c for c in columns if c not in keys]
-    before, after = old.select(*columns).alias("before"), new.alias("after")
+    has_key = all_present(keys)
+    before, after = old.select(*columns), new.select(*columns)
     joined = (
-        before.select("*", F.lit(True).alias("_b")).alias("before")
+        before.where(has_key).select("*", F.lit(True).alias("_b")).alias("before")
         .join(
-            after.select("*", F.lit(True).alias("_a")).alias("after"),
-            reduce(lambda a, b: a & b, [F.col(f"before.{k}").eqNullSafe(F.col(f"after.{k}")) for k in keys]),
+            after.where(has_key).select("*", F.lit(True).alias("_a")).alias("after"),
+            reduce(lambda a, b: a & b, [F.col(f"before.{k}") == F.col(f"after.{k}") for k in keys]),
             "full_outer",
         )
     )
@@ -61,22 +78,41 @@ def diff_changes(
         .when(differs, F.array(image("before", PREIMAGE), image("after", POSTIMAGE)))
     )
     version_col = version if isinstance(version, Column) else F.lit(version)
-    return (
-        joined.select(F.explode(changes).alias("change"))
-        .select("change.*")
-        .withColumn("_commit_version", version_col.cast("bigint"))
-    )
+    keyed = joined.select(F.explode(changes).alias("change")).select("change.*")
+
+    gone, come = before.where(~has_key), after.where(~has_key)
+    copies = gone.withColumn("_n", F.lit(-1)).unionByName(come.withColumn("_n", F.lit(1)))
+    changed = copies.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n <> 0").drop("_n")
+    changed = changed.toDF(*(f"_changed_{c}" for c in columns))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_changed_{c}")) for c in columns])
+    deletes = gone.join(changed, same, "left_semi").withColumn("_change_type", F.lit(DELETE))
+    inserts = come.join(changed, same, "left_semi").withColumn("_change_type", F.lit(INSERT))
+    feed = keyed.unionByName(deletes).unionByName(inserts)
+    return feed.withColumn("_commit_version", version_col.cast("bigint"))
 
 
 def latest_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The change that decides each key: newest commit, and within one commit the row that stays.
 
-    Rows that agree in both are ordered by their other columns.
+    Rows that agree in both are ordered by their other columns. Of a row with a NULL in the key all
+    copies of its newest commit are kept.
     """
-    decisive = changes.where(F.col("_change_type") != PREIMAGE)
-    stays = (F.col("_change_type") != DELETE).cast("int")
-    rest = [F.col(c).asc_nulls_last() for c in changes.columns if c not in (*keys, *CHANGE_COLUMNS)]
-    return first_per_key(decisive, keys, [F.col("_commit_version").desc(), stays.desc(), *rest])
+    columns = [c for c in changes.columns if c not in CHANGE_COLUMNS]
+    has_key = all_present(keys)
+    decisive = changes.where((F.col("_change_type") != PREIMAGE) | ~has_key).withColumns(
+        {
+            "_keyless": _keyless(keys, columns),
+            # equal copies tie, and so all have the first rank; rows with a key do not tie
+            "_tie": F.when(has_key, F.monotonically_increasing_id()),
+        }
+    )
+    stays = (~F.col("_change_type").isin(DELETE, PREIMAGE)).cast("int")
+    rest = [F.col(c).asc_nulls_last() for c in columns if c not in keys]
+    kind = F.when(has_key, F.col("_change_type"))
+    order = [F.col("_commit_version").desc(), stays.desc(), *rest, kind, F.col("_tie")]
+    window = Window.partitionBy(*keys, "_keyless").orderBy(*order)
+    latest = decisive.withColumn("_rank", F.rank().over(window)).where(F.col("_rank") <= 1)
+    return latest.select(*changes.columns)
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str] | None) -> DataFrame:
@@ -87,11 +123,17 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str] | N
     """
     keys = require_key(keys, "incremental")
     latest = latest_changes(changes, keys)
-    changed = changes.where(F.col("_change_type") != PREIMAGE).select(*keys).distinct()
-    changed = changed.toDF(*(f"_changed_{k}" for k in keys))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_changed_{k}")) for k in keys])
+    columns = [c for c in target.columns if c in changes.columns]
+    changed = changes.where((F.col("_change_type") != PREIMAGE) | ~all_present(keys))
+    changed = changed.select(*keys, _keyless(keys, columns).alias("_row")).distinct()
+    changed = changed.toDF(*(f"_changed_{k}" for k in keys), "_changed_row")
+    same = reduce(
+        lambda a, b: a & b,
+        [F.col(k).eqNullSafe(F.col(f"_changed_{k}")) for k in keys],
+        _keyless(keys, columns).eqNullSafe(F.col("_changed_row")),
+    )
     untouched = target.join(changed, same, "left_anti").select(*target.columns)
-    written = latest.where(F.col("_change_type") != DELETE).drop(*CHANGE_COLUMNS)
+    written = latest.where(~F.col("_change_type").isin(DELETE, PREIMAGE)).drop(*CHANGE_COLUMNS)
     return untouched.unionByName(written, allowMissingColumns=True)
 
 
@@ -149,18 +191,40 @@ def reconcile_counts(pairs: Mapping[str, tuple[DataFrame, DataFrame | None]]) ->
 def compare_rows(source: DataFrame, mirror: DataFrame, keys: Sequence[str]) -> DataFrame:
     """`(key…, status)` with status ok, drifted, missing (not in mirror) or extra (only there).
 
-    Only the key and a 64-bit row hash are shuffled, whatever the width of the table.
+    Only the key and a 64-bit row hash are shuffled, whatever the width of the table. Rows with a NULL
+    in the key are counted by key and hash: copies on both sides are ok, the others missing or extra.
     """
     data = [c for c in source.columns if c not in keys]
-    left = source.select(*keys, row_hash(data).alias("_src"))
-    right = mirror.select(*keys, row_hash(data).alias("_dst"))
+    has_key = all_present(keys)
+    left = source.where(has_key).select(*keys, row_hash(data).alias("_src"))
+    right = mirror.where(has_key).select(*keys, row_hash(data).alias("_dst"))
     status = (
         F.when(F.col("_dst").isNull(), "missing")
         .when(F.col("_src").isNull(), "extra")
         .when(F.col("_src") == F.col("_dst"), "ok")
         .otherwise("drifted")
     )
-    return left.join(right, list(keys), "full_outer").select(*keys, status.alias("status"))
+    keyed = left.join(right, list(keys), "full_outer").select(*keys, status.alias("status"))
+
+    def copies(side: DataFrame, src: int, dst: int) -> DataFrame:
+        counts = F.lit(src).alias("_src"), F.lit(dst).alias("_dst")
+        return side.where(~has_key).select(*keys, row_hash(data).alias("_hash"), *counts)
+
+    counted = copies(source, 1, 0).unionByName(copies(mirror, 0, 1)).groupBy(*keys, "_hash")
+    counted = counted.agg(F.sum("_src").alias("_src"), F.sum("_dst").alias("_dst"))
+    n = {
+        "ok": F.least("_src", "_dst"),
+        "missing": F.col("_src") - F.col("_dst"),
+        "extra": F.col("_dst") - F.col("_src"),
+    }
+    kinds = F.array(*[F.struct(F.lit(k).alias("status"), v.alias("n")) for k, v in n.items()])
+    keyless = counted.select(*keys, F.explode(F.filter(kinds, lambda x: x["n"] > 0)).alias("_k"))
+    keyless = keyless.select(*keys, "_k.*").select(
+        *keys, "status", "n", F.explode(F.sequence(F.lit(1), F.col("n"), F.lit(_COPIES))).alias("_at")
+    )
+    last = F.least(F.col("n"), F.col("_at") + (_COPIES - 1))
+    keyless = keyless.select(*keys, "status", F.explode(F.sequence("_at", last)).alias("_copy")).drop("_copy")
+    return keyed.unionByName(keyless)
 
 
 def reconcile_rows(source: DataFrame, mirror: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -125,3 +125,41 @@ def test_applying_few_changes_does_not_shuffle_the_target(spark, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
     assert out.where("v = 2").count() == 1 and out.count() == 1000
+
+
+NULL_KEYS = [
+    ([(None, 1, "x"), (None, 2, "x")], [(None, 1, "x"), (None, 2, "x")]),
+    ([(None, 1, "x")] * 3 + [(None, 2, None), ("a", 1, "x")], [(None, 1, "x")] + [(None, 2, None)] * 2 + [("a", 2, "x")]),
+    ([(None, 1, "x"), (None, 2, "x")], [(None, 3, "x"), (None, 2, "x"), (None, 2, "y")]),
+    ([(None, 1, "x")] * 2, []),
+    ([], [(None, None, None)] * 2),
+]
+
+
+@pytest.mark.parametrize(("old", "new"), NULL_KEYS)
+def test_several_rows_with_null_keys_are_mirrored_by_their_values(spark, old, new):
+    before, after = frame(spark, old), frame(spark, new)
+    changes = sync.diff_changes(before, after, ["id"], 1)
+    once = sync.apply_changes(before, changes, ["id"])
+    assert rows(once) == rows(after)
+    assert rows(sync.apply_changes(once, changes, ["id"])) == rows(after)
+    assert rows(sync.apply_changes(before, sync.latest_changes(changes, ["id"]), ["id"])) == rows(after)
+    back = changes.unionByName(sync.diff_changes(after, before, ["id"], 2))
+    assert rows(sync.apply_changes(before, back, ["id"])) == rows(before)
+    if old == new:
+        assert changes.count() == 0
+
+
+def test_an_update_feed_of_a_null_key_removes_only_the_row_it_was(spark):
+    schema = SCHEMA + ", _change_type string, _commit_version bigint"
+    changes = frame(spark, [(None, 1, "x", "update_preimage", 2), (None, 5, "x", "update_postimage", 2)], schema)
+    target = frame(spark, [(None, 1, "x"), (None, 2, "x"), ("a", 1, "x")])
+    assert rows(sync.apply_changes(target, changes, ["id"])) == [("a", 1, "x"), (None, 2, "x"), (None, 5, "x")]
+
+
+def test_compare_rows_counts_copies_of_rows_with_null_keys(spark, monkeypatch):
+    monkeypatch.setattr(sync, "_COPIES", 2)
+    source = frame(spark, [(None, 1, "x")] * 5 + [(None, 2, None)] + [("a", 1, "x")])
+    mirror = frame(spark, [(None, 1, "x")] * 2 + [(None, 3, None)] * 3 + [("a", 1, "x")])
+    assert dict(rows(sync.reconcile_rows(source, mirror, ["id"]))) == {"ok": 3, "missing": 4, "extra": 3}
+    assert rows(sync.compare_rows(source, source, ["id"])) == [("a", "ok")] + [(None, "ok")] * 6
