@@ -58,7 +58,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("bpe_encoding", bpe_encoding),
 ]
 
-#: The first stage is a trained classifier, which SQL cannot express; tests hold it against a plain version.
+#: The first stage is a trained classifier, which SQL cannot express. Tests cover the operators of the stages, not `run`.
 ORACLE_SQL: str | None = None
 
 
