@@ -108,6 +108,25 @@ SELECT * FROM ranked WHERE rank <= 10
 """
 
 
+ORACLES["op11_substring_dedup"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+windows AS (
+  SELECT row, place, md5(array_to_string(words[place:place + 34], ' ')) AS window
+  FROM (SELECT row, words, unnest(range(1, len(words) - 33)) AS place FROM texts)),
+repeated AS (SELECT window FROM windows GROUP BY window HAVING count(*) > 1),
+gone AS (SELECT DISTINCT row, place + step AS place FROM windows JOIN repeated USING (window), range(35) AS s (step)),
+single AS (SELECT row, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts),
+kept AS (
+  SELECT row, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS text
+  FROM single ANTI JOIN gone USING (row, place) GROUP BY row)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n_kept, 0))::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (row)
+"""
+
+
 def _license_sql() -> str:
     from recollect.llm.licenses import KNOWN
 

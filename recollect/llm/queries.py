@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recollect.llm import bpe, chat, exact, hamming, licenses, lm, minhash, mixing, quality, toxicity
+from recollect.llm import bpe, chat, exact, hamming, licenses, lm, minhash, mixing, quality, substrings, toxicity
 from recollect.session import ship_package
 from recollect.sources.tables import read_table
 
@@ -99,3 +99,9 @@ def op10_hamming_topk(spark, sf_dir):
     codes = hamming.sign_codes(read_table(spark, "embeddings", sf_dir), "vec_id", "embedding", CODE_BITS)
     queries = codes.where(F.col("id") % QUERY_STEP == 0)
     return hamming.nearest(codes, queries, CODE_BITS, NEIGHBOURS)
+
+
+@query
+def op11_substring_dedup(spark, sf_dir):
+    found = substrings.remove_repeats(read_table(spark, "documents", sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

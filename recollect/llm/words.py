@@ -40,6 +40,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE = constants(1, 256)[_LOWER]
+_AS_IS = constants(1, 256)
 _ODD = int(constants(2, 1)[0]) | 1
 _JOIN = constants(3, SHINGLE) | np.uint64(1)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -78,6 +79,23 @@ class Words:
         sums = (total[self.ends] - total[self.starts]) * inverses[self.starts]
         return mix(sums + (self.ends - self.starts).astype(np.uint64) * np.uint64(_BASE))
 
+    def hashes_as_is(self, limit: int = CHUNK_BYTES) -> np.ndarray:
+        """Hashes that tell capitals apart, computed over at most `limit` bytes (or one word) at a time."""
+        out = np.empty(len(self.starts), dtype=np.uint64)
+        low = 0
+        while low < len(out):
+            begin = self.starts[low]
+            high = max(low + 1, int(np.searchsorted(self.ends, begin + limit, side="right")))
+            data = self.data[begin : self.ends[high - 1]]
+            powers, inverses = _power_tables(len(data) + 1)
+            total = np.zeros(len(data) + 1, dtype=np.uint64)
+            np.cumsum(_AS_IS[data] * powers[: len(data)], out=total[1:])
+            starts, ends = self.starts[low:high] - begin, self.ends[low:high] - begin
+            sums = (total[ends] - total[starts]) * inverses[starts]
+            out[low:high] = mix(sums + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
+            low = high
+        return out
+
 
 def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:
     """Row ranges with their words, each of at most `limit` bytes or one row; null counts as empty."""
@@ -101,6 +119,14 @@ def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int
         low = high
 
 
+def run_hashes(hashes: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """One hash for each run of `width` of the given word hashes that begins at `starts`."""
+    powers, inverses = _power_tables(len(hashes) + 1)
+    total = np.zeros(len(hashes) + 1, dtype=np.uint64)
+    np.cumsum(hashes * powers[: len(hashes)], out=total[1:])
+    return mix((total[starts + width] - total[starts]) * inverses[starts] + np.uint64(width))
+
+
 def shingle_hashes(hashes: np.ndarray) -> np.ndarray:
     """Distinct sorted hashes of the five-word shingles of one text; shorter texts are one shingle."""
     n = len(hashes)
