@@ -113,10 +113,10 @@ WITH texts AS (
   SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
   FROM documents),
 windows AS (
-  SELECT row, place, md5(array_to_string(words[place:place + 34], ' ')) AS window
+  SELECT row, place, md5(array_to_string(words[place:place + 34], ' ')) AS hash
   FROM (SELECT row, words, unnest(range(1, len(words) - 33)) AS place FROM texts)),
-repeated AS (SELECT window FROM windows GROUP BY window HAVING count(*) > 1),
-gone AS (SELECT DISTINCT row, place + step AS place FROM windows JOIN repeated USING (window), range(35) AS s (step)),
+repeated AS (SELECT hash FROM windows GROUP BY hash HAVING count(*) > 1),
+gone AS (SELECT DISTINCT row, place + step AS place FROM windows JOIN repeated USING (hash), range(35) AS s (step)),
 single AS (SELECT row, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts),
 kept AS (
   SELECT row, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS text
@@ -127,6 +127,92 @@ FROM texts LEFT JOIN kept USING (row)
 """
 
 
+_CRC_TABLE = """
+crc AS MATERIALIZED (
+  WITH RECURSIVE t(byte, round, value) AS (
+    SELECT range, 0, range FROM range(256)
+    UNION ALL
+    SELECT byte, round + 1, CASE WHEN value & 1 = 1 THEN xor(3988292384, value >> 1) ELSE value >> 1 END FROM t WHERE round < 8)
+  SELECT list(value ORDER BY byte) AS steps FROM t WHERE round = 8)
+"""
+
+ORACLES["op12_spelling_variants"] = (
+    "WITH RECURSIVE "
+    + _CRC_TABLE
+    + r""",
+runs AS (
+  SELECT name || ':' || run AS keyed, run, count(*) AS n
+  FROM (SELECT coalesce(doc_id::VARCHAR, '') AS name, unnest(list_transform(
+          regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+'),
+          lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS run FROM documents)
+  GROUP BY ALL),
+drawn AS (
+  SELECT run, n, xor(list_reduce(
+           list_prepend(4294967295, list_transform(range(1, strlen(keyed) + 1),
+             lambda i: ('0x' || substr(hex(encode(keyed)), 2 * i - 1, 2))::BIGINT)),
+           lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+  FROM runs, crc),
+slipped AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM drawn),
+counted AS (
+  SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+spots AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS place FROM counted),
+shorter AS (SELECT DISTINCT word, n, left(word, place - 1) || substr(word, place + 1) AS rest FROM spots),
+holes AS (SELECT word, n, left(word, place - 1) || '*' || substr(word, place + 1) AS hole FROM spots),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+  UNION ALL SELECT s.word, c.word, c.n FROM shorter s JOIN counted c ON s.rest = c.word
+  UNION ALL SELECT c.word, s.word, s.n FROM shorter s JOIN counted c ON s.rest = c.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS top,
+         first(other ORDER BY other_n DESC, other) AS other FROM pairs GROUP BY word),
+known AS (
+  SELECT c.word, c.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * c.n THEN other END AS form,
+         CASE WHEN top >= 2 * c.n THEN top END AS form_n
+  FROM counted c LEFT JOIN best b USING (word)),
+chains(word, tip) AS (
+  SELECT word, word FROM known
+  UNION ALL SELECT c.word, k.form FROM chains c JOIN known k ON k.word = c.tip WHERE k.form IS NOT NULL)
+SELECT k.word, k.form, c.tip AS root, k.n, k.n_near::BIGINT AS n_near, k.form_n
+FROM known k JOIN chains c USING (word) JOIN known e ON e.word = c.tip WHERE e.form IS NULL
+"""
+)
+
+ORACLES["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+counted AS (
+  SELECT lang, size, array_to_string(words[place:place + size - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS place
+        FROM split, range(1, 6) AS s (size))
+  GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::HUGEINT AS n FROM counted WHERE size = 1 GROUP BY lang),
+candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM counted WHERE size > 1 AND f >= 100),
+cuts AS (
+  SELECT lang, phrase, a, cut, array_to_string(words[1:cut], ' ') AS head, array_to_string(words[cut + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS cut FROM candidates)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, h.f AS l, t.f AS r, n, 1000::HUGEINT * c.a * n // (h.f::HUGEINT * t.f) AS score, cut
+  FROM cuts c JOIN counted h ON h.lang = c.lang AND h.phrase = c.head
+  JOIN counted t ON t.lang = c.lang AND t.phrase = c.tail JOIN totals o ON o.lang = c.lang),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT DISTINCT lang, array_to_string(words[place:place + k - 1], ' ') AS phrase, a
+  FROM (SELECT *, unnest(range(1, size - k + 2)) AS place FROM candidates, range(2, 5) AS r (k) WHERE k < size)),
+kept AS (SELECT * FROM lowest ANTI JOIN inside USING (lang, phrase, a))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+       n::BIGINT AS n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
+
 def _license_sql() -> str:
     from recollect.llm.licenses import KNOWN
 

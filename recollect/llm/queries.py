@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recollect.llm import bpe, chat, exact, hamming, licenses, lm, minhash, mixing, quality, substrings, toxicity
+from recollect.llm import bpe, chat, exact, hamming, licenses, lm, minhash, mixing, phrases, quality, spelling, substrings, toxicity
 from recollect.session import ship_package
 from recollect.sources.tables import read_table
 
@@ -105,3 +105,13 @@ def op10_hamming_topk(spark, sf_dir):
 def op11_substring_dedup(spark, sf_dir):
     found = substrings.remove_repeats(read_table(spark, "documents", sf_dir))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.group_variants(read_table(spark, "documents", sf_dir))
+
+
+@query
+def op13_collocations(spark, sf_dir):
+    return phrases.collocations(read_table(spark, "documents", sf_dir))

@@ -37,9 +37,9 @@ def constants(seed: int, n: int) -> np.ndarray:
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_BYTE = constants(1, 256)[_LOWER]
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_BYTE = constants(1, 256)[LOWER]
 _AS_IS = constants(1, 256)
 _ODD = int(constants(2, 1)[0]) | 1
 _JOIN = constants(3, SHINGLE) | np.uint64(1)
@@ -97,8 +97,8 @@ class Words:
         return out
 
 
-def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:
-    """Row ranges with their words, each of at most `limit` bytes or one row; null counts as empty."""
+def byte_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Row ranges with their bytes and offsets, each of at most `limit` bytes or one row; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     n = len(texts)
@@ -115,10 +115,16 @@ def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int
         high = int(np.searchsorted(offsets, offsets[low] + limit, side="right")) - 1
         high = min(max(high, low + 1), n)
         part = offsets[low : high + 1]
-        yield low, high, Words(data[part[0] : part[-1]], part - part[0])
+        yield low, high, data[part[0] : part[-1]], part - part[0]
         low = high
 
 
+def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:
+    """`byte_chunks` with their words."""
+    for low, high, data, offsets in byte_chunks(texts, limit):
+        yield low, high, Words(data, offsets)
+
+
 def run_hashes(hashes: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
     """One hash for each run of `width` of the given word hashes that begins at `starts`."""
     powers, inverses = _power_tables(len(hashes) + 1)
