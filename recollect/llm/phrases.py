@@ -11,13 +11,12 @@ error only means that a phrase is counted early: filters only gain bits, so in e
 counted at the first visit at which it is active and at no other, and every finished count is exact,
 whatever the filter errs. Counts are rows of `(key, first, n, done)`, added up by Spark after every scan;
 a phrase that has completed its cycle below the threshold is dropped. Words and phrases are known by
-64-bit hashes, seeded with the language, until those that reached the threshold get their texts in one
-last scan.
+64-bit hashes, seeded with the language. `first` says in which step and block a phrase was seen first:
+there, and nowhere else, those that reached the threshold get their texts at the end.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
@@ -31,13 +30,12 @@ from recollect.llm import words
 from recollect.session import materialise, scratch_path
 
 LEAST, LONGEST, BEST = 100, 5, 2000
-SHARDS = 4
+SHARDS = 3
 UNKNOWN = "und"
 FILTER_WORDS = 1 << 20  # of 64 bits: 8 MB at any size of the corpus
 BLOCK_BYTES = 1 << 20
-HELD_WORDS = 1 << 19
-FLUSH_PHRASES = 1 << 21
-NAMES_SEEN = 1 << 20
+HELD_WORDS = 1 << 20
+STEP_BIT = 44  # of `first`: the step above, the block below
 _STEP = words.constants(31, LONGEST + 1) | np.uint64(1)
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
@@ -48,7 +46,7 @@ class Pieces:
     """The words of some texts: bytes, hashes seeded with the language, and the piece each lies in."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, langs: list[str]):
-        self.data = _PLAIN[data]
+        self.data, self.offsets = _PLAIN[data], offsets
         self.found = words.Words(self.data, offsets)
         self.rows = np.repeat(np.arange(len(langs)), np.diff(self.found.first))
         seeds = {lang: int.from_bytes(blake2b(lang.encode(), digest_size=8).digest()) for lang in set(langs)}
@@ -56,9 +54,8 @@ class Pieces:
         self.keys = words.mix(self.found.hashes_as_is() + seed[self.rows])
         self.piece = np.cumsum(_BREAK[data], dtype=np.int64)[self.found.starts] + self.rows
 
-    def text(self, word: int, length: int) -> str:
-        spans = zip(self.found.starts[word : word + length], self.found.ends[word : word + length], strict=True)
-        return b" ".join(self.data[a:b].tobytes() for a, b in spans).decode()
+    def row(self, row: int) -> bytes:
+        return self.data[self.offsets[row] : self.offsets[row + 1]].tobytes()
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[Pieces, list[str]]]:
@@ -77,23 +74,29 @@ def _separated(keys: np.ndarray, piece: np.ndarray) -> np.ndarray:
     return out
 
 
+BLOCKS = (
+    "shard int, block long, size long, keys binary, text_size long, text binary, langs array<struct<lang: string, n: long>>"
+)
+
+
 def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents dealt to the shards in turn, packed as word keys, with the word counts of languages."""
-    held: list[list[np.ndarray]] = [[] for _ in range(SHARDS)]
-    counts: list[Counter] = [Counter() for _ in range(SHARDS)]
-    turn = TaskContext.get().partitionId()
+    """Documents dealt to the shards in turn, in blocks: word keys, words, and the words of each document."""
+    held: list[list[tuple[np.ndarray, bytes]]] = [[] for _ in range(SHARDS)]
+    counts: list[list[dict]] = [[] for _ in range(SHARDS)]
+    part_id = TaskContext.get().partitionId()
+    turn, number = part_id, part_id << 20
+    kind = pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())]))
 
     def packed(shard: int) -> pa.RecordBatch:
-        payload = pa.compress(np.concatenate(held[shard]).tobytes(), codec="zstd", asbytes=True)
-        langs = [{"lang": lang, "n": n} for lang, n in counts[shard].items()]
-        size = sum(map(len, held[shard]))
-        held[shard], counts[shard] = [], Counter()
-        kind = pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())]))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([shard], pa.int32()), pa.array([size], pa.int64()), pa.array([payload], pa.binary()),
-             pa.array([langs], kind)],
-            names=["shard", "size", "payload", "langs"],
-        )
+        nonlocal number
+        keys = np.concatenate([k for k, _ in held[shard]])
+        text = b" ".join(t for _, t in held[shard] if t)
+        blobs = [pa.array([pa.compress(b, codec="zstd", asbytes=True)], pa.binary()) for b in (keys.tobytes(), text)]
+        sizes = [pa.array([n], pa.int64()) for n in (number, len(keys), len(text))]
+        row = [pa.array([shard], pa.int32()), sizes[0], sizes[1], blobs[0], sizes[2], blobs[1], pa.array([counts[shard]], kind)]
+        held[shard], counts[shard] = [], []
+        number += 1
+        return pa.RecordBatch.from_arrays(row, names=["shard", "block", "size", "keys", "text_size", "text", "langs"])
 
     for batch in batches:
         for part, langs in _pieces(batch):
@@ -102,12 +105,13 @@ def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes = np.diff(part.found.first)
             for shard in range(SHARDS):
                 own = dealt[part.rows] == shard
-                held[shard].append(_separated(part.keys[own], part.piece[own]))
-                for row in np.flatnonzero((dealt == shard) & (sizes > 0)):
-                    counts[shard][langs[row]] += int(sizes[row])
-                if sum(map(len, held[shard])) >= HELD_WORDS:
+                rows = np.flatnonzero((dealt == shard) & (sizes > 0))
+                text = b" ".join(b" ".join(part.row(row).split()) for row in rows)
+                held[shard].append((_separated(part.keys[own], part.piece[own]), text))
+                counts[shard] += [{"lang": langs[row], "n": int(sizes[row])} for row in rows]
+                if sum(len(k) for k, _ in held[shard]) >= HELD_WORDS:
                     yield packed(shard)
-    yield from (packed(shard) for shard in range(SHARDS) if any(map(len, held[shard])))
+    yield from (packed(shard) for shard in range(SHARDS) if counts[shard])
 
 
 def _masks(keys: np.ndarray) -> np.ndarray:
@@ -154,53 +158,53 @@ def _longer(keys: np.ndarray, told: np.ndarray, earlier: np.ndarray | None = Non
             was &= _told(earlier, current)
 
 
-def _scan(told, earlier, with_words: bool) -> Callable:
-    """Counts of the phrases of a shard that are active now and were not at the shard's last visit."""
+def _keys_of(block: dict) -> np.ndarray:
+    return np.frombuffer(pa.decompress(block["keys"], 8 * block["size"], codec="zstd"), np.uint64)
 
-    def counted(found: list[np.ndarray]) -> pa.RecordBatch:
-        keys, n = np.unique(np.concatenate(found), return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"]
-        )
+
+def _scan(told, earlier, step: int) -> Callable:
+    """Counts of the phrases of a shard that are active now and were not at the shard's last visit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
         for batch in batches:
-            for size, payload in zip(batch.column("size").to_pylist(), batch.column("payload"), strict=True):
-                keys = np.frombuffer(pa.decompress(payload.as_buffer(), 8 * size, codec="zstd"), np.uint64)
-                if with_words:
-                    held.append(keys[keys != 0])
+            for i in range(batch.num_rows):
+                block = batch.slice(i, 1).to_pylist()[0]
+                keys = _keys_of(block)
+                found = [keys[keys != 0]] if step < SHARDS else []
                 for _, _, phrases, was in _longer(keys, told.value, earlier.value if earlier else None):
-                    held.append(phrases[~was])
-                if sum(map(len, held)) >= FLUSH_PHRASES:
-                    yield counted(held)
-                    held = []
-        if held:
-            yield counted(held)
+                    found.append(phrases[~was])
+                distinct, n = np.unique(np.concatenate(found), return_counts=True)
+                first = np.full(len(distinct), step << STEP_BIT | block["block"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(distinct.view(np.int64)), pa.array(first), pa.array(n.astype(np.int64))],
+                    names=["key", "first", "n"],
+                )
 
     return run
 
 
 def _name(told) -> Callable:
-    """`(key, lang, length, phrase)` of words and phrases that the filter holds, mostly once per task."""
+    """`(key, lang, length, phrase)` of the wanted words and phrases of each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
-            for part, langs in _pieces(batch):
-                keys = _separated(part.keys, part.piece)
+            for i in range(batch.num_rows):
+                block = batch.slice(i, 1).to_pylist()[0]
+                keys = _keys_of(block)
+                wanted = np.sort(np.array(block["wanted"], dtype=np.int64).view(np.uint64))
+                text = pa.decompress(block["text"], block["text_size"], codec="zstd", asbytes=True).split(b" ")
+                ends = np.cumsum([d["n"] for d in block["langs"]])
                 word = np.cumsum(keys != 0) - 1
                 single = np.flatnonzero(keys != 0)
                 rows: list[tuple] = []
                 for length, at, phrases, _ in [(1, single, keys[single], None), *_longer(keys, told.value)]:
-                    held = np.flatnonzero(_told(told.value, phrases))
+                    held = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, phrases), len(wanted) - 1)] == phrases)
                     distinct, first = np.unique(phrases[held], return_index=True)
-                    for key, place in zip(distinct.tolist(), word[at[held[first]]].tolist(), strict=True):
-                        if key not in seen:
-                            seen.add(key)
-                            rows.append((key, langs[part.rows[place]], length, part.text(place, length)))
-                if len(seen) > NAMES_SEEN:
-                    seen.clear()
+                    places = word[at[held[first]]]
+                    langs = np.searchsorted(ends, places, side="right")
+                    for key, place, lang in zip(distinct.tolist(), places.tolist(), langs.tolist(), strict=True):
+                        phrase = b" ".join(text[place : place + length]).decode()
+                        rows.append((key, block["langs"][lang]["lang"], length, phrase))
                 key, lang, length, phrase = zip(*rows, strict=True) if rows else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.array(key, np.uint64).view(np.int64)), pa.array(lang, pa.string()),
@@ -219,25 +223,24 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
     spark = docs.sparkSession
     texts = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     path = scratch_path(spark, "shards")
-    schema = "shard int, size long, payload binary, langs array<struct<lang: string, n: long>>"
-    texts.mapInArrow(_shard, schema).write.partitionBy("shard").parquet(path)
-    shards = spark.read.schema(schema).parquet(path)
-    totals = shards.select(F.inline("langs")).groupBy("lang").agg(F.sum("n").alias("n"))
+    texts.mapInArrow(_shard, BLOCKS).write.partitionBy("shard").parquet(path)
+    blocks = spark.read.schema(BLOCKS).parquet(path)
+    totals = blocks.select(F.inline("langs")).groupBy("lang").agg(F.sum("n").alias("n"))
 
-    counts = spark.createDataFrame([], "key long, first int, n long, done boolean, fresh boolean")
+    counts = spark.createDataFrame([], "key long, first long, n long, done boolean, fresh boolean")
     bits = [np.zeros(FILTER_WORDS, dtype=np.uint64)]
     sent = [spark.sparkContext.broadcast(bits[0])]
     step = 0
     while step < SHARDS or not np.array_equal(bits[step], bits[step - SHARDS]):
         earlier = sent[step - SHARDS] if step >= SHARDS else None
-        scanned = shards.where(F.col("shard") == step % SHARDS).select("size", "payload")
-        found = scanned.mapInArrow(_scan(sent[step], earlier, step < SHARDS), "key long, n long")
-        added = found.select("key", F.lit(step).alias("first"), "n", F.lit(False).alias("done"))
+        scanned = blocks.where(F.col("shard") == step % SHARDS).select("block", "size", "keys")
+        found = scanned.mapInArrow(_scan(sent[step], earlier, step), "key long, first long, n long")
+        added = found.select("key", "first", "n", F.lit(False).alias("done"))
         summed = counts.select("key", "first", "n", "done").unionAll(added).groupBy("key").agg(
             F.min("first").alias("first"), F.sum("n").alias("n"), F.max("done").alias("done")
         )
         reached = F.col("n") >= least
-        open_ = F.col("first") + (SHARDS - 1) > step
+        open_ = F.shiftright("first", STEP_BIT) + (SHARDS - 1) > step
         counts = materialise(
             summed.where(reached | open_).select(
                 "key", "first", "n", reached.alias("done"), (reached & ~F.col("done")).alias("fresh")
@@ -251,10 +254,12 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
             sent[step - SHARDS].unpersist()
         step += 1
 
-    named = texts.mapInArrow(_name(sent[step]), "key long, lang string, length int, phrase string")
-    named = named.groupBy("key").agg(F.min(F.struct("lang", "length", "phrase")).alias("named"))
-    frequent = counts.where("done").select("key", "n").join(named, "key").select("named.*", "n")
-    return materialise(frequent, "frequent"), materialise(totals, "totals")
+    frequent = counts.where("done").select("key", "n", (F.col("first").bitwiseAND((1 << STEP_BIT) - 1)).alias("block"))
+    wanted = frequent.groupBy("block").agg(F.collect_list("key").alias("wanted"))
+    asked = blocks.drop("shard").join(wanted, "block")
+    named = asked.mapInArrow(_name(sent[step]), "key long, lang string, length int, phrase string")
+    found = frequent.select("key", "n").join(named, "key").select("lang", "length", "phrase", "n")
+    return materialise(found, "frequent"), materialise(totals, "totals")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST) -> DataFrame:
