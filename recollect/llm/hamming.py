@@ -6,8 +6,9 @@ s - 1. So the tables are probed at radius 0, 1, … around the query's segments,
 verified on all bits, and a query ends when its k-th distance is covered. Equal codes are indexed
 once.
 
-Tasks index the codes of their partition, in shards of SHARD_CODES at most. Distinct query codes travel
-to them in blocks of QUERY_BLOCK at most, and each block is one pass over the index.
+Codes are dealt to shards by their hash: as many as there are cores, but of SHARD_LEAST codes or more each (in
+smaller ones looking at all codes is cheaper than probing) and of about SHARD_MOST at most. Distinct query
+codes travel to them in blocks of QUERY_BLOCK at most, and each block is one pass over the index.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from recollect.functions.keys import top_k
 from recollect.session import materialise
 
 QUERY_BLOCK = 1 << 16
-SHARD_CODES = 1 << 20
+SHARD_LEAST, SHARD_MOST = 1 << 13, 1 << 20
 PROBE_CELLS = 1 << 20
 
 
@@ -60,6 +61,7 @@ class MultiIndex:
 
     def __init__(self, codes: np.ndarray, bits: int):
         self.codes, self.bits = codes, bits
+        self.scanned = 0  # queries that were ended by a look at all codes
         m = max(1, round(bits / max(1.0, min(20.0, math.log2(max(2, len(codes)))))))
         cuts = np.linspace(0, bits, m + 1).astype(int)
         self.spans = list(zip(cuts.tolist(), cuts[1:].tolist(), strict=False))
@@ -89,6 +91,7 @@ class MultiIndex:
                 break
             probes = sum(math.comb(high - low, radius) for low, high in self.spans)
             if probes >= n or radius > max(high - low for low, high in self.spans):
+                self.scanned += len(active)
                 self._scan(queries, active, found)  # probing further would cost more than all codes do
                 break
             for j, (low, high) in enumerate(self.spans):
@@ -165,7 +168,7 @@ def _search(queries, k: int, bits: int, id_type: pa.DataType):
         for batch in batches:
             codes += batch.column("code").to_pylist()
             firsts += batch.column("first").to_pylist()
-            if len(codes) >= SHARD_CODES:
+            if len(codes) >= 2 * SHARD_MOST:
                 yield from shard(codes, firsts)
                 codes, firsts = [], []
         yield from shard(codes, firsts)
@@ -184,6 +187,9 @@ def nearest(codes: DataFrame, queries: DataFrame, bits: int, k: int) -> DataFram
     kind = dict(codes.dtypes)["id"]
     members = materialise(top_k(codes.distinct(), ["code"], [F.col("id").asc()], k, "place"), "code-members")
     index = members.where("place = 1").select("code", F.col("id").alias("first"))
+    n, cores = index.count(), spark.sparkContext.defaultParallelism
+    shards = max(1, -(-n // SHARD_MOST), min(cores, n // SHARD_LEAST))
+    index = index.repartition(shards, "code")
     asked = materialise(queries.select(F.col("id").alias("query_id"), "code").distinct(), "queries")
     distinct = asked.select(F.col("code").alias("query_code")).distinct()
     blocks = max(1, -(-asked.select("code").distinct().count() // QUERY_BLOCK))

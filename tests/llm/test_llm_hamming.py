@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from recollect.llm import hamming
+from recollect.sources.tables import read_table
 
 
 def brute(codes, queries, k):
@@ -75,3 +76,13 @@ def test_many_equal_codes_blocks_and_edges(spark, monkeypatch):
 def test_empty_table(spark):
     codes = spark.createDataFrame([], "id long, code binary")
     assert hamming.nearest(codes, codes, 64, 3).collect() == []
+
+
+def test_probing_carries_nearly_all_queries_of_a_whole_table(spark):
+    vectors = read_table(spark, "embeddings", "/root/testdata/sf0.1")
+    rows = hamming.sign_codes(vectors, "vec_id", "embedding", 64).collect()
+    codes = np.unique(hamming._words([bytes(r["code"]) for r in rows]), axis=0)
+    index = hamming.MultiIndex(codes, 64)
+    queries = hamming._words([bytes(r["code"]) for r in rows if r["id"] % 50 == 0])
+    index.search(queries, 10, np.arange(len(codes)))
+    assert len(codes) > 1300 and index.scanned <= 0.1 * len(queries)
