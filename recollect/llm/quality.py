@@ -123,6 +123,7 @@ def fit(docs: DataFrame, ratings: DataFrame) -> Ordinal:
     usable = usable.groupBy("doc_id").agg(F.min("grade").cast("double").alias("grade"))
     sample = F.broadcast(usable.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(FIT_ROWS))
     texts = docs.select("doc_id", "text").join(sample, "doc_id")
+    texts = texts.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))  # one row per rated id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,7 +153,8 @@ def score(docs: DataFrame, ratings: DataFrame) -> DataFrame:
     `tail_probability` is the probability of a grade above the lowest, `grade` the highest grade whose own
     tail probability is at least one half. A null or empty text, or one of white space, has no
     features: its strength is 0. With fewer than two grades to learn from, every document gets the one
-    known grade (0 without any) with tail probability 1. Other columns are not read.
+    known grade (0 without any) with tail probability 1. Repeated rows get equal scores and are learnt
+    from once, with the smallest text of an id that has several. Other columns are not read.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, ratings))
     kind = dict(docs.dtypes)["doc_id"]
@@ -182,7 +184,10 @@ def score(docs: DataFrame, ratings: DataFrame) -> DataFrame:
 
 
 def accepted_rows(docs: DataFrame, ratings: DataFrame, least: float = 0.5) -> DataFrame:
-    """`docs` without the rows whose tail probability is below `least`, all columns, in one pass."""
+    """`docs` without the rows whose tail probability is below `least`, all columns, in one pass.
+
+    Null and empty texts and repeated rows are judged as `score` scores them, each row for itself.
+    """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, ratings))
     names = docs.columns
 

@@ -156,7 +156,9 @@ def word_lists(texts: DataFrame) -> tuple[list[str], list[str]]:
 
 
 def _with_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(sample, "doc_id")
+    """One row per sampled id, however often `docs` has it; the smallest text of several."""
+    texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(sample, "doc_id")
+    return texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def features(texts: DataFrame, dictionaries: tuple[bytes, bytes]) -> DataFrame:
@@ -204,7 +206,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     The score is the calibrated probability of label 1. Null and empty texts have no windows and get
     the calibration of all-zero features. Without usable labels every score is 0.5. Only the text
-    is scored; other columns are not read. A null doc_id counts as the empty string, held out.
+    is scored; other columns are not read. A null doc_id counts as the empty string, held out. Repeated
+    rows get equal scores and are learnt from once.
     """
     content, weights = fit(docs, labels)
     scored = features(docs.select("doc_id", "text"), content)
