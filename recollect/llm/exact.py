@@ -2,8 +2,11 @@
 
 The index is a table bucketed and sorted by digest. New rows are reduced to one row per digest, those
 that the index has are left out by a sort-merge anti-join (the index side is neither shuffled nor
-held in memory), and the rest is appended. Two texts are equal when they are identical after
-deleting every space and every character from U+0009 to U+000D.
+held in memory), and the rest is appended, together with the batch that brought it. Two texts are equal
+when they are identical after deleting every space and every character from U+0009 to U+000D.
+
+A batch is known by its name, or by its content where it has none. Running one again, because what
+came of it was lost, gives the same rows again and adds nothing to the index.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recollect.llm.columns import unused
 from recollect.session import materialise, scratch_path
 from recollect.sources.tables import qualified_name
 
@@ -21,7 +25,7 @@ HOT_GROUPS = 1024
 
 @dataclass(frozen=True)
 class DigestIndex:
-    """A bucketed table of `(digest, keep_id, n_points, group_size)`, one row per text seen."""
+    """A bucketed table of `(digest, keep_id, n_points, group_size, batch)`, one row per text seen."""
 
     spark: SparkSession
     name: str
@@ -38,6 +42,17 @@ class DigestIndex:
         columns = self.rows().columns
         rows.select(*columns).repartition(self.buckets(), "digest").write.insertInto(self.name)
 
+    def drop(self) -> None:
+        """Take the table out of the catalog; its files stay and `open_index` finds them again."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+    def compacted(self, name: str, path: str) -> DigestIndex:
+        """A copy with one file per bucket, which Spark reads in sorted order; every append adds one more."""
+        kind = dict(self.rows().dtypes)["keep_id"]
+        fresh = open_index(self.spark, name, path, self.buckets(), kind)
+        fresh.append(self.rows())
+        return fresh
+
 
 def open_index(spark: SparkSession, name: str, path: str, buckets: int, id_type: str = "bigint") -> DigestIndex:
     """The index stored below `path`, created there if it is new; `buckets` must not change later."""
@@ -45,7 +60,7 @@ def open_index(spark: SparkSession, name: str, path: str, buckets: int, id_type:
     location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {quoted} (digest BINARY, keep_id {id_type}, n_points BIGINT,"
-        f" group_size BIGINT) USING parquet CLUSTERED BY (digest) SORTED BY (digest)"
+        f" group_size BIGINT, batch STRING) USING parquet CLUSTERED BY (digest) SORTED BY (digest)"
         f" INTO {int(buckets)} BUCKETS LOCATION '{location}'"
     )
     return DigestIndex(spark, quoted)
@@ -56,7 +71,7 @@ def text_digest(text: Column) -> Column:
     return F.unhex(F.sha2(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", ""), 256))
 
 
-def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
+def deduplicate(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
     """One row per row of `docs (doc_id, text, …)`, kept or not; new texts go into the index.
 
     `(doc_id, keep_id, group_size, kept, text_sha256, n_points)`. Of equal texts the row with the most
@@ -64,6 +79,8 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
     rows that agree in that too, exactly one. Rows whose text the index already has are not kept:
     `keep_id` names the row that brought the text, `group_size` counts the rows with that text in
     the batch that brought it and in this one. Null texts are empty texts. Other columns are not read.
+    Texts that the index has from this very batch count as new. Without a name, a batch is the same
+    as another if both hold the same pairs of doc_id and normalised text, each as often.
     """
     text = F.coalesce("text", F.lit(""))
     rows = materialise(
@@ -79,13 +96,17 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
     groups = materialise(
         rows.groupBy("digest").agg(F.min(order).alias("best"), F.count("*").alias("batch_size")), "groups"
     )
-    fresh = materialise(groups.hint("merge").join(index.rows(), "digest", "left_anti"), "fresh")
+    own = F.lit(_content_name(rows) if batch is None else batch)
+    stored = index.rows().select("digest", (F.col("batch") == own).alias("is_own"))
+    found = groups.hint("merge").join(stored, "digest", "left").where("is_own OR is_own IS NULL")
+    fresh = materialise(found, "fresh")
     index.append(
-        fresh.select(
+        fresh.where("is_own IS NULL").select(
             "digest",
             F.col("best.doc_id").alias("keep_id"),
             (-F.col("best.points")).alias("n_points"),
             F.col("batch_size").alias("group_size"),
+            own.alias("batch"),
         )
     )
     # a text that the index had before has another row there than this batch's best one
@@ -104,6 +125,15 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
     return _with_groups(rows, described)
 
 
+def _content_name(rows: DataFrame) -> str:
+    """A name for the batch's `(doc_id, digest)` rows that does not depend on their order."""
+    hashes = F.xxhash64("doc_id", "digest")
+    sums = rows.agg(
+        F.count("*"), F.coalesce(F.sum(hashes.cast("decimal(38,0)")), F.lit(0)), F.coalesce(F.bit_xor(hashes), F.lit(0))
+    )
+    return "content:" + ":".join(str(value) for value in sums.first())
+
+
 def _with_groups(rows: DataFrame, described: DataFrame) -> DataFrame:
     """Each row with its group; the rows of the largest groups are joined apart.
 
@@ -131,21 +161,23 @@ def fresh_index(spark: SparkSession, id_type: str = "bigint") -> DigestIndex:
     return open_index(spark, name, path, int(spark.conf.get("spark.sql.shuffle.partitions")), id_type)
 
 
-def kept_rows(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """`docs` without the rows that `deduplicate` drops, all columns."""
-    agreeing = deduplicate(docs, index).groupBy("doc_id", F.unhex("text_sha256"), "n_points")
+def kept_rows(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
+    """`docs` without the rows that `deduplicate` drops, all columns, which may have any names."""
+    name, digest, points, copies = unused(docs.columns, "kept_id", "kept_digest", "kept_points", "kept_copies")
+    own_digest, own_points = unused([*docs.columns, name, digest, points, copies], "digest", "points")
+    agreeing = deduplicate(docs, index, batch).groupBy("doc_id", F.unhex("text_sha256"), "n_points")
     kept = agreeing.agg(F.max("kept").alias("kept"), F.count("*").alias("copies")).where("kept").drop("kept")
-    kept = materialise(kept.toDF("_kept_id", "_kept_digest", "_kept_points", "_copies"), "kept")
+    kept = materialise(kept.toDF(name, digest, points, copies), "kept")
     marked = docs.withColumns(
-        {"_digest": text_digest(F.col("text")), "_points": F.length(F.coalesce("text", F.lit("")))}
+        {own_digest: text_digest(F.col("text")), own_points: F.length(F.coalesce("text", F.lit("")))}
     )
     same = (
-        marked["doc_id"].eqNullSafe(kept["_kept_id"])
-        & (marked["_digest"] == kept["_kept_digest"])
-        & (marked["_points"] == kept["_kept_points"])
+        marked["doc_id"].eqNullSafe(kept[name])
+        & (marked[own_digest] == kept[digest])
+        & (marked[own_points] == kept[points])
     )
     found = marked.join(kept, same)
-    out = found.where("_copies = 1")
-    if not kept.where("_copies > 1").isEmpty():  # rows that agree in id, text and length
-        out = out.unionByName(found.where("_copies > 1").dropDuplicates(["_kept_id", "_digest"]))
+    out = found.where(F.col(copies) == 1)
+    if not kept.where(F.col(copies) > 1).isEmpty():  # rows that agree in id, text and length
+        out = out.unionByName(found.where(F.col(copies) > 1).dropDuplicates([name, digest]))
     return out.select(*docs.columns)

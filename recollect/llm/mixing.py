@@ -3,8 +3,9 @@
 Documents fall into shards by a seeded hash. In a shard, the documents of a source lie on a line in
 the order of that hash, cut into blocks of BLOCK_WORDS words. Each shard's blocks go to the sources by
 the highest quotients target / (2 k + 1). A source takes its blocks from the start of its line and,
-when it gets more blocks than it has, goes over the line again; so the seeded order selects, reruns
-agree, and only the document at the end of a run is taken in part.
+when it gets more blocks than it has, goes over the line again; so the seeded order selects, and reruns
+agree. Texts stay whole: of the last run, the documents that fit are taken, and then the one whose size is
+nearest to what is left of the blocks, if that comes nearer to them than taking none.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recollect.llm.columns import unused
 from recollect.session import materialise
 
 SEED = 17
@@ -134,38 +136,37 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
         }
     ).join(won, ["shard", "place"], "left")
     blocks = F.ceil(F.col("length") / BLOCK_WORDS)
-    rounds = F.floor(F.col("quota") / blocks)
-    edge = (F.col("quota") - rounds * blocks) * BLOCK_WORDS
-    begin = F.col("end") - F.col("size")
-    again = F.greatest(F.lit(0), F.least("end", edge) - F.least(begin, edge))
-    taken = F.when((F.col("length") > 0) & F.col("quota").isNotNull(), F.col("size") * rounds + again)
-    return lined.select(
-        "doc_id", "size", "source_size", "target", F.coalesce(taken, F.lit(0)).cast("long").alias("taken")
-    )
+    group = Window.partitionBy("shard", "place")
+    cut = lined.where((F.col("length") > 0) & F.col("quota").isNotNull()).withColumn(
+        "rounds", F.floor(F.col("quota") / blocks)
+    ).withColumn("edge", (F.col("quota") - F.col("rounds") * blocks) * BLOCK_WORDS)
+    fits = F.col("end") <= F.col("edge")
+    left = cut.withColumn("left", F.col("edge") - F.coalesce(F.max(F.when(fits, F.col("end"))).over(group), F.lit(0)))
+    miss = F.when(~fits & (F.abs(F.col("size") - F.col("left")) < F.col("left")), F.abs(F.col("size") - F.col("left")))
+    nearest = F.row_number().over(group.orderBy(miss.asc_nulls_last(), "draw", "doc_id", "size"))
+    last = left.withColumn("last", (nearest == 1) & miss.isNotNull())
+    copies = F.col("rounds") + fits.cast("int") + F.col("last").cast("int")
+    out = last.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).cast("long").alias("taken"))
+    none = lined.where((F.col("length") <= 0) | F.col("quota").isNull())
+    return out.unionByName(none.select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken")))
 
 
 def mixed_rows(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The mixed corpus, all columns of `docs`: a row for every time that a document is taken.
+    """The mixed corpus, all columns of `docs`: a row for every time that a document is taken, texts whole.
 
-    The document at the end of a run is cut after its last taken word, with single spaces between its
-    words; a column `n_chars` then holds the new length. Rows that agree in doc_id and size share what is
-    taken of them evenly.
+    Rows that agree in doc_id and size share what is taken of them: each gets the whole part of it, and
+    the first ones by text one more. Rows without words are not taken. Columns may have any names.
     """
+    at, words, total, n, place = unused(docs.columns, "mix_id", "mix_size", "mix_total", "mix_rows", "mix_place")
     decided = mix(docs, seed).where("size > 0").groupBy("doc_id", "size")
-    decided = decided.agg(F.floor(F.sum("taken") / F.count("*")).alias("taken")).where("taken > 0")
-    decided = materialise(decided.toDF("_mix_id", "_mix_size", "_mix_taken"), "mix")
-    same = docs["doc_id"].eqNullSafe(decided["_mix_id"]) & (word_count(docs["text"]) == decided["_mix_size"])
+    decided = decided.agg((F.sum("taken") / F.col("size")).cast("long").alias("total"), F.count("*").alias("n"))
+    decided = materialise(decided.where("total > 0").toDF(at, words, total, n), "mix")
+    same = docs["doc_id"].eqNullSafe(decided[at]) & (word_count(docs["text"]) == decided[words])
     found = docs.join(decided.hint("merge"), same)
-    size, taken = F.col("_mix_size"), F.col("_mix_taken")
-    copies = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.floor((taken - 1) / size)), lambda i: F.least(size, taken - i * size)
-    )
-    repeated = found.withColumn("_mix_words", F.explode(copies))
-    trimmed = F.regexp_replace("text", r"^[\x20\x09-\x0D]+", "")
-    cut = F.slice(F.split(trimmed, r"[\x20\x09-\x0D]+"), F.lit(1), F.col("_mix_words").cast("int"))
-    part = F.col("_mix_words") < size
-    out = repeated.withColumn("text", F.when(part, F.array_join(cut, " ")).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(dict(docs.dtypes)["n_chars"])
-        out = out.withColumn("n_chars", F.when(part, length).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    alone = found.where(F.col(n) == 1).withColumn(place, F.lit(1))
+    shared = Window.partitionBy(at, words).orderBy(F.xxhash64("text"))
+    several = found.where(F.col(n) > 1).withColumn(place, F.row_number().over(shared))
+    one_more = (F.col(place) <= F.col(total) % F.col(n)).cast("int")
+    copies = (F.floor(F.col(total) / F.col(n)) + one_more).cast("int")
+    taken = alone.unionByName(several).withColumn(place, F.explode(F.array_repeat(F.lit(1), copies)))
+    return taken.select(*docs.columns)

@@ -61,12 +61,19 @@ lined AS (
   FROM placed p LEFT JOIN quotas q ON p.shard = q.shard AND p.place = q.place),
 edges AS (
   SELECT *, quota // greatest(1, ceil(length / 16.0)::BIGINT) AS rounds,
-         (quota % greatest(1, ceil(length / 16.0)::BIGINT)) * 16 AS edge FROM lined)
+         (quota % greatest(1, ceil(length / 16.0)::BIGINT)) * 16 AS edge FROM lined),
+open AS (
+  SELECT *, edge - coalesce(max(CASE WHEN stop <= edge THEN stop END) OVER (PARTITION BY shard, place), 0) AS rest
+  FROM edges),
+missed AS (
+  SELECT *, CASE WHEN stop > edge AND abs(size - rest) < rest THEN abs(size - rest) END AS miss FROM open),
+chosen AS (
+  SELECT *, miss IS NOT NULL AND row_number() OVER (
+           PARTITION BY shard, place ORDER BY miss ASC NULLS LAST, draw, doc_id, size) = 1 AS last FROM missed)
 SELECT doc_id, size, source_size, target,
        CASE WHEN length > 0 AND quota IS NOT NULL
-            THEN size * rounds + greatest(0, least(stop, edge) - least(stop - size, edge))
-            ELSE 0 END::BIGINT AS taken
-FROM edges
+            THEN size * (rounds + (stop <= edge)::INTEGER + last::INTEGER) ELSE 0 END::BIGINT AS taken
+FROM chosen
 """
 
 ORACLES["op3_exact_dedup"] = """

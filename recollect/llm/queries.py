@@ -38,7 +38,10 @@ def op2_source_mixing(spark, sf_dir):
 
 @query
 def op3_exact_dedup(spark, sf_dir):
-    return exact.deduplicate(read_table(spark, "documents", sf_dir), exact.fresh_index(spark)).drop("n_points")
+    index = exact.fresh_index(spark)
+    found = exact.deduplicate(read_table(spark, "documents", sf_dir), index)
+    index.drop()
+    return found.drop("n_points")
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
