@@ -27,7 +27,10 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays."""
-    return exact.kept_rows(docs, exact.fresh_index(spark, dict(docs.dtypes)["doc_id"]))
+    index = exact.fresh_index(spark, dict(docs.dtypes)["doc_id"])
+    kept = exact.kept_rows(docs, index)
+    index.drop()
+    return kept
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +42,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources are cut or repeated to their target words: a row for every time a document is taken."""
+    """Sources are thinned or repeated to their target words: a row for every time a document is taken, texts whole."""
     return mixing.mixed_rows(docs)
 
 
