@@ -34,7 +34,7 @@ SHARDS = 3
 UNKNOWN = "und"
 FILTER_WORDS = 1 << 20  # of 64 bits: 8 MB at any size of the corpus
 BLOCK_BYTES = 1 << 20
-HELD_WORDS = 1 << 20
+HELD_WORDS = 1 << 19
 STEP_BIT = 44  # of `first`: the step above, the block below
 _STEP = words.constants(31, LONGEST + 1) | np.uint64(1)
 _BREAK = np.zeros(256, dtype=bool)
@@ -223,7 +223,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
     spark = docs.sparkSession
     texts = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     path = scratch_path(spark, "shards")
-    texts.mapInArrow(_shard, BLOCKS).write.partitionBy("shard").parquet(path)
+    packed = texts.mapInArrow(_shard, BLOCKS)
+    packed.write.partitionBy("shard").option("compression", "uncompressed").parquet(path)  # they are compressed
     blocks = spark.read.schema(BLOCKS).parquet(path)
     totals = blocks.select(F.inline("langs")).groupBy("lang").agg(F.sum("n").alias("n"))
 
