@@ -50,7 +50,7 @@ class DigestIndex:
         """A copy with one file per bucket, which Spark reads in sorted order; every append adds one more."""
         kind = dict(self.rows().dtypes)["keep_id"]
         fresh = open_index(self.spark, name, path, self.buckets(), kind)
-        fresh.append(self.rows())
+        fresh.append(materialise(self.rows(), "index-rows"))  # read as buckets, they would not be dealt anew
         return fresh
 
 
