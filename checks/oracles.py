@@ -25,7 +25,6 @@ def clusters(source: str = "turns", name: str = "clusters") -> str:
     return f"""
 {name} AS (
   SELECT rep_id, hcp_id, topic, count(*) AS n,
-         first(left(content, 160) ORDER BY created_at NULLS LAST, ext_id) AS lead,
          string_agg(left(content, 160), ' | ' ORDER BY ext_id) AS sample,
          least(CAST(1.0 AS DOUBLE), CAST(0.4 AS DOUBLE) + CAST(0.1 AS DOUBLE) * count(*)) AS rising
   FROM {source} WHERE topic IS NOT NULL AND ext_id IS NOT NULL
@@ -35,7 +34,7 @@ def clusters(source: str = "turns", name: str = "clusters") -> str:
 def facts(
     source: str = "clusters",
     name: str = "facts",
-    text: str = "topic || ': ' || lead",
+    text: str = "topic || ': ' || sample",
     fallback: str = "FALSE",
 ) -> str:
     return f"""
@@ -167,6 +166,10 @@ ORACLES["sql_named_parameters"] = f"""
 SELECT event_type, count(*) AS n FROM events
 WHERE ts >= {MIDDLE} AND value > 10.0 GROUP BY event_type"""
 
+ORACLES["catalog_listing"] = """
+SELECT 'region' AS table_name, count(*) AS n_rows, true AS followed FROM region
+UNION ALL SELECT 'nation', count(*), false FROM nation
+UNION ALL SELECT 'supplier', count(*), true FROM supplier"""
 ORACLES["recall_recent"] = with_(TURNS_SQL) + f"""
 SELECT ext_id, topic, {STAMP.format('created_at')} FROM (
   SELECT * FROM turns WHERE hcp_id = '7'
@@ -184,6 +187,7 @@ SELECT rep_id, hcp_id, rn, ext_id FROM (
     ORDER BY (topic = 'purchase') DESC NULLS LAST, created_at DESC NULLS LAST, ext_id) AS rn
   FROM turns) WHERE rn <= 5"""
 
+ORACLES["recall_bucketed"] = ORACLES["recall_topk_per_scope"]
 ORACLES["recall_conversation_tail"] = """
 SELECT conv_id, turn, role, text FROM (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations)
@@ -305,6 +309,21 @@ ORACLES["hold_claims"] = with_(TURNS_SQL, CLAIMS) + f"SELECT {FACT}, ext_id FROM
 ORACLES["decay_facts"] = with_(*BASE, LINKS, DECAYED) + """
 SELECT source_key, confidence, status FROM decayed"""
 ORACLES["dream_facts"] = with_(*DREAM) + f"SELECT {FACT} FROM dreamt"
+ORACLES["dream_incremental"] = with_(
+    *DREAM,
+    clusters(f"(SELECT * FROM turns WHERE created_at < {MIDDLE})", "early"),
+    facts("early", "early_facts"),
+    f"""
+earlier AS (
+  SELECT f.source_key, CASE WHEN f.status = 'active' AND max(t.created_at) <= {MIDDLE} - INTERVAL 7 DAY
+                            THEN 'archived' ELSE f.status END AS status
+  FROM early_facts f JOIN turns t ON t.rep_id = f.rep_id AND t.hcp_id = f.hcp_id AND t.topic = f.topic
+  WHERE t.created_at < {MIDDLE} GROUP BY f.source_key, f.status)""",
+    """
+linked AS (SELECT source_key, count(*) AS n_links FROM dreamt_links GROUP BY source_key)""",
+) + """
+SELECT d.* REPLACE (CASE WHEN e.status IN ('review', 'archived') THEN e.status ELSE d.status END AS status), n_links
+FROM dreamt d LEFT JOIN earlier e USING (source_key) LEFT JOIN linked USING (source_key)"""
 ORACLES["dream_model_facts"] = with_(
     TURNS_SQL, clusters(), facts(**refused("'noted: ' || sample")), *DREAM_PASSES
 ) + f"SELECT {FACT} FROM dreamt"
@@ -484,6 +503,9 @@ SELECT content_id, round(score, 6) AS score, rank FROM t"""
 ORACLES["bm25_topk_indexed"] = ORACLES["bm25_topk"]
 ORACLES["bm25_topk_stemmed"] = with_(*SEARCH, keyword_leg(STEMMED, "brand = 'en'")) + """
 SELECT content_id, round(score, 6) AS score, rank FROM t"""
+ORACLES["ann_topk"] = ORACLES["vector_topk"]
+ORACLES["ann_recall"] = """
+SELECT vec_id AS query_id, true AS enough, true AS fewer FROM embeddings WHERE vec_id % 50 = 0"""
 ORACLES["ann_all_cells"] = ORACLES["vector_topk"]
 ORACLES["hybrid_stemmed"] = with_(*SEARCH, vector_leg(), keyword_leg(STEMMED)) + FUSED
 ORACLES["hybrid_rrf"] = with_(*SEARCH, vector_leg(), keyword_leg(WORDS)) + FUSED
@@ -507,6 +529,10 @@ counted AS (
 SELECT content_id, bucket,
        CAST(CAST(n / sqrt(sum(n * n) OVER (PARTITION BY content_id)) AS FLOAT) AS DOUBLE) AS value
 FROM counted""" % _stop
+ORACLES["substring_search"] = """
+SELECT pattern, doc_id FROM documents,
+     (VALUES ('%tionnd%'), ('%AND%sh_nd%'), ('%éa%ê%'), ('%12%'), ('%_@%.%'), ('%none of these%')) AS p (pattern)
+WHERE text ILIKE pattern"""
 ORACLES["embed_corpus"] = """
 SELECT doc_id AS content_id, CAST(length(text) AS DOUBLE) AS e0,
        CAST(length(text) - length(replace(text, 'a', '')) AS DOUBLE) AS e1,
@@ -556,9 +582,20 @@ UNION ALL SELECT {ORDER}, 'update_postimage', 7
 FROM orders JOIN compared USING (o_orderkey) WHERE status = 'drifted'"""
 ORACLES["apply_changes"] = APPLIED
 ORACLES["stream_sync"] = APPLIED
+ORACLES["stream_continuous"] = APPLIED
 ORACLES["diff_then_apply"] = f"SELECT {ORDER} FROM orders"
 ORACLES["stream_ingest"] = "SELECT event_id, user_id, event_type, 'first' AS feed_run FROM events"
 ORACLES["stream_restart"] = "SELECT event_id, user_id, event_type, value FROM events"
+ORACLES["stream_ingest_stateful"] = f"""
+SELECT event_id, user_id, event_type, CASE WHEN ts < {MIDDLE} THEN 1 ELSE 2 END AS delivery FROM events"""
+ORACLES["bucket_upsert"] = """
+WITH placed AS (
+  SELECT c_custkey, c_acctbal, c_mktsegment,
+         ('0x' || left(md5(c_custkey::VARCHAR), 8))::BIGINT % 16 AS bucket FROM customer)
+SELECT c_custkey, CASE WHEN c_custkey % 500 = 0 THEN 0.0 ELSE c_acctbal END AS c_acctbal, c_mktsegment,
+       bucket IN (SELECT bucket FROM placed WHERE c_custkey % 500 = 0) AS rewritten
+FROM placed"""
+ORACLES["bucket_feed"] = APPLIED
 ORACLES["reconcile_counts"] = with_(MIRROR) + """
 SELECT 'orders' AS table_name, s.n AS src_rows, m.n AS dst_rows,
        CASE WHEN s.n = m.n THEN 'ok' ELSE 'mismatch' END AS status
@@ -569,6 +606,7 @@ ORACLES["reconcile_rows"] = with_(MIRROR, COMPARED) + """
 SELECT status, count(*) AS n_rows FROM compared GROUP BY status"""
 ORACLES["drifted_keys"] = with_(MIRROR, COMPARED) + """
 SELECT o_orderkey, status FROM compared WHERE status <> 'ok'"""
+ORACLES["drifted_by_digest"] = ORACLES["drifted_keys"]
 
 # --- features ---------------------------------------------------------------------------------
 
@@ -590,6 +628,8 @@ looked_up AS (
 ORACLES["feature_build"] = with_(FEATURES) + """
 SELECT f.*, round(1.0 / (1.0 + exp(c_acctbal / -1000.0)), 6) AS propensity_score
 FROM features f LEFT JOIN customer USING (c_custkey)"""
+ORACLES["feature_slide"] = with_(FEATURES) + """
+SELECT c_custkey, engagement_90d, days_since_last_interaction FROM features"""
 ORACLES["feature_lookup"] = with_(FEATURES, LOOKED_UP) + "SELECT * FROM looked_up"
 ORACLES["training_set"] = with_(FEATURES, LOOKED_UP) + """
 SELECT label, coalesce(engagement_90d, 0) AS engagement_90d,

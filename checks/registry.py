@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
@@ -17,14 +17,15 @@ from recollect.functions.keys import top_k
 from recollect.operators import consolidate as con
 from recollect.operators import features as feat
 from recollect.operators import memory as mem
-from recollect.operators import quality, search, sync
+from recollect.operators import buckets, digests, graph, quality, search, sync, trigrams
 from recollect.operators import upsert as up
 from recollect.plans import dream as job
+from recollect.plans import incremental
 from recollect.plans.publish import publish_stream
 from recollect.session import materialise, scratch_path, ship_package
-from recollect.sources.sinks import write_version
-from recollect.sources.tables import read_table, run_sql, scan
-from recollect.streaming import feeds
+from recollect.sources.sinks import overwrite_table, write_version
+from recollect.sources.tables import list_tables, read_table, run_sql, scan, table_properties
+from recollect.streaming import feeds, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,6 +94,30 @@ def sql_named_parameters(spark, sf_dir):
     )
 
 
+@query
+def catalog_listing(spark, sf_dir):
+    """Tables written to a schema, listed from the catalog with their rows and a table property."""
+    path = scratch_path(spark, "schema")
+    schema = "listing_" + path.rsplit("-", 1)[1]
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{path}'")
+    followed = {"region": "true", "nation": "false", "supplier": "true"}
+    for name, value in followed.items():
+        overwrite_table(read_table(spark, name, sf_dir), f"{schema}.{name}", {"followed": value})
+    rows = [
+        read_table(spark, f"{schema}.{r['table_name']}").agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(r["table_name"]).alias("table_name"), "n_rows"
+        ).join(
+            table_properties(spark, f"{schema}.{r['table_name']}").where("key = 'followed'").select(
+                (F.col("value") == "true").alias("followed")
+            )
+        )
+        for r in list_tables(spark, schema).collect()
+    ]
+    found = materialise(reduce(DataFrame.unionByName, rows), "listing")
+    spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    return found
+
+
 @query
 def recall_recent(spark, sf_dir):
     turns = mem.recall_recent(adapters.turns(spark, sf_dir), "7", k=5)
@@ -111,6 +136,19 @@ def recall_topk_per_scope(spark, sf_dir):
     return turns.select("rep_id", "hcp_id", F.col("rn").cast("bigint").alias("rn"), "ext_id")
 
 
+@query
+def recall_bucketed(spark, sf_dir):
+    """The same from turns that are stored bucketed by scope: nothing is shuffled."""
+    path = scratch_path(spark, "recall")
+    name = "recall_" + path.rsplit("-", 1)[1]
+    stored = mem.write_recall(adapters.turns(spark, sf_dir), name, path, 8)
+    found = mem.recall(stored, topic="purchase", k=5)
+    found = found.select("rep_id", "hcp_id", F.col("rn").cast("bigint").alias("rn"), "ext_id")
+    found = materialise(found, "recalled")
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 @query
 def recall_conversation_tail(spark, sf_dir):
     talk = read_table(spark, "conversations", sf_dir)
@@ -366,6 +404,23 @@ def _dream(spark, sf_dir, generate=con.EXTRACTIVE) -> mem.Memory:
     )
 
 
+@query
+def dream_incremental(spark, sf_dir):
+    """The turns in two runs: the second reads the later turns and the state that the first one left."""
+    turns, dim = adapters.turns(spark, sf_dir), adapters.dimension(spark, sf_dir)
+    memory, state = mem.empty_memory(spark), incremental.empty_state(spark)
+    later = turns.where(F.col("created_at") >= ntz(MIDDLE))
+    for rows, as_of in ((before(turns, MIDDLE), MIDDLE), (later, AS_OF)):
+        memory, state = incremental.advance(
+            rows, dim, memory, state, as_of, con.EXTRACTIVE, high_stakes=HIGH_STAKES,
+            exclude_topics=GENERIC_TOPICS, min_hcps=10, exclusive_topics=("purchase",), min_contradicting=40,
+            claim_topic=CLAIM["topic"], claim_pattern=CLAIM["pattern"], decay_days=7,
+        )
+        memory = mem.Memory(*(materialise(frame, "memory") for frame in memory))
+    links = memory.lineage.groupBy("source_key").agg(F.count(F.lit(1)).alias("n_links"))
+    return memory.facts.join(links, "source_key", "left").select(*FACT, "n_links")
+
+
 @query
 def dream_facts(spark, sf_dir):
     return _dream(spark, sf_dir).facts.select(*FACT)
@@ -562,29 +617,45 @@ def _celled(spark, corpus):
     return model, spark.read.parquet(path)
 
 
+def _graph(spark, corpus):
+    """The search graphs of a corpus, written once: small shards, so that even small tables have several."""
+    return materialise(graph.build_graph(corpus, shard_rows=1024), "graph")
+
+
+def _every_fiftieth(spark, sf_dir):
+    vectors = read_table(spark, "embeddings", sf_dir).where(F.col("vec_id") % 50 == 0)
+    return vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qvec"))
+
+
 @query
 def ann_topk(spark, sf_dir):
-    corpus = adapters.corpus(spark, sf_dir).where(F.col("embedding").isNotNull())
-    model, celled = _celled(spark, corpus)
-    return search.ann_topk(celled, model, _vector(spark, sf_dir), probes=4)
+    corpus = adapters.corpus(spark, sf_dir)
+    asked = spark.createDataFrame([(0, _vector(spark, sf_dir))], "query_id long, qvec array<double>")
+    found = graph.graph_topk(_graph(spark, corpus), asked)
+    return _ranked(found.drop("query_id", "computed"), "distance")
 
 
 @query
-def ann_all_cells(spark, sf_dir):
-    """With every cell probed the approximate search is the exact one."""
-    corpus = adapters.corpus(spark, sf_dir).where(F.col("embedding").isNotNull())
-    model, celled = _celled(spark, corpus)
-    return _ranked(search.ann_topk(celled, model, _vector(spark, sf_dir), probes=16), "distance")
+def ann_recall(spark, sf_dir):
+    """For every 50th vector: are 19 of its 20 nearest found, with fewer distances than rows?"""
+    vectors = read_table(spark, "embeddings", sf_dir)
+    corpus = vectors.select(F.col("vec_id").alias("content_id"), "embedding")
+    asked = _every_fiftieth(spark, sf_dir)
+    found = materialise(graph.graph_topk(_graph(spark, corpus), asked), "found")
+    recall = graph.recall_per_query(found, search.vector_topk_batch(corpus, asked))
+    spent = found.select("query_id", "computed").distinct()
+    rows = corpus.count()
+    return recall.join(spent, "query_id").select(
+        "query_id", (F.col("recall") >= 0.95).alias("enough"), (F.col("computed") < rows).alias("fewer")
+    )
 
 
 @query
-def ann_recall(spark, sf_dir):
+def ann_all_cells(spark, sf_dir):
+    """With every cell probed the approximate search is the exact one."""
     corpus = adapters.corpus(spark, sf_dir).where(F.col("embedding").isNotNull())
     model, celled = _celled(spark, corpus)
-    vector = _vector(spark, sf_dir)
-    return search.recall_at_k(
-        search.ann_topk(celled, model, vector, probes=4), search.vector_topk(corpus, vector)
-    )
+    return _ranked(search.ann_topk(celled, model, _vector(spark, sf_dir), probes=16), "distance")
 
 
 def _letter_counts(texts):
@@ -592,6 +663,21 @@ def _letter_counts(texts):
     return [[len(t), t.count("a"), t.count("e"), t.count("\n")] for t in texts]
 
 
+SUBSTRINGS = ["%tionnd%", "%AND%sh_nd%", "%éa%ê%", "%12%", "%_@%.%", "%none of these%"]
+
+
+@query
+def substring_search(spark, sf_dir):
+    """Documents that match ILIKE patterns, by way of a trigram index."""
+    documents = read_table(spark, "documents", sf_dir).select("doc_id", "text")
+    index = materialise(trigrams.index_trigrams(documents, "doc_id", "text"), "trigrams")
+    found = [
+        trigrams.ilike_search(documents, index, "doc_id", "text", p).select(F.lit(p).alias("pattern"), "doc_id")
+        for p in SUBSTRINGS
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def embed_corpus(spark, sf_dir):
     rows = adapters.corpus(spark, sf_dir).drop("embedding")
@@ -692,6 +778,18 @@ def stream_sync(spark, sf_dir):
     return feeds.read_mirror(base, sink, changes.schema, ["o_orderkey"])
 
 
+@query
+def stream_continuous(spark, sf_dir):
+    """The same feed in continuous mode: the stream keeps running until all that is there was followed."""
+    orders = _orders(spark, sf_dir)
+    changes = _feed(feeds.stream_table(spark, sf_dir, orders.schema, "orders.parquet"))
+    sink, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "checkpoint")
+    running = feeds.sync_stream(changes, sink, checkpoint, ["o_orderkey"], "continuous", interval="1 second")
+    running.processAllAvailable()
+    running.stop()
+    return feeds.read_mirror(_mirror(orders).select(*ORDER), sink, changes.schema, ["o_orderkey"])
+
+
 @query
 def stream_publish(spark, sf_dir):
     """Balances published from a change feed on top of an online table that is behind."""
@@ -735,6 +833,72 @@ def stream_restart(spark, sf_dir):
     return feeds.read_batches(spark, sink, events.schema).select("event_id", "user_id", "event_type", "value")
 
 
+@query
+def stream_ingest_stateful(spark, sf_dir):
+    """Events in three deliveries with repeats; the third comes after a restart from the same checkpoint."""
+    events = read_table(spark, "events", sf_dir)
+    folder, sink, checkpoint = (scratch_path(spark, n) for n in ("delivered", "turns", "checkpoint"))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before_ = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+    def deliver(number: int, rows: DataFrame) -> None:
+        rows.withColumn("delivery", F.lit(number)).write.mode("append").parquet(folder)
+
+    try:
+        schema = events.withColumn("delivery", F.lit(0)).schema
+        deliver(1, events.where(F.col("ts") < ntz(MIDDLE)))
+        for number in (2, 3):
+            deliver(number, events)
+            incoming = feeds.stream_table(spark, folder, schema)
+            stateful.ingest_stream_stateful(
+                incoming, sink, checkpoint, ["delivery"], key="event_id"
+            ).awaitTermination()
+    finally:
+        spark.conf.set(provider, before_)
+    return feeds.read_batches(spark, sink, schema).select("event_id", "user_id", "event_type", "delivery")
+
+
+@query
+def bucket_upsert(spark, sf_dir):
+    """An upsert of every 500th customer into a table of 16 buckets: which rows' files were rewritten?"""
+    columns = ["c_custkey", "c_acctbal", "c_mktsegment"]
+    customer = read_table(spark, "customer", sf_dir).select(*columns)
+    root = scratch_path(spark, "customers")
+    stored = buckets.write_buckets(customer, root, ["c_custkey"], 16)
+    files = materialise(stored.select("c_custkey", F.input_file_name().alias("file")), "files")
+    batch = customer.where(F.col("c_custkey") % 500 == 0).withColumn("c_acctbal", F.lit(0.0))
+
+    def step(target, rows):
+        return up.upsert(target, rows, ["c_custkey"], ["c_acctbal"])
+
+    for _ in range(2):  # the second time is a retry
+        buckets.rewrite(root, customer.schema, batch, ["c_custkey"], 16, step)
+    after = buckets.read_buckets(spark, root, customer.schema).select(*columns, F.input_file_name().alias("now"))
+    return after.join(files, "c_custkey", "left").select(*columns, (F.col("file") != F.col("now")).alias("rewritten"))
+
+
+@query
+def bucket_feed(spark, sf_dir):
+    """The change feed of the orders applied bucket by bucket."""
+    orders = _orders(spark, sf_dir)
+    mirror = _mirror(orders).select(*ORDER)
+    root = scratch_path(spark, "orders")
+    buckets.write_buckets(mirror, root, ["o_orderkey"], 16)
+
+    def step(target, changes):
+        return sync.apply_changes(target, changes, ["o_orderkey"])
+
+    buckets.rewrite(root, mirror.schema, _feed(orders), ["o_orderkey"], 16, step)
+    return buckets.read_buckets(spark, root, mirror.schema)
+
+
+@query
+def drifted_by_digest(spark, sf_dir):
+    orders = _orders(spark, sf_dir)
+    return digests.drifted_rows(orders, _mirror(orders), ["o_orderkey"])
+
+
 @query
 def reconcile_counts(spark, sf_dir):
     orders = _orders(spark, sf_dir)
@@ -794,6 +958,21 @@ def feature_build(spark, sf_dir):
     return _ranked(_features(spark, sf_dir, scores).drop("computed_at"), "propensity_score")
 
 
+@query
+def feature_slide(spark, sf_dir):
+    """The window features of a day, moved there in two steps from the counts of days."""
+    orders = _orders(spark, sf_dir).withColumnRenamed("o_custkey", "c_custkey")
+    path = scratch_path(spark, "days")
+    counted = feat.day_counts(orders, "c_custkey", "o_orderdate")
+    counted.repartitionByRange("day").sortWithinPartitions("day").write.parquet(path)
+    days = spark.read.parquet(path)
+    first, second, last = "2001-06-01", "2001-07-31", FEATURES_AS_OF[:10]
+    state = feat.window_start(days, "c_custkey", first)
+    state = feat.window_slide(state, days, "c_custkey", first, second)
+    state = feat.window_slide(state, days, "c_custkey", second, last)
+    return feat.window_features(state, "c_custkey", FEATURES_AS_OF).drop("computed_at")
+
+
 @query
 def feature_lookup(spark, sf_dir):
     return feat.lookup(_labels(spark, sf_dir), LOOKUPS, _published(spark, sf_dir))

@@ -61,14 +61,14 @@ class _Best:
         self.worst[query[full]] = distance[full]
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
+def matrix(column: pa.Array, width: int) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     if len(flat) != len(column) * width or np.any(np.diff(column.offsets.to_numpy()) != width):
         raise ValueError(f"a stored vector does not have the query's width of {width}")
     return flat.reshape(len(column), width)
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
+def unit(vectors: np.ndarray) -> np.ndarray:
     """Rows scaled to length 1; a zero vector becomes NaN, its distance to anything is undefined."""
     with np.errstate(invalid="ignore", divide="ignore"):
         return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
@@ -83,7 +83,7 @@ def nearest_in(batches: Iterator[pa.RecordBatch], queries: Queries, k: int) -> I
     if not len(queries.ids):
         return
     width = queries.vectors.shape[1]
-    wanted = _unit(queries.vectors.astype(np.float64))
+    wanted = unit(queries.vectors.astype(np.float64))
     blocks = [slice(s, s + QUERY_BLOCK) for s in range(0, len(wanted), QUERY_BLOCK)]
     best = [_Best(len(wanted[b]), k) for b in blocks]
     id_type = None
@@ -91,7 +91,7 @@ def nearest_in(batches: Iterator[pa.RecordBatch], queries: Queries, k: int) -> I
         if not batch.num_rows:
             continue
         id_type = batch.column("id").type
-        stored = _unit(_matrix(batch.column("vector"), width))
+        stored = unit(matrix(batch.column("vector"), width))
         if queries.tenants is not None:
             tenants = np.array(batch.column("tenant").to_pylist(), dtype=object)
         for block, state in zip(blocks, best, strict=True):

@@ -55,20 +55,14 @@ def usable(turns: DataFrame) -> DataFrame:
     return turns.where(all_present(["ext_id", *(c for c in SCOPE if c in turns.columns)]))
 
 
-def summarise(
-    turns: DataFrame, by: Sequence[str] = SCOPE, quote_first: bool = False
-) -> DataFrame:
-    """`(by…, n, newest)` of every group of usable turns, optionally the `first_text` in time.
+def summarise(turns: DataFrame, by: Sequence[str] = SCOPE) -> DataFrame:
+    """`(by…, n, newest)` of every group of usable turns.
 
-    This is the only pass over all turns that the other steps need: it is partially aggregated
-    before the shuffle, so a hot group sends one row per task.
+    This is the only pass over all turns that the counting steps need: it is partially aggregated
+    before the shuffle, so a hot group sends one row per task, and it reads no text.
     """
-    aggregates = [F.count(F.lit(1)).alias("n"), F.max("created_at").alias("newest")]
-    if quote_first:
-        first = F.struct(F.col("created_at").isNull(), F.col("created_at"), F.col("ext_id"))
-        quoted = F.min_by(F.left("content", F.lit(SAMPLE_CHARS)), first)
-        aggregates.append(quoted.alias("first_text"))
-    return usable(turns).groupBy(*by).agg(*aggregates)
+    counts = [F.count(F.lit(1)).alias("n"), F.max("created_at").alias("newest")]
+    return usable(turns).groupBy(*by).agg(*counts)
 
 
 def cluster_turns(
@@ -122,34 +116,43 @@ def cluster_samples(
 def distil(
     turns: DataFrame,
     clusters: DataFrame,
-    generate: Generate,
+    generate: Generate | str,
     by: Sequence[str] = SCOPE,
     chunk_turns: int = CHUNK_TURNS,
 ) -> DataFrame:
     """`(by…, n, text)` from a model; NULL text where any call for the cluster failed.
 
+    `EXTRACTIVE` instead of a model quotes: a chunk's answer is its sample, the joined texts of all its
+    members, and where a cluster needs several chunks the first SAMPLE_CHARS characters of every answer
+    are joined in the same way. So all members of a cluster of up to `chunk_turns` turns are quoted, and
+    no text grows with the size of a cluster.
+
     Each level is written to the shared folder, so a model answer is computed once however often
     the result is used. The number of levels is the logarithm of the largest cluster.
     """
+    quoting = generate == EXTRACTIVE
 
     def answer(samples: DataFrame) -> DataFrame:
-        prompt = F.when(
-            F.col("sample").isNotNull(),
-            F.format_string(PROMPT_TEXT, F.col("topic"), F.col("sample")),
-        )
-        return samples.select(
-            *by, "n", "chunk", "chunks", F.trim(generated(prompt, generate)).alias("text")
-        )
+        if quoting:
+            text = F.col("sample")
+        else:
+            prompt = F.when(
+                F.col("sample").isNotNull(),
+                F.format_string(PROMPT_TEXT, F.col("topic"), F.col("sample")),
+            )
+            text = F.trim(generated(prompt, generate))
+        return samples.select(*by, "n", "chunk", "chunks", text.alias("text"))
 
     level = materialise(
         answer(cluster_samples(turns, clusters, by, chunk_turns=chunk_turns)), "distil"
     )
     done = level.where(F.col("chunks") == 1)
     parts = level.where(F.col("chunks") > 1)
+    part_text = f"left(text, {SAMPLE_CHARS})" if quoting else "text"
     while not parts.isEmpty():
         fewer = F.ceil(F.col("chunks") / F.lit(chunk_turns))
-        joined = F.expr(f"listagg(text, '{SAMPLE_SEPARATOR}') WITHIN GROUP (ORDER BY part)")
-        complete = F.count("text") == F.count(F.lit(1))
+        joined = F.expr(f"listagg({part_text}, '{SAMPLE_SEPARATOR}') WITHIN GROUP (ORDER BY part)")
+        complete = F.lit(True) if quoting else F.count("text") == F.count(F.lit(1))
         merged = (
             parts.withColumnRenamed("chunk", "part")
             .withColumn("chunks", fewer)
@@ -160,7 +163,8 @@ def distil(
         level = materialise(answer(merged), "distil")
         done = done.unionByName(level.where(F.col("chunks") == 1))
         parts = level.where(F.col("chunks") > 1)
-    return done.select(*by, "n", "text")
+    text = F.concat("topic", F.lit(": "), "text") if quoting else F.col("text")
+    return done.select(*by, "n", text.alias("text"))
 
 
 def links_to(turns: DataFrame, candidates: DataFrame, by: Sequence[str], key: Column) -> DataFrame:
@@ -212,16 +216,13 @@ def consolidate(
 ) -> Candidates:
     """Pass 1: one candidate fact per (owner, entity, topic) cluster.
 
-    `generate` is a model call on a batch of prompts; `EXTRACTIVE` quotes the first turn of the
+    `generate` is a model call on a batch of prompts; `EXTRACTIVE` quotes the members of the
     cluster; None writes the placeholder text, which is always held for review.
     """
-    quoting = generate == EXTRACTIVE
     if summary is None:
-        summary = summarise(turns, SCOPE, quote_first=quoting)
+        summary = summarise(turns, SCOPE)
     clusters = cluster_turns(turns, SCOPE, min_turns, limit, summary)
-    if quoting:
-        distilled = clusters.withColumn("text", F.concat("topic", F.lit(": "), "first_text"))
-    elif generate is None:
+    if generate is None:
         distilled = clusters.withColumn("text", F.lit(None).cast("string"))
     else:
         distilled = distil(turns, clusters, generate, chunk_turns=chunk_turns)

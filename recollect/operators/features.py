@@ -72,6 +72,61 @@ def build_features(
     return built.withColumn("computed_at", moment)
 
 
+def day_counts(interactions: DataFrame, key: str, date_col: str) -> DataFrame:
+    """`(key, day, n)`: interactions per entity and day. Write it sorted by `day`.
+
+    From these, `window_start` and `window_slide` keep the features of whole days: what a run reads are
+    the days that enter or leave the window, not the window.
+    """
+    day = F.col(date_col).cast("date").alias("day")
+    known = interactions.where(F.col(key).isNotNull() & F.col(date_col).isNotNull())
+    return known.select(key, day).groupBy(key, "day").agg(F.count(F.lit(1)).alias("n"))
+
+
+def window_start(days: DataFrame, key: str, as_of: Any, window_days: int = ENGAGEMENT_DAYS) -> DataFrame:
+    """`(key, in_window, last_day)` at the end of the day `as_of`, from all days."""
+    end = F.lit(as_of).cast("date")
+    recent = F.col("day") > F.date_sub(end, window_days)
+    return days.where(F.col("day") <= end).groupBy(key).agg(
+        F.coalesce(F.sum(F.when(recent, F.col("n"))), F.lit(0)).alias("in_window"), F.max("day").alias("last_day")
+    )
+
+
+def window_slide(
+    state: DataFrame, days: DataFrame, key: str, before: Any, after: Any, window_days: int = ENGAGEMENT_DAYS
+) -> DataFrame:
+    """`state` of the day `before`, moved to the later day `after`.
+
+    The days in between and those that lie `window_days` earlier are read, each once; the filter on
+    `day` reaches the scan and prunes the row groups of all others.
+    """
+    low, high = F.lit(before).cast("date"), F.lit(after).cast("date")
+    enters = (F.col("day") > low) & (F.col("day") <= high)
+    leaves = (F.col("day") > F.date_sub(low, window_days)) & (F.col("day") <= F.date_sub(high, window_days))
+    both = F.when(enters, F.col("n")).otherwise(0) - F.when(leaves, F.col("n")).otherwise(0)
+    moved = days.where(enters | leaves).groupBy(key).agg(
+        F.sum(both).alias("_change"), F.max(F.when(enters, F.col("day"))).alias("_last")
+    )
+    # an entity first seen in a day that has left again was in the state before
+    joined = state.join(moved, key, "full_outer").where(F.col("last_day").isNotNull() | F.col("_last").isNotNull())
+    return joined.select(
+        key,
+        (F.coalesce("in_window", F.lit(0)) + F.coalesce("_change", F.lit(0))).alias("in_window"),
+        F.coalesce(F.greatest("last_day", "_last"), "last_day", "_last").alias("last_day"),
+    )
+
+
+def window_features(state: DataFrame, key: str, as_of: Any, window_days: int = ENGAGEMENT_DAYS) -> DataFrame:
+    """The state in the shape of `build_features`, to which it is equal where dates have no time of day."""
+    moment = F.lit(as_of).cast("timestamp_ntz")
+    return state.select(
+        key,
+        F.col("in_window").cast("int").alias(f"engagement_{window_days}d"),
+        F.datediff(moment, "last_day").alias("days_since_last_interaction"),
+        moment.alias("computed_at"),
+    )
+
+
 def preflight(source: DataFrame, key: str) -> DataFrame:
     """The checks a table must pass before it is published: a key, without NULLs or repeats."""
     return run_checks([no_null_keys(source, key), unique_key(source, [key])])

@@ -141,21 +141,23 @@ def keyword_topk_batch(
     words cost nothing; the whole query is then checked on the candidate. With `tenant`, a column
     of both tables, matches and all statistics stay inside the query's own tenant.
 
-    Only narrow (word, id) rows are ever exploded. Parsed queries, word counts and candidate pairs
-    are written to the shared folder, which also tells their size: small ones are broadcast, so
-    that the corpus is scanned but not shuffled.
+    Only narrow (word, id) rows are ever exploded. All texts are split once, for the rows of the
+    asked words, which are written and serve the word counts and the candidates; the texts of candidates
+    are split again. Parsed queries, word counts and candidate pairs are written to the shared folder
+    too, which also tells their size: small ones are broadcast, so that the corpus is scanned but not
+    shuffled.
     """
     scope = [tenant] if tenant else []
     asked = materialise(_parsed_queries(queries, scope, stem), "queries")
     few_queries = _few(asked)
     searchable = _searchable(corpus, where, stem, *scope)
-    counted = materialise(_word_counts(searchable, asked, scope, few_queries), "word-counts")
+    postings = materialise(_asked_postings(searchable, asked, scope, few_queries), "asked-postings")
+    counted = materialise(_word_counts(postings, scope), "word-counts")
     plan = materialise(_candidate_plan(counted, asked, scope), "query-plan")
 
-    keys = F.explode(_keys()).alias("key")
     keyed = plan.select("query_id", "alternative", "key", *scope)
     pairs = (
-        searchable.select(ID, *scope, keys)
+        postings.withColumnRenamed("term", "key")
         .join(_shipped(keyed, few_queries), [*scope, "key"])
         .select(ID, "query_id", "alternative")
     )
@@ -205,25 +207,23 @@ def _shipped(small: DataFrame, bounded: bool) -> DataFrame:
     return F.broadcast(small) if bounded else small
 
 
-def _word_counts(
+def _asked_postings(
     texts: DataFrame, asked: DataFrame, scope: list[str], few_queries: bool
 ) -> DataFrame:
-    """Per query word the number of texts that have it; at the empty word all texts and lengths.
-
-    One pass over the words, partially counted before the shuffle.
-    """
+    """One row per text and query word that it has, and one at the empty word for every text."""
     wanted = asked.select(
         *scope, F.explode(F.array_union(F.array(F.lit("")), "terms")).alias("term")
     ).distinct()
-    postings = texts.select(*scope, "n_terms", F.explode(_keys()).alias("term"))
-    counts = [
+    postings = texts.select(ID, *scope, "n_terms", F.explode(_keys()).alias("term"))
+    return postings.join(_shipped(wanted, few_queries), [*scope, "term"], "left_semi")
+
+
+def _word_counts(postings: DataFrame, scope: list[str]) -> DataFrame:
+    """Per query word the number of texts that have it; at the empty word all texts and lengths."""
+    return postings.groupBy(*scope, "term").agg(
         F.count(F.lit(1)).alias("df"),
         F.sum(F.when(F.col("term") == "", F.col("n_terms"))).alias("total_length"),
-    ]
-    by = [*scope, "term"]
-    if few_queries:
-        return postings.join(F.broadcast(wanted), by, "left_semi").groupBy(*by).agg(*counts)
-    return postings.groupBy(*by).agg(*counts).join(wanted, by, "left_semi")
+    )
 
 
 def _candidate_plan(counted: DataFrame, asked: DataFrame, scope: list[str]) -> DataFrame:

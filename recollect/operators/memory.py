@@ -98,6 +98,22 @@ def recall(
     return top_k(turns, partition_by, _newest(topic), k)
 
 
+def write_recall(
+    turns: DataFrame, name: str, path: str, buckets: int, scope: Sequence[str] = ("rep_id", "hcp_id")
+) -> DataFrame:
+    """Store turns for recall: a catalog table bucketed by scope and sorted newest first in a bucket.
+
+    `recall` on what this returns shuffles nothing: the table's bucketing stands for the exchange, and
+    each task keeps the `k` best rows of a scope as it reads. A bucket is one file, written by one task,
+    so a scope with a large share of all turns makes a large file; it is streamed, never held.
+    """
+    age = (-F.unix_micros(F.col("created_at").cast("timestamp"))).alias("_age")
+    placed = turns.select("*", age).repartition(buckets, *scope)
+    writer = placed.write.mode("overwrite").option("path", path).bucketBy(buckets, *scope)
+    writer.sortBy(*scope, "_age", "ext_id").saveAsTable(name)
+    return turns.sparkSession.table(name).drop("_age")
+
+
 def promote(turns: DataFrame, memory: Memory, requests: DataFrame) -> Memory:
     """Turn the newest matching turn of each request into a durable fact.
 

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recollect.functions.keys import all_present, row_hash
+from recollect.functions.keys import all_present, null_key_salt, row_hash
 
 # The change-type names of a row-level change feed.
 INSERT, DELETE = "insert", "delete"
@@ -43,23 +43,14 @@ def diff_changes(
 ) -> DataFrame:
     """The change feed that turns `old` into `new`, one commit.
 
-    One full outer join of the rows that have a key; columns are compared null-safely, and equal rows
-    produce nothing. Rows with a NULL in the key are counted: where the number of copies differs, the
-    old ones are deletes and the new ones inserts.
+    One full outer join; columns are compared null-safely, and equal rows produce nothing. Rows with a
+    NULL in the key meet nothing there. They are counted afterwards: where the number of copies differs,
+    the old ones are deletes and the new ones inserts.
     """
     keys = require_key(keys, "incremental")
     columns = new.columns
     data = [c for c in columns if c not in keys]
-    has_key = all_present(keys)
-    before, after = old.select(*columns), new.select(*columns)
-    joined = (
-        before.where(has_key).select("*", F.lit(True).alias("_b")).alias("before")
-        .join(
-            after.where(has_key).select("*", F.lit(True).alias("_a")).alias("after"),
-            reduce(lambda a, b: a & b, [F.col(f"before.{k}") == F.col(f"after.{k}") for k in keys]),
-            "full_outer",
-        )
-    )
+    joined = _both_sides(old.select(*columns), new.select(*columns), keys)
 
     def image(side: str, change: str) -> Column:
         return F.struct(
@@ -78,19 +69,40 @@ def diff_changes(
         .when(differs, F.array(image("before", PREIMAGE), image("after", POSTIMAGE)))
     )
     version_col = version if isinstance(version, Column) else F.lit(version)
-    keyed = joined.select(F.explode(changes).alias("change")).select("change.*")
-
-    gone, come = before.where(~has_key), after.where(~has_key)
-    copies = gone.withColumn("_n", F.lit(-1)).unionByName(come.withColumn("_n", F.lit(1)))
-    changed = copies.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n <> 0").drop("_n")
-    changed = changed.toDF(*(f"_changed_{c}" for c in columns))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_changed_{c}")) for c in columns])
-    deletes = gone.join(changed, same, "left_semi").withColumn("_change_type", F.lit(DELETE))
-    inserts = come.join(changed, same, "left_semi").withColumn("_change_type", F.lit(INSERT))
-    feed = keyed.unionByName(deletes).unionByName(inserts)
+    found = joined.select(F.explode(changes).alias("change")).select("change.*")
+
+    keyless = found.where(~all_present(keys)).groupBy(*columns).agg(
+        F.count_if(F.col("_change_type") == DELETE).alias("_gone"),
+        F.count_if(F.col("_change_type") == INSERT).alias("_come"),
+    )
+    counts = {DELETE: F.col("_gone"), INSERT: F.col("_come")}
+    copies = _listed(keyless.where("_gone <> _come"), columns, counts, "_change_type")
+    feed = found.where(all_present(keys)).unionByName(copies)
     return feed.withColumn("_commit_version", version_col.cast("bigint"))
 
 
+def _both_sides(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The full outer join of two tables by key; `_b` and `_a` tell which sides a row has.
+
+    Rows with a NULL in the key match nothing and are spread by a hash of their values.
+    """
+    left = before.select("*", null_key_salt(keys, before.columns).alias("_salt"), F.lit(True).alias("_b"))
+    right = after.select("*", null_key_salt(keys, after.columns).alias("_salt"), F.lit(True).alias("_a"))
+    on = [F.col(f"before.{k}") == F.col(f"after.{k}") for k in [*keys, "_salt"]]
+    return left.alias("before").join(right.alias("after"), on, "full_outer")
+
+
+def _listed(counted: DataFrame, columns: Sequence[str], counts: Mapping[str, Column], name: str) -> DataFrame:
+    """Each row of `counted` as often as each of `counts` says, with that count's name in column `name`."""
+    kinds = F.array(*[F.struct(F.lit(k).alias(name), n.alias("_n")) for k, n in counts.items()])
+    named = counted.select(*columns, F.explode(F.filter(kinds, lambda x: x["_n"] > 0)).alias("_k"))
+    begun = named.select(*columns, "_k.*").select(
+        *columns, name, "_n", F.explode(F.sequence(F.lit(1), F.col("_n"), F.lit(_COPIES))).alias("_at")
+    )
+    last = F.least(F.col("_n"), F.col("_at") + (_COPIES - 1))
+    return begun.select(*columns, name, F.explode(F.sequence("_at", last)).alias("_copy")).drop("_copy")
+
+
 def latest_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The change that decides each key: newest commit, and within one commit the row that stays.
 
@@ -194,37 +206,26 @@ def compare_rows(source: DataFrame, mirror: DataFrame, keys: Sequence[str]) -> D
     Only the key and a 64-bit row hash are shuffled, whatever the width of the table. Rows with a NULL
     in the key are counted by key and hash: copies on both sides are ok, the others missing or extra.
     """
-    data = [c for c in source.columns if c not in keys]
-    has_key = all_present(keys)
-    left = source.where(has_key).select(*keys, row_hash(data).alias("_src"))
-    right = mirror.where(has_key).select(*keys, row_hash(data).alias("_dst"))
+    hashed = row_hash([c for c in source.columns if c not in keys]).alias("_hash")
+    joined = _both_sides(source.select(*keys, hashed), mirror.select(*keys, hashed), keys)
     status = (
-        F.when(F.col("_dst").isNull(), "missing")
-        .when(F.col("_src").isNull(), "extra")
-        .when(F.col("_src") == F.col("_dst"), "ok")
+        F.when(F.col("_a").isNull(), "missing")
+        .when(F.col("_b").isNull(), "extra")
+        .when(F.col("before._hash") == F.col("after._hash"), "ok")
         .otherwise("drifted")
     )
-    keyed = left.join(right, list(keys), "full_outer").select(*keys, status.alias("status"))
-
-    def copies(side: DataFrame, src: int, dst: int) -> DataFrame:
-        counts = F.lit(src).alias("_src"), F.lit(dst).alias("_dst")
-        return side.where(~has_key).select(*keys, row_hash(data).alias("_hash"), *counts)
-
-    counted = copies(source, 1, 0).unionByName(copies(mirror, 0, 1)).groupBy(*keys, "_hash")
-    counted = counted.agg(F.sum("_src").alias("_src"), F.sum("_dst").alias("_dst"))
-    n = {
+    own = [F.coalesce(f"before.{c}", f"after.{c}").alias(c) for c in [*keys, "_hash"]]
+    compared = joined.select(*own, status.alias("status"))
+    keyed = compared.where(all_present(keys)).select(*keys, "status")
+    keyless = compared.where(~all_present(keys)).groupBy(*keys, "_hash").agg(
+        F.count_if(F.col("status") == "missing").alias("_src"), F.count_if(F.col("status") == "extra").alias("_dst")
+    )
+    counts = {
         "ok": F.least("_src", "_dst"),
         "missing": F.col("_src") - F.col("_dst"),
         "extra": F.col("_dst") - F.col("_src"),
     }
-    kinds = F.array(*[F.struct(F.lit(k).alias("status"), v.alias("n")) for k, v in n.items()])
-    keyless = counted.select(*keys, F.explode(F.filter(kinds, lambda x: x["n"] > 0)).alias("_k"))
-    keyless = keyless.select(*keys, "_k.*").select(
-        *keys, "status", "n", F.explode(F.sequence(F.lit(1), F.col("n"), F.lit(_COPIES))).alias("_at")
-    )
-    last = F.least(F.col("n"), F.col("_at") + (_COPIES - 1))
-    keyless = keyless.select(*keys, "status", F.explode(F.sequence("_at", last)).alias("_copy")).drop("_copy")
-    return keyed.unionByName(keyless)
+    return keyed.unionByName(_listed(keyless, keys, counts, "status"))
 
 
 def reconcile_rows(source: DataFrame, mirror: DataFrame, keys: Sequence[str]) -> DataFrame:

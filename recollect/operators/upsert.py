@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recollect.functions.keys import all_present, first_per_key, null_key_salt
+from recollect.functions.keys import all_present, null_key_salt
 
 
 class Inserted(NamedTuple):
@@ -39,13 +39,19 @@ def new_rows(
     """
     if unique:
         return batch.join(existing.select(*keys), list(keys), "left_anti").select(*batch.columns)
-    keyed, rest = batch.where(all_present(keys)), [c for c in batch.columns if c not in keys]
-    if order_by is None and not rest:
-        keyed = keyed.distinct()
-    else:
-        keyed = first_per_key(keyed, keys, order_by or [F.col(c).asc_nulls_last() for c in rest])
-    keyed = keyed.join(existing.select(*keys), list(keys), "left_anti").select(*batch.columns)
-    return keyed.unionByName(batch.where(~all_present(keys)))
+    columns = batch.columns
+    rest = [F.col(c).asc_nulls_last() for c in columns if c not in keys]
+    # rows with a NULL key are known by all their values, and equal ones tie: all keep the first rank
+    marked = batch.withColumns(
+        {
+            "_keyless": F.when(~all_present(keys), F.struct(*columns)),
+            "_tie": F.when(all_present(keys), F.monotonically_increasing_id()),
+        }
+    )
+    order = [*(order_by or rest), F.col("_tie")]
+    ranked = marked.withColumn("_rank", F.rank().over(Window.partitionBy(*keys, "_keyless").orderBy(*order)))
+    first = ranked.where(F.col("_rank") <= 1)
+    return first.join(existing.select(*keys), list(keys), "left_anti").select(*columns)
 
 
 def insert_if_absent(

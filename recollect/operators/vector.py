@@ -82,14 +82,14 @@ def vector_topk_batch(
 
         return top_k(rows.mapInArrow(scan, schema), ["query_id"], order, k, "rank")
 
-    blocks = _blocks(asked, bool(tenant))
+    blocks = query_blocks(asked, bool(tenant))
     found = answers(next(blocks))
     for block in blocks:
         found = found.unionByName(materialise(answers(block), "nearest"))
     return found.withColumnRenamed("id", ID)
 
 
-def _blocks(asked: DataFrame, tenants: bool) -> Iterator[Queries]:
+def query_blocks(asked: DataFrame, tenants: bool = False) -> Iterator[Queries]:
     """The queries in blocks of at most `BLOCK_VALUES` numbers; at least one block, maybe empty."""
     id_type = to_arrow_type(asked.schema["query_id"].dataType)
 

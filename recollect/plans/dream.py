@@ -14,7 +14,6 @@ from recollect.functions.hooks import Generate
 from recollect.functions.keys import business_key, null_key_salt
 from recollect.operators.consolidate import (
     CHUNK_TURNS,
-    EXTRACTIVE,
     SCOPE,
     Candidates,
     abstract,
@@ -122,14 +121,15 @@ def dream(
     """Consolidate, abstract, flag contradictions, decay and hold claims.
 
     The result equals running the passes one after another, and running it again on its own output
-    changes nothing. All turns are read once with their text to write the per-cluster summary to
-    the shared folder; the passes start from that summary and go back to the turns only for lineage
-    keys and for the text of held statements. Persist both frames (a new version of each table)
-    before the next run reads them.
+    changes nothing. All turns are read once, without their text, to write the per-cluster summary to
+    the shared folder; the passes start from that summary and go back to the turns only for the text
+    of the clusters that become facts, for lineage keys and for the text of held statements. Persist
+    both frames (a new version of each table) before the next run reads them.
 
-    `turns` must be unique per `ext_id`, as `memory.ingest_turns` keeps it.
+    `turns` must be unique per `ext_id`, as `memory.ingest_turns` keeps it, and `dim` per `hcp_id`; then
+    every link is found once and the lineage needs no second pass over the links.
     """
-    summary = materialise(summarise(turns, SCOPE, generate == EXTRACTIVE), "clusters")
+    summary = materialise(summarise(turns, SCOPE), "clusters")
     clusters = consolidate(
         turns, as_of, generate, min_turns, cluster_limit, high_stakes, summary=summary,
         chunk_turns=chunk_turns,
@@ -158,4 +158,4 @@ def dream(
         memory.facts.select("source_key"), "source_key", "left_anti"
     )
     links = reduce(DataFrame.unionByName, [clusters.links, shared.links, new_links])
-    return Memory(facts, insert_if_absent(memory.lineage, links, ["source_key", "ext_id"]))
+    return Memory(facts, insert_if_absent(memory.lineage, links, ["source_key", "ext_id"], unique=True))

@@ -73,6 +73,18 @@ def read_batches(spark: SparkSession, sink: str, schema: T.StructType) -> DataFr
         return spark.createDataFrame([], full)
 
 
+def store_batches(
+    rows: DataFrame, sink: str, checkpoint: str, mode: str = "triggered", run: str = "main", interval: str = "10 seconds"
+) -> StreamingQuery:
+    """Store every micro-batch of a stream as it is, in the folder of its run, query and batch."""
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        path = _batch_path(sink, run, _query_id(batch.sparkSession, checkpoint), batch_id)
+        batch.write.mode("overwrite").parquet(path)
+
+    return start(rows, on_batch, checkpoint, mode, interval)
+
+
 def sync_stream(
     changes: DataFrame,
     sink: str,

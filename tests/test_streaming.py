@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from recollect.operators import quality
 from recollect.plans.publish import publish_stream
-from recollect.session import scratch_path
-from recollect.streaming import feeds
+from recollect.session import scratch_path, ship_package
+from recollect.streaming import feeds, stateful
 
 CHANGES = "id string, v int, _change_type string, _commit_version bigint"
 
@@ -153,3 +153,31 @@ def test_features_are_published_from_their_change_feed(spark, tmp_path):
     assert rows(feeds.read_mirror(online, sink, schema, ["id"])) == rows(source)
     with pytest.raises(quality.CheckFailed):
         publish_stream(source.unionByName(source), stream, sink, str(tmp_path / "c2"), "id")
+
+
+def test_keyed_state_takes_each_key_once(spark, tmp_path):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    ship_package(spark)
+    folder, sink, checkpoint = (str(tmp_path / n) for n in ("in", "sink", "c"))
+    schema = "ext_id string, v int, w string"
+    known = spark.createDataFrame([("known", 0), (None, 0)], "ext_id string, v int")
+    try:
+        write(spark, folder, [("a", 2, "x"), ("a", 1, "x"), (None, 1, "x"), (None, 1, "x"), ("known", 1, "x")], schema)
+        read = spark.read.parquet(folder).schema
+
+        def run():
+            stream = feeds.stream_table(spark, folder, read)
+            stateful.ingest_stream_stateful(
+                stream, sink, checkpoint, ["v", "w"], existing=known
+            ).awaitTermination()
+            return rows(feeds.read_batches(spark, sink, read), "ext_id", "v", "w")
+
+        first = [("a", 1, "x"), (None, 1, "x"), (None, 1, "x")]
+        assert run() == first
+        write(spark, folder, [("a", 0, "late"), ("b", 5, None), ("b", None, "x"), ("known", 2, "x")], schema)
+        assert run() == [("a", 1, "x"), ("b", 5, None), *first[1:]]
+        assert run() == [("a", 1, "x"), ("b", 5, None), *first[1:]]
+    finally:
+        spark.conf.set(provider, before)

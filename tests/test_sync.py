@@ -163,3 +163,15 @@ def test_compare_rows_counts_copies_of_rows_with_null_keys(spark, monkeypatch):
     mirror = frame(spark, [(None, 1, "x")] * 2 + [(None, 3, None)] * 3 + [("a", 1, "x")])
     assert dict(rows(sync.reconcile_rows(source, mirror, ["id"]))) == {"ok": 3, "missing": 4, "extra": 3}
     assert rows(sync.compare_rows(source, source, ["id"])) == [("a", "ok")] + [(None, "ok")] * 6
+
+
+def test_each_side_is_read_once(spark, tmp_path):
+    for name in ("old", "new"):
+        frame(spark, [("a", 1, "x"), (None, 1, "x")]).write.parquet(str(tmp_path / name))
+    old, new = (spark.read.parquet(str(tmp_path / name)) for name in ("old", "new"))
+    for plan in (sync.diff_changes(old, new, ["id"], 1), sync.compare_rows(old, new, ["id"])):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        plan.collect()
+        final = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "FullOuter" in text
+        assert sum("FileScan" in line for line in final.splitlines()) <= 2, final
