@@ -7,44 +7,25 @@ document's, and each of its lines', as notices are often a line of their own.
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Licence notices and short licence texts as their owners publish them.
-KNOWN = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under CC BY-NC 4.0."],
-    "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "Licensed under the GNU General Public License, version 3.",
-    ],
-    "MIT": [
-        "Released under the MIT License.",
-        "Licensed under the MIT License.",
-        """MIT License
-Copyright (c)
-Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
-documentation files (the "Software"), to deal in the Software without restriction, including without limitation
-the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and
-to permit persons to whom the Software is furnished to do so, subject to the following conditions:
-The above copyright notice and this permission notice shall be included in all copies or substantial portions of
-the Software.
-THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
-THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
-AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF
-CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS
-IN THE SOFTWARE.""",
-    ],
-    "0BSD": [
-        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
-hereby granted.
-THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
-IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
-INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN
-AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
-PERFORMANCE OF THIS SOFTWARE.""",
-    ],
-}
+TEXTS = "licenses_data/texts.txt"
+
+
+def read_texts(source: str) -> dict[str, list[str]]:
+    """Texts by licence: `=== id` begins a text, lines before the first one are notes."""
+    found: dict[str, list[str]] = {}
+    for part in ("\n" + source).split("\n=== ")[1:]:
+        name, text = part.split("\n", 1)
+        found.setdefault(name.strip(), []).append(text)
+    return found
+
+
+#: Licence notices, standard headers and whole texts.
+KNOWN = read_texts(files("recollect.llm").joinpath(TEXTS).read_text("utf-8"))
 #: A line with a copyright notice, and spellings that count as equal.
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©)([^\p{L}\p{N}\n][^\n]*)?$"
 SPELLINGS = (("licence", "license"), ("licenced", "licensed"), ("non commercial", "noncommercial"), ("sub license", "sublicense"))

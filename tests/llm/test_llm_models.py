@@ -163,3 +163,17 @@ def test_plain_windows_compress_alike_and_one_short_insult_shows():
     ]
     assert gain("plain water stone plain") == [0]
     assert gain("plain grumbax water")[0] > 0
+
+
+def test_the_known_texts_are_found_whole_in_any_form(spark):
+    assert len(licenses.KNOWN) >= 20
+    rows, expected = [], {}
+    for name, texts in licenses.KNOWN.items():
+        for text in texts:
+            i = len(rows)
+            shown = f"Copyright (c) 2020 Somebody\n\n{text.upper() if i % 2 else text}".replace("\n", "\n  ")
+            rows.append((i, shown.replace(",", " , ")))
+            expected[i] = name
+    got = licenses.scan(frame(spark, rows + [(900, rows[0][1] + " and more")]), licenses.known_digests(spark)).collect()
+    found = {r["doc_id"]: r["license_id"] for r in got}
+    assert found.pop(900) is None and found == expected
