@@ -618,8 +618,8 @@ def _celled(spark, corpus):
 
 
 def _graph(spark, corpus):
-    """The search graphs of a corpus, written once: small shards, so that even small tables have several."""
-    return materialise(graph.build_graph(corpus, shard_rows=1024), "graph")
+    """The search graphs of a corpus, written once."""
+    return materialise(graph.build_graph(corpus), "graph")
 
 
 def _every_fiftieth(spark, sf_dir):
