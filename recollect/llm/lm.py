@@ -1,9 +1,9 @@
 """Language-model scores from a log-frequency Bloom filter (Talbot and Osborne, 2007).
 
-Counts of words and of word pairs are quantised: count c has level 1 + floor(log2 c). The filter
+Counts of words and of word pairs are quantised: count c has level 1 + floor(log c / log BASE). The filter
 holds an n-gram once for every level up to its own, and a reader probes level after level until one
 is missing; so an error can only raise a count, by one level with the filter's error rate, by two
-with its square. It holds all words and the pairs that were seen at least twice, at every size of the
+with its square. It holds all words and all pairs, those seen once at level 1, at every size of the
 corpus: its bits grow with the entries, in one slice per segment of the keys, and the segments with the tokens.
 
 A filter of at most `MOST_BITS` bits (64 MB) is broadcast. A larger one stays where its slices lie: every
@@ -38,7 +38,9 @@ SEGMENT_TOKENS = 1 << 21
 FLUSH_TOKENS = 1 << 20
 CHUNK_BYTES = 1 << 20
 SMOOTHING = 0.1
-LEVELS = 40
+BASE, LEVELS = 1.5, 56
+#: The least count of every level, from level 1 on; the last one is past 2^32.
+BOUNDS = np.ceil(BASE ** np.arange(LEVELS + 1)).astype(np.int64)
 _END, _BEGIN = words.constants(21, 2)
 _PAIR = words.constants(22, 2) | np.uint64(1)
 _LEVEL = words.constants(23, LEVELS + 1)
@@ -138,13 +140,13 @@ def _pack_words(shift: int) -> Callable:
 
 
 def level(counts: np.ndarray) -> np.ndarray:
-    """1 + floor(log2 c) of counts of at least 1."""
-    return np.frexp(counts.astype(np.float64))[1]
+    """1 + floor(log c / log BASE) of counts of at least 1; LEVELS at most."""
+    return np.minimum(np.searchsorted(BOUNDS, counts, side="right"), LEVELS)
 
 
 def mean_count(levels: np.ndarray) -> np.ndarray:
     """The middle of the counts of a level; 0 for level 0."""
-    return np.where(levels > 0, 1.5 * 2.0 ** (levels - 1) - 0.5, 0.0)
+    return np.concatenate([[0.0], (BOUNDS[:-1] + BOUNDS[1:] - 1) / 2])[levels]
 
 
 COUNTED = (
@@ -159,7 +161,7 @@ def _unpacked(low: bytes, high: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray
 
 
 def _count_segment(table: pa.Table) -> pa.Table:
-    """The distinct n-grams of one segment with their counts; pairs seen once are only counted."""
+    """The distinct n-grams of one segment with their counts."""
     kinds = table.column("kind").to_numpy()
     out: list = [table.column("segment")[0].as_py()]
     totals: list[int] = []
@@ -169,7 +171,6 @@ def _count_segment(table: pa.Table) -> pa.Table:
         keys, counts = _summed(*_unpacked(*(b"".join(own.column(c).to_pylist()) for c in ("low", "high", "n"))))
         if kind == 2:
             totals = [int((counts == 1).sum()), int(counts.sum())]
-            keys, counts = keys[counts > 1], counts[counts > 1]
         levels.append(np.bincount(level(counts), minlength=LEVELS + 1).tolist())
         counts = np.minimum(counts, 2**32 - 1)
         out += [a.tobytes() for a in (keys.astype("<u4"), (keys >> np.uint64(32)).astype("<u2"), counts.astype("<u4"))]
@@ -186,7 +187,7 @@ def _bit_places(rest: np.ndarray, kind: int, at: int, slice_bits: int) -> Iterat
         yield (first + np.uint64(i) * step) & np.uint64(slice_bits - 1)
 
 
-def _build_slice(lowest: dict[int, int], slice_bits: int) -> Callable:
+def _build_slice(slice_bits: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -194,7 +195,7 @@ def _build_slice(lowest: dict[int, int], slice_bits: int) -> Callable:
                 for kind in (1, 2):
                     rest, counts = _unpacked(*(row[f"{c}{kind}"] for c in ("low", "high", "n")))
                     top = level(counts)
-                    for at in range(lowest[kind], int(top.max(initial=0)) + 1):
+                    for at in range(1, int(top.max(initial=0)) + 1):
                         for place in _bit_places(rest[top >= at], kind, at, slice_bits):
                             bits[place.astype(np.int64)] = True
                 yield pa.RecordBatch.from_arrays(
@@ -208,13 +209,11 @@ def _build_slice(lowest: dict[int, int], slice_bits: int) -> Callable:
     return run
 
 
-def _held_levels(
-    bits: np.ndarray, base: np.ndarray, rest: np.ndarray, kind: int, lowest: int, slice_bits: int
-) -> np.ndarray:
+def _held_levels(bits: np.ndarray, base: np.ndarray, rest: np.ndarray, kind: int, slice_bits: int) -> np.ndarray:
     """The level of every n-gram, 0 where it is not held: probes go up until a level is missing."""
     out = np.zeros(len(rest), dtype=np.int64)
     left = np.arange(len(rest))
-    for at in range(lowest, LEVELS + 1):
+    for at in range(1, LEVELS + 1):
         held = np.ones(len(left), dtype=bool)
         for place in _bit_places(rest[left], kind, at, slice_bits):
             bit = base[left] + place
@@ -228,10 +227,10 @@ def _held_levels(
 
 
 class Filter:
-    """The bits, one slice per segment; `lowest[kind]` is the first level that n-grams are held at."""
+    """The bits, one slice per segment."""
 
-    def __init__(self, bits: np.ndarray, segments: int, lowest: dict[int, int]):
-        self.bits, self.lowest = bits, lowest
+    def __init__(self, bits: np.ndarray, segments: int):
+        self.bits = bits
         self.shift = 64 - (segments.bit_length() - 1)
         self.slice_bits = len(bits) * 8 // segments
 
@@ -239,7 +238,7 @@ class Filter:
         rest = (keys >> np.uint64(max(0, self.shift - 48))) & np.uint64((1 << 48) - 1)
         segment = keys >> np.uint64(self.shift) if self.shift < 64 else np.zeros_like(keys)
         base = segment * np.uint64(self.slice_bits)
-        return _held_levels(self.bits, base, rest, kind, self.lowest[kind], self.slice_bits)
+        return _held_levels(self.bits, base, rest, kind, self.slice_bits)
 
 
 class Shards(NamedTuple):
@@ -248,19 +247,6 @@ class Shards(NamedTuple):
     slices: DataFrame
     shift: int
     slice_bits: int
-    lowest: dict[int, int]
-
-
-def _lowest_levels(histogram: dict[int, np.ndarray], room: int) -> tuple[dict[int, int], int]:
-    """The lowest levels that leave at most `room` entries, words first, and the number of entries."""
-    lowest, used = {}, 0
-    for kind, start in ((1, 1), (2, 2)):
-        for at in range(start, LEVELS + 2):
-            entries = int(sum(n * (l - at + 1) for l, n in enumerate(histogram[kind]) if l >= at))
-            if used + entries <= room:
-                break
-        lowest[kind], used = at, used + entries
-    return lowest, used
 
 
 class Model:
@@ -362,7 +348,7 @@ def _ask(shift: int) -> Callable:
     return run
 
 
-def _answer(slice_bits: int, lowest: dict[int, int]) -> Callable:
+def _answer(slice_bits: int) -> Callable:
     def run(asked: pa.Table, slices: pa.Table) -> pa.Table:
         if slices.num_rows:
             bits = np.frombuffer(slices.column("bits")[0].as_py(), np.uint8)
@@ -373,7 +359,7 @@ def _answer(slice_bits: int, lowest: dict[int, int]) -> Callable:
             for kind, low, high in zip(*(row.column(c).to_pylist() for c in ("kind", "low", "high")), strict=True):
                 rest = np.frombuffer(low, "<u4").astype(np.uint64)
                 rest |= np.frombuffer(high, "<u2").astype(np.uint64) << np.uint64(32)
-                found = _held_levels(bits, np.zeros_like(rest), rest, kind, lowest[kind], slice_bits)
+                found = _held_levels(bits, np.zeros_like(rest), rest, kind, slice_bits)
                 levels.append(found.astype(np.uint8).tobytes())
         answered = asked.select(["block", "kind", "segment"])
         return answered.append_column("levels", pa.array(levels, pa.binary()))
@@ -402,7 +388,7 @@ def _scores_by_segment(texts: DataFrame, model, shards: Shards) -> DataFrame:
     """`(row, score)` of `texts (block, row, text)`: keys go to the filter's slices, levels come back."""
     blocks = texts.groupBy("block")
     asked = blocks.applyInArrow(_ask(shards.shift), ASKED)
-    answer = _answer(shards.slice_bits, shards.lowest)
+    answer = _answer(shards.slice_bits)
     answered = asked.groupBy("segment").cogroup(shards.slices.groupBy("segment")).applyInArrow(answer, ANSWERED)
     return blocks.cogroup(answered.groupBy("block")).applyInArrow(_answered_scores(model), "row long, score double")
 
@@ -433,10 +419,9 @@ def fit(texts: DataFrame, counts: DataFrame) -> tuple[Model, Shards | None]:
         *(F.sum(F.col(f"levels{kind}")[at]) for kind in (1, 2) for at in range(LEVELS + 1)),
     ).first()
     once, total, *entries = (v or 0 for v in sums)
-    histogram = {1: entries[: LEVELS + 1], 2: entries[LEVELS + 1 :]}
-    lowest, used = _lowest_levels(histogram, 1 << 62)  # room for all entries
+    used = sum(n * (place % (LEVELS + 1)) for place, n in enumerate(entries))  # one for every level up to its own
     size = max(segments * 1024, 1 << max(0, used * BITS_PER_KEY - 1).bit_length())
-    slices = counted.mapInArrow(_build_slice(lowest, size // segments), "segment int, bits binary")
+    slices = counted.mapInArrow(_build_slice(size // segments), "segment int, bits binary")
     slices = materialise(slices, "filter")
     held, shards = None, None
     if size <= MOST_BITS:
@@ -444,9 +429,9 @@ def fit(texts: DataFrame, counts: DataFrame) -> tuple[Model, Shards | None]:
         width = size // 8 // segments
         for part in slices.toLocalIterator():  # the driver holds one copy of the bits
             bits[part["segment"] * width : (part["segment"] + 1) * width] = np.frombuffer(part["bits"], np.uint8)
-        held = Filter(bits, segments, lowest)
+        held = Filter(bits, segments)
     else:
-        shards = Shards(slices, shift, size // segments, lowest)
+        shards = Shards(slices, shift, size // segments)
 
     # the most frequent words, at most FREQUENT: all words above a count that the histogram gives
     step = F.floor(16 * F.log2("n"))

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,16 @@ def plain_held_out(doc_id):
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 10 == 0
 
 
+def middle(count):
+    """The mean of all counts that share a power of 1.5 with this one."""
+    if count < 1:
+        return 0
+    low, high = Fraction(1), Fraction(3, 2)
+    while high <= count:
+        low, high = high, high * Fraction(3, 2)
+    return (math.ceil(low) + math.ceil(high) - 1) / 2
+
+
 def plain_scores(rows):
     """Base scores, and model scores with the counts quantised but free of filter errors."""
     single, pairs, texts = Counter(), Counter(), 0
@@ -38,7 +49,6 @@ def plain_scores(rows):
     mass = n + 0.1 * (v + 1)
     total = sum(pairs.values())
     seen = 1 - sum(c == 1 for c in pairs.values()) / total if total else 0
-    middle = lambda c: 0 if c < 1 else 1.5 * 2 ** math.floor(math.log2(c)) - 0.5
     history = {**single, "<begin>": texts}
     out = []
     for doc_id, text in rows:
@@ -49,7 +59,7 @@ def plain_scores(rows):
             alone = (middle(single[t]) + 0.1) / mass
             h = middle(history.get(before, 0))
             pair = pairs[(before, t)]
-            mixed = seen * min(1, middle(pair if pair > 1 else 0) / h) + (1 - seen) * alone if h else alone
+            mixed = seen * min(1, middle(pair) / h) + (1 - seen) * alone if h else alone
             model += math.log10(min(1, mixed))
         known = sum(single[t] > 0 for t in tokens)
         out.append((doc_id, plain_held_out(doc_id), len(tokens), known, n, base, model))
@@ -101,20 +111,19 @@ def test_filter_levels_are_right_up_to_its_error_rate():
             part = table.filter(pa.array(table["segment"].to_numpy() == segment))
             counted = lm._count_segment(part)
             slice_bits = (1 << 20) // segments
-            built = next(lm._build_slice({1: 1, 2: 2}, slice_bits)(iter(counted.to_batches())))
+            built = next(lm._build_slice(slice_bits)(iter(counted.to_batches())))
             slices.append(np.frombuffer(built["bits"][0].as_py(), np.uint8))
-        found = lm.Filter(np.concatenate(slices), segments, {1: 1, 2: 2})
+        found = lm.Filter(np.concatenate(slices), segments)
         true = lm.level(counts)
         got = found.levels(keys, 1)
         assert (got >= true).all() and (got > true).mean() < 0.05
         assert (found.levels(words.mix(keys), 1) > 0).mean() < 0.05
 
 
-def test_lowest_levels_leave_what_fits():
-    histogram = {1: [0, 100, 10, 1], 2: [0, 0, 50, 5]}
-    assert lm._lowest_levels(histogram, 10**6) == ({1: 1, 2: 2}, 100 + 20 + 3 + 50 + 10)
-    assert lm._lowest_levels(histogram, 140) == ({1: 1, 2: 3}, 123 + 5)
-    assert lm._lowest_levels(histogram, 60) == ({1: 2, 2: 3}, 12 + 5)
+def test_levels_are_powers_of_the_base():
+    counts = np.arange(1, 5000)
+    assert lm.mean_count(lm.level(counts)).tolist() == [middle(c) for c in counts.tolist()]
+    assert lm.mean_count(np.array([0])) == 0 and lm.BOUNDS[-1] > 2**32
 
 
 @pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001"])
