@@ -8,7 +8,8 @@ corpus: its bits grow with the entries, in one slice per segment of the keys, an
 
 A filter of at most `MOST_BITS` bits (64 MB) is broadcast. A larger one stays where its slices lie: every
 block of texts sends its distinct keys to the segments, which answer with levels. Bits and scores are the
-same either way.
+same either way. Beside its segment 32 bits of a key are kept: it meets another key of its segment in at most
+one of 2,000 cases (a segment has some 2 million tokens); six probes at 14 bits an entry err in one of 500.
 
 A pair's probability mixes its relative frequency with the word's own, by the share of pairs that
 were seen only once (the Good-Turing estimate of unseen mass).
@@ -24,6 +25,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,12 +33,12 @@ from recollect.llm import words
 from recollect.session import materialise
 
 MOST_BITS = 1 << 29
-BITS_PER_KEY = 12
-PROBES = 4
+BITS_PER_KEY = 14
+PROBES = 6
 FREQUENT = 1 << 20
 SEGMENT_TOKENS = 1 << 21
 FLUSH_TOKENS = 1 << 20
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 22
 SMOOTHING = 0.1
 BASE, LEVELS = 1.5, 56
 #: The least count of every level, from level 1 on; the last one is past 2^32.
@@ -90,27 +92,50 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _coded(values: np.ndarray) -> bytes:
+    """32-bit numbers as four planes of bytes, compressed."""
+    return zstandard.compress(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def _decoded(coded: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(coded), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
+
+
+def _coded_keys(rest: np.ndarray) -> bytes:
+    """Sorted 32-bit keys, by their differences."""
+    return _coded(np.diff(rest, prepend=rest[:1] * 0))
+
+
+def _decoded_keys(coded: bytes) -> np.ndarray:
+    return np.cumsum(_decoded(coded), dtype=np.uint64)
+
+
+def _rest(keys: np.ndarray, shift: int) -> np.ndarray:
+    """The 32 bits of keys that follow their segment."""
+    return (keys >> np.uint64(max(0, shift - 32))) & np.uint64((1 << 32) - 1)
+
+
 def _packed(kind: int, keys: np.ndarray, counts: np.ndarray, shift: int) -> pa.RecordBatch:
-    """Sorted keys cut by segment (their first bits); of a key 48 further bits are kept, as 32 + 16."""
+    """Sorted keys cut by segment (their first bits)."""
     segments = (keys >> np.uint64(shift)).astype(np.int64) if shift < 64 else np.zeros(len(keys), np.int64)
     first = np.flatnonzero(np.concatenate([[True], segments[1:] != segments[:-1]]))
     cuts = np.append(first, len(keys))
-    rest = keys >> np.uint64(max(0, shift - 48))
-    low, high = rest.astype("<u4"), (rest >> np.uint64(32)).astype("<u2")
+    rest = _rest(keys, shift)
+    counts = np.minimum(counts, 2**32 - 1)
     spans = list(zip(cuts, cuts[1:], strict=False))
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.full(len(first), kind, np.int32)),
             pa.array(segments[first].astype(np.int32)),
-            pa.array([low[a:b].tobytes() for a, b in spans], pa.binary()),
-            pa.array([high[a:b].tobytes() for a, b in spans], pa.binary()),
-            pa.array([counts[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary()),
+            pa.array([_coded_keys(rest[a:b]) for a, b in spans], pa.binary()),
+            pa.array([_coded(counts[a:b]) for a, b in spans], pa.binary()),
         ],
-        names=["kind", "segment", "low", "high", "n"],
+        names=["kind", "segment", "keys", "n"],
     )
 
 
-PACKED = "kind int, segment int, low binary, high binary, n binary"
+PACKED = "kind int, segment int, keys binary, n binary"
 
 
 def _pack_pairs(shift: int) -> Callable:
@@ -150,16 +175,11 @@ def mean_count(levels: np.ndarray) -> np.ndarray:
 
 
 COUNTED = (
-    "segment int, low1 binary, high1 binary, n1 binary, low2 binary, high2 binary, n2 binary, once long, total long,"
+    "segment int, keys1 binary, n1 binary, keys2 binary, n2 binary, once long, total long,"
     " levels1 array<long>, levels2 array<long>"
 )
 
 
-def _unpacked(low: bytes, high: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
-    rest = np.frombuffer(low, "<u4").astype(np.uint64) | (np.frombuffer(high, "<u2").astype(np.uint64) << np.uint64(32))
-    return rest, np.frombuffer(n, "<u4").astype(np.int64)
-
-
 def _count_segment(table: pa.Table) -> pa.Table:
     """The distinct n-grams of one segment with their counts."""
     kinds = table.column("kind").to_numpy()
@@ -168,14 +188,17 @@ def _count_segment(table: pa.Table) -> pa.Table:
     levels: list[list[int]] = []
     for kind in (1, 2):
         own = table.filter(pa.array(kinds == kind))
-        keys, counts = _summed(*_unpacked(*(b"".join(own.column(c).to_pylist()) for c in ("low", "high", "n"))))
+        keys = [_decoded_keys(v) for v in own.column("keys").to_pylist()]
+        counts = [_decoded(v).astype(np.int64) for v in own.column("n").to_pylist()]
+        empty = [np.zeros(0, np.int64)]
+        keys, counts = _summed(np.concatenate(keys or empty), np.concatenate(counts or empty))
         if kind == 2:
             totals = [int((counts == 1).sum()), int(counts.sum())]
         levels.append(np.bincount(level(counts), minlength=LEVELS + 1).tolist())
         counts = np.minimum(counts, 2**32 - 1)
-        out += [a.tobytes() for a in (keys.astype("<u4"), (keys >> np.uint64(32)).astype("<u2"), counts.astype("<u4"))]
+        out += [_coded_keys(keys), _coded(counts)]
     names = [c.split(" ")[0] for c in COUNTED.split(", ")]
-    types = [pa.int32(), *[pa.binary()] * 6, pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 2]
+    types = [pa.int32(), *[pa.binary()] * 4, pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 2]
     return pa.table([pa.array([v], t) for v, t in zip(out + totals + levels, types, strict=True)], names=names)
 
 
@@ -184,7 +207,7 @@ def _bit_places(rest: np.ndarray, kind: int, at: int, slice_bits: int) -> Iterat
     first = words.mix(rest * np.uint64(4) + np.uint64(kind) + _LEVEL[at])
     step = (first >> np.uint64(32)) | np.uint64(1)
     for i in range(PROBES):
-        yield (first + np.uint64(i) * step) & np.uint64(slice_bits - 1)
+        yield (first + np.uint64(i) * step) % np.uint64(slice_bits)
 
 
 def _build_slice(slice_bits: int) -> Callable:
@@ -193,8 +216,7 @@ def _build_slice(slice_bits: int) -> Callable:
             for row in batch.to_pylist():
                 bits = np.zeros(slice_bits, dtype=bool)
                 for kind in (1, 2):
-                    rest, counts = _unpacked(*(row[f"{c}{kind}"] for c in ("low", "high", "n")))
-                    top = level(counts)
+                    rest, top = _decoded_keys(row[f"keys{kind}"]), level(_decoded(row[f"n{kind}"]))
                     for at in range(1, int(top.max(initial=0)) + 1):
                         for place in _bit_places(rest[top >= at], kind, at, slice_bits):
                             bits[place.astype(np.int64)] = True
@@ -235,7 +257,7 @@ class Filter:
         self.slice_bits = len(bits) * 8 // segments
 
     def levels(self, keys: np.ndarray, kind: int) -> np.ndarray:
-        rest = (keys >> np.uint64(max(0, self.shift - 48))) & np.uint64((1 << 48) - 1)
+        rest = _rest(keys, self.shift)
         segment = keys >> np.uint64(self.shift) if self.shift < 64 else np.zeros_like(keys)
         base = segment * np.uint64(self.slice_bits)
         return _held_levels(self.bits, base, rest, kind, self.slice_bits)
@@ -324,7 +346,7 @@ def _score(model) -> Callable:
     return run
 
 
-ASKED = "block long, kind int, segment int, low binary, high binary"
+ASKED = "block long, kind int, segment int, keys binary"
 ANSWERED = "block long, kind int, segment int, levels binary"
 
 
@@ -341,7 +363,7 @@ def _block(texts: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, dict]:
 def _ask(shift: int) -> Callable:
     def run(texts: pa.Table) -> pa.Table:
         texts, _, _, keys = _block(texts)
-        asked = pa.Table.from_batches([_packed(k, keys[k][0], np.zeros(0), shift) for k in keys]).drop_columns("n")
+        asked = pa.Table.from_batches([_packed(k, keys[k][0], np.zeros(len(keys[k][0])), shift) for k in keys]).drop_columns("n")
         block = pa.array(np.full(len(asked), texts.column("block")[0].as_py()))
         return asked.add_column(0, "block", block)
 
@@ -356,9 +378,8 @@ def _answer(slice_bits: int) -> Callable:
             bits = np.zeros(slice_bits // 8, np.uint8)
         levels = []
         for row in asked.to_batches():
-            for kind, low, high in zip(*(row.column(c).to_pylist() for c in ("kind", "low", "high")), strict=True):
-                rest = np.frombuffer(low, "<u4").astype(np.uint64)
-                rest |= np.frombuffer(high, "<u2").astype(np.uint64) << np.uint64(32)
+            for kind, coded in zip(*(row.column(c).to_pylist() for c in ("kind", "keys")), strict=True):
+                rest = _decoded_keys(coded)
                 found = _held_levels(bits, np.zeros_like(rest), rest, kind, slice_bits)
                 levels.append(found.astype(np.uint8).tobytes())
         answered = asked.select(["block", "kind", "segment"])
@@ -420,7 +441,7 @@ def fit(texts: DataFrame, counts: DataFrame) -> tuple[Model, Shards | None]:
     ).first()
     once, total, *entries = (v or 0 for v in sums)
     used = sum(n * (place % (LEVELS + 1)) for place, n in enumerate(entries))  # one for every level up to its own
-    size = max(segments * 1024, 1 << max(0, used * BITS_PER_KEY - 1).bit_length())
+    size = segments * max(1024, -(-used * BITS_PER_KEY // segments // 64) * 64)
     slices = counted.mapInArrow(_build_slice(size // segments), "segment int, bits binary")
     slices = materialise(slices, "filter")
     held, shards = None, None
