@@ -491,13 +491,13 @@ def score(docs: DataFrame) -> DataFrame:
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     scored = materialise(numbered.mapInArrow(_score(model), schema), "scores")
     texts, scored = scored.select("block", "row", "text"), scored.drop("block", "text")
-    if shards is not None:
-        scored = scored.drop("score").join(_scores_by_segment(texts, model, shards), "row", "left")
 
     rare = scored.select("row", F.explode("rare").alias("word")).join(counts, "word", "left")
     rare = rare.groupBy("row").agg(
         F.sum(F.log10(F.coalesce("n", F.lit(0)) + SMOOTHING)).alias("rare_logs"), F.count("n").alias("rare_known")
     )
+    if shards is not None:  # joined after the rare words are taken, so that only one branch asks the segments
+        scored = scored.drop("score").join(_scores_by_segment(texts, model, shards), "row", "left")
     logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
     return scored.drop("rare").join(rare, "row", "left").select(
         "doc_id",
