@@ -19,7 +19,6 @@ from recollect.functions import scoring
 from recollect.functions.hooks import Generate
 from recollect.functions.keys import business_key
 from recollect.operators.consolidate import (
-    CHUNK_TURNS,
     SAMPLE_CHARS,
     SCOPE,
     Candidates,
@@ -84,7 +83,7 @@ def advance(
     claim_topic: str = "interaction_claim",
     claim_pattern: str = "%CYP3A4%",
     decay_days: int = 150,
-    chunk_turns: int = CHUNK_TURNS,
+    chunk_turns: int | None = None,
 ) -> Advanced:
     """One run over the turns that came since the last one; none of them may be in `state` already.
 
