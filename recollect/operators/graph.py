@@ -2,9 +2,11 @@
 
 `build_graph` deals the vectors to shards of a stated size by a hash of their id. In each shard a task
 links every vector to near ones in different directions (the pruning rule of Subramanya et al., 2019) and
-to a few drawn at random, adds the links back, and stores ids, unit vectors and links as one row.
+to a few drawn at random, adds the links back, gives a vector that few link to some links from its near
+ones, and stores ids, unit vectors and links as one row.
 `graph_topk` walks each shard's graph from its middle with a list of the `beam` best vectors so far, all
-queries of a block in step; distances are exact, so what the shards return merges by distance.
+queries of a block in step; distances are exact, so what the shards return merges by distance. A larger
+shard needs a longer list: its size by BEAM_SHARE, and BEAM at least.
 
 A shard costs a task `shard_rows` vectors and links, whatever the corpus; a search reads all shards but
 computes distances along the walks only, and says how many.
@@ -31,7 +33,8 @@ DEGREE = 32
 CANDIDATES = 96
 RANDOM_LINKS = 8
 SLACK = 1.2
-BEAM = 96
+BEAM, BEAM_SHARE = 96, 24
+LEAST_INTO, SPARE_LINKS = 8, 8
 _ROWS_AT_ONCE = 512
 
 
@@ -52,7 +55,11 @@ def _pruned(own: int, found: np.ndarray, distance: np.ndarray, vectors: np.ndarr
 
 
 def neighbour_lists(vectors: np.ndarray, degree: int = DEGREE, seed: int = 7) -> np.ndarray:
-    """`degree` links per unit vector; -1 where a vector has fewer."""
+    """`degree` links per unit vector and some spare ones; -1 where a vector has fewer.
+
+    Pruning leaves some vectors with hardly a link to them, which no walk would find: they get up to
+    LEAST_INTO, in the spare places of those they link to themselves, nearest first.
+    """
     n = len(vectors)
     rng = np.random.default_rng(seed)
     near = min(CANDIDATES, n)
@@ -74,7 +81,17 @@ def neighbour_lists(vectors: np.ndarray, degree: int = DEGREE, seed: int = 7) ->
         if len(found) > degree:
             found = _pruned(own, found, 1.0 - vectors[found] @ vectors[own], vectors, degree)
         out[own, : len(found)] = found
-    return out
+    into = np.bincount(out[out >= 0], minlength=n)
+    spare = np.full((n, SPARE_LINKS), -1, dtype=np.int32)
+    for own in np.flatnonzero(into < min(LEAST_INTO, degree)):
+        for other in links[own]:
+            if into[own] >= LEAST_INTO:
+                break
+            free = np.flatnonzero(spare[other] < 0)
+            if len(free) and own not in out[other]:
+                spare[other, free[0]] = own
+                into[own] += 1
+    return np.concatenate([out, spare], axis=1)
 
 
 def walk(
@@ -176,7 +193,7 @@ def build_graph(
     return dealt.groupBy("shard").applyInArrow(_build(degree, seed, to_arrow_type(kind)), schema)
 
 
-def _search(queries: Queries, k: int, beam: int, at_once: Callable) -> Callable:
+def _search(queries: Queries, k: int, beam: int | None, at_once: Callable) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = unit(queries.vectors.astype(np.float64))
         usable = np.flatnonzero(~np.isnan(wanted).any(axis=1))
@@ -190,9 +207,10 @@ def _search(queries: Queries, k: int, beam: int, at_once: Callable) -> Callable:
                 links = np.frombuffer(batch.column("links")[i].as_buffer(), np.int32).reshape(len(vectors), -1)
                 entry = np.frombuffer(batch.column("entry")[i].as_buffer(), np.int32)
                 wide = vectors.astype(np.float64)
+                listed = max(BEAM, len(vectors) // BEAM_SHARE) if beam is None else beam
                 for low in range(0, len(usable), at_once(len(vectors))):
                     own = usable[low : low + at_once(len(vectors))]
-                    places, distance, computed = walk(wide, links, entry, wanted[own], k, beam)
+                    places, distance, computed = walk(wide, links, entry, wanted[own], k, listed)
                     at, rank = np.nonzero(places >= 0)
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -207,10 +225,10 @@ def _search(queries: Queries, k: int, beam: int, at_once: Callable) -> Callable:
     return run
 
 
-def graph_topk(graph: DataFrame, queries: DataFrame, k: int = LEG_K, beam: int = BEAM) -> DataFrame:
+def graph_topk(graph: DataFrame, queries: DataFrame, k: int = LEG_K, beam: int | None = None) -> DataFrame:
     """`(query_id, content_id, distance, rank, computed)` of the `k` nearest for queries `(query_id, qvec)`.
 
-    Approximate: a longer `beam` finds more of the exact answer. `computed` is the number of distances
+    Approximate: a longer `beam` finds more of the exact answer; unless given it grows with the shard. `computed` is the number of distances
     that a query took in all shards, to be compared with the size of the corpus. Queries without a
     vector, or with one of length zero, find nothing. Queries go to the tasks in bounded blocks, as in
     `vector_topk_batch`; the walks of a block share marks of what they saw, at most 64 MB in a task.

@@ -80,3 +80,20 @@ def test_the_answer_does_not_depend_on_the_block():
     for i in range(len(unit)):
         alone = graph.walk(own, links, entry, unit[i : i + 1], 5, 30)
         assert all((a[i] == b[0]).all() for a, b in zip(together, alone, strict=True))
+
+
+def test_every_vector_has_links_to_it():
+    stored = vectors(3000, 64, seed=5)
+    own = stored / np.linalg.norm(stored, axis=1, keepdims=True)
+    links = graph.neighbour_lists(own)
+    assert (links < len(own)).all() and not any(i in row for i, row in enumerate(links))
+    assert np.bincount(links[links >= 0], minlength=len(own)).min() >= graph.LEAST_INTO
+
+
+def test_each_query_finds_its_neighbours_in_a_large_shard(spark):
+    stored = vectors(6000, 64, seed=6)
+    frame, queries = corpus(spark, stored), asked(spark, vectors(150, 64, seed=7))
+    found = graph.graph_topk(graph.build_graph(frame).cache(), queries).cache()
+    recall = graph.recall_per_query(found, search.vector_topk_batch(frame, queries))
+    assert recall.where("recall < 0.95").count() == 0 and recall.count() == 150
+    assert found.agg(F.max("computed")).first()[0] < 6000 * 0.8
