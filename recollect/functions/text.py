@@ -79,6 +79,45 @@ def stemmed(word_list: Column, stem: Stem) -> Column:
 GROUPED_WORDS = 1_000_000
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch with the column `words` in parts of about GROUPED_WORDS words, one text at least."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("words")), 0).to_numpy())
+    start = 0
+    while start < batch.num_rows:
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + GROUPED_WORDS, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def placed_stems(
+    batches: Iterator[pa.RecordBatch], stem: Stem, asked: frozenset[str]
+) -> Iterator[pa.RecordBatch]:
+    """Every text with the positions of the `asked` stems in it, as the column `placed`, for its words.
+
+    The stemmer runs once per distinct word of a part of a batch; stop words have no stem.
+    """
+    stop_words = frozenset(STOP_WORDS)
+    for batch in batches:
+        for part in _parts(batch):
+            lists = part.column("words")
+            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            coded = lists.flatten().dictionary_encode()
+            stems = ["" if w in stop_words else stem(w) for w in coded.dictionary.to_pylist()]
+            wanted = np.array([s in asked for s in stems], dtype=bool)
+            codes = coded.indices.to_numpy()
+            at = np.flatnonzero(wanted[codes]) if len(codes) else np.empty(0, dtype=np.int64)
+            ends = np.cumsum(lengths)
+            placed: list[dict[str, list[int]]] = [{} for _ in lengths]
+            for text, place, code in zip(np.searchsorted(ends, at, side="right"), at, codes[at], strict=True):
+                own = placed[text].setdefault(stems[code], [])
+                own.append(int(place - ends[text] + lengths[text]))
+            columns = {n: part.column(n) for n in part.schema.names if n != "words"}
+            kind = pa.map_(pa.string(), pa.list_(pa.int32()))
+            columns["placed"] = pa.array([list(p.items()) for p in placed], type=kind)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
 def postings_in(
     batches: Iterator[pa.RecordBatch], skip: frozenset[str]
 ) -> Iterator[pa.RecordBatch]:
@@ -87,13 +126,8 @@ def postings_in(
     A batch has the columns `words` and any others, which are repeated; `skip` words give no row.
     """
     for batch in batches:
-        ends = np.cumsum(pc.list_value_length(batch.column("words")).to_numpy())
-        start = 0
-        while start < batch.num_rows:
-            done = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, done + GROUPED_WORDS, side="right")))
-            yield _grouped(batch.slice(start, stop - start), skip)
-            start = stop
+        for part in _parts(batch):
+            yield _grouped(part, skip)
 
 
 def _grouped(batch: pa.RecordBatch, skip: frozenset[str]) -> pa.RecordBatch:

@@ -22,6 +22,9 @@ SHIPPED_QUERIES = 1024
 SHIPPED_WORDS = 200_000
 SHIPPED_PAIRS = 500_000
 
+_POSITIONS = "map<string,array<int>>"
+_PLACED = T.MapType(T.StringType(), T.ArrayType(T.IntegerType()))
+
 
 def index_words(corpus: DataFrame, text_col: str = TEXT, stem: Stem | None = None) -> DataFrame:
     """Add the word list and length that keyword search needs.
@@ -88,17 +91,23 @@ def keyword_topk(
     """`(content_id, score, rank)` of the `k` matching rows with the highest BM25 score.
 
     Document count, frequencies and mean length are those of the filtered corpus: one aggregate
-    row, read by the scoring pass as a scalar subquery.
+    row, read by the scoring pass as a scalar subquery. With a `stem` and no word lists the texts are
+    split and stemmed once, for the places of the query's words, which are written for both passes.
     """
-    rows = _searchable(corpus, where, stem)
     alternatives = txt.parse_query(query, stem)
-    hits = _matching(corpus, alternatives, where, stem)
+    if stem is not None and alternatives and "words" not in corpus.columns:
+        rows = materialise(_placed(corpus, where, stem, txt.all_words(alternatives)), "placed")
+        view: txt.Text = txt.WordPositions(F.col("placed"))
+        hits = rows.where(txt.query_matches(view, txt.literal_alternatives(alternatives)))
+    else:
+        rows = _searchable(corpus, where, stem)
+        view = txt.WordList(F.col("words"))
+        hits = _matching(corpus, alternatives, where, stem)
     scored_terms = sorted({word for a in alternatives for word in a["needed"]})
     if not scored_terms:
         return _ranked_by_score(hits.select(ID, F.lit(0.0).alias("score")), k)
     frequencies = [
-        F.count_if(F.array_contains("words", term)).alias(f"df{i}")
-        for i, term in enumerate(scored_terms)
+        F.count_if(view.has(F.lit(term))).alias(f"df{i}") for i, term in enumerate(scored_terms)
     ]
     stats = rows.agg(
         F.struct(
@@ -106,14 +115,26 @@ def keyword_topk(
         ).alias("stats")
     ).scalar()
     score = txt.bm25(
-        txt.WordList(F.col("words")), F.col("n_terms"), F.col("_stats.mean_length"),
-        _weights(scored_terms),
+        view, F.col("n_terms"), F.col("_stats.mean_length"), _weights(scored_terms)
     )
     return _ranked_by_score(
         hits.withColumn("_stats", stats).select(ID, score.alias("score")), k
     )
 
 
+def _placed(corpus: DataFrame, where: Column | None, stem: Stem, asked: Sequence[str]) -> DataFrame:
+    """`(content_id, n_terms, placed)` of every text: where the `asked` stems stand in it."""
+    rows = _searchable(corpus, where, None)
+    wanted = frozenset(asked)
+
+    def place(batches):
+        return txt.placed_stems(batches, stem, wanted)
+
+    kept = rows.select(ID, "n_terms")
+    schema = T.StructType([*kept.schema.fields, T.StructField("placed", _PLACED)])
+    return rows.select(ID, "n_terms", "words").mapInArrow(place, schema)
+
+
 def _weights(scored_terms: Sequence[str]) -> Column:
     """(term, weight) of the words of one query, from `_stats` with fields texts and df0, df1, …"""
     return F.array(
@@ -309,7 +330,6 @@ def write_index(index: TextIndex, root: str, version: int) -> TextIndex:
     )
 
 
-_POSITIONS = "map<string,array<int>>"
 
 
 def _by_text(postings: DataFrame, by: Sequence[str]) -> DataFrame:

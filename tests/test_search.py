@@ -360,6 +360,35 @@ def test_stemmed_search_matches_inflected_forms(spark):
     assert found == single
 
 
+def test_stemmed_topk_of_texts_stems_once_and_equals_that_of_word_lists(spark, monkeypatch):
+    texts = ["the doses are stored cold", "storing dose, doses", "a store", "dosing cold stores", None, ""]
+    corpus = spark.createDataFrame(
+        [(i, "A", t) for i, t in enumerate(texts)], "content_id int, brand string, chunk_text string"
+    )
+    indexed = search.index_words(corpus, stem=stem)
+    for asked in ("dose store", '"dose stored" or colds', "store -cold", "-dose", "", '"dose is storing"', "none"):
+        found = search.keyword_topk(corpus, asked, stem=stem)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "ArrowEvalPython" not in plan
+        assert found.orderBy("rank").collect() == search.keyword_topk(indexed, asked, stem=stem).orderBy("rank").collect()
+    found = search.keyword_topk(corpus, "dose", where=F.col("content_id") > 0, stem=stem)
+    assert {r["content_id"] for r in found.collect()} == {1, 3}
+
+
+def test_stems_are_placed_in_bounded_parts(monkeypatch):
+    import pyarrow as pa
+
+    words = pa.array([["doses", "the", "dose"], [], None, ["cold"] * 3 + ["dosing"], ["stores"]])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), words], names=["id", "words"])
+    expected = [(0, {"dose": [0, 2]}), (1, {}), (2, {}), (3, {"dose": [3]}), (4, {"store": [0]})]
+    for size in (1, 3, 100):
+        monkeypatch.setattr(txt, "GROUPED_WORDS", size)
+        for rows_, want in ((batch, expected), (batch.slice(2), expected[2:])):
+            parts = list(txt.placed_stems(iter([rows_]), stem, frozenset(["dose", "store"])))
+            found = [(r["id"], dict(r["placed"])) for p in parts for r in p.to_pylist()]
+            assert found == want and (len(parts) > 1) == (size < 100)
+
+
 def test_a_stem_that_looks_like_a_stop_word_is_no_stop_word(spark):
     corpus = spark.createDataFrame(
         [(1, "it can wait"), (2, "two cans")], "content_id int, chunk_text string"
