@@ -375,6 +375,21 @@ def test_stemmed_topk_of_texts_stems_once_and_equals_that_of_word_lists(spark, m
     assert {r["content_id"] for r in found.collect()} == {1, 3}
 
 
+def test_a_model_gets_long_texts_in_bounded_calls(spark, monkeypatch):
+    from recollect.functions import hooks
+
+    monkeypatch.setattr(hooks, "EMBEDDED_BYTES", 10)
+
+    def model(texts):
+        assert len(texts) == 1 or sum(map(len, texts)) <= 10
+        return [[len(t), len(texts)] for t in texts]
+
+    texts = ["aaaa", None, "bbbbbb", "c" * 30, "", "dd"]
+    corpus = spark.createDataFrame(list(enumerate(texts)), "content_id int, chunk_text string").coalesce(1)
+    done = search.embed_corpus(corpus, 2, model).orderBy("content_id").collect()
+    assert [r["embedding"] for r in done] == [[4, 2], None, [6, 2], [30, 1], [0, 2], [2, 2]]
+
+
 def test_stems_are_placed_in_bounded_parts(monkeypatch):
     import pyarrow as pa
 
