@@ -300,9 +300,10 @@ def index_postings(
 ) -> TextIndex:
     """The inverted index of a corpus; `carry` names the columns tenant filters need.
 
-    The words of a text are grouped inside its task; the postings are then range-partitioned and
-    sorted by (term, content_id) in one shuffle. Written as they are, a search reads only the row
-    groups of its words, and a very common word is spread over many files.
+    The words of a text are grouped inside its task and written, because range partitioning reads
+    its input twice; the postings are then range-partitioned and sorted by (term, content_id) in one
+    shuffle. Written as they are, a search reads only the row groups of its words, and a very common
+    word is spread over many files.
     """
     rows = _searchable(corpus, None, stem, *carry)
     texts = rows.select(ID, "n_terms", *carry)
@@ -313,12 +314,8 @@ def index_postings(
 
     fields = [T.StructField("term", T.StringType()), *texts.schema.fields]
     schema = T.StructType([*fields, T.StructField("positions", T.ArrayType(T.IntegerType()))])
-    postings = (
-        rows.select(*texts.columns, "words")
-        .mapInArrow(group, schema)
-        .repartitionByRange("term", ID)
-        .sortWithinPartitions("term", ID)
-    )
+    grouped = materialise(rows.select(*texts.columns, "words").mapInArrow(group, schema), "grouped")
+    postings = grouped.repartitionByRange("term", ID).sortWithinPartitions("term", ID)
     return TextIndex(postings, texts)
 
 

@@ -427,6 +427,11 @@ def test_the_index_is_built_in_one_shuffle_and_read_by_word(corpus, index):
     }
 
 
+def test_the_texts_are_not_split_again_for_the_ranges_of_an_index(corpus):
+    plan = search.index_postings(corpus).postings._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "rangepartitioning(term" in plan
+
+
 def test_postings_are_grouped_in_bounded_pieces(corpus, index, monkeypatch):
     from itertools import chain
 
