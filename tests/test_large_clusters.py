@@ -34,7 +34,7 @@ def tables(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["distil_clusters", "dream_facts", "dream_incremental", "dream_model_facts"])
+@pytest.mark.parametrize("name", ["distil_clusters", "dream_facts", "dream_incremental", "dream_model_facts", "guarded_upsert"])
 def test_facts_of_large_clusters_equal_the_sql(spark, tables, name):
     db = duckdb.connect()
     for table in ("events", "customer"):
