@@ -308,6 +308,19 @@ class Model:
         return np.where(self.frequent[at] == tokens, self.counts[at], 0)
 
 
+def _packed_texts(rows: pa.RecordBatch) -> bytes:
+    """The texts of a block with their row numbers, compressed as one."""
+    sink = pa.BufferOutputStream()
+    kept = rows.select(["row", "text"])
+    with pa.ipc.new_stream(sink, kept.schema) as stream:
+        stream.write_batch(kept)
+    return zstandard.compress(sink.getvalue(), 3)
+
+
+def _unpacked_texts(packed: bytes) -> pa.Table:
+    return pa.ipc.open_stream(zstandard.decompress(packed)).read_all()
+
+
 def _score(model) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -322,14 +335,11 @@ def _score(model) -> Callable:
                 rare = pa.ListArray.from_arrays(pa.array(marks), pa.array(tokens[~common].view(np.int64)))
                 own = batch.slice(low, len(ends))
                 if model.value.filter is None:  # the scores follow, by blocks of these rows
-                    last = [
-                        pa.nulls(len(ends), pa.float64()),
-                        pa.array(np.full(len(ends), own.column("row")[0].as_py())),
-                        own.column("text").cast(pa.string()),
-                    ]
+                    scores = pa.nulls(len(ends), pa.float64())
+                    texts = pa.array([_packed_texts(own)] + [None] * (len(ends) - 1), pa.binary())
                 else:
-                    scores = np.add.reduceat(model.value.log_probabilities(tokens, ends), begins)
-                    last = [pa.array(scores), pa.nulls(len(ends), pa.int64()), pa.nulls(len(ends), pa.string())]
+                    scores = pa.array(np.add.reduceat(model.value.log_probabilities(tokens, ends), begins))
+                    texts = pa.nulls(len(ends), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
                         own.column("doc_id"),
@@ -338,9 +348,10 @@ def _score(model) -> Callable:
                         pa.array(known),
                         pa.array(np.add.reduceat(logs, begins)),
                         rare,
-                        *last,
+                        scores,
+                        texts,
                     ],
-                    names=["doc_id", "row", "n_tokens", "known", "logs", "rare", "score", "block", "text"],
+                    names=["doc_id", "row", "n_tokens", "known", "logs", "rare", "score", "texts"],
                 )
 
     return run
@@ -350,22 +361,24 @@ ASKED = "block long, kind int, segment int, keys binary"
 ANSWERED = "block long, kind int, segment int, levels binary"
 
 
-def _block(texts: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, dict]:
-    """One block in row order, its tokens and ends, and by kind its distinct keys and every token's place there."""
-    texts = texts.sort_by("row")
-    ((_, tokens, ends),) = _tokens(texts.column("text"))
+def _block(packed: bytes) -> tuple[pa.Table, np.ndarray, dict]:
+    """One block, its ends, and by kind its distinct keys and every token's place there."""
+    texts = _unpacked_texts(packed)
+    ((_, tokens, ends),) = _tokens(texts.column("text").combine_chunks())
     single = np.append(words.mix(tokens), words.mix(np.array([_BEGIN])))
-    return texts, tokens, ends, {
+    return texts, ends, {
         kind: np.unique(keys, return_inverse=True) for kind, keys in ((1, single), (2, _pairs(tokens, ends)[0]))
     }
 
 
 def _ask(shift: int) -> Callable:
-    def run(texts: pa.Table) -> pa.Table:
-        texts, _, _, keys = _block(texts)
-        asked = pa.Table.from_batches([_packed(k, keys[k][0], np.zeros(len(keys[k][0])), shift) for k in keys]).drop_columns("n")
-        block = pa.array(np.full(len(asked), texts.column("block")[0].as_py()))
-        return asked.add_column(0, "block", block)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, packed in zip(batch.column("block").to_pylist(), batch.column("texts"), strict=True):
+                for kind, (found, _) in _block(packed.as_py())[2].items():
+                    asked = _packed(kind, found, np.zeros(len(found)), shift)
+                    blocks = pa.array(np.full(len(asked), block))
+                    yield pa.RecordBatch.from_arrays([blocks, *asked.columns[:3]], names=["block", *asked.schema.names[:3]])
 
     return run
 
@@ -389,8 +402,8 @@ def _answer(slice_bits: int) -> Callable:
 
 
 def _answered_scores(model) -> Callable:
-    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        texts, _, ends, keys = _block(texts)
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        texts, ends, keys = _block(blocks.column("texts")[0].as_py())
         answers = answers.sort_by([("kind", "ascending"), ("segment", "ascending")])
         kinds = answers.column("kind").to_numpy()
         counts = {}
@@ -405,13 +418,15 @@ def _answered_scores(model) -> Callable:
     return run
 
 
-def _scores_by_segment(texts: DataFrame, model, shards: Shards) -> DataFrame:
-    """`(row, score)` of `texts (block, row, text)`: keys go to the filter's slices, levels come back."""
-    blocks = texts.groupBy("block")
-    asked = blocks.applyInArrow(_ask(shards.shift), ASKED)
+def _scores_by_segment(blocks: DataFrame, model, shards: Shards) -> DataFrame:
+    """`(row, score)` of `blocks (block, texts)`: keys go to the filter's slices, levels come back.
+
+    A block's texts are shuffled once, compressed, to meet its answers.
+    """
+    asked = blocks.mapInArrow(_ask(shards.shift), ASKED)
     answer = _answer(shards.slice_bits)
     answered = asked.groupBy("segment").cogroup(shards.slices.groupBy("segment")).applyInArrow(answer, ANSWERED)
-    return blocks.cogroup(answered.groupBy("block")).applyInArrow(_answered_scores(model), "row long, score double")
+    return blocks.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(_answered_scores(model), "row long, score double")
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -486,18 +501,19 @@ def score(docs: DataFrame) -> DataFrame:
     model = spark.sparkContext.broadcast(fitted)
     schema = (
         f"doc_id {kind}, row long, n_tokens long, known long, logs double, rare array<long>,"
-        " score double, block long, text string"
+        " score double, texts binary"
     )
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     scored = materialise(numbered.mapInArrow(_score(model), schema), "scores")
-    texts, scored = scored.select("block", "row", "text"), scored.drop("block", "text")
+    blocks = scored.where(F.col("texts").isNotNull()).select(F.col("row").alias("block"), "texts")
+    scored = scored.drop("texts")
 
     rare = scored.select("row", F.explode("rare").alias("word")).join(counts, "word", "left")
     rare = rare.groupBy("row").agg(
         F.sum(F.log10(F.coalesce("n", F.lit(0)) + SMOOTHING)).alias("rare_logs"), F.count("n").alias("rare_known")
     )
     if shards is not None:  # joined after the rare words are taken, so that only one branch asks the segments
-        scored = scored.drop("score").join(_scores_by_segment(texts, model, shards), "row", "left")
+        scored = scored.drop("score").join(_scores_by_segment(blocks, model, shards), "row", "left")
     logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
     return scored.drop("rare").join(rare, "row", "left").select(
         "doc_id",

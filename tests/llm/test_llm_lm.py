@@ -145,3 +145,15 @@ def test_a_filter_past_the_broadcast_bound_keeps_every_level(spark, monkeypatch)
     monkeypatch.setattr(lm, "MOST_BITS", 1 << 13)
     assert sorted(map(repr, lm.score(docs).collect())) == whole
     check(lm.score(docs).collect(), rows)
+
+
+def test_texts_are_not_grouped_to_ask_the_segments(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"w{i % 7} w{i % 5} w", "", "", "") for i in range(60)], SCHEMA)
+    monkeypatch.setattr(lm, "SEGMENT_TOKENS", 50)
+    monkeypatch.setattr(lm, "MOST_BITS", 1 << 10)
+    plan = lm.score(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "FlatMapGroupsInArrow" not in plan
+    rows = pa.RecordBatch.from_pydict({"row": [5, 6, 7, 8], "text": ["x", "w " * 500, None, ""], "n": [1, 2, 3, 4]})
+    packed = lm._packed_texts(rows.slice(1))
+    assert lm._unpacked_texts(packed).to_pydict() == {"row": [6, 7, 8], "text": ["w " * 500, None, ""]}
+    assert len(packed) < 500
