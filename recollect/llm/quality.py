@@ -19,6 +19,8 @@ from recollect.llm import words
 
 #: Labelled rows that the regression learns from, at most; by a hash of the id.
 FIT_ROWS = 8192
+#: Features that a round of the fit holds as 64-bit numbers at a time; does not change the fit.
+FIT_FEATURES = 1 << 18
 HASH_BITS = 18
 SCALE = 8.0
 _SALTS = words.constants(31, 2)
@@ -69,18 +71,43 @@ class Ordinal:
         return self.grades[0] + self.tails(strengths) @ np.diff(self.grades)
 
 
+def _parts(ends: np.ndarray) -> Iterator[tuple[slice, slice]]:
+    """Whole rows with about FIT_FEATURES features: the rows, and their features (`ends` starts with 0)."""
+    low = 0
+    while low < len(ends) - 1:
+        high = max(low + 1, int(np.searchsorted(ends, ends[low] + FIT_FEATURES, side="right")) - 1)
+        yield slice(low, high), slice(int(ends[low]), int(ends[high]))
+        low = high
+
+
 def fit_ordinal(
     rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, rounds: int = 150, penalty: float = 1e-4
 ) -> Ordinal:
-    """Cumulative-link regression by full-batch Adam; the gaps between thresholds stay positive."""
+    """Cumulative-link regression of rows of feature numbers and values, see `fit_features`."""
+    empty = [np.zeros(0, np.int32)]
+    ends = np.cumsum([0, *(len(r[0]) for r in rows)])
+    numbers, values = (np.concatenate([r[k] for r in rows] or empty) for k in (0, 1))
+    return fit_features(numbers, values, ends, grades, rounds, penalty)
+
+
+def fit_features(
+    numbers: np.ndarray, values: np.ndarray, ends: np.ndarray, grades: np.ndarray, rounds: int = 150, penalty: float = 1e-4
+) -> Ordinal:
+    """Cumulative-link regression by full-batch Adam; the gaps between thresholds stay positive.
+
+    Row i has the features `numbers[ends[i]:ends[i + 1]]` and their values. Only these arrays and one
+    more of 32-bit numbers grow with the features; a round goes over them in parts, adding in the order of the rows.
+    """
     known = sorted(set(grades.tolist()))
     if len(known) < 2:
         return Ordinal(np.zeros(1 << HASH_BITS), np.zeros(0), known or [0.0])
+    n_rows = len(ends) - 1
+    parts = list(_parts(ends))
     place = np.searchsorted(known, grades)
-    numbers = np.concatenate([r[0] for r in rows])
-    values = np.concatenate([r[1] for r in rows])
-    owner = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    used, numbers = np.unique(numbers, return_inverse=True)
+    held = np.zeros(1 << HASH_BITS, dtype=bool)
+    held[numbers] = True
+    used = np.flatnonzero(held)
+    numbers = (np.cumsum(held, dtype=np.int32) - 1)[numbers]
     cuts = len(known) - 1
     shares = np.array([(place <= k).mean() for k in range(cuts)])
     start = np.log(shares / (1 - shares))
@@ -89,18 +116,26 @@ def fit_ordinal(
     for step in range(1, rounds + 1):
         weights, gaps = params[: len(used)], np.exp(params[len(used) + 1 :])
         thresholds = params[len(used)] + np.concatenate([[0.0], np.cumsum(gaps)])
-        strengths = np.bincount(owner, values * weights[numbers], minlength=len(rows))
+        strengths = np.zeros(n_rows)
+        for some, span in parts:
+            owner = np.repeat(np.arange(some.stop - some.start), np.diff(ends[some.start : some.stop + 1]))
+            drawn = values[span] * weights[numbers[span]]
+            strengths[some] = np.bincount(owner, drawn, minlength=some.stop - some.start)
         below = 1 / (1 + np.exp(-np.clip(thresholds - strengths[:, None], -30, 30)))
-        edges = np.c_[np.zeros(len(rows)), below, np.ones(len(rows))]
-        chance = np.maximum(edges[np.arange(len(rows)), place + 1] - edges[np.arange(len(rows)), place], 1e-12)
-        slopes = np.c_[np.zeros(len(rows)), below * (1 - below), np.zeros(len(rows))]
-        upper, lower = slopes[np.arange(len(rows)), place + 1], slopes[np.arange(len(rows)), place]
-        pull = (upper - lower) / chance / len(rows)
+        edges = np.c_[np.zeros(n_rows), below, np.ones(n_rows)]
+        chance = np.maximum(edges[np.arange(n_rows), place + 1] - edges[np.arange(n_rows), place], 1e-12)
+        slopes = np.c_[np.zeros(n_rows), below * (1 - below), np.zeros(n_rows)]
+        upper, lower = slopes[np.arange(n_rows), place + 1], slopes[np.arange(n_rows), place]
+        pull = (upper - lower) / chance / n_rows
         by_cut = np.zeros(cuts)
-        np.add.at(by_cut, place[place < cuts], -(upper / chance)[place < cuts] / len(rows))
-        np.add.at(by_cut, place[place > 0] - 1, (lower / chance)[place > 0] / len(rows))
+        np.add.at(by_cut, place[place < cuts], -(upper / chance)[place < cuts] / n_rows)
+        np.add.at(by_cut, place[place > 0] - 1, (lower / chance)[place > 0] / n_rows)
+        slope = np.zeros(len(used))
+        for some, span in parts:
+            owner = np.repeat(np.arange(some.start, some.stop), np.diff(ends[some.start : some.stop + 1]))
+            np.add.at(slope, numbers[span].astype(np.intp), values[span] * pull[owner])
         slope = np.concatenate([
-            np.bincount(numbers, values * pull[owner], minlength=len(used)) + penalty * weights,
+            slope + penalty * weights,
             [by_cut.sum()],
             gaps * np.array([by_cut[k + 1 :].sum() for k in range(cuts - 1)]),
         ])
@@ -139,12 +174,16 @@ def fit(docs: DataFrame, ratings: DataFrame) -> Ordinal:
             )
 
     schema = "id string, grade double, numbers array<int>, share array<float>"
-    found = texts.select("doc_id", "text", "grade").mapInArrow(run, schema).toArrow().sort_by("id")
-    rows = [
-        (np.asarray(a.values), np.asarray(b.values).astype(np.float64))
-        for a, b in zip(found["numbers"], found["share"], strict=True)
-    ]
-    return fit_ordinal(rows, found["grade"].to_numpy())
+    found = texts.select("doc_id", "text", "grade").mapInArrow(run, schema).toArrow()
+    if not found.num_rows:
+        return fit_ordinal([], np.zeros(0))
+    found = found.sort_by("id").combine_chunks()
+    grades = found["grade"].to_numpy()
+    numbers, shares = (found[name].chunk(0) for name in ("numbers", "share"))
+    ends = numbers.offsets.to_numpy().astype(np.int64)
+    first = int(ends[0])
+    numbers, shares = (a.values.to_numpy()[first : int(ends[-1])] for a in (numbers, shares))
+    return fit_features(numbers, shares, ends - first, grades)
 
 
 def score(docs: DataFrame, ratings: DataFrame) -> DataFrame:

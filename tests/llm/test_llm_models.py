@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -58,6 +59,32 @@ def test_slope_of_the_loss():
     assert np.allclose(model.thresholds, [-1, 0.5], atol=0.4)
 
 
+def test_the_fit_holds_few_bytes_a_feature():
+    rng = np.random.default_rng(3)
+    rows = [
+        (np.unique(rng.integers(0, 1 << quality.HASH_BITS, 1000)).astype(np.int32), rng.random(1000).astype(np.float32))
+        for _ in range(2000)
+    ]
+    rows = [(numbers, values[: len(numbers)]) for numbers, values in rows]
+    grades = rng.integers(0, 3, len(rows)).astype(float)
+    features = sum(len(numbers) for numbers, _ in rows)
+    tracemalloc.start()
+    quality.fit_ordinal(rows, grades, rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * features
+
+
+def test_a_fit_in_parts_is_the_fit(monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(np.arange(n, dtype=np.int32) * 7, rng.random(n).astype(np.float32)) for n in (0, 5, 900, 0, 31, 400, 1, 0)]
+    grades = np.array([0.0, 1, 2, 0, 1, 2, 2, 0])
+    whole = quality.fit_ordinal(rows, grades, rounds=9)
+    monkeypatch.setattr(quality, "FIT_FEATURES", 40)
+    parts = quality.fit_ordinal(rows, grades, rounds=9)
+    assert np.array_equal(whole.weights, parts.weights) and np.array_equal(whole.thresholds, parts.thresholds)
+
+
 def test_one_grade_and_empty_tables(spark):
     docs = frame(spark, EDGES)
     one = spark.createDataFrame([(i, 2) for i in range(1001, 1006)], "doc_id long, grade int")
