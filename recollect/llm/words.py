@@ -72,15 +72,15 @@ class Words:
         self.ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
         self.first = np.searchsorted(self.starts, offsets)
 
-    def hashes(self) -> np.ndarray:
-        powers, inverses = _power_tables(len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[self.data] * powers[: len(self.data)], out=total[1:])
-        sums = (total[self.ends] - total[self.starts]) * inverses[self.starts]
-        return mix(sums + (self.ends - self.starts).astype(np.uint64) * np.uint64(_BASE))
+    def hashes(self, limit: int = CHUNK_BYTES) -> np.ndarray:
+        """Hashes of the words with A-Z lower-cased, computed over at most `limit` bytes (or one word) at a time."""
+        return self._hashes(_BYTE, limit)
 
     def hashes_as_is(self, limit: int = CHUNK_BYTES) -> np.ndarray:
-        """Hashes that tell capitals apart, computed over at most `limit` bytes (or one word) at a time."""
+        """The same, but hashes that tell capitals apart."""
+        return self._hashes(_AS_IS, limit)
+
+    def _hashes(self, numbers: np.ndarray, limit: int) -> np.ndarray:
         out = np.empty(len(self.starts), dtype=np.uint64)
         low = 0
         while low < len(out):
@@ -89,7 +89,7 @@ class Words:
             data = self.data[begin : self.ends[high - 1]]
             powers, inverses = _power_tables(len(data) + 1)
             total = np.zeros(len(data) + 1, dtype=np.uint64)
-            np.cumsum(_AS_IS[data] * powers[: len(data)], out=total[1:])
+            np.cumsum(numbers[data] * powers[: len(data)], out=total[1:])
             starts, ends = self.starts[low:high] - begin, self.ends[low:high] - begin
             sums = (total[ends] - total[starts]) * inverses[starts]
             out[low:high] = mix(sums + (ends - starts).astype(np.uint64) * np.uint64(_BASE))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -126,6 +127,18 @@ def test_levels_are_powers_of_the_base():
     assert lm.mean_count(np.array([0])) == 0 and lm.BOUNDS[-1] > 2**32
 
 
+def test_a_block_of_texts_is_hashed_in_little_memory():
+    texts = pa.array(["some Words of a text " * 50] * (lm.CHUNK_BYTES // 1050))
+    list(lm._tokens(texts[:1000]))
+    tracemalloc.start()
+    ((_, tokens, _),) = lm._tokens(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(tokens) > 790_000 and peak < 20 * lm.CHUNK_BYTES
+    ((_, _, chunk),) = words.text_chunks(texts[:3])
+    assert np.array_equal(chunk.hashes(), chunk.hashes(limit=9))
+
+
 @pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001"])
 def test_whole_table(spark, sf_dir):
     docs = read_table(spark, "documents", sf_dir)
