@@ -6,10 +6,14 @@ is missing; so an error can only raise a count, by one level with the filter's e
 with its square. It holds all words and all pairs, those seen once at level 1, at every size of the
 corpus: its bits grow with the entries, in one slice per segment of the keys, and the segments with the tokens.
 
-A filter of at most `MOST_BITS` bits (64 MB) is broadcast. A larger one stays where its slices lie: every
-block of texts sends its distinct keys to the segments, which answer with levels. Bits and scores are the
-same either way. Beside its segment 32 bits of a key are kept: it meets another key of its segment in at most
-one of 2,000 cases (a segment has some 2 million tokens); six probes at 14 bits an entry err in one of 500.
+Texts are cut into blocks. Every block sends its distinct keys to the segments once, with their counts in the training
+part: that is what the filter is built from, and what it is asked. A segment's task keeps the distinct keys with their
+counts and every block's places among them; once the size of all is known it builds its slice of the bits, probes
+it for each distinct key, and every block gets its levels back. The form is the same at every size, so disk and time grow
+with the texts. Where a caller knows the corpus to be small, `broadcast` sends a filter of at most `MOST_BITS` bits
+(64 MB) to the tasks instead; bits and scores are the same. Beside its segment 32 bits of a key are kept: it meets
+another key of its segment in at most one of 2,000 cases (a segment has some 2 million tokens); six probes at 14 bits an
+entry err in one of 500.
 
 A pair's probability mixes its relative frequency with the word's own, by the share of pairs that
 were seen only once (the Good-Turing estimate of unseen mass).
@@ -37,7 +41,6 @@ BITS_PER_KEY = 14
 PROBES = 6
 FREQUENT = 1 << 20
 SEGMENT_TOKENS = 1 << 21
-FLUSH_TOKENS = 1 << 20
 CHUNK_BYTES = 1 << 22
 SMOOTHING = 0.1
 BASE, LEVELS = 1.5, 56
@@ -74,13 +77,6 @@ def _pairs(tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return words.mix(history * _PAIR[0] + words.mix(tokens) * _PAIR[1]), history
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
-    return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
-
-
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, tokens, ends in _tokens(batch.column("text")):
@@ -135,35 +131,6 @@ def _packed(kind: int, keys: np.ndarray, counts: np.ndarray, shift: int) -> pa.R
     )
 
 
-PACKED = "kind int, segment int, keys binary, n binary"
-
-
-def _pack_pairs(shift: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for batch in batches:
-            for _, tokens, ends in _tokens(batch.column("text")):
-                held.append(_pairs(tokens, ends)[0])
-                if sum(map(len, held)) >= FLUSH_TOKENS:
-                    keys, counts = np.unique(np.concatenate(held), return_counts=True)
-                    held = []
-                    yield _packed(2, keys, counts, shift)
-        if held:
-            yield _packed(2, *np.unique(np.concatenate(held), return_counts=True), shift)
-
-    return run
-
-
-def _pack_words(shift: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                keys = words.mix(batch.column("word").to_numpy().view(np.uint64))
-                yield _packed(1, *_summed(keys, batch.column("n").to_numpy()), shift)
-
-    return run
-
-
 def level(counts: np.ndarray) -> np.ndarray:
     """1 + floor(log c / log BASE) of counts of at least 1; LEVELS at most."""
     return np.minimum(np.searchsorted(BOUNDS, counts, side="right"), LEVELS)
@@ -175,31 +142,36 @@ def mean_count(levels: np.ndarray) -> np.ndarray:
 
 
 COUNTED = (
-    "segment int, keys1 binary, n1 binary, keys2 binary, n2 binary, once long, total long,"
-    " levels1 array<long>, levels2 array<long>"
+    "segment int, once long, total long, levels1 array<long>, levels2 array<long>, keys1 binary, n1 binary,"
+    " blocks1 array<long>, sizes1 array<long>, places1 binary, keys2 binary, n2 binary, blocks2 array<long>,"
+    " sizes2 array<long>, places2 binary"
 )
+ARROW = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
 
 
 def _count_segment(table: pa.Table) -> pa.Table:
-    """The distinct n-grams of one segment with their counts."""
+    """The distinct n-grams of one segment with their counts, and where among them each block's keys are.
+
+    N-grams without a block are counted only.
+    """
     kinds = table.column("kind").to_numpy()
-    out: list = [table.column("segment")[0].as_py()]
-    totals: list[int] = []
-    levels: list[list[int]] = []
+    out: dict = {"segment": table.column("segment")[0].as_py()}
     for kind in (1, 2):
         own = table.filter(pa.array(kinds == kind))
         keys = [_decoded_keys(v) for v in own.column("keys").to_pylist()]
-        counts = [_decoded(v).astype(np.int64) for v in own.column("n").to_pylist()]
-        empty = [np.zeros(0, np.int64)]
-        keys, counts = _summed(np.concatenate(keys or empty), np.concatenate(counts or empty))
+        counts = [_decoded(v) for v in own.column("n").to_pylist()]
+        sizes = [len(part) for part in keys]
+        keys, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_inverse=True)
+        counts = np.bincount(place, np.concatenate([np.zeros(0, np.uint32), *counts]), len(keys)).astype(np.int64)
         if kind == 2:
-            totals = [int((counts == 1).sum()), int(counts.sum())]
-        levels.append(np.bincount(level(counts), minlength=LEVELS + 1).tolist())
-        counts = np.minimum(counts, 2**32 - 1)
-        out += [_coded_keys(keys), _coded(counts)]
-    names = [c.split(" ")[0] for c in COUNTED.split(", ")]
-    types = [pa.int32(), *[pa.binary()] * 4, pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 2]
-    return pa.table([pa.array([v], t) for v, t in zip(out + totals + levels, types, strict=True)], names=names)
+            out |= {"once": int((counts == 1).sum()), "total": int(counts.sum())}
+        out[f"levels{kind}"] = np.bincount(level(counts), minlength=LEVELS + 1).tolist()
+        out |= {f"keys{kind}": _coded_keys(keys), f"n{kind}": _coded(np.minimum(counts, 2**32 - 1))}
+        asked = "block" in own.schema.names
+        out[f"blocks{kind}"] = own.column("block").to_pylist() if asked else []
+        out |= {f"sizes{kind}": sizes * asked, f"places{kind}": _coded_keys(place.astype(np.uint64)[: len(place) * asked])}
+    fields = [c.split(" ") for c in COUNTED.split(", ")]
+    return pa.table({name: pa.array([out[name]], ARROW[kind]) for name, kind in fields})
 
 
 def _bit_places(rest: np.ndarray, kind: int, at: int, slice_bits: int) -> Iterator[np.ndarray]:
@@ -210,23 +182,28 @@ def _bit_places(rest: np.ndarray, kind: int, at: int, slice_bits: int) -> Iterat
         yield (first + np.uint64(i) * step) % np.uint64(slice_bits)
 
 
+def _slice(row: dict, slice_bits: int) -> np.ndarray:
+    """The bits of one segment, packed, from its row of `COUNTED`."""
+    bits = np.zeros(slice_bits, dtype=bool)
+    for kind in (1, 2):
+        rest, top = _decoded_keys(row[f"keys{kind}"]), level(_decoded(row[f"n{kind}"]))
+        for at in range(1, int(top.max(initial=0)) + 1):
+            for place in _bit_places(rest[top >= at], kind, at, slice_bits):
+                bits[place.astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little")
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield from batch.slice(i, 1).to_pylist()
+
+
 def _build_slice(slice_bits: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                bits = np.zeros(slice_bits, dtype=bool)
-                for kind in (1, 2):
-                    rest, top = _decoded_keys(row[f"keys{kind}"]), level(_decoded(row[f"n{kind}"]))
-                    for at in range(1, int(top.max(initial=0)) + 1):
-                        for place in _bit_places(rest[top >= at], kind, at, slice_bits):
-                            bits[place.astype(np.int64)] = True
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row["segment"]], pa.int32()),
-                        pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
-                    ],
-                    names=["segment", "bits"],
-                )
+        for row in _rows(batches):
+            bits = pa.array([_slice(row, slice_bits).tobytes()], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([row["segment"]], pa.int32()), bits], names=["segment", "bits"])
 
     return run
 
@@ -263,34 +240,31 @@ class Filter:
         return _held_levels(self.bits, base, rest, kind, self.slice_bits)
 
 
-class Shards(NamedTuple):
-    """A filter that is not broadcast: `slices (segment, bits)`, and how keys fall into it."""
-
-    slices: DataFrame
-    shift: int
-    slice_bits: int
+class Frequent(NamedTuple):
+    """The sorted hashes of the frequent words with their exact counts."""
 
+    words: np.ndarray
+    counts: np.ndarray
 
-class Model:
-    """What the tasks need: the filter (none if it stays in shards), the totals, and the exact counts
-    of the frequent words."""
+    def exact(self, tokens: np.ndarray) -> np.ndarray:
+        """Counts of the frequent words, 0 for all others."""
+        if not len(self.words):
+            return np.zeros(len(tokens), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
+        return np.where(self.words[at] == tokens, self.counts[at], 0)
 
-    def __init__(self, bits: Filter | None, tokens: int, distinct: int, seen: float, frequent, counts):
-        self.filter, self.tokens, self.seen = bits, tokens, seen
-        self.mass = tokens + SMOOTHING * (distinct + 1)
-        self.frequent, self.counts = frequent, counts
 
-    def word_counts(self, found: np.ndarray) -> np.ndarray:
-        return mean_count(self.filter.levels(words.mix(found), 1))
+class Model(NamedTuple):
+    """What turns counts into probabilities, and the filter where it is broadcast."""
 
-    def log_probabilities(self, tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """log10 of every token's probability after the one before it."""
-        found, place = np.unique(tokens, return_inverse=True)
-        pair = mean_count(self.filter.levels(_pairs(tokens, ends)[0], 2))
-        return self.mixed(self.word_counts(found)[place], self.word_counts(np.array([_BEGIN]))[0], pair, ends)
+    tokens: int
+    mass: float
+    seen: float
+    filter: Filter | None
 
     def mixed(self, own: np.ndarray, begin: float, pair: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The same, of the counts of every token, of the begin mark and of every pair."""
+        """log10 of every token's probability after the one before it, of the counts of every token, of
+        the begin mark and of every pair."""
         before = np.empty(len(own))
         before[1:] = own[:-1]
         before[np.concatenate([[0], ends[:-1] + 1])] = begin
@@ -300,18 +274,11 @@ class Model:
         mixed = self.seen * together + (1 - self.seen) * alone
         return np.log10(np.minimum(1.0, np.where(before > 0, mixed, alone)))
 
-    def exact(self, tokens: np.ndarray) -> np.ndarray:
-        """Counts of the frequent words, 0 for all others."""
-        if not len(self.frequent):
-            return np.zeros(len(tokens), dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.frequent, tokens), len(self.frequent) - 1)
-        return np.where(self.frequent[at] == tokens, self.counts[at], 0)
-
 
 def _packed_texts(rows: pa.RecordBatch) -> bytes:
-    """The texts of a block with their row numbers, compressed as one."""
+    """The texts of a block with their row numbers and whether they are learnt from, compressed as one."""
     sink = pa.BufferOutputStream()
-    kept = rows.select(["row", "text"])
+    kept = rows.select([c for c in ("row", "text", "learnt") if c in rows.schema.names])
     with pa.ipc.new_stream(sink, kept.schema) as stream:
         stream.write_batch(kept)
     return zstandard.compress(sink.getvalue(), 3)
@@ -321,12 +288,14 @@ def _unpacked_texts(packed: bytes) -> pa.Table:
     return pa.ipc.open_stream(zstandard.decompress(packed)).read_all()
 
 
-def _score(model) -> Callable:
+def _score(frequent) -> Callable:
+    """Rows with what needs the frequent words only; the first row of a block carries its texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, tokens, ends in _tokens(batch.column("text")):
                 begins = np.concatenate([[0], ends[:-1] + 1])
-                exact = model.value.exact(tokens)
+                exact = frequent.value.exact(tokens)
                 common = exact > 0
                 logs = np.where(common, np.log10(exact + SMOOTHING), 0.0)
                 known = np.add.reduceat(common.astype(np.int64), begins)
@@ -334,12 +303,6 @@ def _score(model) -> Callable:
                 marks = np.concatenate([[0], np.cumsum(sizes - known)]).astype(np.int32)
                 rare = pa.ListArray.from_arrays(pa.array(marks), pa.array(tokens[~common].view(np.int64)))
                 own = batch.slice(low, len(ends))
-                if model.value.filter is None:  # the scores follow, by blocks of these rows
-                    scores = pa.nulls(len(ends), pa.float64())
-                    texts = pa.array([_packed_texts(own)] + [None] * (len(ends) - 1), pa.binary())
-                else:
-                    scores = pa.array(np.add.reduceat(model.value.log_probabilities(tokens, ends), begins))
-                    texts = pa.nulls(len(ends), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
                         own.column("doc_id"),
@@ -348,21 +311,21 @@ def _score(model) -> Callable:
                         pa.array(known),
                         pa.array(np.add.reduceat(logs, begins)),
                         rare,
-                        scores,
-                        texts,
+                        pa.array([_packed_texts(own)] + [None] * (len(ends) - 1), pa.binary()),
                     ],
-                    names=["doc_id", "row", "n_tokens", "known", "logs", "rare", "score", "texts"],
+                    names=["doc_id", "row", "n_tokens", "known", "logs", "rare", "texts"],
                 )
 
     return run
 
 
-ASKED = "block long, kind int, segment int, keys binary"
+ASKED = "block long, kind int, segment int, keys binary, n binary"
 ANSWERED = "block long, kind int, segment int, levels binary"
+SCORED = "row long, score double"
 
 
 def _block(packed: bytes) -> tuple[pa.Table, np.ndarray, dict]:
-    """One block, its ends, and by kind its distinct keys and every token's place there."""
+    """One block, its ends, and by kind its distinct keys and every token's place there (the begin mark's last)."""
     texts = _unpacked_texts(packed)
     ((_, tokens, ends),) = _tokens(texts.column("text").combine_chunks())
     single = np.append(words.mix(tokens), words.mix(np.array([_BEGIN])))
@@ -372,61 +335,78 @@ def _block(packed: bytes) -> tuple[pa.Table, np.ndarray, dict]:
 
 
 def _ask(shift: int) -> Callable:
+    """The distinct keys of every block, with their counts in its texts that are learnt from."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, packed in zip(batch.column("block").to_pylist(), batch.column("texts"), strict=True):
-                for kind, (found, _) in _block(packed.as_py())[2].items():
-                    asked = _packed(kind, found, np.zeros(len(found)), shift)
-                    blocks = pa.array(np.full(len(asked), block))
-                    yield pa.RecordBatch.from_arrays([blocks, *asked.columns[:3]], names=["block", *asked.schema.names[:3]])
+        for row in _rows(batches):
+            texts, ends, keys = _block(row["texts"])
+            learnt = texts.column("learnt").to_numpy().astype(np.int64)
+            weights = np.append(np.repeat(learnt, np.diff(ends, prepend=-1)), learnt.sum())
+            for kind, (found, place) in keys.items():
+                counts = np.bincount(place, weights[: len(place)], len(found)).astype(np.int64)
+                asked = _packed(kind, found, counts, shift)
+                blocks = pa.array(np.full(len(asked), row["block"]))
+                yield pa.RecordBatch.from_arrays([blocks, *asked.columns], names=["block", *asked.schema.names])
 
     return run
 
 
 def _answer(slice_bits: int) -> Callable:
-    def run(asked: pa.Table, slices: pa.Table) -> pa.Table:
-        if slices.num_rows:
-            bits = np.frombuffer(slices.column("bits")[0].as_py(), np.uint8)
-        else:
-            bits = np.zeros(slice_bits // 8, np.uint8)
-        levels = []
-        for row in asked.to_batches():
-            for kind, coded in zip(*(row.column(c).to_pylist() for c in ("kind", "keys")), strict=True):
-                rest = _decoded_keys(coded)
-                found = _held_levels(bits, np.zeros_like(rest), rest, kind, slice_bits)
-                levels.append(found.astype(np.uint8).tobytes())
-        answered = asked.select(["block", "kind", "segment"])
-        return answered.append_column("levels", pa.array(levels, pa.binary()))
+    """Builds the slice of every segment and probes it for its keys: each block's levels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            bits = _slice(row, slice_bits)
+            for kind in (1, 2):
+                rest = _decoded_keys(row[f"keys{kind}"])
+                levels = _held_levels(bits, np.zeros_like(rest), rest, kind, slice_bits).astype(np.uint8)
+                levels = levels[_decoded_keys(row[f"places{kind}"]).astype(np.uint32)]
+                cuts = np.concatenate([[0], np.cumsum(row[f"sizes{kind}"], dtype=np.int64)])
+                spans = list(zip(cuts, cuts[1:], strict=False))
+                blocks = pa.array(row[f"blocks{kind}"], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        blocks,
+                        pa.array(np.full(len(blocks), kind, np.int32)),
+                        pa.array(np.full(len(blocks), row["segment"], np.int32)),
+                        pa.array([zstandard.compress(levels[a:b].tobytes(), 1) for a, b in spans], pa.binary()),
+                    ],
+                    names=["block", "kind", "segment", "levels"],
+                )
 
     return run
 
 
+def _row_scores(model: Model, packed: bytes, levels: Callable) -> pa.Table:
+    """The scores of one block; `levels(kind, keys)` gives the levels of its distinct keys."""
+    texts, ends, keys = _block(packed)
+    counts = {kind: mean_count(levels(kind, found))[place] for kind, (found, place) in keys.items()}
+    logs = model.mixed(counts[1][:-1], counts[1][-1], counts[2], ends)
+    scores = np.add.reduceat(logs, np.concatenate([[0], ends[:-1] + 1]))
+    return pa.table({"row": texts.column("row"), "score": pa.array(scores)})
+
+
 def _answered_scores(model) -> Callable:
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-        texts, ends, keys = _block(blocks.column("texts")[0].as_py())
         answers = answers.sort_by([("kind", "ascending"), ("segment", "ascending")])
         kinds = answers.column("kind").to_numpy()
-        counts = {}
-        for kind, (_, place) in keys.items():
-            levels = b"".join(answers.filter(pa.array(kinds == kind)).column("levels").to_pylist())
-            counts[kind] = mean_count(np.frombuffer(levels, np.uint8).astype(np.int64))[place]
-        own, begin = counts[1][:-1], counts[1][-1]
-        logs = model.value.mixed(own, begin, counts[2], ends)
-        scores = np.add.reduceat(logs, np.concatenate([[0], ends[:-1] + 1]))
-        return pa.table({"row": texts.column("row"), "score": pa.array(scores)})
+
+        def levels(kind: int, _) -> np.ndarray:
+            parts = answers.filter(pa.array(kinds == kind)).column("levels").to_pylist()
+            return np.frombuffer(b"".join(map(zstandard.decompress, parts)), np.uint8).astype(np.int64)
+
+        return _row_scores(model.value, blocks.column("texts")[0].as_py(), levels)
 
     return run
 
 
-def _scores_by_segment(blocks: DataFrame, model, shards: Shards) -> DataFrame:
-    """`(row, score)` of `blocks (block, texts)`: keys go to the filter's slices, levels come back.
+def _filter_scores(model) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            held = model.value.filter
+            yield from _row_scores(model.value, row["texts"], lambda kind, keys: held.levels(keys, kind)).to_batches()
 
-    A block's texts are shuffled once, compressed, to meet its answers.
-    """
-    asked = blocks.mapInArrow(_ask(shards.shift), ASKED)
-    answer = _answer(shards.slice_bits)
-    answered = asked.groupBy("segment").cogroup(shards.slices.groupBy("segment")).applyInArrow(answer, ANSWERED)
-    return blocks.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(_answered_scores(model), "row long, score double")
+    return run
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -434,10 +414,10 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def fit(texts: DataFrame, counts: DataFrame) -> tuple[Model, Shards | None]:
-    """The model of `texts (text)`, and its filter where that is not in it for its size.
+def fit(blocks: DataFrame, counts: DataFrame, broadcast: bool = False) -> tuple[Model, DataFrame | None]:
+    """The model of `blocks (block, texts)`, and the levels of every block's keys where the filter is not broadcast.
 
-    `counts` is what `count_words` made of the texts, written.
+    `counts` is what `count_words` made of the texts that are learnt from, written.
     """
     real = F.col("word") != int(_BEGIN.astype(np.int64))
     tokens, distinct = counts.where(real).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -445,9 +425,8 @@ def fit(texts: DataFrame, counts: DataFrame) -> tuple[Model, Shards | None]:
     while segments * SEGMENT_TOKENS < tokens:
         segments *= 2
     shift = 64 - (segments.bit_length() - 1)
-    packed = texts.select("text").mapInArrow(_pack_pairs(shift), PACKED)
-    packed = packed.unionAll(counts.select("word", "n").mapInArrow(_pack_words(shift), PACKED))
-    counted = materialise(packed.groupBy("segment").applyInArrow(_count_segment, COUNTED), "ngrams")
+    asked = blocks.mapInArrow(_ask(shift), ASKED)
+    counted = materialise(asked.groupBy("segment").applyInArrow(_count_segment, COUNTED), "ngrams")
 
     sums = counted.agg(
         F.coalesce(F.sum("once"), F.lit(0)),
@@ -457,19 +436,20 @@ def fit(texts: DataFrame, counts: DataFrame) -> tuple[Model, Shards | None]:
     once, total, *entries = (v or 0 for v in sums)
     used = sum(n * (place % (LEVELS + 1)) for place, n in enumerate(entries))  # one for every level up to its own
     size = segments * max(1024, -(-used * BITS_PER_KEY // segments // 64) * 64)
+    mass, seen = tokens + SMOOTHING * (distinct + 1), 1 - once / total if total else 0.0
+    if not broadcast or size > MOST_BITS:
+        return Model(tokens, mass, seen, None), counted.mapInArrow(_answer(size // segments), ANSWERED)
+    bits = np.zeros(size // 8, dtype=np.uint8)
+    width = size // 8 // segments
     slices = counted.mapInArrow(_build_slice(size // segments), "segment int, bits binary")
-    slices = materialise(slices, "filter")
-    held, shards = None, None
-    if size <= MOST_BITS:
-        bits = np.zeros(size // 8, dtype=np.uint8)
-        width = size // 8 // segments
-        for part in slices.toLocalIterator():  # the driver holds one copy of the bits
-            bits[part["segment"] * width : (part["segment"] + 1) * width] = np.frombuffer(part["bits"], np.uint8)
-        held = Filter(bits, segments)
-    else:
-        shards = Shards(slices, shift, size // segments)
-
-    # the most frequent words, at most FREQUENT: all words above a count that the histogram gives
+    for part in materialise(slices, "filter").toLocalIterator():  # the driver holds one copy of the bits
+        bits[part["segment"] * width : (part["segment"] + 1) * width] = np.frombuffer(part["bits"], np.uint8)
+    return Model(tokens, mass, seen, Filter(bits, segments)), None
+
+
+def frequent_words(counts: DataFrame) -> Frequent:
+    """At most `FREQUENT` words of `counts (word, n)`: all above a count that the histogram gives."""
+    real = F.col("word") != int(_BEGIN.astype(np.int64))
     step = F.floor(16 * F.log2("n"))
     steps = counts.where(real).groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect()
     least, room = None, FREQUENT
@@ -481,39 +461,41 @@ def fit(texts: DataFrame, counts: DataFrame) -> tuple[Model, Shards | None]:
     top = counts.where(real & (step >= (least if least is not None else 10**6))).toArrow()
     keys = top["word"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    seen = 1 - once / total if total else 0.0
-    return Model(held, tokens, distinct, seen, keys[order], top["n"].to_numpy()[order]), shards
+    return Frequent(keys[order], top["n"].to_numpy()[order])
 
 
-def score(docs: DataFrame) -> DataFrame:
+def score(docs: DataFrame, broadcast: bool = False) -> DataFrame:
     """Scores of every row of `docs (doc_id, text, …)`, by a model of those that are not held out.
 
     `(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`. A text's tokens are its
     words (see `words`) and one end, so a null or empty text has one token. A null doc_id counts as the
     empty string, which is held out. Rows with one doc_id are scored, and learnt from, each. Scores
-    are log10 probabilities. Other columns are not read.
+    are log10 probabilities. Other columns are not read. With `broadcast` a filter of at most `MOST_BITS` bits
+    travels to the tasks, which saves shuffles; scores are the same.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
-    training = docs.where(~held_out(F.col("doc_id"))).select("text")
-    counts = materialise(count_words(training), "word-counts")
-    fitted, shards = fit(training, counts)
-    model = spark.sparkContext.broadcast(fitted)
-    schema = (
-        f"doc_id {kind}, row long, n_tokens long, known long, logs double, rare array<long>,"
-        " score double, texts binary"
-    )
-    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    scored = materialise(numbered.mapInArrow(_score(model), schema), "scores")
+    learnt = ~held_out(F.col("doc_id"))
+    counts = materialise(count_words(docs.where(learnt).select("text")), "word-counts")
+    frequent = spark.sparkContext.broadcast(frequent_words(counts))
+    schema = f"doc_id {kind}, row long, n_tokens long, known long, logs double, rare array<long>, texts binary"
+    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"), learnt.alias("learnt"))
+    scored = materialise(numbered.mapInArrow(_score(frequent), schema), "scores")
     blocks = scored.where(F.col("texts").isNotNull()).select(F.col("row").alias("block"), "texts")
     scored = scored.drop("texts")
 
+    fitted, answers = fit(blocks, counts, broadcast)
+    model = spark.sparkContext.broadcast(fitted)
+    if answers is None:
+        scores = blocks.mapInArrow(_filter_scores(model), SCORED)
+    else:  # the texts of a block are shuffled once, compressed, to meet its answers
+        scores = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_answered_scores(model), SCORED)
+
     rare = scored.select("row", F.explode("rare").alias("word")).join(counts, "word", "left")
     rare = rare.groupBy("row").agg(
         F.sum(F.log10(F.coalesce("n", F.lit(0)) + SMOOTHING)).alias("rare_logs"), F.count("n").alias("rare_known")
     )
-    if shards is not None:  # joined after the rare words are taken, so that only one branch asks the segments
-        scored = scored.drop("score").join(_scores_by_segment(blocks, model, shards), "row", "left")
+    scored = scored.join(scores, "row", "left")
     logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
     return scored.drop("rare").join(rare, "row", "left").select(
         "doc_id",

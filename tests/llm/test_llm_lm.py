@@ -11,6 +11,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 
 from recollect.llm import lm, words
 from recollect.sources.tables import read_table
@@ -170,3 +171,42 @@ def test_texts_are_not_grouped_to_ask_the_segments(spark, monkeypatch):
     packed = lm._packed_texts(rows.slice(1))
     assert lm._unpacked_texts(packed).to_pydict() == {"row": [6, 7, 8], "text": ["w " * 500, None, ""]}
     assert len(packed) < 500
+
+
+def test_one_form_at_every_size_and_a_broadcast_only_where_asked(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.8)) % 300}" for _ in range(40))) for i in range(150)]
+    rows += [(200, None), (201, ""), (None, "w1 w2"), (202, "w1 w2"), (202, "w1 w2")]
+    docs = spark.createDataFrame([(*r, "", "", "") for r in rows], SCHEMA)
+    monkeypatch.setattr(lm, "SEGMENT_TOKENS", 500)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    by_segment = lm.score(docs)
+    assert "FlatMapCoGroupsInArrow" in plan(by_segment)
+    sent = lm.score(docs, broadcast=True)
+    assert "FlatMapCoGroupsInArrow" not in plan(sent)
+    whole = sorted(map(repr, by_segment.collect()))
+    assert sorted(map(repr, sent.collect())) == whole
+    monkeypatch.setattr(lm, "MOST_BITS", 1 << 10)
+    assert "FlatMapCoGroupsInArrow" in plan(lm.score(docs, broadcast=True))
+
+
+def test_a_block_sends_its_keys_once_with_the_counts_that_are_learnt():
+    rows = pa.RecordBatch.from_pydict(
+        {"row": [5, 6, 7], "text": ["a b a", "a c", None], "learnt": [True, False, True]},
+        pa.schema([("row", pa.int64()), ("text", pa.string()), ("learnt", pa.bool_())]),
+    )
+    block = pa.RecordBatch.from_pydict({"block": [5], "texts": [lm._packed_texts(rows)]})
+    single, pairs = list(lm._ask(64)(iter([block])))
+    counts = {kind: lm._decoded(b.column("n")[0].as_py()).tolist() for kind, b in ((1, single), (2, pairs))}
+    assert sorted(counts[1]) == [0, 1, 2, 2, 2]  # c; b; a, the ends and the begin marks
+    assert sorted(counts[2]) == [0, 0, 1, 1, 1, 1, 1]
+    counted = lm._count_segment(pa.Table.from_batches([single, pairs]))
+    assert counted["once"].to_pylist() == [5] and counted["total"].to_pylist() == [5]
+    answers = list(lm._answer(1 << 12)(iter(counted.to_batches())))
+    assert [a.column("block").to_pylist() for a in answers] == [[5], [5]]
+    for kind, answer in zip((1, 2), answers, strict=True):
+        levels = zstandard.decompress(answer.column("levels")[0].as_py())
+        assert list(levels) == lm.level(np.array(counts[kind])).tolist()
