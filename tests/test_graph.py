@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from recollect.functions import vectors as exact
 from recollect.operators import graph, search
 from recollect.session import ship_package
 
@@ -97,3 +99,89 @@ def test_each_query_finds_its_neighbours_in_a_large_shard(spark):
     recall = graph.recall_per_query(found, search.vector_topk_batch(frame, queries))
     assert recall.where("recall < 0.95").count() == 0 and recall.count() == 150
     assert found.agg(F.max("computed")).first()[0] < 6000 * 0.8
+
+
+def test_a_search_walks_every_graph_once(spark):
+    index = graph.build_graph(corpus(spark, vectors(50))).cache()
+    found = graph.graph_topk(index, asked(spark, vectors(5, seed=4)), k=3)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert {r["computed"] for r in found.collect()} == {50} and found.count() == 15
+
+
+def test_the_nearest_of_a_large_shard_pass_by_the_others():
+    own = exact.unit(vectors(3000, 16)).astype(np.float32)
+    own[100:180] = own[7]
+    full = own @ own.T
+    for low in (0, 2990):
+        best = graph._nearest(own, low, low + 256, 96)
+        assert best.shape == (min(256, 3000 - low), 96)
+        for row, places in enumerate(best):
+            least = np.sort(full[low + row])[-96]
+            assert len(set(places)) == 96 and full[low + row][places].min() >= least - 1e-6
+
+
+def test_a_hub_is_pruned_like_any_other_vector():
+    own = exact.unit(vectors(400, 16)).astype(np.float32)
+    found = np.sort(np.random.default_rng(2).integers(-1, 400, (6, 120)), axis=1)
+    rows = np.arange(6)
+    kept = graph._pruned(rows, found, own, 12)
+    for row in rows:
+        alone = graph._pruned_hub(row, np.unique(found[row]), own, 12)
+        assert list(kept[row][kept[row] >= 0]) == list(alone) and row not in alone
+    wide = np.sort(np.concatenate([found] * 6, axis=1), axis=1)
+    assert (graph._pruned(rows, wide, own, 12) == kept).all()
+
+
+def test_a_graph_of_equal_vectors_is_linked_and_walked():
+    own = exact.unit(np.concatenate([np.ones((900, 8)), vectors(300, 8)]))
+    links = graph.neighbour_lists(own, 8)
+    places, distance, computed = graph.walk(own, links, np.array([0, 950]), own[:1], 5, 20)
+    assert (distance < 1e-6).all() and len(set(places[0])) == 5 and computed[0] < 1200
+
+
+def _exact_answers(stored, ids, wanted, k, tenants=None, asked_by=None):
+    away = np.round(1.0 - exact.unit(wanted) @ exact.unit(stored).T, 10)
+    away[np.isnan(away)] = np.inf
+    for q in range(len(wanted)):
+        seen = [j for j in range(len(ids)) if tenants is None or tenants[j] == asked_by[q]]
+        yield [ids[j] for j in sorted(seen, key=lambda j: (away[q, j], ids[j]))[:k]]
+
+
+@pytest.mark.parametrize("case", ["plain", "equal and zero vectors", "tenants"])
+def test_exact_answers_do_not_need_every_exact_distance(monkeypatch, case):
+    rng, n, k = np.random.default_rng(5), 6000, 10
+    stored, wanted = vectors(n, 16).astype(np.float32).astype(float), vectors(140, 16, seed=8)
+    ids = [str(i) for i in rng.permutation(n)]
+    tenants = asked_by = None
+    if case == "equal and zero vectors":
+        stored[rng.integers(0, n, 2500)] = stored[7]
+        stored[rng.integers(0, n, 40)] = 0
+        wanted[3], wanted[5] = 0, stored[7]
+    if case == "tenants":
+        tenants = np.array([f"t{i}" for i in rng.integers(0, 3, n)])
+        tenants[11] = "rare"
+        asked_by = np.array(["rare", *[f"t{i % 4}" for i in range(139)]], dtype=object)
+    pairs = []
+    plain = exact._Best._exact
+    monkeypatch.setattr(exact._Best, "_exact", lambda self, q, p, s: pairs.append(len(q)) or plain(self, q, p, s))
+
+    def batches():
+        for low in range(0, n, 1700):
+            columns = {
+                "id": pa.array(ids[low : low + 1700]),
+                "vector": pa.array([list(v) for v in stored[low : low + 1700]], pa.list_(pa.float32())),
+            }
+            if tenants is not None:
+                columns["tenant"] = pa.array(tenants[low : low + 1700].tolist())
+            yield pa.RecordBatch.from_pydict(columns)
+
+    found = {}
+    for batch in exact.nearest_in(batches(), exact.Queries(pa.array(range(140)), wanted, asked_by), k):
+        for row in batch.to_pylist():
+            away = np.inf if row["distance"] is None else round(row["distance"], 10)
+            found.setdefault(row["query_id"], []).append((away, row["id"]))
+    answers = [[i for _, i in sorted(found.get(q, []))] for q in range(140)]
+    assert answers == list(_exact_answers(stored, ids, wanted, k, tenants, asked_by))
+    if case == "plain":
+        assert sum(pairs) < 0.1 * 140 * n
