@@ -15,6 +15,7 @@ computes distances along the walks only, and says how many.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from recollect.functions.keys import top_k
 from recollect.functions.vectors import RANK_DECIMALS, Queries, matrix, unit
 from recollect.operators.corpus import ID, LEG_K, VECTOR, filtered
-from recollect.operators.vector import query_blocks
+from recollect.operators.vector import parts_of, query_blocks
 from recollect.session import materialise
 
 SHARD_ROWS = 8192
@@ -38,7 +39,8 @@ LEAST_INTO, SPARE_LINKS = 8, 8
 # Places that a walk looks around at once; walks in step, and their marks of what they saw (64 MB at most).
 EXPANDED = 16
 WALKS_AT_ONCE, MARKS = 64, 1 << 25
-ANSWERED_AT_ONCE = 4096
+# Queries that share a reading of the graphs, and those whose answers a task holds.
+WALKED_AT_ONCE, ANSWERED_AT_ONCE = 1024, 4096
 # Places that are ranked again by distances of doubles, besides the `k` that are returned.
 RANKED_AGAIN = 32
 _ROWS_AT_ONCE, _COLUMNS_AT_ONCE = 256, 2048
@@ -361,14 +363,16 @@ def graph_topk(graph: DataFrame, queries: DataFrame, k: int = LEG_K, beam: int |
     Approximate: a longer `beam` finds more of the exact answer; unless given it grows with the shard. `computed` is the number of distances
     that a query took in all shards, to be compared with the size of the corpus. Queries without an id or a
     vector, or with one of length zero, find nothing. Queries go to the tasks in bounded blocks, as in
-    `vector_topk_batch`; for each block every graph is walked once.
+    `vector_topk_batch`, and in parts that have tasks of their own; a query walks every graph once.
     """
     asked = queries.where(F.col("query_id").isNotNull() & F.col("qvec").isNotNull()).select("query_id", "qvec")
     id_type = graph.schema["ids"].dataType.elementType.simpleString()
     schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {id_type}, distance double, computed long"
 
     def answers(block: Queries) -> DataFrame:
-        found = graph.select("ids", "width", "vectors", "links", "entry").mapInArrow(_search(block, k, beam), schema)
+        shards = graph.select("ids", "width", "vectors", "links", "entry")
+        walked = [shards.mapInArrow(_search(part, k, beam), schema) for part in parts_of(block, WALKED_AT_ONCE)]
+        found = reduce(DataFrame.unionByName, walked)
         # Summed and ranked in one pass: each use of `found` would walk all graphs again.
         taken = found.withColumn("computed", F.sum("computed").over(Window.partitionBy("query_id")))
         return top_k(taken, ["query_id"], [F.col("distance").asc(), F.col("id").asc()], k, "rank")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,8 @@ from recollect.session import materialise
 
 # Numbers in one block of query vectors, 32 MB of doubles: what the driver holds and a task is sent.
 BLOCK_VALUES = 4_000_000
+# Queries of a block that share a reading of the corpus; more of them make more tasks, up to so many readings.
+SCANNED_AT_ONCE, MOST_PARTS = 4096, 16
 
 
 def _vectors(corpus: DataFrame, tenant: str | None) -> DataFrame:
@@ -67,8 +71,8 @@ def vector_topk_batch(
 
     With `tenant`, a column of both tables, each query sees its own tenant's rows only. Queries go
     to the tasks in blocks of at most `BLOCK_VALUES` numbers, one block on the driver at a time.
-    For each block the corpus is read once, where it lies, and only the best `k` per query and task
-    are shuffled. The answers of a block are written to the shared folder before the next is taken.
+    For each block the corpus is read where it lies, once for some thousands of queries, and only the
+    best `k` per query and task are shuffled. The answers of a block are written to the shared folder before the next is taken.
     """
     rows = _vectors(filtered(corpus, where), tenant)
     columns = ["query_id", "qvec", *([F.col(tenant).cast("string").alias("tenant")] if tenant else [])]
@@ -76,11 +80,15 @@ def vector_topk_batch(
     schema = _nearest_schema(corpus, queries.schema["query_id"].dataType.simpleString())
     order = [F.col("distance").asc_nulls_last(), F.col("id").asc()]
 
-    def answers(block: Queries) -> DataFrame:
+    def scanned(part: Queries) -> DataFrame:
         def scan(batches):
-            return nearest_in(batches, block, k)
+            return nearest_in(batches, part, k)
+
+        return rows.mapInArrow(scan, schema)
 
-        return top_k(rows.mapInArrow(scan, schema), ["query_id"], order, k, "rank")
+    def answers(block: Queries) -> DataFrame:
+        found = reduce(DataFrame.unionByName, map(scanned, parts_of(block, SCANNED_AT_ONCE)))
+        return top_k(found, ["query_id"], order, k, "rank")
 
     blocks = query_blocks(asked, bool(tenant))
     found = answers(next(blocks))
@@ -111,6 +119,21 @@ def query_blocks(asked: DataFrame, tenants: bool = False) -> Iterator[Queries]:
     yield packed(block)
 
 
+def parts_of(block: Queries, size: int) -> list[Queries]:
+    """A block in equal parts of at most `size` queries, or in MOST_PARTS: each gets tasks of its own."""
+    n = len(block.ids)
+    count = max(1, min(MOST_PARTS, -(-n // size)))
+    bounds = [n * i // count for i in range(count + 1)]
+    return [
+        Queries(
+            block.ids.take(pa.array(np.arange(low, high))),
+            block.vectors[low:high],
+            None if block.tenants is None else block.tenants[low:high],
+        )
+        for low, high in pairwise(bounds)
+    ]
+
+
 # --- approximate vector search ----------------------------------------------------------------
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recollect.functions import vectors as exact
-from recollect.operators import graph, search
+from recollect.operators import graph, search, vector
 from recollect.session import ship_package
 
 CORPUS = "content_id long, embedding array<float>"
@@ -109,6 +109,19 @@ def test_a_search_walks_every_graph_once(spark):
     assert {r["computed"] for r in found.collect()} == {50} and found.count() == 15
 
 
+def test_queries_in_parts_get_the_same_answers(spark, monkeypatch):
+    frame, queries = corpus(spark, vectors(300)), asked(spark, vectors(23, seed=4))
+    index = graph.build_graph(frame, shard_rows=150).cache()
+    whole = [f.collect() for f in (graph.graph_topk(index, queries, 5), search.vector_topk_batch(frame, queries, 5))]
+    monkeypatch.setattr(graph, "WALKED_AT_ONCE", 10)
+    monkeypatch.setattr(vector, "SCANNED_AT_ONCE", 2)
+    found = graph.graph_topk(index, queries, 5), search.vector_topk_batch(frame, queries, 5)
+    counts = [f._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") for f in found]
+    assert counts == [3, 12] and [sorted(f.collect()) for f in found] == [sorted(rows) for rows in whole]
+    assert len(vector.parts_of(exact.Queries(pa.array(range(100)), vectors(100)), 2)) == vector.MOST_PARTS
+    assert [len(p.ids) for p in vector.parts_of(exact.Queries(pa.array([], pa.int64()), vectors(0)), 2)] == [0]
+
+
 def test_the_nearest_of_a_large_shard_pass_by_the_others():
     own = exact.unit(vectors(3000, 16)).astype(np.float32)
     own[100:180] = own[7]
